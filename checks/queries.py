@@ -15,6 +15,7 @@ from pyspark.sql.types import DoubleType, TimestampType
 
 from strandline import columns, dedupe, features, gate, medallion, model, runs, scan, shared
 from strandline import tables, upsert
+from strandline.sources.records import one_row
 from strandline.sources.schemas import KEY, TELEMETRY
 
 # Small enough to cut the months of the test tables into many chunks.
@@ -283,8 +284,7 @@ def zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nearest_center(spark: SparkSession, sf_dir: str) -> DataFrame:
-    built = features.build(silver(spark, sf_dir), cuts=cuts(spark, sf_dir))
-    scaled = model.zscore(built, features.FEATURE_COLS)
+    scaled = model.zscore(_stored_features(spark, sf_dir), features.FEATURE_COLS)
     found = model.nearest_center(scaled, features.FEATURE_COLS, CENTERS)
     return printable(found.select(KEY, model.CLUSTER_COL))
 
@@ -294,7 +294,7 @@ def silhouette_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
         array_to_vector("embedding").alias(model.SCALED), "label"
     )
     value = model.silhouette(vectors, cluster_col="label")
-    return printable(spark.createDataFrame([(value,)], "silhouette double"))
+    return printable(one_row(spark, "silhouette double", [value]))
 
 
 def _stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:

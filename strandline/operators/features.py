@@ -73,6 +73,9 @@ def compute(df: DataFrame, series: Series = SERIES, cuts: Sequence[int] = ()) ->
     again from the edges of all chunks: both ends of every chunk, put back in
     order, hold a full frame for each row that starts a chunk. The edges are a
     handful of rows per chunk, and both branches read the same shuffle.
+
+    Windows restart each month, so to recompute some months give ``df`` filtered
+    to those whole months on the order column: the scan then skips the others.
     """
     # Rows without an instant would all meet in one window partition.
     rows = df.select(*series.entity_cols, series.order_col, *MEASURES).filter(
@@ -134,27 +137,29 @@ def cut_points(
     order_col: str = SERIES.order_col,
     rows_per_chunk: int = ROWS_PER_CHUNK,
     period: str = SERIES.period,
+    unit: str = "minute",
 ) -> list[int]:
     """Instants (microseconds since 1970) that cut each month into even chunks.
 
-    Reads one column. Rows are counted per minute before the shuffle, and the
-    running count per month spans at most 44,640 minutes. Only the cuts reach
+    Reads one column. Rows are counted per ``unit`` before the shuffle, and the
+    running count of a month spans at most 44,640 minutes. Only the cuts reach
     the driver: no more than the table's rows / ``rows_per_chunk``. A chunk
-    exceeds ``rows_per_chunk`` by its last minute at most.
+    exceeds ``rows_per_chunk`` by its last minute at most; where single minutes
+    are too large for a task, count per ``"second"``.
     """
-    minute = F.date_trunc("minute", F.col(order_col)).alias("minute")
+    slot = F.date_trunc(unit, F.col(order_col)).cast("timestamp").alias("slot")
     counts = (
         df.filter(F.col(order_col).isNotNull())
-        .groupBy(minute)
+        .groupBy(slot)
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    in_period = Window.partitionBy(F.date_trunc(period, "minute")).orderBy("minute")
+    in_period = Window.partitionBy(F.date_trunc(period, "slot")).orderBy("slot")
     before = F.sum("n").over(in_period.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
-    chunks = counts.select("minute", F.floor(before / rows_per_chunk).alias("chunk"))
+    chunks = counts.select("slot", F.floor(before / rows_per_chunk).alias("chunk"))
     starts = chunks.select(
-        "minute", (F.col("chunk") != F.lag("chunk").over(in_period)).alias("starts")
+        "slot", (F.col("chunk") != F.lag("chunk").over(in_period)).alias("starts")
     ).filter("starts")
-    return sorted(r[0] for r in starts.select(F.unix_micros("minute")).collect())
+    return sorted(r[0] for r in starts.select(F.unix_micros("slot")).collect())
 
 
 def _with_chunk(rows: DataFrame, series: Series, cuts: Sequence[int]) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strandline.functions.columns import Series
 from strandline.operators import dedupe, features, gate, model
 from strandline.sources import runs, scan, tables
+from strandline.sources.records import one_row
 from strandline.sources.schemas import KEY
 
 
@@ -173,8 +174,7 @@ def run(spark: SparkSession, cfg: Config, stages: Sequence[Stage] = STAGES) -> D
             n_rows,
             None if failure is None else str(failure),
         )
-        log = spark.createDataFrame([entry], STAGE_LOG).coalesce(1)
-        tables.append(log, cfg.path("stage_log"), "stage")
+        tables.append(one_row(spark, STAGE_LOG, entry), cfg.path("stage_log"), "stage")
         if failure is not None:
             raise StageFailed(f"stage {stage.name!r} failed after {seconds} s") from failure
     return tables.read(spark, cfg.path("stage_log")).filter(f"run_id = '{run_id}'")

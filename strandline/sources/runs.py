@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.sources import tables
+from strandline.sources.records import one_row
 
 RUNS = (
     "run_id string, experiment string, run_name string, start_time timestamp, status string, "
@@ -42,7 +43,7 @@ def record(
     row = (
         run_id, experiment, run_name, start_time, status, texts, dict(metrics or {}), model_path,
     )
-    tables.append(spark.createDataFrame([row], RUNS).coalesce(1), path, "run")
+    tables.append(one_row(spark, RUNS, row), path, "run")
 
 
 def latest(runs: DataFrame, experiment: str, finished_only: bool = True) -> DataFrame:

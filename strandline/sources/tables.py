@@ -16,12 +16,12 @@ import math
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strandline.operators.upsert import unmatched
+from strandline.sources.records import one_row
 
 COMMITS = (
     "table_name string, version int, ts timestamp, operation string, n_rows long, "
@@ -204,12 +204,10 @@ def cluster_by(
 
 
 def _commits(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(COMMITS).parquet(f"{path}/commits")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/commits")
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return None
+    return spark.read.schema(COMMITS).parquet(f"{path}/commits")
 
 
 def _newest(spark: SparkSession, path: str) -> Row | None:
@@ -249,17 +247,17 @@ def _commit(
         list(folders),
         schema.json(),
     )
-    spark.createDataFrame([row], COMMITS).coalesce(1).write.mode("append").parquet(
-        f"{path}/commits"
-    )
+    one_row(spark, COMMITS, row).write.mode("append").parquet(f"{path}/commits")
 
 
 def _scan(spark: SparkSession, path: str, commit: Row) -> DataFrame:
     """Files of a version: those of its base and of the appends up to it."""
-    parts = _commits(spark, path).filter(
-        F.col("version").between(commit["base"], commit["version"])
-    )
-    folders = [r[0] for r in parts.select(F.explode("folders")).collect()]
+    folders = commit["folders"]
+    if commit["base"] < commit["version"]:
+        parts = _commits(spark, path).filter(
+            F.col("version").between(commit["base"], commit["version"])
+        )
+        folders = [r[0] for r in parts.select(F.explode("folders")).collect()]
     schema = StructType.fromJson(json.loads(commit["schema"]))
     return spark.read.schema(schema).parquet(*[f"{path}/{f}" for f in sorted(folders)])
 

@@ -1,0 +1,165 @@
+from datetime import datetime, timedelta, timezone
+
+import numpy as np
+import pytest
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from strandline import columns, features, model, runs, shared, tables
+from strandline.sources.schemas import KEY
+from tests.helpers import INF, NAN
+from tests.test_features import readings, some_series
+
+T = datetime(2024, 3, 1, tzinfo=timezone.utc)
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    path = shared.work_folder(spark, "features")
+    tables.replace(features.build(readings(spark, some_series(600, 11))), path)
+    return tables.read(spark, path)
+
+
+@pytest.fixture(scope="module")
+def trained(rows):
+    return model.train(rows)
+
+
+def test_assembler_refuses_null_and_nan(spark):
+    for bad in (None, NAN):
+        df = spark.createDataFrame([(1.0, bad)], "a double, b double")
+        with pytest.raises(Exception):
+            model.assemble(df, ["a", "b"]).collect()
+    df = spark.createDataFrame([(1.0, INF)], "a double, b double")
+    assembled = model.assemble(df, ["a", "b"])
+    assert assembled.first()[model.RAW].toArray().tolist() == [1.0, INF]
+    assert assembled.schema[model.RAW].metadata == {}
+
+
+def test_scaler_and_zscore_agree(spark):
+    df = spark.createDataFrame(
+        [(1.0, 5.0), (2.0, 5.0), (4.0, 5.0)], "a double, b double"
+    )
+    assembled = model.assemble(df, ["a", "b"])
+    by_ml = [
+        tuple(r[0]) for r in
+        model.fit_scaler(assembled).transform(assembled)
+        .select(vector_to_array(model.SCALED)).collect()
+    ]
+    by_columns = [tuple(r) for r in model.zscore(df, ["a", "b"]).collect()]
+    assert np.allclose(by_ml, by_columns)
+    assert [r[1] for r in by_columns] == [0.0, 0.0, 0.0]
+
+
+def test_train(trained, rows):
+    assert 0 < trained.silhouette <= 1
+    scored = model.score(trained.model, rows)
+    assert scored.columns == [KEY, *features.FEATURE_COLS, model.CLUSTER_COL]
+    assert scored.count() == rows.count()
+    assert {r[0] for r in scored.select(model.CLUSTER_COL).distinct().collect()} == {0, 1, 2}
+
+
+def test_centers_are_means_of_their_members(trained, rows):
+    scored = trained.model.transform(model.assemble(rows))
+    members = {}
+    for r in scored.select(model.SCALED, model.CLUSTER_COL).collect():
+        members.setdefault(r[1], []).append(r[0].toArray())
+    if trained.clusters.summary.numIter < trained.clusters.getMaxIter():
+        for i, center in enumerate(trained.clusters.clusterCenters()):
+            assert np.allclose(np.mean(members[i], axis=0), center, atol=1e-2)
+
+
+def test_score_is_the_nearest_center_on_any_partitioning(trained, rows):
+    centers = trained.clusters.clusterCenters()
+    scored = trained.model.transform(model.assemble(rows.repartition(7)))
+    for r in scored.select(model.SCALED, model.CLUSTER_COL).collect():
+        distances = [np.sum((r[0].toArray() - c) ** 2) for c in centers]
+        assert r[1] == int(np.argmin(distances))
+    def clusters(df):
+        return sorted(model.score(trained.model, df).select(KEY, model.CLUSTER_COL).collect())
+    assert clusters(rows) == clusters(rows.repartition(5))
+
+
+def test_same_layout_gives_the_same_fit(trained, rows):
+    again = model.train(rows)
+    assert again.silhouette == pytest.approx(trained.silhouette, abs=1e-9)
+
+
+def test_nearest_center_ties_go_to_the_lowest(spark):
+    df = spark.createDataFrame([(0.0,), (0.9,), (-2.0,)], "x double")
+    found = model.nearest_center(df, ["x"], [[1.0], [-1.0], [1.0]], "c")
+    assert [r["c"] for r in found.collect()] == [0, 0, 1]
+    with pytest.raises(ValueError):
+        columns.squared_distance(["x"], [1.0, 2.0])
+
+
+def test_silhouette_against_the_definition(trained, rows):
+    scored = trained.model.transform(model.assemble(rows.limit(120)))
+    points = [(r[0].toArray(), r[1]) for r in
+              scored.select(model.SCALED, model.CLUSTER_COL).collect()]
+    total = 0.0
+    for x, c in points:
+        sums, sizes = {}, {}
+        for y, d in points:
+            sums[d] = sums.get(d, 0.0) + np.sum((x - y) ** 2)
+            sizes[d] = sizes.get(d, 0) + 1
+        if sizes[c] > 1:
+            a = sums[c] / (sizes[c] - 1)
+            b = min(sums[d] / sizes[d] for d in sums if d != c)
+            total += (b - a) / max(a, b)
+    assert model.silhouette(scored) == pytest.approx(total / len(points), abs=1e-9)
+
+
+# -------------------------------------------------------------------- runs
+
+
+@pytest.fixture
+def path(spark):
+    return shared.work_folder(spark, "runs") + "/runs"
+
+
+def put(spark, path, run_id, minutes, status=runs.FINISHED, model_path=None, experiment="e"):
+    runs.record(
+        spark, path, run_id=run_id, experiment=experiment, run_name="n",
+        start_time=T + timedelta(minutes=minutes), status=status, model_path=model_path,
+        params={"k_clusters": 3, "seed": 25, "feature_columns": ["a", "b"], "note": "text"},
+        metrics={"silhouette_score": 0.5},
+    )
+
+
+def test_latest_run(spark, path):
+    put(spark, path, "one", 1)
+    put(spark, path, "two", 2)
+    put(spark, path, "three", 3, status=runs.FAILED)
+    put(spark, path, "other", 9, experiment="f")
+    table = tables.read(spark, path)
+    assert runs.latest(table, "e").first()["run_id"] == "two"
+    assert runs.latest(table, "e", finished_only=False).first()["run_id"] == "three"
+    assert runs.latest(table, "nothing").first() is None
+    one = table.filter("run_id = 'one'").first()
+    assert one["params"] == {
+        "k_clusters": "3", "seed": "25", "feature_columns": '["a", "b"]', "note": "text",
+    }
+    assert one["metrics"] == {"silhouette_score": 0.5}
+    assert table.select(F.unix_seconds("start_time")).agg(F.max("unix_seconds(start_time)")) \
+        .first()[0] == int(T.timestamp()) + 540
+
+
+def test_run_without_metrics_or_model(spark, path):
+    runs.record(spark, path, run_id="r", experiment="e", run_name="n", start_time=T,
+                status=runs.FAILED)
+    row = tables.read(spark, path).first()
+    assert (row["params"], row["metrics"], row["model_path"]) == ({}, {}, None)
+    with pytest.raises(LookupError, match="no run with a model"):
+        runs.load_model(spark, path, "e", finished_only=False)
+    with pytest.raises(LookupError, match="no run with a model"):
+        runs.load_model(spark, path + "-nowhere", "e")
+
+
+def test_model_comes_back(spark, path, trained, rows):
+    saved = runs.save_model(trained.model, path.removesuffix("/runs") + "/models/a")
+    put(spark, path, "a", 1, model_path=saved)
+    loaded = runs.load_model(spark, path, "e")
+    def scored(m):
+        return sorted(model.score(m, rows).select(KEY, model.CLUSTER_COL).collect())
+    assert scored(loaded) == scored(trained.model)
