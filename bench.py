@@ -90,7 +90,7 @@ def main() -> None:
 
     plans = {
         "dedupe": q.silver(spark, SF_DIR),
-        "feature_table": features.build(q.silver(spark, SF_DIR)),
+        "feature_table": features.build(q.silver(spark, SF_DIR), cuts=()),
         "upsert": q.upsert_orders(spark, SF_DIR),
         "score": model.score(trained.model, rows),
     }

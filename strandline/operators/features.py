@@ -52,12 +52,16 @@ def drop_incomplete(df: DataFrame) -> DataFrame:
     return df.na.drop("any")
 
 
-def build(df: DataFrame, series: Series = SERIES, cuts: Sequence[int] = ()) -> DataFrame:
+def build(
+    df: DataFrame, series: Series = SERIES, cuts: Sequence[int] | None = None
+) -> DataFrame:
     """Entity columns, order column and the 16 features; incomplete rows dropped."""
     return drop_incomplete(compute(df, series, cuts))
 
 
-def compute(df: DataFrame, series: Series = SERIES, cuts: Sequence[int] = ()) -> DataFrame:
+def compute(
+    df: DataFrame, series: Series = SERIES, cuts: Sequence[int] | None = None
+) -> DataFrame:
     """The same table with incomplete rows still in it.
 
     Rows without an instant are left out: they belong to no month.
@@ -65,7 +69,9 @@ def compute(df: DataFrame, series: Series = SERIES, cuts: Sequence[int] = ()) ->
 
     ``cuts`` are instants from :func:`cut_points`. They change how the work is
     divided and never the result, so they may come from an earlier or larger
-    state of the table.
+    state of the table. If not given they are found here, in a job over the
+    order column of ``df``; where ``df`` is costly to compute, take them from
+    what it was computed from. An empty list means no month is large.
 
     Without cuts: one shuffle by month, one sort, one window operator. With
     cuts the shuffle is by (month, chunk). All rows but the first few of a
@@ -81,6 +87,8 @@ def compute(df: DataFrame, series: Series = SERIES, cuts: Sequence[int] = ()) ->
     rows = df.select(*series.entity_cols, series.order_col, *MEASURES).filter(
         F.col(series.order_col).isNotNull()
     )
+    if cuts is None:
+        cuts = cut_points(df, series.order_col, period=series.period)
     if not cuts:
         return _features(rows, series, series.window())
 

@@ -21,18 +21,31 @@ def has_key(keys: Sequence[str]) -> Column:
     return reduce(and_, [F.col(k).isNotNull() for k in keys])
 
 
-def unmatched(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def unmatched(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], by_range: bool = False
+) -> DataFrame:
     """Target rows that no source row replaces.
 
     Only the key columns of the source are read. Spark broadcasts them if their
     size is under its threshold, and the target is then not shuffled at all;
     beyond it the join is sort-merge, and AQE splits skewed target partitions.
+
+    ``by_range`` leaves target rows outside the source's range of the first key
+    out of the join. For a load of recent instants that is nearly all of the
+    table, copied without a shuffle, and where files are laid out by that key
+    either side skips the other's row groups. The source is read once more for
+    its range, so use this with a stored one.
     """
-    keyed = target.filter(has_key(keys))
+    joined, aside = has_key(keys), ~has_key(keys)
+    if by_range:
+        first = F.col(keys[0])
+        low = source.select(F.min(first)).scalar()
+        high = source.select(F.max(first)).scalar()
+        joined = joined & (first >= low) & (first <= high)
+        aside = aside | (first < low) | (first > high) | low.isNull()  # NULL: no source rows
     incoming = source.select(*keys).filter(has_key(keys))
-    return keyed.join(incoming, list(keys), "left_anti").select(*target.columns).unionByName(
-        target.filter(~has_key(keys))
-    )
+    kept = target.filter(joined).join(incoming, list(keys), "left_anti")
+    return kept.select(*target.columns).unionByName(target.filter(aside))
 
 
 def upsert_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -166,7 +166,8 @@ def upsert(source: DataFrame, path: str, keys: Sequence[str]) -> int:
     incoming, kept = f"v={version}/incoming", f"v={version}/kept"
     n_incoming = _write(source, f"{path}/{incoming}")
     stored = spark.read.schema(source.schema).parquet(f"{path}/{incoming}")
-    n_kept = _write(unmatched(_scan(spark, path, current), stored, keys), f"{path}/{kept}")
+    remaining = unmatched(_scan(spark, path, current), stored, keys, by_range=True)
+    n_kept = _write(remaining, f"{path}/{kept}")
     _commit(
         spark, path, version, "upsert", n_incoming + n_kept, version, [kept, incoming],
         source.schema,

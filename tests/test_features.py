@@ -183,7 +183,7 @@ def count(plan, text):
 
 
 def test_plain_plan_is_one_shuffle_and_one_window(spark, tmp_path):
-    plan = plan_of(features.build(stored(spark, tmp_path)))
+    plan = plan_of(features.build(stored(spark, tmp_path), cuts=()))
     assert count(plan, "+- Window [") == 1
     assert count(plan, "Exchange hashpartitioning") == 1
     assert count(plan, "lag(solar_wind_speed") == 1
@@ -200,6 +200,16 @@ def test_chunked_branches_share_the_shuffle(spark, tmp_path):
     assert "Python" not in final
 
 
+def test_cuts_are_found_where_none_are_given(spark, tmp_path, monkeypatch):
+    data = stored(spark, tmp_path)
+    asked = []
+    monkeypatch.setattr(features, "cut_points", lambda *a, **k: asked.append(a) or [])
+    features.build(data, cuts=())
+    assert asked == []
+    features.build(data)
+    assert len(asked) == 1
+
+
 def test_unused_features_are_not_computed(spark, tmp_path):
     plan = plan_of(features.compute(stored(spark, tmp_path)).select(KEY, "wind_lag_1"))
     assert "avg(" not in plan

@@ -98,6 +98,44 @@ def test_upsert_like_a_dict(spark, old, new):
     merged = upsert.upsert_rows(target, source, ["k"])
     assert dict(rows(merged)) == old | new
     assert merged.count() == len(old | new)
+    by_range = upsert.unmatched(target, source, ["k"], by_range=True)
+    assert rows(by_range) == sorted((k, v) for k, v in old.items() if k not in new)
+
+
+def test_range_of_an_empty_or_null_source(spark):
+    target = kv(spark, (1, "a"), (None, "n"))
+    for source in (kv(spark, (None, "x")), kv(spark, (1, "x")).filter("k = 0")):
+        kept = upsert.unmatched(target, source, ["k"], by_range=True)
+        assert {r["v"] for r in kept.collect()} == {"a", "n"}
+
+
+def test_two_keys_by_range(spark):
+    cols = "a int, b int, v string"
+    target = spark.createDataFrame(
+        [(1, 1, "p"), (1, 2, "q"), (2, 1, "r"), (1, None, "s"), (None, 1, "t")], cols
+    )
+    source = spark.createDataFrame([(1, 2, "Q"), (1, None, "S"), (5, 5, "N")], cols)
+    for by_range in (False, True):
+        kept = upsert.unmatched(target, source, ["a", "b"], by_range)
+        assert {r["v"] for r in kept.collect()} == {"p", "r", "s", "t"}
+
+
+def test_rows_outside_the_source_range_are_not_shuffled(spark, path):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        target = spark.range(0, 10_000, 1, 4).select(F.col("id").alias("k"))
+        source = spark.range(9_990, 10_010).select(F.col("id").alias("k"))
+        target.write.parquet(f"{path}-t")
+        source.write.parquet(f"{path}-s")
+        target, source = (spark.read.parquet(f"{path}-{x}") for x in "ts")
+        kept = upsert.unmatched(target, source, ["k"], by_range=True)
+        assert kept.count() == 9_990
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2  # the join's two sides
+        outside = plan[plan.rindex("Filter (") :]
+        assert "Exchange" not in outside.split("Subquer")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 # ------------------------------------------------------------------ tables
@@ -261,3 +299,17 @@ def test_work_folder_needs_a_shared_root_on_a_cluster():
         shared.work_folder(Session, "x")
     Session.conf.values["spark.checkpoint.dir"] = "hdfs:///shared/"
     assert shared.work_folder(Session, "x").startswith("hdfs:///shared/x-")
+
+
+def test_work_folder_of_a_local_session_without_a_shared_root():
+    class Conf:
+        @staticmethod
+        def get(name, default=None):
+            return {"spark.master": "local[2]"}.get(name, default)
+
+    class Session:
+        conf = Conf
+
+    folder = shared.work_folder(Session, "x")
+    assert "/x-" in folder
+    assert folder != shared.work_folder(Session, "x")
