@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from checks import queries as q  # noqa: E402
-from strandline import features, gate, medallion, model, shared, tables  # noqa: E402
+from strandline import dedupe, features, gate, medallion  # noqa: E402
+from strandline import model, scan, shared, tables  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -31,7 +32,8 @@ def drain(df: DataFrame) -> None:
 
 def exchanges(df: DataFrame) -> int:
     plan = df._jdf.queryExecution().executedPlan().toString()
-    return sum("Exchange " in line and "Reused" not in line for line in plan.splitlines())
+    kinds = ("Exchange hash", "Exchange range", "Exchange Single")
+    return sum(any(kind in line for kind in kinds) for line in plan.splitlines())
 
 
 def main() -> None:
@@ -47,35 +49,46 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     root = shared.work_folder(spark, "bench")
 
-    # Inputs that a stage finds stored.
-    stored = f"{root}/features"
-    tables.replace(features.build(q.silver(spark, SF_DIR)), stored)
+    # What each stage finds stored. The readings are derived from the events.
+    bronze, silver = f"{root}/bronze", f"{root}/silver"
+    stored, gold = f"{root}/features", f"{root}/gold"
+    tables.replace(q.telemetry(spark, SF_DIR), bronze)
+    readings = tables.read(spark, bronze)
+    tables.replace(q.silver(spark, SF_DIR), silver)
+    clean = tables.read(spark, silver)
+    tables.replace(features.build(clean), stored)
     rows = tables.read(spark, stored)
     trained = model.train(rows)
-    gold = f"{root}/gold"
     tables.replace(model.score(trained.model, rows), gold)
     source = q._as_csv(spark, SF_DIR, "source")
 
     def gate_and_quarantine() -> None:
-        for side in gate.split(q.telemetry(spark, SF_DIR)):
+        for side in gate.split(readings):
             drain(side)
 
+    def deduped() -> DataFrame:
+        return dedupe.one_per_key(readings.filter(gate.valid()), ["time_tag"], ["event_id"])
+
     def whole_job() -> None:
         medallion.run(
             spark, medallion.Config(source=source, root=shared.work_folder(spark, "medallion"))
         )
 
+    small_cuts = features.cut_points(clean, rows_per_chunk=q.SMALL_CHUNK)
     work = {
+        "typed_csv": lambda: drain(scan.read_typed_csv(spark, source)),
         "gate_quarantine": gate_and_quarantine,
-        "dedupe": lambda: drain(q.silver(spark, SF_DIR)),
-        "feature_table": lambda: drain(q.feature_table(spark, SF_DIR)),
-        "feature_table_chunked": lambda: drain(q.feature_table_chunked(spark, SF_DIR)),
+        "dedupe": lambda: drain(deduped()),
         "upsert": lambda: drain(q.upsert_orders(spark, SF_DIR)),
         "table_upsert": lambda: drain(q.table_upsert(spark, SF_DIR)),
+        "cut_points": lambda: features.cut_points(clean),
+        "features": lambda: drain(features.build(clean, cuts=())),
+        "features_chunked": lambda: drain(features.build(clean, cuts=small_cuts)),
         "train": lambda: model.train(rows),
         "score": lambda: drain(model.score(trained.model, rows)),
         "cluster_layout": lambda: tables.cluster_by(spark, gold, "time_tag", files=4),
         "audit": lambda: drain(tables.audit(spark, gold)),
+        "feature_table": lambda: drain(q.feature_table(spark, SF_DIR)),
         "whole_job": whole_job,
     }
     seconds = {}
@@ -89,10 +102,12 @@ def main() -> None:
         seconds[name] = round(statistics.median(taken), 3)
 
     plans = {
-        "dedupe": q.silver(spark, SF_DIR),
-        "feature_table": features.build(q.silver(spark, SF_DIR), cuts=()),
+        "gate_quarantine": gate.quarantine(readings),
+        "dedupe": deduped(),
         "upsert": q.upsert_orders(spark, SF_DIR),
+        "features": features.build(clean, cuts=()),
         "score": model.score(trained.model, rows),
+        "audit": tables.audit(spark, gold),
     }
     print(
         json.dumps(

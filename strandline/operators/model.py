@@ -80,13 +80,16 @@ def train(features: DataFrame, k: int = CLUSTERS, seed: int = SEED) -> Trained:
     return Trained(fitted, silhouette(fitted.transform(assembled)))
 
 
-def score(model: PipelineModel, features: DataFrame) -> DataFrame:
+def score(
+    model: PipelineModel, features: DataFrame, keys: Sequence[str] = (KEY,)
+) -> DataFrame:
     """Key, features and cluster of each row; no shuffle."""
-    return output_columns(model.transform(assemble(features)))
+    return output_columns(model.transform(assemble(features)), keys)
 
 
-def output_columns(scored: DataFrame) -> DataFrame:
-    return scored.select(KEY, *FEATURE_COLS, CLUSTER_COL)
+def output_columns(scored: DataFrame, keys: Sequence[str] = (KEY,)) -> DataFrame:
+    """The scored table without its vectors."""
+    return scored.select(*keys, *FEATURE_COLS, CLUSTER_COL)
 
 
 def silhouette(

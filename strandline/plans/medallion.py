@@ -14,7 +14,6 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.functions.columns import Series
 from strandline.operators import dedupe, features, gate, model
 from strandline.sources import runs, scan, tables
 from strandline.sources.records import one_row
@@ -32,7 +31,6 @@ class Config:
     clusters: int = model.CLUSTERS
     seed: int = model.SEED
     rules: tuple[gate.Rule, ...] = gate.RULES
-    series: Series = features.SERIES
     rows_per_chunk: int = features.ROWS_PER_CHUNK
     rows_per_file: int = tables.ROWS_PER_FILE
     time_zone: str = "UTC"  # decides where a month begins
@@ -75,18 +73,14 @@ def stored_features(spark: SparkSession, cfg: Config) -> DataFrame:
     is done and written once per silver version.
     """
     silver, path = cfg.path("silver"), cfg.path("features")
-    origin = f"{cfg.series} of silver version {tables.latest_version(spark, silver)}"
-    if tables.exists(spark, path):
-        newest = tables.history(spark, path).first()
-        if newest["operation"] == origin:
-            return tables.read(spark, path)
+    origin = f"features of silver version {tables.latest_version(spark, silver)}"
+    if tables.exists(spark, path) and tables.history(spark, path).first()["operation"] == origin:
+        return tables.read(spark, path)
     rows = tables.read(spark, silver)
     cuts: Sequence[int] = ()
     if tables.row_count(spark, silver) > cfg.rows_per_chunk:
-        cuts = features.cut_points(
-            rows, cfg.series.order_col, cfg.rows_per_chunk, cfg.series.period
-        )
-    tables.replace(features.build(rows, cfg.series, cuts), path, origin)
+        cuts = features.cut_points(rows, rows_per_chunk=cfg.rows_per_chunk)
+    tables.replace(features.build(rows, cuts=cuts), path, origin)
     return tables.read(spark, path)
 
 

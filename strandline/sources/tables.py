@@ -276,10 +276,13 @@ def _write(df: DataFrame, folder: str) -> int:
 
 
 def _conform(df: DataFrame, current: Row, path: str) -> DataFrame:
-    """Same columns and types as the table, in its order; anything else is refused."""
+    """The table's columns in its order; other columns or types are refused.
+
+    Whether a value may be NULL is not compared: in files every value may.
+    """
     table = StructType.fromJson(json.loads(current["schema"]))
-    wanted = {f.name: f.dataType for f in table}
-    given = {f.name: f.dataType for f in df.schema}
+    wanted = {f.name: f.dataType.simpleString() for f in table}
+    given = {f.name: f.dataType.simpleString() for f in df.schema}
     if wanted != given:
-        raise ValueError(f"schema of {path} is {table.simpleString()}, got {df.schema.simpleString()}")
+        raise ValueError(f"columns of {path} are {wanted}, got {given}")
     return df.select(*table.names)
