@@ -211,6 +211,7 @@ SQL = {
           ON t.o_orderkey = s.o_orderkey
         GROUP BY ALL""",
     "table_upsert": UPSERTED,
+    "table_upsert_by_month": UPSERTED,
     "table_replace": "SELECT o_orderkey, o_orderpriority FROM orders",
     "table_append": "SELECT * FROM orders",
     "time_travel": "SELECT * FROM orders WHERE o_orderkey % 2 = 0",

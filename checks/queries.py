@@ -230,6 +230,16 @@ def table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read(spark, path)
 
 
+def table_upsert_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files kept by month of the order date; months without changes are taken over."""
+    even, changed = order_changes(spark, sf_dir)
+    path = f"{shared.work_folder(spark, 'tables')}/orders"
+    keys = ["o_orderdate", "o_orderkey"]
+    tables.upsert(even, path, keys, "month")
+    tables.upsert(changed, path, keys, "month")
+    return tables.read(spark, path)
+
+
 def table_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second version replaces the first, with another schema."""
     orders = load(spark, sf_dir, "orders")
@@ -410,6 +420,7 @@ ALL = {
         upsert_orders,
         upsert_stats,
         table_upsert,
+        table_upsert_by_month,
         table_replace,
         table_append,
         time_travel,

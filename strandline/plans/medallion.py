@@ -33,6 +33,7 @@ class Config:
     rules: tuple[gate.Rule, ...] = gate.RULES
     rows_per_chunk: int = features.ROWS_PER_CHUNK
     rows_per_file: int = tables.ROWS_PER_FILE
+    silver_period: str | None = None  # "month" where loads touch few months
     time_zone: str = "UTC"  # decides where a month begins
 
     def path(self, name: str) -> str:
@@ -63,7 +64,8 @@ def clean(spark: SparkSession, cfg: Config) -> int:
     """
     passed, failed = gate.split(tables.read(spark, cfg.path("bronze")), cfg.rules)
     tables.append(scan.stamp(failed, "_quarantined_at"), cfg.path("quarantine"), "quarantine")
-    return tables.upsert(dedupe.one_per_key(passed, [KEY]), cfg.path("silver"), [KEY])
+    unique = dedupe.one_per_key(passed, [KEY])
+    return tables.upsert(unique, cfg.path("silver"), [KEY], cfg.silver_period)
 
 
 def stored_features(spark: SparkSession, cfg: Config) -> DataFrame:

@@ -6,7 +6,7 @@
 A commit row is written after its data, and reads go through the commits, so a
 write that dies half-way stays invisible and is overwritten by the next one.
 Each table takes one writer at a time. An append writes its own rows only: a
-version is made of its ``base`` version's files and those of the appends since.
+version is made of its ``base`` version's folders and those of the appends since.
 """
 
 from __future__ import annotations
@@ -16,9 +16,9 @@ import math
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructType, TimestampType
 
 from strandline.operators.upsert import unmatched
 from strandline.sources.records import one_row
@@ -28,6 +28,8 @@ COMMITS = (
     "base int, folders array<string>, schema string"
 )
 ROWS_PER_FILE = 5_000_000
+PERIOD = "_period"
+MICROS_PER_DAY = 86_400_000_000
 
 
 # ---------------------------------------------------------------- reading
@@ -150,28 +152,54 @@ def append(df: DataFrame, path: str, operation: str = "append") -> int:
     return added
 
 
-def upsert(source: DataFrame, path: str, keys: Sequence[str]) -> int:
+def upsert(
+    source: DataFrame, path: str, keys: Sequence[str], period: str | None = None
+) -> int:
     """Create the table, or replace rows by key and add the others; returns source rows.
 
     The source must hold one row per key. It is computed and written once, and
     those files are part of the new version; the remaining target rows are then
     selected against the written keys, whose size Spark knows exactly.
+
+    With a ``period`` ("week", "month", "quarter" or "year") the files are split
+    by that period of the first key, a timestamp or date, in UTC. Equal keys share a period, so only periods found
+    in the source are rewritten and the new version takes over the other
+    folders as they are. This costs one shuffle of the written rows, and saves
+    rewriting the table where a load touches few periods.
     """
+    if period not in (None, "week", "month", "quarter", "year"):
+        raise ValueError(f"no such period: {period!r}")
     spark = source.sparkSession
     current = _newest(spark, path)
-    if current is None:
+    if current is not None:
+        source = _conform(source, current, path)
+    elif period is None:
         return replace(source, path, "create")
-    source = _conform(source, current, path)
-    version = current["version"] + 1
-    incoming, kept = f"v={version}/incoming", f"v={version}/kept"
-    n_incoming = _write(source, f"{path}/{incoming}")
-    stored = spark.read.schema(source.schema).parquet(f"{path}/{incoming}")
-    remaining = unmatched(_scan(spark, path, current), stored, keys, by_range=True)
-    n_kept = _write(remaining, f"{path}/{kept}")
-    _commit(
-        spark, path, version, "upsert", n_incoming + n_kept, version, [kept, incoming],
-        source.schema,
-    )
+    version = 0 if current is None else current["version"] + 1
+    split = None if period is None else (keys[0], period)
+
+    incoming = f"v={version}/incoming"
+    n_rows = n_incoming = _write(source, f"{path}/{incoming}", split)
+    folders = _written(spark, path, incoming, split)
+
+    if current is not None:
+        stored = _files(spark, path, folders, source.schema)
+        rewritten = _folders(spark, path, current)
+        if split is not None:
+            present = {_period_of(f) for f in folders}
+            taken_over = [f for f in rewritten if _period_of(f) not in {None, *present}]
+            rewritten = [f for f in rewritten if f not in taken_over]
+            folders += taken_over
+        target = _files(spark, path, rewritten, source.schema)
+        if split is not None:
+            n_rows += current["n_rows"] - target.count()  # what was taken over
+        kept = f"v={version}/kept"
+        n_kept = _write(unmatched(target, stored, keys, by_range=True), f"{path}/{kept}", split)
+        n_rows += n_kept
+        folders += _written(spark, path, kept, split) if n_kept else []
+
+    operation = "create" if current is None else "upsert"
+    _commit(spark, path, version, operation, n_rows, version, folders, source.schema)
     return n_incoming
 
 
@@ -252,29 +280,73 @@ def _commit(
 
 
 def _scan(spark: SparkSession, path: str, commit: Row) -> DataFrame:
-    """Files of a version: those of its base and of the appends up to it."""
-    folders = commit["folders"]
-    if commit["base"] < commit["version"]:
-        parts = _commits(spark, path).filter(
-            F.col("version").between(commit["base"], commit["version"])
-        )
-        folders = [r[0] for r in parts.select(F.explode("folders")).collect()]
     schema = StructType.fromJson(json.loads(commit["schema"]))
+    return _files(spark, path, _folders(spark, path, commit), schema)
+
+
+def _folders(spark: SparkSession, path: str, commit: Row) -> list[str]:
+    """Folders of a version: those of its base and of the appends up to it."""
+    if commit["base"] == commit["version"]:
+        return list(commit["folders"])
+    parts = _commits(spark, path).filter(
+        F.col("version").between(commit["base"], commit["version"])
+    )
+    return [r[0] for r in parts.select(F.explode("folders")).collect()]
+
+
+def _files(
+    spark: SparkSession, path: str, folders: Sequence[str], schema: StructType
+) -> DataFrame:
+    if not folders:
+        return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(*[f"{path}/{f}" for f in sorted(folders)])
 
 
-def _write(df: DataFrame, folder: str) -> int:
+def _write(df: DataFrame, folder: str, split: tuple[str, str] | None = None) -> int:
     """Write and count in one pass.
 
     The count sits in the writing stage, where Spark counts a task once however
-    often it runs.
+    often it runs. ``split`` is a timestamp column and the calendar period by
+    which to part the files: rows are first brought together by period, with
+    large periods spread over several tasks and small ones combined by AQE.
     """
+    if split is not None:
+        df = df.withColumn(PERIOD, _period_start(df, *split)).hint("rebalance", F.col(PERIOD))
     seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("n_rows"))
-    counted.write.mode("overwrite").parquet(folder)
+    writer = df.observe(seen, F.count(F.lit(1)).alias("n_rows")).write.mode("overwrite")
+    (writer if split is None else writer.partitionBy(PERIOD)).parquet(folder)
     return seen.get["n_rows"]
 
 
+def _period_start(df: DataFrame, col: str, period: str) -> Column:
+    """First day of the period, in UTC whatever the session's zone.
+
+    Two loads in different zones must agree on the folder of a key.
+    """
+    day = F.col(col).cast("date")
+    if isinstance(df.schema[col].dataType, TimestampType):
+        day = F.date_from_unix_date(F.floor(F.unix_micros(col) / MICROS_PER_DAY).cast("int"))
+    return F.trunc(day, period)
+
+
+def _written(
+    spark: SparkSession, path: str, folder: str, split: tuple[str, str] | None
+) -> list[str]:
+    """The folder just written, or its folders per period (no more than the calendar has)."""
+    if split is None:
+        return [folder]
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}")
+    listed = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
+    names = [status.getPath().getName() for status in listed if status.isDirectory()]
+    return [f"{folder}/{name}" for name in names if name.startswith(f"{PERIOD}=")]
+
+
+def _period_of(folder: str) -> str | None:
+    """Period held by a folder, None for one that may hold several."""
+    name = folder.rsplit("/", 1)[-1]
+    return name.removeprefix(f"{PERIOD}=") if name.startswith(f"{PERIOD}=") else None
+
+
 def _conform(df: DataFrame, current: Row, path: str) -> DataFrame:
     """The table's columns in its order; other columns or types are refused.
 

@@ -274,6 +274,112 @@ def test_view(spark, path):
     assert spark.sql("SELECT v FROM things_now").first()[0] == "a"
 
 
+def dated(spark, *pairs):
+    return spark.createDataFrame(
+        [(None if d is None else datetime.fromisoformat(d), v) for d, v in pairs],
+        "t timestamp, v string",
+    )
+
+
+def folders_of(spark, path, version):
+    return set(tables._folders(spark, path, tables._commit_row(spark, path, version)))
+
+
+def test_upsert_rewrites_only_the_months_it_touches(spark, path):
+    first = dated(spark, ("2024-01-05", "a"), ("2024-02-05", "b"), ("2024-03-05", "c"))
+    second = dated(spark, ("2024-03-05", "C"), ("2024-03-06", "d"), ("2024-04-01", "e"))
+    assert tables.upsert(first, path, ["t"], "month") == 3
+    assert tables.upsert(second, path, ["t"], "month") == 3
+    assert "".join(sorted(r["v"] for r in tables.read(spark, path).collect())) == "Cabde"
+    assert "".join(sorted(r["v"] for r in tables.read(spark, path, 0).collect())) == "abc"
+    assert tables.read(spark, path).columns == ["t", "v"]
+    assert tables.row_count(spark, path) == 5
+    taken_over = folders_of(spark, path, 0) & folders_of(spark, path, 1)
+    assert {f.rsplit("=", 1)[1] for f in taken_over} == {"2024-01-01", "2024-02-01"}
+    # Nothing is left of March but what came in.
+    assert not any("kept" in f for f in folders_of(spark, path, 1))
+    assert tables.append(dated(spark, ("2024-01-07", "f")), path) == 1
+    assert tables.upsert(dated(spark, ("2024-01-05", "A")), path, ["t"], "month") == 1
+    assert "".join(sorted(r["v"] for r in tables.read(spark, path).collect())) == "ACbdef"
+    assert tables.row_count(spark, path) == tables.read(spark, path).count() == 6
+
+
+def test_upsert_by_month_keeps_rows_without_a_key(spark, path):
+    tables.upsert(dated(spark, (None, "n"), ("2024-01-05", "a")), path, ["t"], "month")
+    tables.upsert(dated(spark, (None, "m"), ("2024-01-05", "A")), path, ["t"], "month")
+    tables.upsert(dated(spark, ("2024-05-05", "x")), path, ["t"], "month")
+    assert "".join(sorted(r["v"] for r in tables.read(spark, path).collect())) == "Amnx"
+
+
+def test_month_of_a_key_does_not_follow_the_session_zone(spark, path):
+    at = F.timestamp_micros(F.lit(1706747400_000000))  # 2024-02-01 00:30 UTC
+    old, new = (spark.range(1).select(at.alias("t"), F.lit(v).alias("v")) for v in "ab")
+    tables.upsert(old, path, ["t"], "month")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        tables.upsert(new, path, ["t"], "month")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [r["v"] for r in tables.read(spark, path).collect()] == ["b"]
+    assert {tables._period_of(f) for f in folders_of(spark, path, 1)} == {"2024-02-01"}
+
+
+def test_unknown_period(spark, path):
+    with pytest.raises(ValueError, match="no such period"):
+        tables.upsert(dated(spark, ("2024-01-05", "a")), path, ["t"], "fortnight")
+
+
+def test_upsert_of_nothing(spark, path):
+    tables.upsert(dated(spark, ("2024-01-05", "a")), path, ["t"], "month")
+    for period in ("month", None):
+        nothing = dated(spark, ("2024-01-05", "b")).filter("v = 'z'")
+        assert tables.upsert(nothing, path, ["t"], period) == 0
+        assert [r["v"] for r in tables.read(spark, path).collect()] == ["a"]
+
+
+moments = st.dictionaries(
+    st.integers(0, 9).map(lambda i: f"2024-0{1 + i // 3}-{10 + i}"), st.text("abc", max_size=2),
+    max_size=8,
+)
+
+
+@settings(
+    max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(loads=st.lists(moments.filter(bool), min_size=2, max_size=3))
+def test_upsert_by_month_like_a_dict(spark, loads):
+    path = shared.work_folder(spark, "test") + "/things"
+    expected = {}
+    for load in loads:
+        expected |= load
+        tables.upsert(dated(spark, *load.items()), path, ["t"], "month")
+        stored = {r["t"].strftime("%Y-%m-%d"): r["v"] for r in tables.read(spark, path).collect()}
+        assert stored == expected
+        assert tables.row_count(spark, path) == len(expected)
+
+
+def test_a_hot_month_is_written_by_several_tasks(spark, path):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
+    try:
+        hot = spark.range(0, 60_000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, F.timestamp_seconds(1706745600 + F.col("id") * 400))
+            .otherwise(F.timestamp_seconds(1704067200 + F.col("id")))
+            .alias("t"),
+            F.xxhash64("id").alias("v"),
+        )
+        tables.upsert(hot, path, ["t"], "month")
+        stored = tables.read(spark, path).withColumn("file", F.input_file_name())
+        files = stored.groupBy(F.date_trunc("month", "t")).agg(
+            F.count_distinct("file").alias("files"), F.count("*").alias("n")
+        )
+        by_month = {r[0].strftime("%Y-%m"): (r["files"], r["n"]) for r in files.collect()}
+        assert by_month["2024-01"][1] == 40_000
+        assert by_month["2024-01"][0] > 3
+        assert by_month["2024-03"][0] <= 2
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
 def test_small_source_does_not_shuffle_the_target(spark, path):
     tables.replace(spark.range(1000).select(F.col("id").alias("k")), path)
     source = f"{path}-source"
