@@ -8,6 +8,7 @@ result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -43,8 +44,9 @@ FEATURE_COLS = (*MEASURES, *ROLLING_MEANS, *ROLLING_STDS, *LAGS, *DELTAS)
 
 SERIES = Series()
 
-# About 0.6 GB of rows in one window task, which sorts and spills well.
-ROWS_PER_CHUNK = 10_000_000
+# About 150 MB of rows. A task takes several chunks, which evens out the hashing.
+ROWS_PER_CHUNK = 2_500_000
+CHUNKS_PER_TASK = 4
 
 
 def drop_incomplete(df: DataFrame) -> DataFrame:
@@ -96,6 +98,10 @@ def compute(
     # Both branches name the period and the chunk alike, or Spark would not see
     # that they want the same shuffle.
     chunked = _with_chunk(rows.withColumn("_period", series.period_start()), series, cuts)
+    tasks = math.ceil((len(cuts) + 1) / CHUNKS_PER_TASK)
+    if tasks > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        # The chunks tell the size of the table; the session's number may not fit it.
+        chunked = chunked.repartition(tasks, *series.entity_cols, "_period", "_chunk")
     in_period = Window.partitionBy(*series.entity_cols, "_period").orderBy(series.order_col)
     in_chunk = Window.partitionBy(*series.entity_cols, "_period", "_chunk").orderBy(
         series.order_col
@@ -152,8 +158,9 @@ def cut_points(
     Reads one column. Rows are counted per ``unit`` before the shuffle, and the
     running count of a month spans at most 44,640 minutes. Only the cuts reach
     the driver: no more than the table's rows / ``rows_per_chunk``. A chunk
-    exceeds ``rows_per_chunk`` by its last minute at most; where single minutes
-    are too large for a task, count per ``"second"``.
+    exceeds ``rows_per_chunk`` by its last minute at most, which holds 60 million
+    rows of one series at the very most; where that is too much for a task,
+    count per ``"second"``.
     """
     slot = F.date_trunc(unit, F.col(order_col)).cast("timestamp").alias("slot")
     counts = (

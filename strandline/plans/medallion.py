@@ -117,16 +117,13 @@ def train(spark: SparkSession, cfg: Config) -> int:
 
 
 def score(spark: SparkSession, cfg: Config) -> int:
-    """Score with the latest run's model, lay gold out by time."""
+    """Score with the latest run's model, lay gold out by time, note its row counts."""
     fitted = runs.load_model(spark, cfg.path("runs"), cfg.experiment)
     gold = cfg.path("gold")
     tables.replace(model.score(fitted, stored_features(spark, cfg)), gold)
-    return tables.cluster_by(spark, gold, KEY, rows_per_file=cfg.rows_per_file)
-
-
-def gold_audit(spark: SparkSession, cfg: Config) -> DataFrame:
-    """Rows of gold now and one version ago."""
-    return tables.audit(spark, cfg.path("gold"))
+    n_rows = tables.cluster_by(spark, gold, KEY, rows_per_file=cfg.rows_per_file)
+    tables.append(tables.audit(spark, gold), cfg.path("gold_audit"), "audit")
+    return n_rows
 
 
 # Order of the stages and seconds allowed for each.

@@ -162,10 +162,11 @@ def upsert(
     selected against the written keys, whose size Spark knows exactly.
 
     With a ``period`` ("week", "month", "quarter" or "year") the files are split
-    by that period of the first key, a timestamp or date, in UTC. Equal keys share a period, so only periods found
-    in the source are rewritten and the new version takes over the other
-    folders as they are. This costs one shuffle of the written rows, and saves
-    rewriting the table where a load touches few periods.
+    by that period of the first key, a timestamp or date, in UTC. Equal keys
+    share a period, so only periods found in the source are rewritten and the
+    new version takes over the other folders as they are. This costs one shuffle
+    of the written rows, and saves rewriting the table where a load touches few
+    periods.
     """
     if period not in (None, "week", "month", "quarter", "year"):
         raise ValueError(f"no such period: {period!r}")

@@ -14,6 +14,10 @@ JAN = datetime(2024, 1, 31, 23, 53)
 FEB = datetime(2024, 2, 1)
 
 
+def cuts_of(df, rows_per_chunk):
+    return [] if rows_per_chunk is None else features.cut_points(df, rows_per_chunk=rows_per_chunk)
+
+
 def by_time(df):
     return {r[KEY]: r for r in df.collect()}
 
@@ -45,7 +49,7 @@ def test_columns_in_order(spark):
 @pytest.mark.parametrize("rows_per_chunk", [None, 2])
 def test_nan_spoils_the_frames_that_hold_it(spark, rows_per_chunk):
     data = speeds(spark, [NAN, 20.0, 30.0, 40.0, 50.0, 60.0, 70.0], JAN)
-    cuts = () if rows_per_chunk is None else features.cut_points(data, rows_per_chunk=rows_per_chunk)
+    cuts = cuts_of(data, rows_per_chunk)
     kept = rows(features.build(data, cuts=cuts), KEY)
     assert kept == [(JAN + timedelta(minutes=6),)]
 
@@ -102,7 +106,7 @@ def some_series(n, seed):
 def test_against_brute_force(spark, rows_per_chunk):
     data = some_series(240, seed=3)
     df = readings(spark, data)
-    cuts = () if rows_per_chunk is None else features.cut_points(df, rows_per_chunk=rows_per_chunk)
+    cuts = cuts_of(df, rows_per_chunk)
     got = by_time(features.build(df, cuts=cuts))
     expected = brute_force(data)
     assert got.keys() == expected.keys()
@@ -210,6 +214,18 @@ def test_cuts_are_found_where_none_are_given(spark, tmp_path, monkeypatch):
     assert len(asked) == 1
 
 
+def test_many_chunks_get_tasks_of_their_own(spark, tmp_path):
+    data = stored(spark, tmp_path)
+    cuts = features.cut_points(data, rows_per_chunk=2)
+    built = features.build(data, cuts=cuts)
+    tasks = -(-(len(cuts) + 1) // features.CHUNKS_PER_TASK)
+    assert tasks > 8
+    built.collect()
+    final = plan_of(built).split("== Initial Plan ==")[0]
+    assert "hashpartitioning(_period" in final and f", {tasks})" in final
+    assert count(final, "ReusedExchange") == 1
+
+
 def test_unused_features_are_not_computed(spark, tmp_path):
     plan = plan_of(features.compute(stored(spark, tmp_path)).select(KEY, "wind_lag_1"))
     assert "avg(" not in plan

@@ -78,8 +78,8 @@ def test_second_run(spark, cfg, first_log):
     assert table(spark, cfg, "bronze").count() == 370
     assert tables.latest_version(spark, cfg.path("silver")) == 1
     assert tables.latest_version(spark, cfg.path("gold")) == 3
-    audit = medallion.gold_audit(spark, cfg).first()
-    assert (audit["version"], audit["previous_version"], audit["difference"]) == (3, 2, 0)
+    audits = sorted(tuple(r) for r in table(spark, cfg, "gold_audit").collect())
+    assert audits == [(1, 300, 0, 300, 0), (3, 300, 2, 300, 0)]
     # Scoring took over the features that training had built.
     assert tables.latest_version(spark, cfg.path("features")) == 1
     assert table(spark, cfg, "stage_log").count() == 8
