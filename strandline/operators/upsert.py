@@ -48,6 +48,11 @@ def unmatched(
     return kept.select(*target.columns).unionByName(target.filter(aside))
 
 
+def matched(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys of the target rows that a source row replaces; reads key columns only."""
+    return target.select(*keys).join(source.select(*keys), list(keys), "left_semi")
+
+
 def upsert_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows replace target rows of the same key; the rest of both stays.
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampType
 
-from strandline.operators.upsert import unmatched
+from strandline.operators.upsert import matched, unmatched
 from strandline.sources.records import one_row
 
 COMMITS = (
@@ -159,7 +159,10 @@ def upsert(
 
     The source must hold one row per key. It is computed and written once, and
     those files are part of the new version; the remaining target rows are then
-    selected against the written keys, whose size Spark knows exactly.
+    selected against the written keys, whose size Spark knows exactly. Where the
+    source has at least as many rows as the target, as when the whole history is
+    loaded again, its keys alone are compared first: if none remains, no other
+    column of the target is read.
 
     With a ``period`` ("week", "month", "quarter" or "year") the files are split
     by that period of the first key, a timestamp or date, in UTC. Equal keys
@@ -192,12 +195,14 @@ def upsert(
             rewritten = [f for f in rewritten if f not in taken_over]
             folders += taken_over
         target = _files(spark, path, rewritten, source.schema)
-        if split is not None:
-            n_rows += current["n_rows"] - target.count()  # what was taken over
-        kept = f"v={version}/kept"
-        n_kept = _write(unmatched(target, stored, keys, by_range=True), f"{path}/{kept}", split)
-        n_rows += n_kept
-        folders += _written(spark, path, kept, split) if n_kept else []
+        n_target = current["n_rows"] if split is None else target.count()
+        n_rows += current["n_rows"] - n_target  # what was taken over
+        if n_incoming < n_target or matched(target, stored, keys).count() < n_target:
+            kept = f"v={version}/kept"
+            remaining = unmatched(target, stored, keys, by_range=True)
+            n_kept = _write(remaining, f"{path}/{kept}", split)
+            n_rows += n_kept
+            folders += _written(spark, path, kept, split) if n_kept else []
 
     operation = "create" if current is None else "upsert"
     _commit(spark, path, version, operation, n_rows, version, folders, source.schema)

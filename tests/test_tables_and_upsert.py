@@ -311,6 +311,27 @@ def test_upsert_by_month_keeps_rows_without_a_key(spark, path):
     assert "".join(sorted(r["v"] for r in tables.read(spark, path).collect())) == "Amnx"
 
 
+@pytest.mark.parametrize("period", [None, "month"])
+def test_a_whole_reload_keeps_nothing(spark, path, period):
+    days = ["2024-01-05", "2024-02-05", "2024-03-05"]
+    tables.upsert(dated(spark, *[(d, "a") for d in days]), path, ["t"], period)
+    tables.upsert(dated(spark, *[(d, "b") for d in days], ("2024-03-06", "b")), path, ["t"], period)
+    assert not any("kept" in f for f in folders_of(spark, path, 1))
+    assert [r["v"] for r in tables.read(spark, path).collect()] == ["b"] * 4
+    # As many rows, but not the same keys.
+    other = dated(spark, *[(d, "c") for d in days], ("2024-03-09", "c"))
+    tables.upsert(other, path, ["t"], period)
+    assert "".join(sorted(r["v"] for r in tables.read(spark, path).collect())) == "bcccc"
+    assert tables.row_count(spark, path) == 5
+
+
+def test_matched_reads_only_keys(spark, path):
+    tables.replace(kv(spark, (1, "a"), (None, "b"), (2, "c")), path)
+    found = upsert.matched(tables.read(spark, path), kv(spark, (2, "x"), (None, "y")), ["k"])
+    assert rows(found) == [(2,)]
+    assert "ReadSchema: struct<k:int>" in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_month_of_a_key_does_not_follow_the_session_zone(spark, path):
     at = F.timestamp_micros(F.lit(1706747400_000000))  # 2024-02-01 00:30 UTC
     old, new = (spark.range(1).select(at.alias("t"), F.lit(v).alias("v")) for v in "ab")
