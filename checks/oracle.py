@@ -108,7 +108,7 @@ EVEN = "(SELECT count(*) FROM orders WHERE o_orderkey % 2 = 0)"
 EVERY = "(SELECT count(*) FROM orders)"
 
 
-def _standardised() -> str:
+def _scaled_ctes() -> str:
     figures = ", ".join(
         f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in features.FEATURE_COLS
     )
@@ -116,14 +116,18 @@ def _standardised() -> str:
         f"CASE WHEN s_{c} = 0 THEN 0 ELSE ({c} - m_{c}) / s_{c} END AS {c}"
         for c in features.FEATURE_COLS
     )
+    return f"""{FEATURES},
+figures AS (SELECT {figures} FROM features),
+scaled AS (SELECT time_tag, {scaled} FROM features, figures)"""
+
+
+def _nearest() -> str:
     distances = ", ".join(
         " + ".join(f"({c} - ({x!r}))^2" for c, x in zip(features.FEATURE_COLS, center))
         + f" AS d{i}"
         for i, center in enumerate(CENTERS)
     )
-    return f"""{FEATURES},
-figures AS (SELECT {figures} FROM features),
-scaled AS (SELECT time_tag, {scaled} FROM features, figures),
+    return f"""{_scaled_ctes()},
 distances AS (SELECT time_tag, {distances} FROM scaled)
 SELECT time_tag,
        CASE WHEN d0 <= d1 AND d0 <= d2 THEN 0 WHEN d1 <= d2 THEN 1 ELSE 2 END AS anomaly_cluster
@@ -161,6 +165,16 @@ SELECT round(avg(CASE WHEN own_n = 1 THEN 0 ELSE (b - a) / greatest(a, b) END),
        + 0::DOUBLE AS silhouette
 FROM sides"""
 
+
+def _latest(wanted: str = "") -> str:
+    return f"""
+        SELECT o_orderkey::VARCHAR AS run_id, o_orderpriority AS experiment,
+               o_orderdate AS start_time,
+               CASE o_orderstatus WHEN 'F' THEN 'FINISHED' ELSE 'FAILED' END AS status
+        FROM orders WHERE o_orderpriority = '{URGENT}' {wanted}
+        ORDER BY o_orderdate DESC, o_orderkey::VARCHAR LIMIT 1"""
+
+
 SQL = {
     "feature_table": FEATURE_ROWS,
     "feature_table_chunked": FEATURE_ROWS,
@@ -229,22 +243,28 @@ SQL = {
     "snapshot_audit_data": f"""
         SELECT 3 AS version, {EVERY} AS n_rows, 1 AS previous_version, {EVERY} AS previous_rows,
                0::BIGINT AS difference""",
+    "snapshot_audit_first": """
+        SELECT 0 AS version, count(*) AS n_rows, NULL::INTEGER AS previous_version,
+               NULL::BIGINT AS previous_rows, NULL::BIGINT AS difference
+        FROM lineitem""",
+    "quarantine_append": f"""{QUARANTINE}
+        SELECT event_id, user_id, time_tag, {rounded(MEASURES)}, quarantine_reason
+        FROM quarantine, (VALUES (1), (2)) AS loads(load)""",
     "zscore": """
         SELECT o_orderkey,
                round((o_totalprice - avg(o_totalprice) OVER ())
                      / stddev_samp(o_totalprice) OVER (), 6) + 0::DOUBLE AS o_totalprice
         FROM orders""",
-    "nearest_center": _standardised(),
+    "scaled_features": f"""{_scaled_ctes()}
+        SELECT time_tag, {rounded(features.FEATURE_COLS)} FROM scaled""",
+    "nearest_center": _nearest(),
     "silhouette_labels": SILHOUETTE,
     "kmeans_train": f"""{FEATURES}
         SELECT 3::BIGINT AS n_clusters, count(*) AS n_rows, TRUE AS separated FROM features""",
     "score_latest_model": f"""{FEATURES}
         SELECT time_tag, {rounded(features.FEATURE_COLS)}, TRUE AS closest FROM features""",
-    "latest_run": f"""
-        SELECT o_orderkey::VARCHAR AS run_id, o_orderpriority AS experiment,
-               o_orderdate AS start_time, 'FINISHED' AS status
-        FROM orders WHERE o_orderpriority = '{URGENT}' AND o_orderstatus = 'F'
-        ORDER BY o_orderdate DESC, o_orderkey::VARCHAR LIMIT 1""",
+    "latest_run": _latest("AND o_orderstatus = 'F'"),
+    "latest_run_any_status": _latest(),
     "medallion_tables": f"""{CLEAN},
         sizes AS (
           SELECT (SELECT count(*) FROM telemetry) AS every,
@@ -255,4 +275,10 @@ SQL = {
                  AS table_name,
                unnest([every, kept, 2 * (every - passed), kept, kept, kept]) AS n_rows
         FROM sizes""",
+    "stage_log": f"""{CLEAN}
+        SELECT unnest(['ingest', 'clean', 'train', 'score']) AS stage, 'FINISHED' AS status,
+               unnest([600, 600, 1200, 900]) AS budget_seconds,
+               unnest([every, kept, kept, kept]) AS n_rows, NULL::VARCHAR AS error
+        FROM (SELECT (SELECT count(*) FROM telemetry) AS every,
+                     (SELECT count(*) FROM silver) AS kept)""",
 }

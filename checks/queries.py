@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, TimestampType
@@ -289,6 +289,21 @@ def snapshot_audit_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.audit(spark, _versioned_orders(spark, sf_dir), skip_operations=["cluster"])
 
 
+def snapshot_audit_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table's first version has none before it."""
+    path = f"{shared.work_folder(spark, 'tables')}/lineitem"
+    tables.replace(load(spark, sf_dir, "lineitem"), path)
+    return tables.audit(spark, path)
+
+
+def quarantine_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of the same readings: quarantine holds their failures twice."""
+    path = f"{shared.work_folder(spark, 'tables')}/quarantine"
+    for _ in range(2):
+        tables.append(gate.quarantine(telemetry(spark, sf_dir)), path, "quarantine")
+    return printable(tables.read(spark, path))
+
+
 # ------------------------------------------------------------------- model
 
 
@@ -297,6 +312,18 @@ def zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return printable(model.zscore(orders, ["o_totalprice"]))
 
 
+def scaled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assembler and fitted scaler, the vector taken apart again."""
+    assembled = model.assemble(_stored_features(spark, sf_dir))
+    scaled = model.fit_scaler(assembled).transform(assembled)
+    values = scaled.select(KEY, vector_to_array(model.SCALED).alias("values"))
+    return printable(
+        values.select(
+            KEY, *[F.col("values")[i].alias(c) for i, c in enumerate(features.FEATURE_COLS)]
+        )
+    )
+
+
 def nearest_center(spark: SparkSession, sf_dir: str) -> DataFrame:
     scaled = model.zscore(_stored_features(spark, sf_dir), features.FEATURE_COLS)
     found = model.nearest_center(scaled, features.FEATURE_COLS, CENTERS)
@@ -367,7 +394,7 @@ def score_latest_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return printable(checked.select(KEY, *features.FEATURE_COLS, "closest"))
 
 
-def latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _order_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The orders read as run records, one experiment per priority."""
     records = load(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("run_id"),
@@ -377,7 +404,15 @@ def latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(runs.FAILED)
         .alias("status"),
     )
-    return runs.latest(records, URGENT)
+    return records
+
+
+def latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.latest(_order_runs(spark, sf_dir), URGENT)
+
+
+def latest_run_any_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.latest(_order_runs(spark, sf_dir), URGENT, finished_only=False)
 
 
 # --------------------------------------------------------------- whole job
@@ -398,6 +433,15 @@ def medallion_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.groupBy("table_name").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def stage_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run of the whole job: rows each stage wrote."""
+    cfg = medallion.Config(
+        source=_as_csv(spark, sf_dir, "source"), root=shared.work_folder(spark, "medallion")
+    )
+    log = medallion.run(spark, cfg)
+    return log.select("stage", "status", "budget_seconds", "n_rows", "error")
+
+
 ALL = {
     f.__name__: f
     for f in (
@@ -429,12 +473,17 @@ ALL = {
         cluster_layout,
         snapshot_audit,
         snapshot_audit_data,
+        snapshot_audit_first,
+        quarantine_append,
         zscore,
+        scaled_features,
         nearest_center,
         silhouette_labels,
         kmeans_train,
         score_latest_model,
         latest_run,
+        latest_run_any_status,
         medallion_tables,
+        stage_log,
     )
 }
