@@ -8,8 +8,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 
 @dataclass(frozen=True)
@@ -40,6 +41,20 @@ class Series:
         return window.rowsBetween(-self.preceding, Window.currentRow)
 
 
+def micros(df: DataFrame, col: str) -> Column:
+    """Microseconds since 1970 of a timestamp column.
+
+    For a timestamp without a zone, those of its wall clock, in whole seconds.
+    A cast through the session's zone would not do: it does not keep the order
+    across the hour a change to summer time leaves out.
+    """
+    at = F.col(col)
+    if not isinstance(df.schema[col].dataType, TimestampNTZType):
+        return F.unix_micros(at)
+    days, hours = F.unix_date(at.cast("date")).cast("long"), F.hour(at)
+    return (((days * 24 + hours) * 60 + F.minute(at)) * 60 + F.second(at)) * 1_000_000
+
+
 def rolling_mean(col: str, frame: WindowSpec) -> Column:
     """Mean over the frame; the value itself where the frame has no value."""
     return F.coalesce(F.avg(col).over(frame), F.col(col))

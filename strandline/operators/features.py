@@ -19,6 +19,7 @@ from strandline.functions.columns import (
     Series,
     delta,
     lag_value,
+    micros,
     previous,
     rolling_mean,
     rolling_std,
@@ -127,22 +128,20 @@ def _features(
     """All window expressions in one select, hence one window operator."""
     frame = series.frame(window)
     lagged = sorted({*LAGS.values(), *DELTAS.values()})
+    given = [*series.entity_cols, series.order_col, *MEASURES]
+    names = [*given, *ROLLING_MEANS, *ROLLING_STDS]
     windowed = rows.select(
-        *series.entity_cols,
-        series.order_col,
-        *MEASURES,
+        *given,
         *[rolling_mean(c, frame).alias(name) for name, c in ROLLING_MEANS.items()],
         *[rolling_std(c, frame).alias(name) for name, c in ROLLING_STDS.items()],
         *[previous(c, window).alias(f"_previous_{c}") for c in lagged],
         *more,
     )
-    kept = [c for c in windowed.columns if not c.startswith("_previous_")]
-    split = len(series.entity_cols) + 1 + len(MEASURES) + len(ROLLING_MEANS) + len(ROLLING_STDS)
     return windowed.select(
-        *kept[:split],
+        *names,
         *[lag_value(c, f"_previous_{c}").alias(name) for name, c in LAGS.items()],
         *[delta(c, f"_previous_{c}").alias(name) for name, c in DELTAS.items()],
-        *kept[split:],
+        *windowed.columns[len(names) + len(lagged) :],
     )
 
 
@@ -151,37 +150,41 @@ def cut_points(
     order_col: str = SERIES.order_col,
     rows_per_chunk: int = ROWS_PER_CHUNK,
     period: str = SERIES.period,
-    unit: str = "minute",
+    slot_seconds: int = 60,
 ) -> list[int]:
     """Instants (microseconds since 1970) that cut each month into even chunks.
 
-    Reads one column. Rows are counted per ``unit`` before the shuffle, and the
+    Reads one column. Rows are counted per minute before the shuffle, and the
     running count of a month spans at most 44,640 minutes. Only the cuts reach
     the driver: no more than the table's rows / ``rows_per_chunk``. A chunk
     exceeds ``rows_per_chunk`` by its last minute at most, which holds 60 million
     rows of one series at the very most; where that is too much for a task,
-    count per ``"second"``.
+    count in slots of one second.
     """
-    slot = F.date_trunc(unit, F.col(order_col)).cast("timestamp").alias("slot")
+    at, width = micros(df, order_col), slot_seconds * 1_000_000
     counts = (
         df.filter(F.col(order_col).isNotNull())
-        .groupBy(slot)
+        .select(
+            F.date_trunc(period, F.col(order_col)).alias("period"),
+            (at - F.pmod(at, F.lit(width))).alias("slot"),
+        )
+        .groupBy("period", "slot")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    in_period = Window.partitionBy(F.date_trunc(period, "slot")).orderBy("slot")
+    in_period = Window.partitionBy("period").orderBy("slot")
     before = F.sum("n").over(in_period.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
-    chunks = counts.select("slot", F.floor(before / rows_per_chunk).alias("chunk"))
+    chunks = counts.select("period", "slot", F.floor(before / rows_per_chunk).alias("chunk"))
     starts = chunks.select(
         "slot", (F.col("chunk") != F.lag("chunk").over(in_period)).alias("starts")
     ).filter("starts")
-    return sorted(r[0] for r in starts.select(F.unix_micros("slot")).collect())
+    return sorted(row["slot"] for row in starts.collect())
 
 
 def _with_chunk(rows: DataFrame, series: Series, cuts: Sequence[int]) -> DataFrame:
     """Number of the chunk a row falls in, by binary search among the cuts."""
     bounds = [float("-inf"), *[float(c) for c in sorted(set(cuts))], float("inf")]
-    at = F.unix_micros(F.col(series.order_col).cast("timestamp")).cast("double")
     search = Bucketizer(splits=bounds, inputCol="_at", outputCol="_bucket")
+    at = micros(rows, series.order_col).cast("double")
     found = search.transform(rows.withColumn("_at", at))
     # The cast also leaves behind the column metadata, one label per bucket.
     return found.withColumn("_chunk", F.col("_bucket").cast("int")).drop("_at", "_bucket")

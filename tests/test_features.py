@@ -154,8 +154,38 @@ def test_entities_do_not_mix(spark):
                 )
 
 
-@pytest.mark.parametrize("unit", ["minute", "second"])
-def test_cut_points_even_out_a_hot_month(spark, unit):
+def test_micros(spark):
+    at = spark.createDataFrame([("1969-12-31 23:59:59.5",), ("2024-02-29 13:14:15",)], "s string")
+    both = at.select(F.col("s").cast("timestamp").alias("z"), F.col("s").cast("timestamp_ntz"))
+    got = both.select(columns.micros(both, "z"), columns.micros(both, "s")).collect()
+    assert [tuple(r) for r in got] == [
+        (-500_000, -1_000_000), (1709212455_000000, 1709212455_000000),
+    ]
+
+
+@pytest.mark.parametrize("rows_per_chunk", [3, 10])
+def test_wall_clock_over_a_left_out_hour(spark, rows_per_chunk):
+    """Instants that do not exist in the session's zone keep their order."""
+    at = datetime(2024, 3, 10, 0, 0)
+    data = [(at + timedelta(minutes=7 * i), float(i % 9), 1.0, float(i % 4), 2.0, 3.0)
+            for i in range(60)]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame(
+            data, "time_tag timestamp_ntz, " + ", ".join(f"{m} double" for m in MEASURES)
+        )
+        cuts = features.cut_points(df, rows_per_chunk=rows_per_chunk)
+        got = by_time(features.build(df, cuts=cuts))
+        expected = brute_force(data)
+        assert cuts and got.keys() == expected.keys()
+        for when, values in expected.items():
+            assert [got[when][c] for c in features.FEATURE_COLS] == pytest.approx(values)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("slot_seconds", [60, 1])
+def test_cut_points_even_out_a_hot_month(spark, slot_seconds):
     hot = spark.range(30_000).select(
         F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 5).alias(KEY)
     )
@@ -163,7 +193,7 @@ def test_cut_points_even_out_a_hot_month(spark, unit):
         F.timestamp_seconds(F.lit(1709251200) + F.col("id") * 86_400).alias(KEY)
     )
     df = hot.unionByName(cold)
-    cuts = features.cut_points(df, rows_per_chunk=1000, unit=unit)
+    cuts = features.cut_points(df, rows_per_chunk=1000, slot_seconds=slot_seconds)
     assert len(cuts) == 29
     with_chunk = features._with_chunk(df, columns.Series(), cuts)
     sizes = [r["count"] for r in
