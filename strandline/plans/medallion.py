@@ -6,6 +6,7 @@ itself under any scheduler.
 
 from __future__ import annotations
 
+import functools
 import time
 import uuid
 from collections.abc import Callable, Sequence
@@ -34,7 +35,7 @@ class Config:
     rows_per_chunk: int = features.ROWS_PER_CHUNK
     rows_per_file: int = tables.ROWS_PER_FILE
     silver_period: str | None = None  # "month" where loads touch few months
-    time_zone: str = "UTC"  # decides where a month begins
+    time_zone: str = "UTC"  # of the instants in the file, and where a month begins
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -51,12 +52,31 @@ class StageFailed(RuntimeError):
     """A stage failed, and the ones after it did not run."""
 
 
+def in_time_zone(
+    work: Callable[[SparkSession, Config], int]
+) -> Callable[[SparkSession, Config], int]:
+    """Run a stage in the job's time zone and leave the session's as it was."""
+
+    @functools.wraps(work)
+    def stage(spark: SparkSession, cfg: Config) -> int:
+        before = spark.conf.get("spark.sql.session.timeZone")
+        spark.conf.set("spark.sql.session.timeZone", cfg.time_zone)
+        try:
+            return work(spark, cfg)
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", before)
+
+    return stage
+
+
+@in_time_zone
 def ingest(spark: SparkSession, cfg: Config) -> int:
     """Replace bronze by the typed file, stamped with the load time."""
     loaded = scan.stamp(scan.read_typed_csv(spark, cfg.source), "_ingested_at")
     return tables.replace(loaded, cfg.path("bronze"), "ingest", allow_schema_change=True)
 
 
+@in_time_zone
 def clean(spark: SparkSession, cfg: Config) -> int:
     """Append failing rows to quarantine, upsert the others into silver.
 
@@ -86,6 +106,7 @@ def stored_features(spark: SparkSession, cfg: Config) -> DataFrame:
     return tables.read(spark, path)
 
 
+@in_time_zone
 def train(spark: SparkSession, cfg: Config) -> int:
     """Fit and evaluate a model, record the run, write the evaluation table."""
     run = {
@@ -116,6 +137,7 @@ def train(spark: SparkSession, cfg: Config) -> int:
     return tables.replace(model.score(trained.model, rows), cfg.path("training_eval"))
 
 
+@in_time_zone
 def score(spark: SparkSession, cfg: Config) -> int:
     """Score with the latest run's model, lay gold out by time, note its row counts."""
     fitted = runs.load_model(spark, cfg.path("runs"), cfg.experiment)
@@ -147,7 +169,6 @@ def run(spark: SparkSession, cfg: Config, stages: Sequence[Stage] = STAGES) -> D
     rest does not run. Budgets are recorded, not enforced: stopping an overdue
     job is the scheduler's part.
     """
-    spark.conf.set("spark.sql.session.timeZone", cfg.time_zone)
     run_id = uuid.uuid4().hex
     for stage in stages:
         begun = time.monotonic()

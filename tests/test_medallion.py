@@ -85,6 +85,21 @@ def test_second_run(spark, cfg, first_log):
     assert table(spark, cfg, "stage_log").count() == 8
 
 
+def test_stages_do_not_follow_the_session_zone(spark, cfg, first_log):
+    alone = medallion.Config(source=cfg.source, root=shared.work_folder(spark, "alone"))
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        for stage in medallion.STAGES:
+            stage.work(spark, alone)
+        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    def figures(c):
+        return sorted(tuple(r) for r in table(spark, c, "features").select(
+            KEY, *[F.round(x, 9) for x in features.FEATURE_COLS]).collect())
+    assert figures(alone) == figures(cfg)
+
+
 def test_failure_halts_the_job(spark, cfg, tmp_path):
     broken = medallion.Config(source=str(tmp_path / "missing.csv"),
                               root=shared.work_folder(spark, "broken"))
