@@ -102,10 +102,11 @@ def feature_table_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feature_table_by_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One series per user, on the chunked plan."""
     passed = telemetry(spark, sf_dir).filter(gate.valid())
     rows = dedupe.one_per_key(passed, ["user_id", KEY], order_by=["event_id"])
     series = columns.Series(entity_cols=("user_id",))
-    return printable(features.build(rows, series, cuts(spark, sf_dir)))
+    return printable(features.build(rows, series, cuts(spark, sf_dir, SMALL_CHUNK)))
 
 
 def _some_features(spark: SparkSession, sf_dir: str, names) -> DataFrame:
