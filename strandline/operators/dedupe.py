@@ -26,14 +26,14 @@ def one_per_key(
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.dropDuplicates(list(keys))
-    ranked = F.struct(*order_by_first(rest, order_by))
+    ranked = F.struct(*_ordered_first(rest, order_by))
     pick = F.min(ranked) if keep == "first" else F.max(ranked)
     return df.groupBy(*keys).agg(pick.alias("_row")).select(
         *[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns]
     )
 
 
-def order_by_first(rest: Sequence[str], order_by: Sequence[str]) -> list[str]:
+def _ordered_first(rest: Sequence[str], order_by: Sequence[str]) -> list[str]:
     unknown = [c for c in order_by if c not in rest]
     if unknown:
         raise ValueError(f"not a non-key column: {unknown}")

@@ -28,7 +28,6 @@ COMMITS = (
     "base int, folders array<string>, schema string"
 )
 ROWS_PER_FILE = 5_000_000
-PERIOD = "_period"
 MICROS_PER_DAY = 86_400_000_000
 
 
@@ -190,8 +189,12 @@ def upsert(
         stored = _files(spark, path, folders, source.schema)
         rewritten = _folders(spark, path, current)
         if split is not None:
-            present = {_period_of(f) for f in folders}
-            taken_over = [f for f in rewritten if _period_of(f) not in {None, *present}]
+            # Only a folder split in the same way holds none of the other keys.
+            found = {_last(f) for f in folders}
+            same = f"{_split_name(split)}="
+            taken_over = [
+                f for f in rewritten if _last(f).startswith(same) and _last(f) not in found
+            ]
             rewritten = [f for f in rewritten if f not in taken_over]
             folders += taken_over
         target = _files(spark, path, rewritten, source.schema)
@@ -317,10 +320,11 @@ def _write(df: DataFrame, folder: str, split: tuple[str, str] | None = None) ->
     large periods spread over several tasks and small ones combined by AQE.
     """
     if split is not None:
-        df = df.withColumn(PERIOD, _period_start(df, *split)).hint("rebalance", F.col(PERIOD))
+        part = _split_name(split)
+        df = df.withColumn(part, _period_start(df, *split)).hint("rebalance", F.col(part))
     seen = Observation()
     writer = df.observe(seen, F.count(F.lit(1)).alias("n_rows")).write.mode("overwrite")
-    (writer if split is None else writer.partitionBy(PERIOD)).parquet(folder)
+    (writer if split is None else writer.partitionBy(_split_name(split))).parquet(folder)
     return seen.get["n_rows"]
 
 
@@ -344,13 +348,16 @@ def _written(
     root = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}")
     listed = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
     names = [status.getPath().getName() for status in listed if status.isDirectory()]
-    return [f"{folder}/{name}" for name in names if name.startswith(f"{PERIOD}=")]
+    return [f"{folder}/{name}" for name in names if "=" in name]
 
 
-def _period_of(folder: str) -> str | None:
-    """Period held by a folder, None for one that may hold several."""
-    name = folder.rsplit("/", 1)[-1]
-    return name.removeprefix(f"{PERIOD}=") if name.startswith(f"{PERIOD}=") else None
+def _split_name(split: tuple[str, str]) -> str:
+    col, period = split
+    return f"_{period}_of_{col}"
+
+
+def _last(folder: str) -> str:
+    return folder.rsplit("/", 1)[-1]
 
 
 def _conform(df: DataFrame, current: Row, path: str) -> DataFrame:

@@ -342,7 +342,38 @@ def test_month_of_a_key_does_not_follow_the_session_zone(spark, path):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert [r["v"] for r in tables.read(spark, path).collect()] == ["b"]
-    assert {tables._period_of(f) for f in folders_of(spark, path, 1)} == {"2024-02-01"}
+    assert {f.rsplit("=", 1)[1] for f in folders_of(spark, path, 1)} == {"2024-02-01"}
+
+
+def test_loads_may_change_period_and_column(spark, path):
+    def two(*pairs):
+        return spark.createDataFrame(
+            [(datetime.fromisoformat(a), datetime.fromisoformat(b), v) for a, b, v in pairs],
+            "t timestamp, u timestamp, v string",
+        )
+
+    def values():
+        return "".join(sorted(r["v"] for r in tables.read(spark, path).collect()))
+
+    tables.upsert(two(("2024-01-09", "2024-05-09", "a"), ("2024-02-09", "2024-05-10", "b")),
+                  path, ["t", "u"], "month")
+    tables.upsert(two(("2024-01-09", "2024-05-09", "A")), path, ["t", "u"], "week")
+    assert values() == "Ab"
+    tables.upsert(two(("2024-02-09", "2024-05-10", "B")), path, ["u", "t"], "month")
+    assert values() == "AB"
+    tables.upsert(two(("2024-01-09", "2024-05-09", "c")), path, ["t", "u"], "month")
+    assert values() == "Bc"
+    tables.upsert(two(("2024-02-09", "2024-05-10", "d")), path, ["t", "u"])
+    assert values() == "cd"
+
+
+def test_odd_column_name(spark, path):
+    odd = "t = /x y"
+    for v in "ab":
+        one = dated(spark, ("2024-01-09", v), ("2024-02-09", v)).withColumnRenamed("t", odd)
+        tables.upsert(one.filter(F.col("v") == "a") if v == "a" else one.limit(1), path,
+                      [odd], "month")
+    assert "".join(sorted(r["v"] for r in tables.read(spark, path).collect())) == "ab"
 
 
 def test_unknown_period(spark, path):
