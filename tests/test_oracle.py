@@ -8,10 +8,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from checks.queries import ALL
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = entry_point.queries()
-ORACLE = entry_point.oracle_sql()
+QUERIES = {name: entry_point.queries()[name] for name in ALL}
+ORACLE = {name: sql for name, sql in entry_point.oracle_sql().items() if name in ALL}
 
 
 @pytest.fixture(scope="module")
