@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import quality_rules, url_filters
+from strandline.llm import language_id, ngrams, quality_classifier, quality_rules, url_filters
 
 # The rules of the url query.
 URL_RULES = [
@@ -17,7 +20,16 @@ URL_RULES = [
 ]
 
 
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table. Python workers find this package where the driver found it; on
+    a cluster without that folder, ship it with ``--py-files``."""
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, ROOT])
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -25,10 +37,36 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = ngrams.fold("doc_id", 3) == 1
+    model = language_id.fit(docs.filter(~held_out))
+    return language_id.predict(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected"
+    )
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = ngrams.fold("doc_id", 4) == 2
+    model = quality_classifier.fit(docs, table(spark, sf_dir, "labels").filter(~held_out))
+    return quality_classifier.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted"
+    )
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
     return url_filters.judge(table(spark, sf_dir, "pages"), rules)
 
 
-ALL = {f.__name__: f for f in (op2_quality_rules, op8_url_filters)}
+ALL = {
+    f.__name__: f
+    for f in (
+        op2_quality_rules,
+        op3_language_id,
+        op8_url_filters,
+        op9_quality_classifier,
+    )
+}
 SQL: dict[str, str] = {}
