@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import language_id, ngrams, quality_classifier, quality_rules, url_filters
+from strandline.llm import language_id, lm_scoring, ngrams, quality_classifier, quality_rules, url_filters
 
 # The rules of the url query.
 URL_RULES = [
@@ -60,6 +60,17 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(table(spark, sf_dir, "pages"), rules)
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = ngrams.fold("doc_id", 7) == 2
+    model = lm_scoring.fit(docs.filter(~held_out))
+    return lm_scoring.score(docs, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        *("n_tokens", "n_known", "train_tokens", "base_score", "score"),
+    )
+
+
 ALL = {
     f.__name__: f
     for f in (
@@ -67,6 +78,7 @@ ALL = {
         op3_language_id,
         op8_url_filters,
         op9_quality_classifier,
+        op10_lm_scoring,
     )
 }
 SQL: dict[str, str] = {}

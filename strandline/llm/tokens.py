@@ -141,3 +141,16 @@ def shingles(hashes: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray,
 def row_bounds(rows: np.ndarray, n_rows: int) -> np.ndarray:
     """The n_rows + 1 places where each row's entries begin in the sorted ``rows``."""
     return np.searchsorted(rows, np.arange(n_rows + 1))
+
+
+def blocks(
+    batch: pa.RecordBatch, column: int, max_bytes: int = 4 << 20
+) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose text comes to about ``max_bytes``, one row at least."""
+    offsets = utf8(batch.column(column))[1]
+    at, n = 0, batch.num_rows
+    while at < n:
+        stop = int(np.searchsorted(offsets, offsets[at] + max_bytes, side="right")) - 1
+        stop = min(n, max(at + 1, stop))
+        yield batch.slice(at, stop - at)
+        at = stop
