@@ -301,8 +301,8 @@ def pack(
     table = np.array(sorted(slots), dtype=np.int64).reshape(-1, 5)
     given = spark.sparkContext.broadcast(table)
 
-    names = [c for c in held.columns if c not in ("ids",)]
-    digest = F.xxhash64(*(F.col(c) for c in names))
+    names = held.columns
+    digest = F.xxhash64(*names)
     dealt = held.withColumn("_bucket", F.pmod(digest, F.lit(buckets)))
     by_length = Window.partitionBy(length_col).orderBy("_bucket")
     bases = (
@@ -329,14 +329,14 @@ def pack(
             inside = rank - firsts[at]
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(batch.column(c) for c in held.columns),
+                    *(batch.column(c) for c in names),
                     pa.array(sequence[at] + inside // per[at]),
                     pa.array(offset[at] + inside % per[at] * length),
                 ],
-                names=[*held.columns, "sequence_id", "offset"],
+                names=[*names, "sequence_id", "offset"],
             )
 
     schema = ranked.select(
-        *held.columns, F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset")
+        *names, F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     ).schema
-    return ranked.select(*held.columns, "_rank").mapInArrow(task, schema)
+    return ranked.select(*names, "_rank").mapInArrow(task, schema)

@@ -5,10 +5,11 @@ from __future__ import annotations
 import os
 from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import language_id, lm_scoring, ngrams, quality_classifier, quality_rules, url_filters
+from strandline.llm import language_id, lm_scoring, ngrams, packing, quality_classifier, quality_rules, url_filters
 
 # The rules of the url query.
 URL_RULES = [
@@ -55,6 +56,16 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    rows = packing.pieces(table(spark, sf_dir, "documents"), tokenizer, capacity=4096, end_id=1)
+    # Placing needs no ids, so only their digest travels on.
+    placed = packing.pack(rows.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), capacity=4096)
+    return placed.select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
     return url_filters.judge(table(spark, sf_dir, "pages"), rules)
@@ -76,6 +87,7 @@ ALL = {
     for f in (
         op2_quality_rules,
         op3_language_id,
+        op6_best_fit_packing,
         op8_url_filters,
         op9_quality_classifier,
         op10_lm_scoring,
