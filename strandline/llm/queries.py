@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import language_id, lm_scoring, ngrams, packing, quality_classifier, quality_rules, url_filters
+from strandline.llm import language_id, lm_scoring, near_dedup, ngrams, packing, quality_classifier, quality_rules, url_filters
 
 # The rules of the url query.
 URL_RULES = [
@@ -56,6 +56,10 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.link(table(spark, sf_dir, "documents"), percent=75, words=5)
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     rows = packing.pieces(table(spark, sf_dir, "documents"), tokenizer, capacity=4096, end_id=1)
@@ -87,6 +91,7 @@ ALL = {
     for f in (
         op2_quality_rules,
         op3_language_id,
+        op5_near_dedup,
         op6_best_fit_packing,
         op8_url_filters,
         op9_quality_classifier,
