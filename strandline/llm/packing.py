@@ -7,6 +7,7 @@ from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +18,13 @@ from tokenizers import Tokenizer
 from strandline.llm import tokens
 from strandline.sources import shared
 
-BREAK = re.compile(r"[ \t\n\r\x0b\x0c]+")
-KNOWN_WORDS = 300_000  # cached per Python worker
+# The tokenizer's word pattern, for ASCII and Latin letters.
+SMALL = "a-zß-öø-įı-ɏ"
+SIMPLE = re.compile(rf"[\x00-\x7f{SMALL}]*\Z")
+WORDS = re.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d|[{SMALL}]+|[0-9]|[^ \t\n\r\x0b\x0c{SMALL}0-9]+"
+)
+KNOWN_WORDS = 400_000  # cached per Python worker
 ROWS_PER_BUCKET = 2000
 NODES = 20_000
 
@@ -26,32 +32,56 @@ NODES = 20_000
 
 
 class Encoder:
-    """Token ids as little-endian 32-bit numbers, by a tokenizer for which white
-    space only separates: a text's ids are its words' ids in order."""
+    """Token ids as little-endian 32-bit numbers, for a tokenizer that lower-cases,
+    drops white space and ends each word with an id of its own kind.
+
+    Words are split off here and looked up; those not met yet are encoded together.
+    That holds for the plain letters of SIMPLE, whose splitting and lower case are the
+    tokenizer's own; texts with other signs go to the tokenizer whole.
+    """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        for piece, number in vocabulary.items():
+            self.ends[number] = piece.endswith("</w>")
         self.known: dict[str, bytes] = {}
 
-    def encode(self, text: str) -> bytes:
-        words = BREAK.split(text)
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = [self.split(text) for text in texts]
         known = self.known
-        missing = [w for w in dict.fromkeys(words) if w not in known]
-        if missing:
-            if len(known) + len(missing) > KNOWN_WORDS:
-                known.clear()
-                missing = list(dict.fromkeys(words))
-            for at in range(0, len(missing), 4096):
-                part = missing[at : at + 4096]
-                found = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
-                ids = np.array(found.ids, dtype="<u4")
-                ends = np.searchsorted(
-                    np.array(found.word_ids, dtype=np.int64), np.arange(len(part) + 1)
-                )
-                for word, a, b in zip(part, ends[:-1], ends[1:], strict=True):
-                    known[word] = ids[a:b].tobytes()
-        return b"".join(map(known.__getitem__, words))
+        if len(known) > KNOWN_WORDS:
+            known.clear()
+        missing = [
+            word for word in dict.fromkeys(chain.from_iterable(filter(None, split))) if word not in known
+        ]
+        for at in range(0, len(missing), 4096):
+            part = missing[at : at + 4096]
+            ids = self.ids(" ".join(part))
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(part):
+                raise ValueError("the tokenizer does not mark the ends of words")
+            raw = ids.tobytes()
+            first = 0
+            for word, end in zip(part, (4 * ends).tolist(), strict=True):
+                known[word] = raw[first:end]
+                first = end
+        return [
+            self.ids(text).tobytes() if words is None else b"".join([known[w] for w in words])
+            for text, words in zip(texts, split, strict=True)
+        ]
+
+    def ids(self, text: str) -> np.ndarray:
+        (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found.ids, dtype="<u4")
+
+    @staticmethod
+    def split(text: str) -> list[str] | None:
+        """A text's words, or None where it has signs beyond SIMPLE."""
+        lower = text.lower()
+        return WORDS.findall(lower) if SIMPLE.match(lower) else None
 
 
 @cache
@@ -72,7 +102,7 @@ def pieces(
     A document is its token ids and then ``end_id``; null text counts as empty.
     Documents longer than ``capacity`` are cut into pieces of that length, the last
     one shorter. ``ids`` holds little-endian unsigned 32-bit numbers. ``tokenizer``
-    is a file of a public tokenizer, found under the same path by every worker, for
+    is a file of a public tokenizer, found under the same path by every worker; for
     which white space only separates words. Repeated rows give as many rows.
     """
     kind = docs.schema[id_col].dataType.simpleString()
@@ -81,10 +111,11 @@ def pieces(
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode
         for batch in batches:
-            for block in tokens.blocks(batch, 1):
+            for block in tokens.blocks(batch, 1, 2 << 20):
                 which, starts, ids = [], [], []
-                for row, text in enumerate(block.column(1).to_pylist()):
-                    whole = encode(text or "") + end
+                texts = [text or "" for text in block.column(1).to_pylist()]
+                for row, whole in enumerate(encode(texts)):
+                    whole += end
                     for at in range(0, len(whole), 4 * capacity):
                         which.append(row)
                         starts.append(at // 4)

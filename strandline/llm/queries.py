@@ -9,7 +9,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import language_id, lm_scoring, near_dedup, ngrams, packing, quality_classifier, quality_rules, url_filters
+from strandline.llm import (
+    language_id,
+    lm_scoring,
+    near_dedup,
+    ngrams,
+    packing,
+    pii,
+    quality_classifier,
+    quality_rules,
+    url_filters,
+)
+from strandline.llm.keep import keep
 
 # The rules of the url query.
 URL_RULES = [
@@ -70,6 +81,18 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    proposed = keep(pii.proposals(table(spark, sf_dir, "documents")), "proposals")
+    found = pii.detect(proposed, pii.fit(proposed))
+    counts = [pii.count("base", kind).alias(f"n_{kind}") for kind in pii.BASE]
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *counts,
+        F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"),
+        pii.written(F.col("spans")).alias("spans"),
+    )
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
     return url_filters.judge(table(spark, sf_dir, "pages"), rules)
@@ -93,6 +116,7 @@ ALL = {
         op3_language_id,
         op5_near_dedup,
         op6_best_fit_packing,
+        op7_pii,
         op8_url_filters,
         op9_quality_classifier,
         op10_lm_scoring,
