@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm import (
+    decontaminate,
     language_id,
     lm_scoring,
     near_dedup,
@@ -67,6 +68,12 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), max_edit_share=0.1
+    )
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.link(table(spark, sf_dir, "documents"), percent=75, words=5)
 
@@ -114,6 +121,7 @@ ALL = {
     for f in (
         op2_quality_rules,
         op3_language_id,
+        op4_decontamination,
         op5_near_dedup,
         op6_best_fit_packing,
         op7_pii,

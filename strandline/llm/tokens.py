@@ -46,7 +46,7 @@ _VALUES = {lower: _byte_values(lower) for lower in (False, True)}
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The factor's powers 0..n-1 modulo 2**64, and their inverses."""
-    size = max(CHUNK, 1 << max(0, n - 1).bit_length())
+    size = max(CHUNK, 1 << max(0, n - 1).bit_length(), *_ROOM)
     if size not in _ROOM:
         _ROOM.clear()
         inverse = pow(_FACTOR, -1, 1 << 64)
