@@ -19,6 +19,7 @@ from strandline.llm import (
     pii,
     quality_classifier,
     quality_rules,
+    suffix_dedup,
     url_filters,
 )
 from strandline.llm.keep import keep
@@ -46,6 +47,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove(table(spark, sf_dir, "documents"), length=100)
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -119,6 +127,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 ALL = {
     f.__name__: f
     for f in (
+        op1_suffix_dedup,
         op2_quality_rules,
         op3_language_id,
         op4_decontamination,
