@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from strandline.sources import shared
 
@@ -13,3 +14,13 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     path = shared.work_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+BROADCAST_ROWS = 1_000_000
+
+
+def without(rows: DataFrame, dropped: DataFrame, column: str) -> DataFrame:
+    """The rows whose ``column`` is not among ``dropped``; null stays. The values are
+    broadcast where they are at most BROADCAST_ROWS, by count; else they are joined."""
+    few = dropped.count() <= BROADCAST_ROWS
+    return rows.join(F.broadcast(dropped) if few else dropped, column, "left_anti")

@@ -184,3 +184,21 @@ def score(
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def accept(
+    docs: DataFrame, model: Model, threshold: float = 0.7, text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is ``threshold`` or more. Rows are
+    judged where they are read, so that no text is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, ngrams.BLOCK):
+                part = batch.slice(first, ngrams.BLOCK)
+                found = shared.value.score(counts_of(part.column(at)))
+                yield part.filter(pa.array(found >= threshold))
+
+    return docs.mapInArrow(task, docs.schema)
