@@ -24,7 +24,7 @@ SEEDS = 3  # seeds that must agree on a place, where the item has as many
 MAX_ITEMS = 20_000  # broadcast at once; more items are gone through in parts
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_SPACE = tokens._SPACE
+_SPACE = tokens.SPACE
 
 
 def normal(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

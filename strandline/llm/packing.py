@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import re
 from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -16,77 +14,164 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from strandline.llm import tokens
+from strandline.llm.ngrams import lower_utf8
 from strandline.sources import shared
 
-# The tokenizer's word pattern, for ASCII and Latin letters.
-SMALL = "a-zß-öø-įı-ɏ"
-SIMPLE = re.compile(rf"[\x00-\x7f{SMALL}]*\Z")
-WORDS = re.compile(
-    rf"'s|'t|'re|'ve|'m|'ll|'d|[{SMALL}]+|[0-9]|[^ \t\n\r\x0b\x0c{SMALL}0-9]+"
-)
-KNOWN_WORDS = 400_000  # cached per Python worker
+U64 = np.uint64
+KNOWN_WORDS = 1_000_000  # remembered per Python worker, some 40 MB
+BREAK = "\x01"  # set between words that are encoded together
 ROWS_PER_BUCKET = 2000
 NODES = 20_000
 
 # ------------------------------------------------------------------ token ids
 
 
+def _kinds() -> np.ndarray:
+    """The tokenizer's kinds of signs, by byte, for ASCII and the Latin
+    letters up to U+024F: white space, letters, digits, and others."""
+    kinds = np.full(256, 3, np.uint8)
+    kinds[[0x20, *range(0x09, 0x0E)]] = 0
+    kinds[97:123] = kinds[128:] = 1
+    kinds[48:58] = 2
+    return kinds
+
+
+KINDS = _kinds()
+# Bytes that no such text has; BREAK is kept for ourselves.
+FOREIGN = np.zeros(256, bool)
+FOREIGN[[1, *range(0xC0, 0xC3), *range(0xCA, 0x100)]] = True
+END = U64(0x656E64)
+
+
+def simple(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Whether each text has only ASCII and Latin letters up to U+024F, but for the one
+    whose lower case is two signs (U+0130)."""
+    bad = FOREIGN[data]
+    for lead, low, high in ((0xC3, 0x97, 0x97), (0xC3, 0xB7, 0xB7), (0xC4, 0xB0, 0xB0), (0xC9, 0x90, 0xFF)):
+        at = np.flatnonzero(data[:-1] == lead)
+        bad[at[(data[at + 1] >= low) & (data[at + 1] <= high)]] = True
+    rows = np.searchsorted(offsets, np.flatnonzero(bad), side="right") - 1
+    out = np.ones(len(offsets) - 1, bool)
+    out[rows] = False
+    return out
+
+
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of lower-case simple texts begin and end: runs of letters, single
+    digits, runs of other signs. A part between white space that has an apostrophe is
+    one, as the tokenizer cuts it by a list of endings."""
+    kinds = KINDS[data]
+    rows = np.zeros(len(data) + 1, bool)
+    rows[offsets] = True
+    solid = kinds > 0
+    part = solid.copy()
+    part[1:] &= ~solid[:-1] | rows[1:-1]
+    begin = solid.copy()
+    begin[1:] &= (kinds[1:] != kinds[:-1]) | (kinds[1:] == 2) | rows[1:-1]
+    quotes = np.flatnonzero(data == 0x27)
+    if len(quotes):
+        number = np.cumsum(part)
+        whole = np.zeros(int(number[-1]) + 1, bool)
+        whole[number[quotes]] = True
+        begin &= part | ~whole[number]
+    starts = np.flatnonzero(begin)
+    # A word ends where the next one begins, less the white space between.
+    stops = np.append(starts[1:], len(data))
+    gaps = np.concatenate(([0], np.cumsum(~solid)))
+    return starts, stops - (gaps[stops] - gaps[starts])
+
+
 class Encoder:
-    """Token ids as little-endian 32-bit numbers, for a tokenizer that lower-cases,
-    drops white space and ends each word with an id of its own kind.
+    """Token ids by a tokenizer that lower-cases, drops white space and ends each word.
 
-    Words are split off here and looked up; those not met yet are encoded together.
-    That holds for the plain letters of SIMPLE, whose splitting and lower case are the
-    tokenizer's own; texts with other signs go to the tokenizer whole.
+    A text's ids are its words' ids in order. Words are cut and looked up by hash, for a
+    block of texts at once; words not met before are encoded together, set apart by a
+    sign of their own. Texts with other signs than ``simple`` allows go to the tokenizer
+    whole.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, end_id: int) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        for piece, number in vocabulary.items():
-            self.ends[number] = piece.endswith("</w>")
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [self.split(text) for text in texts]
-        known = self.known
-        if len(known) > KNOWN_WORDS:
-            known.clear()
-        missing = [
-            word for word in dict.fromkeys(chain.from_iterable(filter(None, split))) if word not in known
-        ]
-        for at in range(0, len(missing), 4096):
-            part = missing[at : at + 4096]
-            ids = self.ids(" ".join(part))
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) != len(part):
-                raise ValueError("the tokenizer does not mark the ends of words")
-            raw = ids.tobytes()
-            first = 0
-            for word, end in zip(part, (4 * ends).tolist(), strict=True):
-                known[word] = raw[first:end]
-                first = end
-        return [
-            self.ids(text).tobytes() if words is None else b"".join([known[w] for w in words])
-            for text, words in zip(texts, split, strict=True)
-        ]
+        self.end_id = end_id
+        (self.apart,) = self.ids(BREAK)
+        self.forget()
+
+    def forget(self) -> None:
+        """Only the end of a text is known."""
+        self.hashes, self.pool = np.array([END]), np.array([self.end_id], "<u4")
+        self.first, self.size = np.zeros(1, np.int64), np.ones(1, np.int64)
 
     def ids(self, text: str) -> np.ndarray:
         (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(found.ids, dtype="<u4")
 
-    @staticmethod
-    def split(text: str) -> list[str] | None:
-        """A text's words, or None where it has signs beyond SIMPLE."""
-        lower = text.lower()
-        return WORDS.findall(lower) if SIMPLE.match(lower) else None
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all texts of a block, each with the end id, behind one another; the
+        rows they belong to, and the n + 1 places where they begin."""
+        plain = simple(*tokens.utf8(column))
+        rows = [np.flatnonzero(plain), np.flatnonzero(~plain)]
+        ids, sizes = self.encode_simple(column.filter(pa.array(plain)))
+        other = [
+            np.append(self.ids(text), np.array([self.end_id], "<u4"))
+            for text in column.filter(pa.array(~plain)).to_pylist()
+        ]
+        sizes = np.concatenate([sizes, [len(x) for x in other]]).astype(np.int64)
+        edges = np.concatenate(([0], np.cumsum(sizes)))
+        return np.concatenate([ids, *other]), np.concatenate(rows), edges
+
+    def encode_simple(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        data, offsets = lower_utf8(column)
+        starts, stops = words(data, offsets)
+        up, down = tokens.powers(len(data) + 1)
+        sums = np.zeros(len(data) + 1, U64)
+        np.cumsum(tokens.BYTE_VALUES[data] * up[: len(data)], out=sums[1:])
+        hashes = tokens.mix((sums[stops] - sums[starts]) * down[starts] + (stops - starts).astype(U64))
+        # Each text ends with END.
+        behind = np.searchsorted(starts, offsets[1:])
+        distinct, some, at = np.unique(hashes, return_index=True, return_inverse=True)
+        self.learn(distinct, starts[some], stops[some], data)
+        place = np.searchsorted(self.hashes, distinct)[at]
+        place = np.insert(place, behind, np.searchsorted(self.hashes, END))
+        size = self.size[place]
+        edges = np.concatenate(([0], np.cumsum(size)))
+        index = np.arange(edges[-1]) + np.repeat(self.first[place] - edges[:-1], size)
+        ends = edges[behind + np.arange(1, len(column) + 1)]
+        return self.pool[index], np.diff(ends, prepend=0)
+
+    def learn(
+        self, distinct: np.ndarray, starts: np.ndarray, stops: np.ndarray, data: np.ndarray
+    ) -> None:
+        """Make all of these (sorted) hashes known."""
+        if len(self.hashes) + len(distinct) > KNOWN_WORDS:
+            self.forget()
+        at = np.minimum(np.searchsorted(self.hashes, distinct), len(self.hashes) - 1)
+        new = np.flatnonzero(self.hashes[at] != distinct)
+        if not len(new):
+            return
+        raw = data.tobytes()
+        texts = [raw[a:b] for a, b in zip(starts[new].tolist(), stops[new].tolist(), strict=True)]
+        between = f" {BREAK} ".encode()
+        found = []
+        for first in range(0, len(texts), 4096):
+            found.append(self.ids(between.join(texts[first : first + 4096]).decode()))
+            found.append(np.array([self.apart], "<u4"))
+        ids = np.concatenate(found)
+        apart = np.flatnonzero(ids == self.apart)
+        if len(apart) != len(new):
+            raise ValueError("the tokenizer does not keep words apart")
+        begin = np.concatenate(([0], apart[:-1] + 1))
+        hashes = np.concatenate([self.hashes, distinct[new]])
+        order = np.argsort(hashes, kind="stable")
+        self.hashes = hashes[order]
+        self.first = np.concatenate([self.first, begin + len(self.pool)])[order]
+        self.size = np.concatenate([self.size, apart - begin])[order]
+        self.pool = np.concatenate([self.pool, ids])
 
 
 @cache
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, end_id: int) -> Encoder:
+    return Encoder(path, end_id)
 
 
 def pieces(
@@ -102,32 +187,33 @@ def pieces(
     A document is its token ids and then ``end_id``; null text counts as empty.
     Documents longer than ``capacity`` are cut into pieces of that length, the last
     one shorter. ``ids`` holds little-endian unsigned 32-bit numbers. ``tokenizer``
-    is a file of a public tokenizer, found under the same path by every worker; for
-    which white space only separates words. Repeated rows give as many rows.
+    is a file of a public tokenizer, found under the same path by every worker; see
+    ``Encoder`` for what it must do. Repeated rows give as many rows.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    end = np.array([end_id], dtype="<u4").tobytes()
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        known = encoder(tokenizer, end_id)
         for batch in batches:
             for block in tokens.blocks(batch, 1, 2 << 20):
-                which, starts, ids = [], [], []
-                texts = [text or "" for text in block.column(1).to_pylist()]
-                for row, whole in enumerate(encode(texts)):
-                    whole += end
-                    for at in range(0, len(whole), 4 * capacity):
-                        which.append(row)
-                        starts.append(at // 4)
-                        ids.append(whole[at : at + 4 * capacity])
-                start = np.array(starts, dtype=np.int64)
+                ids, rows, edges = known.encode(block.column(1).fill_null(""))
+                times = -(-np.diff(edges) // capacity)
+                first = np.concatenate(([0], np.cumsum(times)[:-1]))
+                piece = np.arange(int(times.sum())) - np.repeat(first, times)
+                start = piece * capacity
+                length = np.minimum(np.repeat(np.diff(edges), times) - start, capacity)
+                # Pieces lie behind one another as the ids do.
+                cuts = np.concatenate(([0], np.cumsum(length))).astype(np.int32) * 4
+                binary = pa.Array.from_buffers(
+                    pa.binary(), len(piece), [None, pa.py_buffer(cuts), pa.py_buffer(ids)]
+                )
                 yield pa.RecordBatch.from_arrays(
                     [
-                        block.column(0).take(pa.array(which, pa.int64())),
-                        pa.array((start // capacity).astype(np.int32)),
+                        block.column(0).take(pa.array(np.repeat(rows, times))),
+                        pa.array(piece.astype(np.int32)),
                         pa.array(start),
-                        pa.array(np.array([len(x) // 4 for x in ids], dtype=np.int64)),
-                        pa.array(ids, pa.binary()),
+                        pa.array(length),
+                        binary,
                     ],
                     names=["id", "piece", "start", "length", "ids"],
                 )

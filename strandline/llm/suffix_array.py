@@ -126,7 +126,7 @@ def order_of(names: np.ndarray) -> np.ndarray:
 
 
 def running_sums(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    up, down = tokens._powers(len(s) + 1)
+    up, down = tokens.powers(len(s) + 1)
     values = tokens.mix(np.arange(int(s.max()) + 1, dtype=np.uint64) + np.uint64(0x5A15))
     sums = np.zeros(len(s) + 1, np.uint64)
     np.cumsum(values[s] * up[: len(s)], out=sums[1:])

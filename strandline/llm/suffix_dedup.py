@@ -45,7 +45,7 @@ class Sums:
     """Hashes of any substring of a text of moderate size, from running sums."""
 
     def __init__(self, data: np.ndarray) -> None:
-        up, self.down = tokens._powers(len(data) + 1)
+        up, self.down = tokens.powers(len(data) + 1)
         self.sums = np.zeros(len(data) + 1, U64)
         np.cumsum(_BYTES[data] * up[: len(data)], out=self.sums[1:])
 

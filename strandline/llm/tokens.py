@@ -17,8 +17,8 @@ import pyarrow as pa
 
 CHUNK = 1 << 20
 U64 = np.uint64
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+SPACE = np.zeros(256, dtype=bool)
+SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _FACTOR = 0x9E3779B97F4A7C15 | 1
 _ROOM: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -42,9 +42,10 @@ def _byte_values(lower: bool) -> np.ndarray:
 
 
 _VALUES = {lower: _byte_values(lower) for lower in (False, True)}
+BYTE_VALUES = _VALUES[False]
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The factor's powers 0..n-1 modulo 2**64, and their inverses."""
     size = max(CHUNK, 1 << max(0, n - 1).bit_length(), *_ROOM)
     if size not in _ROOM:
@@ -80,8 +81,8 @@ def _cuts(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
         row_end = offsets[np.searchsorted(offsets, stop, side="right") - 1]
         if stop < end and row_end > at:
             stop = int(row_end)
-        while stop < end and stop != row_end and not _SPACE[data[stop - 1]]:
-            ahead = np.flatnonzero(_SPACE[data[stop : stop + CHUNK]])
+        while stop < end and stop != row_end and not SPACE[data[stop - 1]]:
+            ahead = np.flatnonzero(SPACE[data[stop : stop + CHUNK]])
             row_stop = int(offsets[np.searchsorted(offsets, stop, side="left")])
             stop = min(row_stop, stop + int(ahead[0]) + 1 if len(ahead) else stop + CHUNK, end)
             row_end = row_stop
@@ -101,7 +102,7 @@ def words(
     starts_of_rows[offsets] = True
     for at, stop in _cuts(data, offsets):
         part = data[at:stop]
-        solid = ~_SPACE[part]
+        solid = ~SPACE[part]
         new_row = starts_of_rows[at:stop]
         first = solid.copy()
         first[1:] &= ~solid[:-1] | new_row[1:]
@@ -110,7 +111,7 @@ def words(
         begin, end = np.flatnonzero(first), np.flatnonzero(last) + 1
         if not len(begin):
             continue
-        up, down = _powers(len(part))
+        up, down = powers(len(part))
         sums = np.zeros(len(part) + 1, U64)
         np.cumsum(values[part] * up, out=sums[1:])
         hashes.append(mix((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(U64)))
