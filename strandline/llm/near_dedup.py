@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,7 @@ _FACTORS = (tokens.mix(np.arange(SAMPLES, dtype=U64) + U64(77)) | U64(1)).astype
 _SHIFTS = tokens.mix(np.arange(SAMPLES, dtype=U64) + U64(7777)).astype(np.uint32)
 PIECE = 4096
 BLOCK = 256  # members compared with one another at once
+DENSE = 4  # candidate pairs per member from which a unit is not written out as pairs
 BROADCAST_IDS = 1_000_000
 
 
@@ -182,16 +184,11 @@ def bits(column: pa.Array) -> np.ndarray:
     return np.frombuffer(whole, U64).reshape(len(column), SKETCH_BITS // 64)
 
 
-def across(
-    members: DataFrame, labels: DataFrame, classes: DataFrame, limits: Limits, only_best: bool
-) -> DataFrame:
-    """Pairs (a, b) of one bucket but of different components that sketches and sizes
-    allow to be linked: all of them, or for each member its closest only.
-
-    A bucket is compared in blocks of about BLOCK members, each pair of blocks a unit
-    of work of its own, so that no bucket is one task; pairs that cannot be linked
-    never become rows.
-    """
+def units(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+    """The members of each bucket, with component, size and sketch, in units to be
+    compared. A bucket is compared in blocks of about BLOCK members; each pair of blocks
+    is a unit, with the block as ``side`` (0: both are one), so that no bucket is one
+    task."""
     known = classes.select("rep", "n", "sketch").join(
         labels.select(F.col("node").alias("rep"), "component"), "rep", "left"
     )
@@ -216,59 +213,106 @@ def across(
         "n",
         "sketch",
     )
-    schema = "a long, b long"
+    return rows
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.RecordBatch | None = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            if held is not None:
-                batch = pa.concat_batches([held, batch])
-            unit = batch.column("unit").to_numpy()
-            last = int(np.searchsorted(unit, unit[-1]))  # the last unit may go on
-            held = batch.slice(last)
-            yield from compared(batch.slice(0, last), limits, only_best)
+
+def whole_units(
+    batches: Iterator[pa.RecordBatch],
+    work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]],
+) -> Iterator[pa.RecordBatch]:
+    """``work`` on batches that end where a unit ends; rows come sorted by unit."""
+    held: pa.RecordBatch | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
         if held is not None:
-            yield from compared(held, limits, only_best)
+            batch = pa.concat_batches([held, batch])
+        unit = batch.column("unit").to_numpy()
+        last = int(np.searchsorted(unit, unit[-1]))  # the last unit may go on
+        held = batch.slice(last)
+        if last:
+            yield from work(batch.slice(0, last))
+    if held is not None:
+        yield from work(held)
 
-    dealt = rows.repartition("unit").sortWithinPartitions("unit")
-    return dealt.mapInArrow(task, schema).distinct()
 
+def dealt(rows: DataFrame) -> DataFrame:
+    return rows.repartition("unit").sortWithinPartitions("unit")
 
-def compared(
-    batch: pa.RecordBatch, limits: Limits, only_best: bool
-) -> Iterator[pa.RecordBatch]:
-    """The pairs of ``across`` in whole units, sorted by unit."""
-    if not batch.num_rows:
-        return
-    unit, side, rep, component, n = (batch.column(i).to_numpy() for i in range(5))
+
+def closest(rows: DataFrame, limits: Limits) -> DataFrame:
+    """Pairs (a, b): for each member of a unit its closest one in another component, if
+    sketch and size allow a link."""
+
+    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        rep = batch.column("rep").to_numpy()
+        best = np.full(len(rep), SKETCH_BITS + 1)
+        partner = np.full(len(rep), -1)
+        for one, two, differing in candidates(batch, limits):
+            for x, y in ((one, two), (two, one)):
+                closer = differing < best[x]
+                best[x[closer]], partner[x[closer]] = differing[closer], y[closer]
+        has = np.flatnonzero(partner >= 0)
+        if len(has):
+            yield pair_rows(rep[has], rep[partner[has]])
+
+    task = partial(whole_units, work=work)
+    return dealt(rows).mapInArrow(task, "a long, b long").distinct()
+
+
+def remaining(rows: DataFrame, limits: Limits) -> DataFrame:
+    """All pairs of a unit that are in different components and that sketch and size
+    allow to be linked, as rows (a, b). Where a unit has more than DENSE of them per
+    member they are not written out: its members come as rows instead, with unit, side
+    and component, to be compared on their sets at one place."""
+
+    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        unit, side, rep, component = (batch.column(i).to_numpy() for i in range(4))
+        number = np.cumsum(np.diff(unit, prepend=unit[0]) != 0)
+        found = [(one, two) for one, two, _ in candidates(batch, limits)]
+        if not found:
+            return
+        one, two = (np.concatenate(x) for x in zip(*found, strict=True))
+        pairs = np.bincount(number[one], minlength=number[-1] + 1)
+        dense = pairs > DENSE * np.bincount(number)
+        written = ~dense[number[one]]
+        a, b = rep[one[written]], rep[two[written]]
+        some = np.unique(np.concatenate([one[~written], two[~written]]))
+        none = np.zeros(len(a), np.int64)
+        yield pa.RecordBatch.from_pydict(
+            {
+                "a": np.concatenate([np.minimum(a, b), rep[some]]),
+                "b": np.concatenate([np.maximum(a, b), component[some]]),
+                "unit": np.concatenate([none, unit[some]]),
+                "side": np.concatenate([none - 1, side[some].astype(np.int64)]),
+            }
+        )
+
+    task = partial(whole_units, work=work)
+    return dealt(rows).mapInArrow(task, "a long, b long, unit long, side long")
+
+
+def candidates(
+    batch: pa.RecordBatch, limits: Limits
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places of two rows of one unit but different components that may be linked, and
+    the differing bits of their sketches."""
+    unit, side, _, component, n = (batch.column(i).to_numpy() for i in range(5))
     sketch = bits(batch.column(5))
     ends = np.searchsorted(unit, unit, side="right")
-    best = np.full(len(unit), SKETCH_BITS + 1)
-    partner = np.full(len(unit), -1)
     at = np.arange(len(unit))
     step = 0
     while True:
         step += 1
         at = at[at + step < ends[at]]
         if not len(at):
-            break
+            return
         two = at + step
         some = (component[at] != component[two]) & ((side[at] == 0) | (side[at] != side[two]))
         one, two = at[some], two[some]
         fits, differing = alike(sketch[one], sketch[two], n[one], n[two], limits)
-        one, two, differing = one[fits], two[fits], differing[fits]
-        if only_best:
-            for x, y in ((one, two), (two, one)):
-                closer = differing < best[x]
-                best[x[closer]], partner[x[closer]] = differing[closer], y[closer]
-        elif len(one):
-            yield pair_rows(rep[one], rep[two])
-    if only_best:
-        has = np.flatnonzero(partner >= 0)
-        if len(has):
-            yield pair_rows(rep[has], rep[partner[has]])
+        if fits.any():
+            yield one[fits], two[fits], differing[fits]
 
 
 def pair_rows(one: np.ndarray, two: np.ndarray) -> pa.RecordBatch:
@@ -312,6 +356,46 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(100 * common >= percent * union).select("a", "b")
 
 
+def linked_in_units(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join components within a unit, found on the full sets of its
+    members; as many as join them, not all there are."""
+
+    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        unit = batch.column("unit").to_numpy()
+        edges = np.flatnonzero(np.diff(unit, prepend=unit[0] - 1, append=unit[-1] + 1))
+        for low, high in zip(edges[:-1], edges[1:], strict=True):
+            found = joining(batch.slice(low, high - low), percent)
+            if len(found):
+                yield pair_rows(found[:, 0], found[:, 1])
+
+    rows = crowd.join(sets, crowd["a"] == sets["rep"]).select("unit", "side", "a", "b", "shingles")
+    task = partial(whole_units, work=work)
+    return dealt(rows).mapInArrow(task, "a long, b long")
+
+
+def joining(batch: pa.RecordBatch, percent: int) -> np.ndarray:
+    """Links of one unit, those that join parts not joined before."""
+    side, rep, component = (batch.column(i).to_numpy() for i in (1, 2, 3))
+    lists = batch.column(4)
+    flat = lists.flatten().to_numpy()
+    starts = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    sizes = np.diff(starts)
+    _, codes = np.unique(flat, return_inverse=True)
+    here = np.zeros(len(flat), bool)
+    part = component.copy()
+    found = []
+    for i in range(len(rep)):
+        own = codes[starts[i] : starts[i + 1]]
+        here[own] = True
+        common = np.add.reduceat(here[codes].astype(np.int64), starts[:-1])
+        here[own] = False
+        for j in np.flatnonzero(100 * common >= percent * (sizes + sizes[i] - common)):
+            if part[j] != part[i] and (side[i] == 0 or side[i] != side[j]):
+                found.append((rep[i], rep[j]))
+                part[part == part[j]] = part[i]
+    return np.array(found, np.int64).reshape(-1, 2)
+
+
 def link(
     docs: DataFrame,
     percent: int = 75,
@@ -335,7 +419,8 @@ def link(
        component. Odd sketches drop pairs that estimate below the similarity less
        ``margin`` (4.5 deviations); the rest is confirmed on full sets, and links join
        components. Comparing only across components leaves out no link that matters
-       to the result, and a large group is never written out as all its pairs.
+       to the result, and a large group is never written out as all its pairs: where
+       candidates are many, members meet with their sets, block by block.
 
     Texts without a word have n_shingles 0 and are linked with nothing. Ids are
     integers; rows that share an id are one document to the links and give as many
@@ -367,10 +452,16 @@ def link(
     )
     links = keep(linked(sketched(star, classes, limits), sets, percent), "links")
     labels = components(links)
-    for only_best in (True, False):
-        pairs = keep(across(members, labels, classes, limits, only_best), "pairs")
-        more = keep(links.union(linked(pairs, sets, percent)), "links")
-        links, labels = more, components(more)
+    near = keep(closest(units(members, labels, classes), limits), "pairs")
+    links = keep(links.union(linked(near, sets, percent)), "links")
+    labels = components(links)
+    rest = keep(remaining(units(members, labels, classes), limits), "pairs")
+    pairs = rest.filter("side < 0").select("a", "b").distinct()
+    crowd = rest.filter("side >= 0")
+    links = links.union(linked(pairs, sets, percent)).union(
+        linked_in_units(crowd, sets, percent)
+    )
+    labels = components(keep(links, "links"))
 
     found = (
         classes.select("key", "rep")
