@@ -58,6 +58,9 @@ class Model:
 
     def nearest(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Language number, cosine, and whether the text is too far from its centroid."""
+        if not self.languages:
+            n = len(counts)
+            return np.zeros(n, int), np.zeros(n), np.ones(n, bool)
         near = self.place(counts) @ self.centroids.T
         best = near.argmax(axis=1)
         cosine = np.clip(near[np.arange(len(near)), best], 0, 1).astype(np.float64)
@@ -92,7 +95,7 @@ def fit(
     ``max_texts`` bounds the texts per language (those with the least id hashes) that
     reach the driver, as rows of term counts. A centroid's least similarity is
     ``slack`` times the ``least_quantile`` of the cosines of its own sample texts.
-    Null texts and languages are left out; without any text, an error.
+    Null texts and languages are left out; without any text there are no centroids.
     """
     known = docs.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
@@ -102,8 +105,6 @@ def fit(
 
     # A share of each language by id hash, so that no language goes to one task.
     sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
-    if not sizes:
-        raise ValueError("no text with a language to learn from")
     wanted = F.lit(False)
     for lang, n in sizes:
         share = int(min(1.0, max_texts / n) * (1 << 30))
@@ -149,7 +150,7 @@ def fit(
         parts.append(found_centroids)
         of += [number] * len(found_centroids)
     if not parts:
-        raise ValueError("no text with a letter to learn from")
+        return Model(weights, np.zeros((0, SIZE)), np.zeros(0, int), [], np.zeros(0))
     return Model(weights, np.concatenate(parts), np.array(of), names, np.array(least))
 
 
@@ -161,7 +162,7 @@ def predict(
     ``rejected`` marks texts farther from their centroid than its least similarity;
     lang_pred still names the nearest. Texts that are null or without a letter are
     ``und`` with score 0, rejected; a text whose n-grams were never seen goes to the
-    first centroid with score 0. Repeated rows give as many rows; other columns are
+    first centroid with score 0; without any learned language all are ``und``. Repeated rows give as many rows; other columns are
     not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -172,7 +173,8 @@ def predict(
                 part = batch.slice(at, ngrams.BLOCK)
                 own = shared.value
                 number, cosine, far = own.nearest(counts_of(part.column(1)))
-                lang = np.array([own.languages[n] for n in number], dtype=object)
+                names = own.languages or [UNKNOWN]
+                lang = np.array([names[n] for n in number], dtype=object)
                 none = ~part.column(2).to_numpy(zero_copy_only=False)
                 lang[none], cosine[none], far[none] = UNKNOWN, 0.0, True
                 yield pa.RecordBatch.from_arrays(

@@ -72,6 +72,8 @@ class Model:
     def score(self, counts: np.ndarray) -> np.ndarray:
         """Similarity-weighted share of label 1 among the nearest vectors; all labels'
         share for a text without terms."""
+        if not len(self.labels):
+            return np.ones(len(counts))
         placed = self.place(counts)
         near = placed @ self.vectors.T
         k = min(self.neighbours, near.shape[1])
@@ -118,7 +120,8 @@ def fit(
     """Bin weights from all ``docs``; space and neighbours from a bounded sample.
 
     ``max_labelled`` bounds what the driver gets: that many rows of term counts
-    (33 MB) once. Without any labelled text, an error.
+    (33 MB) once. Without any labelled text, all texts score 1: nothing speaks
+    against them.
     """
     found, n_docs = ngrams.document_frequencies(docs, counts_of, SIZE, text_col)
     weights = ngrams.idf(found, n_docs)
@@ -135,7 +138,8 @@ def fit(
     chosen = sample(docs, labels, max_labelled, id_col, text_col, label_col)
     rows = chosen.mapInArrow(task, "counts binary, label double").toArrow()
     if not rows.num_rows:
-        raise ValueError("no labelled text to learn from")
+        none = np.zeros((0, dimensions), np.float32)
+        return Model(weights, np.zeros((SIZE, dimensions)), none, np.ones(0), neighbours, sharpness)
     counts = np.frombuffer(
         b"".join(rows.column("counts").to_pylist()), np.float32
     ).reshape(-1, SIZE)

@@ -23,6 +23,7 @@ from strandline.llm import (
     url_filters,
 )
 from strandline.llm.keep import keep
+from strandline.llm.oracle import SQL
 
 # The rules of the url query.
 URL_RULES = [
@@ -139,4 +140,5 @@ ALL = {
         op10_lm_scoring,
     )
 }
-SQL: dict[str, str] = {}
+
+

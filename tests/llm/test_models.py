@@ -1,0 +1,184 @@
+"""Language, quality and language-model scores."""
+
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from strandline.llm import language_id, lm_scoring, quality_classifier
+
+SF = "/root/testdata/sf0.01"
+ODD = [None, "", " \n", "1234 !!", "é", "a" * 3000, "日本語"]
+
+
+def fold(doc_id, parts):
+    return zlib.crc32(str(doc_id).encode()) % parts
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+def test_languages_of_held_out_texts(spark, docs):
+    held = [r.doc_id for r in docs.select("doc_id").collect() if fold(r.doc_id, 3) == 1]
+    model = language_id.fit(docs.filter(~docs.doc_id.isin(held)), max_texts=60)
+    rows = language_id.predict(docs.filter(docs.doc_id.isin(held)), model).collect()
+    true = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
+    assert len(rows) == len(held)
+    assert sum(r.lang_pred == true[r.doc_id] for r in rows) >= 0.98 * len(rows)
+    assert all(0 <= r.score <= 1 for r in rows)
+    assert sum(r.rejected for r in rows) <= 0.1 * len(rows)
+
+
+def test_odd_texts_and_far_ones(spark):
+    known = [("the cat and the dog sat there", "en"), ("der hund und die katze", "de")] * 6
+    learn = spark.createDataFrame(
+        [(i, t, x) for i, (t, x) in enumerate(known)] + [(90, None, "fr"), (91, "le chat", None)],
+        "doc_id long, text string, lang string",
+    )
+    model = language_id.fit(learn)
+    texts = [*ODD, "the dog", "zzzz qqqq xxxx jjjj", "the dog"]
+    asked = spark.createDataFrame(
+        [(1, t, 0.5, "x") for t in texts], "doc_id long, text string, score double, lang string"
+    )
+    rows = language_id.predict(asked.coalesce(1), model).collect()
+    assert [r.lang_pred for r in rows[:4]] == ["und"] * 4
+    assert all(r.rejected and r.score == 0 for r in rows[:4])
+    assert rows[7].lang_pred == rows[9].lang_pred == "en" and rows[8].rejected
+    assert {r.lang_pred for r in rows[4:]} <= {"en", "de"}
+    none = language_id.fit(learn.limit(0))
+    assert {r.lang_pred for r in language_id.predict(asked, none).collect()} == {"und"}
+    assert language_id.predict(asked.limit(0), model).count() == 0
+
+
+def test_quality_of_held_out_texts(spark, docs):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    true = {r.doc_id: r.quality for r in labels.collect()}
+    held = [i for i in true if fold(i, 4) == 2]
+    model = quality_classifier.fit(docs, labels.filter(~labels.doc_id.isin(held)))
+    rows = quality_classifier.score(docs.filter(docs.doc_id.isin(held)), model).collect()
+    right = sum(r.predicted == true[r.doc_id] for r in rows)
+    assert len(rows) == len(held) and right >= 0.97 * len(rows)
+    kept = quality_classifier.accept(docs, model)
+    assert kept.columns == docs.columns
+    good = {r.doc_id for r in quality_classifier.score(docs, model).collect() if r.predicted}
+    assert {r.doc_id for r in kept.select("doc_id").collect()} == good
+
+
+def test_votes_are_those_of_all_neighbours():
+    r = np.random.default_rng(3)
+    counts = r.integers(0, 4, (40, quality_classifier.SIZE)).astype(np.float32)
+    weights = np.ones(quality_classifier.SIZE, np.float32)
+    space = r.normal(size=(quality_classifier.SIZE, 8))
+    labels = r.integers(0, 2, 40).astype(float)
+    model = quality_classifier.Model(weights, space, np.zeros((0, 8)), labels, 5, 2.0)
+    model = quality_classifier.Model(weights, space, model.place(counts), labels, 5, 2.0)
+    asked = r.integers(0, 4, (6, quality_classifier.SIZE)).astype(np.float32)
+    for row, found in zip(model.place(asked), model.score(asked), strict=True):
+        cosines = [float(row @ v) for v in model.vectors]
+        best = sorted(range(40), key=lambda k: -cosines[k])[:5]
+        votes = [max(cosines[k], 0) ** 2 for k in best]
+        assert found == pytest.approx(sum(v * labels[k] for v, k in zip(votes, best, strict=True)) / sum(votes))
+
+
+def test_odd_texts_have_a_quality(spark):
+    texts = spark.createDataFrame(
+        [(i, t, 1, 2) for i, t in enumerate([*ODD, *ODD])],
+        "doc_id long, text string, score int, label int",
+    )
+    labels = spark.createDataFrame(
+        [(4, 1), (5, 0), (5, None), (6, 0), (6, 1), (None, 1), (77, 1)], "doc_id long, quality int"
+    )
+    model = quality_classifier.fit(texts, labels)
+    rows = quality_classifier.score(texts, model).collect()
+    assert len(rows) == len(ODD) * 2 and all(0 <= r.score <= 1 for r in rows)
+    alone = quality_classifier.fit(texts, labels.limit(0))
+    assert {r.score for r in quality_classifier.score(texts, alone).collect()} == {1.0}
+    assert quality_classifier.accept(texts.limit(0), model).count() == 0
+
+
+# ------------------------------------------------------------------ language model
+
+
+def stream(text):
+    low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return [*re.findall(r"[^\x20\x09-\x0D]+", low), None]
+
+
+def base(texts, learned):
+    counts = Counter(w for t in learned for w in stream(t))
+    n, v = sum(counts.values()), len(counts)
+    return [
+        (
+            len(stream(t)),
+            sum(counts[w] > 0 for w in stream(t)),
+            n,
+            sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in stream(t)),
+        )
+        for t in texts
+    ]
+
+
+@pytest.mark.parametrize("head_words", [1 << 20, 12])
+def test_base_scores(spark, head_words):
+    r = random.Random(9)
+    vocabulary = [f"w{k}" for k in range(200)]
+    texts = [" ".join(r.choices(vocabulary[: r.choice([5, 50, 200])], k=30)) for _ in range(80)]
+    texts += [*ODD, "new words Only", "W1 w1 W1"]
+    rows = [(i, t, 1.0, "x") for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, score double, word string")
+    model = lm_scoring.fit(frame.filter("doc_id < 60"), head_words=head_words)
+    assert len(model.head) <= head_words
+    found = {x.doc_id: x for x in lm_scoring.score(frame.repartition(3), model).collect()}
+    for i, (n, known, total, score) in enumerate(base(texts, texts[:60])):
+        x = found[i]
+        assert (x.n_tokens, x.n_known, x.train_tokens) == (n, known, total)
+        assert x.base_score == pytest.approx(score, rel=1e-9)
+        assert math.isfinite(x.score) and x.score < 0
+
+
+def test_context_helps(spark):
+    learn = ["alpha beta gamma delta"] * 60 + ["beta alpha delta gamma"] * 2
+    frame = spark.createDataFrame(
+        [(i, t) for i, t in enumerate([*learn, "alpha beta gamma delta", "delta beta alpha gamma"])],
+        "doc_id long, text string",
+    )
+    model = lm_scoring.fit(frame.filter("doc_id < 62"), strength=4.0)
+    found = {x.doc_id: x for x in lm_scoring.score(frame, model).collect()}
+    assert found[62].base_score == pytest.approx(found[63].base_score)
+    assert found[62].score > found[63].score + 1
+    assert found[62].score > found[62].base_score
+
+
+def test_filter_never_underestimates():
+    r = np.random.default_rng(2)
+    names = r.integers(0, 2**64 - 1, 3000, dtype=np.uint64)
+    counts = r.integers(1, 2000, 3000)
+    bits = 1 << 21
+    array = np.zeros(bits // 8, np.uint8)
+    levels = lm_scoring.level(counts)
+    for at in range(1, int(levels.max()) + 1):
+        places = lm_scoring.places(names[levels >= at], np.full((levels >= at).sum(), at), bits)
+        np.bitwise_or.at(array, places.ravel() >> np.uint64(3), np.uint8(1) << (places.ravel() & np.uint64(7)).astype(np.uint8))
+    found = lm_scoring.probe(array, names)
+    assert (found >= levels).all() and (found == levels).mean() > 0.9
+    assert (lm_scoring.value(levels) <= counts).all()
+    assert (lm_scoring.value(levels + 1) > counts).all()
+    others = r.integers(0, 2**64 - 1, 3000, dtype=np.uint64)
+    assert (lm_scoring.probe(array, others) == 0).mean() > 0.9
+
+
+def test_repeated_rows_and_empty_tables(spark):
+    rows = [(1, "a b"), (1, "a b"), (None, "a"), (None, None), (1, "c")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    model = lm_scoring.fit(frame)
+    found = lm_scoring.score(frame, model).collect()
+    assert sorted((x.doc_id or 0, x.n_tokens) for x in found) == [(0, 1), (0, 2), (1, 2), (1, 3), (1, 3)]
+    assert lm_scoring.score(frame.limit(0), model).count() == 0
+    none = lm_scoring.fit(frame.limit(0))
+    assert {x.n_known for x in lm_scoring.score(frame, none).collect()} == {0}

@@ -1,0 +1,92 @@
+"""Repeated strings against a scan of all windows."""
+
+import random
+
+from strandline.llm import suffix_dedup
+
+LENGTH = 40
+
+
+def expected(docs):
+    seen, out = set(), {}
+    for i, text in sorted(docs):
+        data = (text or "").encode()
+        gone = set()
+        for s in range(len(data) - LENGTH + 1):
+            window = data[s : s + LENGTH]
+            if window in seen:
+                gone.update(range(s, s + LENGTH))
+            seen.add(window)
+        kept = bytes(b for k, b in enumerate(data) if k not in gone)
+        spans = sum(k - 1 not in gone for k in gone)
+        out[i] = (len(data), len(gone), spans, kept)
+    return out
+
+
+def actual(spark, docs, **kwargs):
+    frame = spark.createDataFrame(docs, "doc_id long, text string, gram int, piece string")
+    rows = suffix_dedup.remove(frame.repartition(3), length=LENGTH, **kwargs).collect()
+    return rows
+
+
+def wide(pairs):
+    return [(i, t, 0, "x") for i, t in pairs]
+
+
+def corpus():
+    r = random.Random(4)
+    line = ["".join(r.choice("abc ") for _ in range(r.randint(20, 90))) for _ in range(12)]
+    docs = [(i, "\n".join(r.choices(line, k=r.randint(0, 6)))) for i in range(60)]
+    docs += [(100 + i, "ab" * r.randint(10, 60)) for i in range(4)]
+    docs += [(200 + i, "é" * r.randint(10, 60)) for i in range(4)]
+    docs += [(300 + i, line[0] + line[1] + chr(97 + i % 26) * (5 + i) + line[2]) for i in range(40)]
+    docs += [(400, None), (401, ""), (402, "a" * 39), (403, "a" * 41), (404, docs[3][1])]
+    return docs
+
+
+def test_against_all_windows(spark, monkeypatch):
+    docs = corpus()
+    want = expected(docs)
+    for group, shard in ((1024, 1 << 20), (4, 300)):
+        monkeypatch.setattr(suffix_dedup, "GROUP", group)
+        monkeypatch.setattr(suffix_dedup, "SHARD", shard)
+        rows = actual(spark, wide(docs))
+        assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in rows} == want
+        assert len(rows) == len(docs)
+
+
+def test_a_hot_group_is_sliced(spark, monkeypatch):
+    # The worker takes the module's values from its own import: call the task's parts.
+    import numpy as np
+
+    sizes = suffix_dedup.Sizes(LENGTH)
+    text = np.frombuffer(("x" * 100 + "a b" * 30).encode(), np.uint8)
+    gram, piece, sides, first, last = suffix_dedup.anchors(text, sizes)
+    order = np.lexsort((first, piece, gram))
+    batch = suffix_dedup.row_batch(
+        gram[order] | np.uint64(1), piece[order], sides[order],
+        np.zeros(len(order), np.int64), suffix_dedup.packed_windows(first, last)[order],
+    )
+    some = list(suffix_dedup.sifted(batch, sizes, False))
+    every = list(suffix_dedup.sifted(batch, sizes, True))
+    rows = lambda found: sum(
+        (b.column("gram").to_numpy() != suffix_dedup.MARK).sum() for b in found
+    )
+    assert 0 < rows(some) <= rows(every)
+
+
+def test_repeated_rows_and_other_ids(spark):
+    text = "".join(random.Random(1).choices("abcdef", k=200))
+    rows = actual(spark, wide([(1, text), (1, text), (2, text)]))
+    assert sorted((r.doc_id, r.n_removed) for r in rows) == [(1, 0), (1, 0), (2, 200)]
+    # One id, two texts: both are documents, in the order of their hashes.
+    rows = actual(spark, wide([(1, text), (1, text + "z"), (None, text[:50]), (3, None)]))
+    assert sorted(r.n_bytes for r in rows) == [0, 50, 200, 201]
+    assert sum(r.n_removed for r in rows) in (200, 201, 250, 251, 200 + 50)
+    frame = spark.createDataFrame([("a", text), ("b", text)], "doc_id string, text string")
+    found = {r.doc_id: r.n_removed for r in suffix_dedup.remove(frame, length=LENGTH).collect()}
+    assert found == {"a": 0, "b": 200}
+
+
+def test_an_empty_table(spark):
+    assert actual(spark, []) == []
