@@ -17,7 +17,9 @@ def one_per_key(
     remaining columns in schema order (NULL lowest, NaN highest). So the result
     does not depend on partitioning and a recomputed task picks the same row.
 
-    This is an aggregate and not a ``row_number`` window: each map task first
+    Columns that are or hold maps are refused: they have no order.
+
+    This is a sort-based aggregate and not a ``row_number`` window: each map task first
     reduces its own rows to one per key, so a key holding a third of the table
     sends one row per task through the shuffle instead of all of them.
     """
@@ -26,6 +28,9 @@ def one_per_key(
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.dropDuplicates(list(keys))
+    maps = [c for c in rest if "map<" in df.schema[c].dataType.simpleString()]
+    if maps:
+        raise ValueError(f"maps have no order to settle ties by: {maps}")
     ranked = F.struct(*_ordered_first(rest, order_by))
     pick = F.min(ranked) if keep == "first" else F.max(ranked)
     return df.groupBy(*keys).agg(pick.alias("_row")).select(

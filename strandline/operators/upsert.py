@@ -22,7 +22,10 @@ def has_key(keys: Sequence[str]) -> Column:
 
 
 def unmatched(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], by_range: bool = False
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    bounds: tuple[Column, Column] | None = None,
 ) -> DataFrame:
     """Target rows that no source row replaces.
 
@@ -30,24 +33,34 @@ def unmatched(
     size is under its threshold, and the target is then not shuffled at all;
     beyond it the join is sort-merge, and AQE splits skewed target partitions.
 
-    ``by_range`` leaves target rows outside the source's range of the first key
-    out of the join. For a load of recent instants that is nearly all of the
-    table, copied without a shuffle, and where files are laid out by that key
-    either side skips the other's row groups. The source is read once more for
-    its range, so use this with a stored one.
+    ``bounds`` are literals, the source's least and greatest first key. Target rows
+    outside them stay out of the join: for a load of recent instants that is nearly
+    all of the table, copied without a shuffle. As literals they reach the scans,
+    so where files are laid out by that key each of the two scans skips the other's
+    row groups, and together they read the target about once. (Spark pushes no filter
+    on timestamps without a zone to Parquet: those files are read twice.)
     """
     joined, aside = has_key(keys), ~has_key(keys)
-    if by_range:
-        first = F.col(keys[0])
-        low = source.select(F.min(first)).scalar()
-        high = source.select(F.max(first)).scalar()
+    if bounds is not None:
+        first, (low, high) = F.col(keys[0]), bounds
         joined = joined & (first >= low) & (first <= high)
-        aside = aside | (first < low) | (first > high) | low.isNull()  # NULL: no source rows
+        aside = aside | (first < low) | (first > high)
     incoming = source.select(*keys).filter(has_key(keys))
     kept = target.filter(joined).join(incoming, list(keys), "left_anti")
     return kept.select(*target.columns).unionByName(target.filter(aside))
 
 
+def repeated(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys that several source rows share; NULL keys never match, so do not count."""
+    return (
+        source.select(*keys)
+        .filter(has_key(keys))
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .filter("n_rows > 1")
+    )
+
+
 def matched(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys of the target rows that a source row replaces; reads key columns only."""
     return target.select(*keys).join(source.select(*keys), list(keys), "left_semi")

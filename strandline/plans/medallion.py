@@ -16,8 +16,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 
 from strandline.operators import dedupe, features, gate, model
-from strandline.sources import runs, scan, tables
-from strandline.sources.records import one_row
+from strandline.sources import records, runs, scan, tables
 from strandline.sources.schemas import KEY
 
 
@@ -34,7 +33,7 @@ class Config:
     rules: tuple[gate.Rule, ...] = gate.RULES
     rows_per_chunk: int = features.ROWS_PER_CHUNK
     rows_per_file: int = tables.ROWS_PER_FILE
-    silver_period: str | None = None  # "month" where loads touch few months
+    silver_period: str | None = "month"  # silver files are kept, and rewritten, by it
     time_zone: str = "UTC"  # of the instants in the file, and where a month begins
 
     def path(self, name: str) -> str:
@@ -80,22 +79,25 @@ def ingest(spark: SparkSession, cfg: Config) -> int:
 def clean(spark: SparkSession, cfg: Config) -> int:
     """Append failing rows to quarantine, upsert the others into silver.
 
-    Bronze is scanned once for either; all counts come from the writes.
+    Bronze is scanned twice, once for either; all counts come from the writes.
     """
     passed, failed = gate.split(tables.read(spark, cfg.path("bronze")), cfg.rules)
     tables.append(scan.stamp(failed, "_quarantined_at"), cfg.path("quarantine"), "quarantine")
     unique = dedupe.one_per_key(passed, [KEY])
-    return tables.upsert(unique, cfg.path("silver"), [KEY], cfg.silver_period)
+    return tables.upsert(
+        unique, cfg.path("silver"), [KEY], cfg.silver_period, unique_source=True
+    )
 
 
 def stored_features(spark: SparkSession, cfg: Config) -> DataFrame:
     """The feature table of the newest silver version, built on first use.
 
     Training reads it several times and scoring once more, so the window work
-    is done and written once per silver version.
+    is done and written once per silver version, as told by when it was written,
+    and time zone, which says where months begin.
     """
     silver, path = cfg.path("silver"), cfg.path("features")
-    origin = f"features of silver version {tables.latest_version(spark, silver)}"
+    origin = f"features of silver {tables.fingerprint(spark, silver)}, months of {cfg.time_zone}"
     if tables.exists(spark, path) and tables.history(spark, path).first()["operation"] == origin:
         return tables.read(spark, path)
     rows = tables.read(spark, silver)
@@ -114,12 +116,14 @@ def train(spark: SparkSession, cfg: Config) -> int:
         "experiment": cfg.experiment,
         "run_name": cfg.run_name,
         "start_time": datetime.now(timezone.utc),
+        # Names of parameters and metrics.
         "params": {
             "k_clusters": cfg.clusters,
             "seed": cfg.seed,
             "feature_columns": list(features.FEATURE_COLS),
         },
     }
+    runs.record(spark, cfg.path("runs"), **run, status=runs.RUNNING)
     try:
         rows = stored_features(spark, cfg)
         trained = model.train(rows, cfg.clusters, cfg.seed)
@@ -144,7 +148,7 @@ def score(spark: SparkSession, cfg: Config) -> int:
     gold = cfg.path("gold")
     tables.replace(model.score(fitted, stored_features(spark, cfg)), gold)
     n_rows = tables.cluster_by(spark, gold, KEY, rows_per_file=cfg.rows_per_file)
-    tables.append(tables.audit(spark, gold), cfg.path("gold_audit"), "audit")
+    tables.audit(spark, gold).write.mode("append").parquet(cfg.path("gold_audit"))
     return n_rows
 
 
@@ -188,7 +192,12 @@ def run(spark: SparkSession, cfg: Config, stages: Sequence[Stage] = STAGES) -> D
             n_rows,
             None if failure is None else str(failure),
         )
-        tables.append(one_row(spark, STAGE_LOG, entry), cfg.path("stage_log"), "stage")
+        records.add(spark, cfg.path("stage_log"), STAGE_LOG, entry)
         if failure is not None:
             raise StageFailed(f"stage {stage.name!r} failed after {seconds} s") from failure
-    return tables.read(spark, cfg.path("stage_log")).filter(f"run_id = '{run_id}'")
+    return stage_log(spark, cfg).filter(f"run_id = '{run_id}'")
+
+
+def stage_log(spark: SparkSession, cfg: Config) -> DataFrame:
+    """All runs' stages."""
+    return records.stored(spark, cfg.path("stage_log"), STAGE_LOG)

@@ -21,3 +21,19 @@ def _literal(value: object) -> Column:
     if isinstance(value, Mapping):
         return F.create_map(*[F.lit(part) for entry in value.items() for part in entry])
     return F.lit(value)
+
+
+def add(spark: SparkSession, path: str, schema: str, values: Sequence[object]) -> None:
+    """Append one row to a plain folder of small files.
+
+    Files are only added, each under a name of its own, so several jobs may write.
+    """
+    one_row(spark, schema, values).write.mode("append").parquet(path)
+
+
+def stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows of such a folder, in no order; none where it is not there yet."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)

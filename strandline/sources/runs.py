@@ -1,4 +1,7 @@
-"""Training runs: a versioned table of records, and the models they saved."""
+"""Training runs: rows of small files, and the models they saved.
+
+A run has a row when it starts and another when it ends; the later one counts.
+"""
 
 from __future__ import annotations
 
@@ -11,14 +14,13 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.sources import tables
-from strandline.sources.records import one_row
+from strandline.sources import records
 
 RUNS = (
     "run_id string, experiment string, run_name string, start_time timestamp, status string, "
     "params map<string,string>, metrics map<string,double>, model_path string"
 )
-FINISHED, FAILED = "FINISHED", "FAILED"
+RUNNING, FINISHED, FAILED = "RUNNING", "FINISHED", "FAILED"
 
 
 def new_run_id() -> str:
@@ -43,13 +45,21 @@ def record(
     row = (
         run_id, experiment, run_name, start_time, status, texts, dict(metrics or {}), model_path,
     )
-    tables.append(one_row(spark, RUNS, row), path, "run")
+    records.add(spark, path, RUNS, row)
+
+
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """One row per run: how it ended, or that it has not."""
+    rows = records.stored(spark, path, RUNS)
+    ended = F.max_by(F.struct(*rows.columns), F.col("status") != RUNNING).alias("run")
+    return rows.groupBy("run_id").agg(ended).select("run.*")
 
 
 def latest(runs: DataFrame, experiment: str, finished_only: bool = True) -> DataFrame:
     """The newest run of an experiment by start time (then run id): one row or none.
 
-    ``finished_only=False`` also takes a run that failed before it had a model.
+    ``finished_only=False`` also takes a run that failed before it had a model, or that
+    still runs.
     """
     wanted = runs.filter(F.col("experiment") == experiment)
     if finished_only:
@@ -66,9 +76,7 @@ def load_model(
     spark: SparkSession, path: str, experiment: str, finished_only: bool = True
 ) -> PipelineModel:
     """Model of the latest run in the table at ``path``."""
-    found = None
-    if tables.exists(spark, path):
-        found = latest(tables.read(spark, path), experiment, finished_only).first()
+    found = latest(read(spark, path), experiment, finished_only).first()
     if found is None or found["model_path"] is None:
         raise LookupError(f"no run with a model for experiment {experiment!r} at {path}")
     return PipelineModel.load(found["model_path"])

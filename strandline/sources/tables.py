@@ -1,26 +1,36 @@
 """Versioned Parquet tables under a path.
 
-    <path>/v=<N>/...    files written by version N, never changed afterwards
+    <path>/v=<N>-<id>/  files written by version N, never changed afterwards
     <path>/commits/     one row per finished version
 
 A commit row is written after its data, and reads go through the commits, so a
-write that dies half-way stays invisible and is overwritten by the next one.
-Each table takes one writer at a time. An append writes its own rows only: a
-version is made of its ``base`` version's folders and those of the appends since.
+write that dies half-way stays invisible. Every write has a folder of its own and
+overwrites nothing. Each table takes one writer at a time; where two wrote the same
+version, reads and writes stop with an error. An append writes its own rows only: a
+version is made of its ``base`` version's folders and those of the appends since,
+and after MOST_APPENDS of them a new base is written.
 """
 
 from __future__ import annotations
 
 import json
 import math
+import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType, TimestampType
+from pyspark.sql.types import (
+    DateType,
+    NumericType,
+    StringType,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
-from strandline.operators.upsert import matched, unmatched
+from strandline.operators.upsert import has_key, matched, repeated, unmatched
 from strandline.sources.records import one_row
 
 COMMITS = (
@@ -28,6 +38,8 @@ COMMITS = (
     "base int, folders array<string>, schema string"
 )
 ROWS_PER_FILE = 5_000_000
+MOST_APPENDS = 100
+TIMESTAMPS = "spark.sql.parquet.outputTimestampType"
 MICROS_PER_DAY = 86_400_000_000
 
 
@@ -42,6 +54,12 @@ def latest_version(spark: SparkSession, path: str) -> int:
     return _commit_row(spark, path, None)["version"]
 
 
+def fingerprint(spark: SparkSession, path: str) -> str:
+    """Names the newest version; a table removed and made again has another."""
+    newest = _commit_row(spark, path, None)
+    return f"version {newest['version']} in {newest['folders'][0].split('/')[0]}"
+
+
 def row_count(spark: SparkSession, path: str, version: int | None = None) -> int:
     """Rows of a version, as counted when it was written."""
     return _commit_row(spark, path, version)["n_rows"]
@@ -123,17 +141,18 @@ def replace(
     if current is not None and not allow_schema_change:
         df = _conform(df, current, path)
     version = 0 if current is None else current["version"] + 1
-    folder = f"v={version}/rows"
-    n_rows = _write(df, f"{path}/{folder}")
+    folder = f"{_own_folder(version)}/rows"
+    n_rows = _write(df, f"{path}/{folder}")["n_rows"]
     _commit(spark, path, version, operation, n_rows, version, [folder], df.schema)
     return n_rows
 
 
 def append(df: DataFrame, path: str, operation: str = "append") -> int:
-    """Add rows; returns how many. An empty ``df`` makes no version.
+    """Add rows; returns how many. An empty ``df`` makes no version and no files.
 
     The rows are counted by the write itself, so an empty input needs no scan
-    of its own.
+    of its own. Every MOST_APPENDS-th append also takes the older rows into its
+    folder, so that a read lists few of them.
     """
     spark = df.sparkSession
     current = _newest(spark, path)
@@ -144,24 +163,37 @@ def append(df: DataFrame, path: str, operation: str = "append") -> int:
         if current is None
         else (current["version"] + 1, current["base"], current["n_rows"])
     )
-    folder = f"v={version}/rows"
-    added = _write(df, f"{path}/{folder}")
+    older = None
+    if version - base >= MOST_APPENDS:
+        older, base = _scan(spark, path, current), version
+    folder = f"{_own_folder(version)}/rows"
+    added = _write(df, f"{path}/{folder}", beside=older)["n_rows"]
     if added > 0:
         _commit(spark, path, version, operation, before + added, base, [folder], df.schema)
+    else:
+        _discard(spark, f"{path}/{folder.split('/')[0]}")
     return added
 
 
 def upsert(
-    source: DataFrame, path: str, keys: Sequence[str], period: str | None = None
+    source: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    period: str | None = None,
+    unique_source: bool = False,
 ) -> int:
     """Create the table, or replace rows by key and add the others; returns source rows.
 
-    The source must hold one row per key. It is computed and written once, and
-    those files are part of the new version; the remaining target rows are then
-    selected against the written keys, whose size Spark knows exactly. Where the
-    source has at least as many rows as the target, as when the whole history is
-    loaded again, its keys alone are compared first: if none remains, no other
-    column of the target is read.
+    The source must hold one row per key, NULL keys aside; else this stops with an
+    error and the table is as before. The check groups the written keys;
+    ``unique_source`` leaves it out for a source that was deduplicated just before.
+
+    The source is computed and written once, and those files are part of the new
+    version; the remaining target rows are then selected against the written keys,
+    whose size Spark knows exactly, and whose least and greatest first key come from
+    the write. Where the source has at least as many rows as the target, as when the
+    whole history is loaded again, its keys alone are compared first: if none
+    remains, no other column of the target is read.
 
     With a ``period`` ("week", "month", "quarter" or "year") the files are split
     by that period of the first key, a timestamp or date, in UTC. Equal keys
@@ -176,17 +208,19 @@ def upsert(
     current = _newest(spark, path)
     if current is not None:
         source = _conform(source, current, path)
-    elif period is None:
-        return replace(source, path, "create")
     version = 0 if current is None else current["version"] + 1
     split = None if period is None else (keys[0], period)
 
-    incoming = f"v={version}/incoming"
-    n_rows = n_incoming = _write(source, f"{path}/{incoming}", split)
+    own = _own_folder(version)
+    incoming = f"{own}/incoming"
+    seen = _write(source, f"{path}/{incoming}", split, keys=keys)
+    n_rows = n_incoming = seen["n_rows"]
     folders = _written(spark, path, incoming, split)
+    stored = _files(spark, path, folders, source.schema)
+    if not unique_source and not repeated(stored, keys).isEmpty():
+        raise ValueError(f"the source has several rows of one key ({', '.join(keys)})")
 
     if current is not None:
-        stored = _files(spark, path, folders, source.schema)
         rewritten = _folders(spark, path, current)
         if split is not None:
             # Only a folder split in the same way holds none of the other keys.
@@ -201,9 +235,11 @@ def upsert(
         n_target = current["n_rows"] if split is None else target.count()
         n_rows += current["n_rows"] - n_target  # what was taken over
         if n_incoming < n_target or matched(target, stored, keys).count() < n_target:
-            kept = f"v={version}/kept"
-            remaining = unmatched(target, stored, keys, by_range=True)
-            n_kept = _write(remaining, f"{path}/{kept}", split)
+            kept = f"{own}/kept"
+            remaining = target  # where no source row has a key
+            if seen["n_keys"]:
+                remaining = unmatched(target, stored, keys, _bounds(source, keys[0], seen))
+            n_kept = _write(remaining, f"{path}/{kept}", split)["n_rows"]
             n_rows += n_kept
             folders += _written(spark, path, kept, split) if n_kept else []
 
@@ -250,7 +286,15 @@ def _commits(spark: SparkSession, path: str) -> DataFrame | None:
 
 def _newest(spark: SparkSession, path: str) -> Row | None:
     commits = _commits(spark, path)
-    return None if commits is None else commits.orderBy(F.desc("version")).first()
+    return None if commits is None else _only(commits.orderBy(F.desc("version")), path)
+
+
+def _only(commits: DataFrame, path: str) -> Row | None:
+    """The first of the sorted commits; no other may have its version."""
+    first = commits.limit(2).collect()
+    if len({row["version"] for row in first}) < len(first):
+        raise RuntimeError(f"{path} was written by two at once: version {first[0]['version']}")
+    return first[0] if first else None
 
 
 def _commit_row(spark: SparkSession, path: str, version: int | None) -> Row:
@@ -258,7 +302,9 @@ def _commit_row(spark: SparkSession, path: str, version: int | None) -> Row:
         row = _newest(spark, path)
     else:
         commits = _commits(spark, path)
-        row = None if commits is None else commits.filter(F.col("version") == version).first()
+        row = (
+            None if commits is None else _only(commits.filter(F.col("version") == version), path)
+        )
     if row is None:
         wanted = "table" if version is None else f"version {version}"
         raise LookupError(f"no {wanted} at {path}")
@@ -300,7 +346,10 @@ def _folders(spark: SparkSession, path: str, commit: Row) -> list[str]:
     parts = _commits(spark, path).filter(
         F.col("version").between(commit["base"], commit["version"])
     )
-    return [r[0] for r in parts.select(F.explode("folders")).collect()]
+    rows = parts.select("version", "folders").collect()  # MOST_APPENDS rows or so
+    if len({r["version"] for r in rows}) < len(rows):
+        raise RuntimeError(f"{path} was written by two at once")
+    return [folder for r in rows for folder in r["folders"]]
 
 
 def _files(
@@ -311,21 +360,67 @@ def _files(
     return spark.read.schema(schema).parquet(*[f"{path}/{f}" for f in sorted(folders)])
 
 
-def _write(df: DataFrame, folder: str, split: tuple[str, str] | None = None) -> int:
-    """Write and count in one pass.
+def _own_folder(version: int) -> str:
+    """A folder that no other write has."""
+    return f"v={version}-{uuid.uuid4().hex[:12]}"
+
 
-    The count sits in the writing stage, where Spark counts a task once however
+def _discard(spark: SparkSession, folder: str) -> None:
+    """Remove a folder just written that no commit will name."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _write(
+    df: DataFrame,
+    folder: str,
+    split: tuple[str, str] | None = None,
+    keys: Sequence[str] = (),
+    beside: DataFrame | None = None,
+) -> Row:
+    """Write and count in one pass: n_rows, and of ``keys`` n_keys, low and high.
+
+    The figures sit in the writing stage, where Spark counts a task once however
     often it runs. ``split`` is a timestamp column and the calendar period by
     which to part the files: rows are first brought together by period, with
-    large periods spread over several tasks and small ones combined by AQE.
+    large periods spread over several tasks and small ones combined by AQE. The
+    range is that of the first key, as micros of a timestamp and else as text, over
+    the rows that have all keys. Rows ``beside`` are written but not counted.
     """
+    figures = [F.count(F.lit(1)).alias("n_rows")]
+    if keys:
+        value = F.when(has_key(keys), F.col(keys[0]))
+        zoned = isinstance(df.schema[keys[0]].dataType, TimestampType)
+        figures.append(F.count(value).alias("n_keys"))
+        for name, least in (("low", F.min(value)), ("high", F.max(value))):
+            figures.append((F.unix_micros(least) if zoned else least.cast("string")).alias(name))
     if split is not None:
         part = _split_name(split)
         df = df.withColumn(part, _period_start(df, *split)).hint("rebalance", F.col(part))
     seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("n_rows")).write.mode("overwrite")
-    (writer if split is None else writer.partitionBy(_split_name(split))).parquet(folder)
-    return seen.get["n_rows"]
+    rows = df.observe(seen, *figures)
+    if beside is not None:
+        rows = rows.unionByName(beside)
+    writer = rows.write if split is None else rows.write.partitionBy(_split_name(split))
+    conf = df.sparkSession.conf
+    before = conf.get(TIMESTAMPS)
+    # The default format has no min and max in the files, so no filter could skip any.
+    conf.set(TIMESTAMPS, "TIMESTAMP_MICROS")
+    try:
+        writer.parquet(folder)
+    finally:
+        conf.set(TIMESTAMPS, before)
+    return Row(**seen.get)
+
+
+def _bounds(df: DataFrame, col: str, seen: Row) -> tuple[Column, Column] | None:
+    """The written range as literals; none for types whose text is not the value."""
+    kind = df.schema[col].dataType
+    if isinstance(kind, TimestampType):
+        return F.timestamp_micros(F.lit(seen["low"])), F.timestamp_micros(F.lit(seen["high"]))
+    if isinstance(kind, (NumericType, StringType, DateType, TimestampNTZType)):
+        return F.lit(seen["low"]).cast(kind), F.lit(seen["high"]).cast(kind)
+    return None
 
 
 def _period_start(df: DataFrame, col: str, period: str) -> Column:

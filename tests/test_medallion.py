@@ -23,6 +23,12 @@ def first_log(spark, cfg):
 
 
 def table(spark, cfg, name):
+    if name == "runs":
+        return runs.read(spark, cfg.path(name))
+    if name == "stage_log":
+        return medallion.stage_log(spark, cfg)
+    if name == "gold_audit":
+        return spark.read.parquet(cfg.path(name))
     return tables.read(spark, cfg.path(name))
 
 
@@ -119,6 +125,57 @@ def test_failed_training_is_recorded(spark):
     assert (run["status"], run["model_path"]) == (runs.FAILED, None)
 
 
+def test_a_killed_fit_leaves_a_running_run(spark, cfg, first_log, monkeypatch):
+    def killed(*args):
+        raise KeyboardInterrupt  # as from outside: the job notes nothing more
+
+    job = medallion.Config(source=cfg.source, root=cfg.root, rows_per_chunk=40)
+    before = runs.latest(table(spark, job, "runs"), job.experiment).first()["run_id"]
+    monkeypatch.setattr(medallion.model, "train", killed)
+    with pytest.raises(KeyboardInterrupt):
+        medallion.train(spark, job)
+    all_runs = table(spark, job, "runs")
+    newest = runs.latest(all_runs, job.experiment, finished_only=False).first()
+    assert newest["status"] == runs.RUNNING and newest["params"]["k_clusters"] == "3"
+    assert runs.latest(all_runs, job.experiment).first()["run_id"] == before
+
+
+def test_features_follow_the_time_zone_and_the_table(spark, cfg, first_log):
+    job = medallion.Config(source=cfg.source, root=shared.work_folder(spark, "zones"))
+    rows = table(spark, cfg, "silver")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    tables.replace(rows, job.path("silver"))
+    medallion.stored_features(spark, job)
+    medallion.stored_features(spark, job)
+    assert tables.latest_version(spark, job.path("features")) == 0
+    far = medallion.Config(source=cfg.source, root=job.root, time_zone="America/New_York")
+    medallion.stored_features(spark, far)
+    assert tables.latest_version(spark, job.path("features")) == 1
+    # The same version number of a table made anew.
+    other = f"{job.root}/other"
+    tables.replace(rows.limit(5), other)
+    where = spark._jvm.org.apache.hadoop.fs.Path(job.path("silver"))
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(where, True)
+    files.rename(spark._jvm.org.apache.hadoop.fs.Path(other), where)
+    assert medallion.stored_features(spark, far).count() == 5
+
+
+def test_only_the_months_of_a_load_are_rewritten(spark, cfg):
+    job = medallion.Config(source="unused", root=shared.work_folder(spark, "months"))
+    days = spark.range(60).select(
+        F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 86400).alias(KEY),
+        *[F.lit(1.0).alias(c) for c in TELEMETRY.names[1:]],
+    )
+    for part in (days, days.filter("time_tag >= '2024-02-10'")):
+        tables.replace(part, job.path("bronze"), allow_schema_change=True)
+        medallion.clean(spark, job)
+    folders = tables._folders(spark, job.path("silver"), tables._newest(spark, job.path("silver")))
+    own = {f.rsplit("=", 1)[-1]: f.startswith("v=1-") for f in folders}
+    assert own == {"2024-01-01": False, "2024-02-01": True}
+    assert table(spark, job, "silver").count() == 60
+
+
 def test_over_budget_is_flagged(spark, cfg):
     slow = medallion.Stage("nothing", lambda s, c: 0, -1)
     entry = medallion.run(spark, cfg, [slow]).first()

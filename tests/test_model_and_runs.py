@@ -132,7 +132,7 @@ def test_latest_run(spark, path):
     put(spark, path, "two", 2)
     put(spark, path, "three", 3, status=runs.FAILED)
     put(spark, path, "other", 9, experiment="f")
-    table = tables.read(spark, path)
+    table = runs.read(spark, path)
     assert runs.latest(table, "e").first()["run_id"] == "two"
     assert runs.latest(table, "e", finished_only=False).first()["run_id"] == "three"
     assert runs.latest(table, "nothing").first() is None
@@ -148,7 +148,7 @@ def test_latest_run(spark, path):
 def test_run_without_metrics_or_model(spark, path):
     runs.record(spark, path, run_id="r", experiment="e", run_name="n", start_time=T,
                 status=runs.FAILED)
-    row = tables.read(spark, path).first()
+    row = runs.read(spark, path).first()
     assert (row["params"], row["metrics"], row["model_path"]) == ({}, {}, None)
     with pytest.raises(LookupError, match="no run with a model"):
         runs.load_model(spark, path, "e", finished_only=False)

@@ -1,3 +1,4 @@
+import os
 import random
 from datetime import datetime
 
@@ -98,15 +99,17 @@ def test_upsert_like_a_dict(spark, old, new):
     merged = upsert.upsert_rows(target, source, ["k"])
     assert dict(rows(merged)) == old | new
     assert merged.count() == len(old | new)
-    by_range = upsert.unmatched(target, source, ["k"], by_range=True)
-    assert rows(by_range) == sorted((k, v) for k, v in old.items() if k not in new)
+    if new:
+        bounds = F.lit(min(new)), F.lit(max(new))
+        by_range = upsert.unmatched(target, source, ["k"], bounds)
+        assert rows(by_range) == sorted((k, v) for k, v in old.items() if k not in new)
 
 
-def test_range_of_an_empty_or_null_source(spark):
-    target = kv(spark, (1, "a"), (None, "n"))
-    for source in (kv(spark, (None, "x")), kv(spark, (1, "x")).filter("k = 0")):
-        kept = upsert.unmatched(target, source, ["k"], by_range=True)
-        assert {r["v"] for r in kept.collect()} == {"a", "n"}
+def test_a_source_without_keys_replaces_nothing(spark, path):
+    tables.upsert(kv(spark, (1, "a"), (None, "n")), path, ["k"])
+    tables.upsert(kv(spark, (None, "x")), path, ["k"])
+    tables.upsert(kv(spark, (1, "x")).filter("k = 0"), path, ["k"])
+    assert {r["v"] for r in tables.read(spark, path).collect()} == {"a", "n", "x"}
 
 
 def test_two_keys_by_range(spark):
@@ -115,27 +118,97 @@ def test_two_keys_by_range(spark):
         [(1, 1, "p"), (1, 2, "q"), (2, 1, "r"), (1, None, "s"), (None, 1, "t")], cols
     )
     source = spark.createDataFrame([(1, 2, "Q"), (1, None, "S"), (5, 5, "N")], cols)
-    for by_range in (False, True):
-        kept = upsert.unmatched(target, source, ["a", "b"], by_range)
+    for bounds in (None, (F.lit(1), F.lit(5))):
+        kept = upsert.unmatched(target, source, ["a", "b"], bounds)
         assert {r["v"] for r in kept.collect()} == {"p", "r", "s", "t"}
 
 
-def test_rows_outside_the_source_range_are_not_shuffled(spark, path):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def scanned(df):
+    """Rows each file scan of the plan puts out, once it has run."""
+    df.sparkSession.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        target = spark.range(0, 10_000, 1, 4).select(F.col("id").alias("k"))
-        source = spark.range(9_990, 10_010).select(F.col("id").alias("k"))
-        target.write.parquet(f"{path}-t")
-        source.write.parquet(f"{path}-s")
-        target, source = (spark.read.parquet(f"{path}-{x}") for x in "ts")
-        kept = upsert.unmatched(target, source, ["k"], by_range=True)
-        assert kept.count() == 9_990
-        plan = kept._jdf.queryExecution().executedPlan().toString()
-        assert plan.count("Exchange hashpartitioning") == 2  # the join's two sides
-        outside = plan[plan.rindex("Filter (") :]
-        assert "Exchange" not in outside.split("Subquer")[0]
+        again = df.select("*")
+        again.collect()
+        leaves = again._jdf.queryExecution().executedPlan().collectLeaves()
+        found = [leaves.apply(i) for i in range(leaves.size())]
+        return [
+            x.metrics().apply("numOutputRows").value() for x in found if "Scan" in x.nodeName()
+        ]
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        df.sparkSession.conf.unset("spark.sql.adaptive.enabled")
+
+
+@pytest.mark.parametrize("kind", ["bigint", "timestamp", "date", "string"])
+def test_the_target_is_read_about_once(spark, path, kind, monkeypatch):
+    def keyed(first, last):
+        k = F.col("id") if kind in ("bigint", "string") else F.timestamp_seconds(F.col("id") * 86400)
+        key = F.lpad(k.cast("string"), 8, "0") if kind == "string" else k.cast(kind)
+        return spark.range(first, last).select(key.alias("k"), F.col("id").alias("v"))
+
+    tables.replace(keyed(0, 20_000), path)
+    tables.cluster_by(spark, path, "k", files=20)
+    seen = []
+    asked = upsert.unmatched
+    monkeypatch.setattr(
+        tables, "unmatched", lambda *a: seen.append(asked(*a)) or seen[-1]
+    )
+    assert tables.upsert(keyed(19_500, 20_100), path, ["k"]) == 600
+    out = tables.read(spark, path)
+    assert out.count() == 20_100 and out.select("k").distinct().count() == 20_100
+    read = scanned(seen[0])
+    # The source's keys, and the two parts of the target.
+    assert sum(read) - 600 <= 20_000 * 1.15, read
+
+
+def test_repeated_source_keys_are_refused(spark, path):
+    twice = kv(spark, (1, "x"), (1, "y"))
+    for period in (None,):
+        with pytest.raises(ValueError, match="several rows of one key"):
+            tables.upsert(twice, path, ["k"], period)
+    assert not tables.exists(spark, path)
+    tables.upsert(kv(spark, (1, "a"), (2, "b"), (None, "n"), (None, "m")), path, ["k"])
+    with pytest.raises(ValueError, match="several rows of one key"):
+        tables.upsert(twice, path, ["k"])
+    assert tables.latest_version(spark, path) == 0
+    tables.upsert(kv(spark, (None, "p"), (None, "q"), (2, "B")), path, ["k"])
+    assert {r["v"] for r in tables.read(spark, path).collect()} == set("anmpqB")
+
+
+def test_many_appends_keep_few_folders(spark, path, monkeypatch):
+    monkeypatch.setattr(tables, "MOST_APPENDS", 5)
+    tables.replace(kv(spark, (0, "v0")), path)
+    for i in range(1, 13):
+        assert tables.append(kv(spark, (i, f"v{i}")), path) == 1
+    assert rows(tables.read(spark, path)) == [(i, f"v{i}") for i in range(13)]
+    assert rows(tables.read(spark, path, version=7)) == [(i, f"v{i}") for i in range(8)]
+    newest = tables._commit_row(spark, path, None)
+    assert newest["n_rows"] == 13 and len(tables._folders(spark, path, newest)) <= 6
+
+
+def test_two_writers_of_one_version_are_noticed(spark, path):
+    tables.replace(kv(spark, (0, "a")), path)
+    before = tables._newest(spark, path)
+    tables.append(kv(spark, (1, "b")), path)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(tables, "_newest", lambda *a: before)
+        tables.append(kv(spark, (2, "c")), path)
+    with pytest.raises(RuntimeError, match="two at once"):
+        tables.read(spark, path)
+    with pytest.raises(RuntimeError, match="two at once"):
+        tables.append(kv(spark, (3, "d")), path)
+    assert rows(tables.read(spark, path, version=0)) == [(0, "a")]
+
+
+def test_an_empty_append_leaves_no_files(spark, path):
+    tables.replace(kv(spark, (0, "a")), path)
+    tables.append(kv(spark, (1, "b")).filter("k = 9"), path)
+    assert len([f for f in os.listdir(path) if f.startswith("v=")]) == 1
+
+
+def test_maps_cannot_settle_ties(spark):
+    df = spark.range(3).select("id", F.create_map(F.lit("a"), F.col("id")).alias("m"))
+    with pytest.raises(ValueError, match="maps"):
+        dedupe.one_per_key(df, ["id"])
 
 
 # ------------------------------------------------------------------ tables
