@@ -40,7 +40,9 @@ ROOT = str(Path(__file__).resolve().parents[2])
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table. Python workers find this package where the driver found it; on
-    a cluster without that folder, ship it with ``--py-files``."""
+    a cluster without that folder, ship it with ``--py-files``. They get texts in small
+    batches, which bounds what either side holds."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if ROOT not in paths:
