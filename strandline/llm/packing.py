@@ -18,7 +18,7 @@ from strandline.llm.ngrams import lower_utf8
 from strandline.sources import shared
 
 U64 = np.uint64
-KNOWN_WORDS = 1_000_000  # remembered per Python worker, some 40 MB
+KNOWN_WORDS = 600_000  # remembered per Python worker, some 25 MB
 BREAK = "\x01"  # set between words that are encoded together
 ROWS_PER_BUCKET = 2000
 NODES = 20_000
@@ -161,11 +161,10 @@ class Encoder:
         if len(apart) != len(new):
             raise ValueError("the tokenizer does not keep words apart")
         begin = np.concatenate(([0], apart[:-1] + 1))
-        hashes = np.concatenate([self.hashes, distinct[new]])
-        order = np.argsort(hashes, kind="stable")
-        self.hashes = hashes[order]
-        self.first = np.concatenate([self.first, begin + len(self.pool)])[order]
-        self.size = np.concatenate([self.size, apart - begin])[order]
+        to = np.searchsorted(self.hashes, distinct[new])
+        self.first = np.insert(self.first, to, begin + len(self.pool))
+        self.size = np.insert(self.size, to, apart - begin)
+        self.hashes = np.insert(self.hashes, to, distinct[new])
         self.pool = np.concatenate([self.pool, ids])
 
 
@@ -195,7 +194,7 @@ def pieces(
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = encoder(tokenizer, end_id)
         for batch in batches:
-            for block in tokens.blocks(batch, 1, 2 << 20):
+            for block in tokens.blocks(batch, 1, 1 << 20):
                 ids, rows, edges = known.encode(block.column(1).fill_null(""))
                 times = -(-np.diff(edges) // capacity)
                 first = np.concatenate(([0], np.cumsum(times)[:-1]))

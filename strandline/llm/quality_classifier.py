@@ -140,18 +140,22 @@ def fit(
     if not rows.num_rows:
         none = np.zeros((0, dimensions), np.float32)
         return Model(weights, np.zeros((SIZE, dimensions)), none, np.ones(0), neighbours, sharpness)
-    counts = np.frombuffer(
-        b"".join(rows.column("counts").to_pylist()), np.float32
-    ).reshape(-1, SIZE)
+    *_, data = rows.column("counts").combine_chunks().buffers()
+    counts = np.frombuffer(data, np.float32, rows.num_rows * SIZE).reshape(-1, SIZE)
     marks = rows.column("label").to_numpy().astype(np.float64)
     order = np.lexsort((*counts[:, :64].T, marks))  # the fit does not depend on row order
-    counts, marks = counts[order], marks[order]
-    terms = ngrams.unit(np.sqrt(counts) * weights)
+    parts = [order[at : at + ngrams.BLOCK] for at in range(0, len(order), ngrams.BLOCK)]
     # Right singular vectors of the term matrix, from its Gram matrix.
-    values, vectors = np.linalg.eigh(terms.T @ terms)
+    gram = np.zeros((SIZE, SIZE), np.float32)
+    for part in parts:
+        terms = ngrams.unit(np.sqrt(counts[part]) * weights)
+        gram += terms.T @ terms
+    _, vectors = np.linalg.eigh(gram)
     space = np.ascontiguousarray(vectors[:, ::-1][:, :dimensions], dtype=np.float32)
+    marks = marks[order]
     model = Model(weights, space, np.zeros((0, dimensions)), marks, neighbours, sharpness)
-    return Model(weights, space, model.place(counts), marks, neighbours, sharpness)
+    placed = np.concatenate([model.place(counts[part]) for part in parts])
+    return Model(weights, space, placed, marks, neighbours, sharpness)
 
 
 def score(
