@@ -180,6 +180,26 @@ SQL = {
     "feature_table_chunked": FEATURE_ROWS,
     "feature_table_by_entity": f"""{ENTITY_FEATURES}
         SELECT user_id, time_tag, {rounded(features.FEATURE_COLS)} FROM features""",
+    "feature_table_hot_entity": f"""{GATED},
+        renamed AS (
+          SELECT * REPLACE (CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS user_id)
+          FROM valid
+        ),
+        entity_rows AS (
+          SELECT * FROM renamed
+          QUALIFY row_number() OVER (PARTITION BY user_id, time_tag ORDER BY event_id) = 1
+        ), {_feature_ctes('entity_rows', 'user_id,')}
+        SELECT user_id, time_tag, {rounded(features.FEATURE_COLS)} FROM features""",
+    "feature_table_nan": f"""{FEATURES},
+        holes AS (
+          SELECT time_tag, max(
+            CASE WHEN event_id % 61 = 0 OR event_id % 53 = 0 OR event_id % 47 = 0 THEN 1 ELSE 0 END
+          ) OVER (PARTITION BY date_trunc('month', time_tag) ORDER BY time_tag
+                  ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS holed
+          FROM silver
+        )
+        SELECT time_tag, {rounded(features.FEATURE_COLS)}
+        FROM features JOIN holes USING (time_tag) WHERE holed = 0""",
     "rolling_mean": _some(features.ROLLING_MEANS),
     "rolling_std": _some(features.ROLLING_STDS),
     "lag_features": _some(features.LAGS),
@@ -237,6 +257,7 @@ SQL = {
           SELECT 2, 'upsert', {EVERY} UNION ALL
           SELECT 3, 'cluster', {EVERY})""",
     "cluster_layout": "SELECT * FROM lineitem",
+    "cluster_overlaps": "SELECT 8 AS n_files, 0 AS n_overlaps",
     "snapshot_audit": f"""
         SELECT 3 AS version, {EVERY} AS n_rows, 2 AS previous_version, {EVERY} AS previous_rows,
                0::BIGINT AS difference""",
@@ -263,6 +284,11 @@ SQL = {
         SELECT 3::BIGINT AS n_clusters, count(*) AS n_rows, TRUE AS separated FROM features""",
     "score_latest_model": f"""{FEATURES}
         SELECT time_tag, {rounded(features.FEATURE_COLS)}, TRUE AS closest FROM features""",
+    "run_record": """
+        SELECT 'r' AS run_id, 'FINISHED' AS status, count(*)::VARCHAR AS k_clusters,
+               '["a", "b"]' AS feature_columns, 'text' AS note,
+               round(max(o_totalprice), 6) + 0::DOUBLE AS top, 1 AS n_metrics
+        FROM orders""",
     "latest_run": _latest("AND o_orderstatus = 'F'"),
     "latest_run_any_status": _latest(),
     "medallion_tables": f"""{CLEAN},

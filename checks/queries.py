@@ -9,7 +9,7 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, TimestampType
 
@@ -60,9 +60,7 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.one_per_key(passed, [KEY], order_by=["event_id"])
 
 
-def cuts(
-    spark: SparkSession, sf_dir: str, rows_per_chunk: int = features.ROWS_PER_CHUNK
-) -> list[int]:
+def cuts(spark: SparkSession, sf_dir: str, rows_per_chunk: int) -> list[int]:
     """Cut points of the raw readings: any cuts are right, and these need no dedupe."""
     return features.cut_points(telemetry(spark, sf_dir), rows_per_chunk=rows_per_chunk)
 
@@ -92,7 +90,7 @@ def printable(df: DataFrame) -> DataFrame:
 
 
 def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return printable(features.build(silver(spark, sf_dir), cuts=cuts(spark, sf_dir)))
+    return printable(features.build(silver(spark, sf_dir)))
 
 
 def feature_table_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,8 +107,29 @@ def feature_table_by_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return printable(features.build(rows, series, cuts(spark, sf_dir, SMALL_CHUNK)))
 
 
+def feature_table_hot_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the users as one: that series is cut, the many small ones are not."""
+    one = F.when(F.col("user_id") % 3 == 0, 0).otherwise(F.col("user_id"))
+    passed = telemetry(spark, sf_dir).filter(gate.valid()).withColumn("user_id", one)
+    rows = dedupe.one_per_key(passed, ["user_id", KEY], order_by=["event_id"])
+    series = columns.Series(entity_cols=("user_id",))
+    own = features.cut_points(passed, rows_per_chunk=SMALL_CHUNK, entity_cols=["user_id"])
+    return printable(features.build(rows, series, own))
+
+
+def feature_table_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings that are not numbers take the rows whose windows hold them with them."""
+    nan = F.lit(float("nan"))
+    holed = silver(spark, sf_dir)
+    for every, name in ((61, "proton_density"), (53, "solar_wind_speed"), (47, "magnetic_field_bz")):
+        holed = holed.withColumn(
+            name, F.when(F.col("event_id") % every == 0, nan).otherwise(F.col(name))
+        )
+    return printable(features.build(holed))
+
+
 def _some_features(spark: SparkSession, sf_dir: str, names) -> DataFrame:
-    computed = features.compute(silver(spark, sf_dir), cuts=cuts(spark, sf_dir))
+    computed = features.compute(silver(spark, sf_dir))
     return printable(computed.select(KEY, *names))
 
 
@@ -132,7 +151,7 @@ def delta_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def month_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First row of each month, where every window has just restarted."""
-    built = features.build(silver(spark, sf_dir), cuts=cuts(spark, sf_dir))
+    built = features.build(silver(spark, sf_dir))
     row = F.min(F.struct(KEY, *features.FEATURE_COLS)).alias("row")
     month = F.date_trunc("month", KEY).alias("month")
     return printable(built.groupBy(month).agg(row).select("month", "row.*"))
@@ -281,6 +300,22 @@ def cluster_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read(spark, path)
 
 
+def cluster_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of a laid-out table, and how many reach back into the range of another."""
+    path = f"{shared.work_folder(spark, 'tables')}/lineitem"
+    tables.replace(load(spark, sf_dir, "lineitem"), path)
+    tables.cluster_by(spark, path, "l_shipdate", files=8)
+    files = tables.read(spark, path).groupBy(F.input_file_name().alias("file")).agg(
+        F.min("l_shipdate").alias("low"), F.max("l_shipdate").alias("high")
+    )
+    # Eight rows: one window is enough.
+    in_order = Window.orderBy("low", "high")
+    before = F.max("high").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    return files.select((F.col("low") < before).alias("back")).agg(
+        F.count(F.lit(1)).alias("n_files"), F.count_if("back").alias("n_overlaps")
+    )
+
+
 def snapshot_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.audit(spark, _versioned_orders(spark, sf_dir))
 
@@ -342,7 +377,7 @@ def silhouette_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fitting passes over the rows many times: write them once."""
     path = f"{shared.work_folder(spark, 'tables')}/features"
-    tables.replace(features.build(silver(spark, sf_dir), cuts=cuts(spark, sf_dir)), path)
+    tables.replace(features.build(silver(spark, sf_dir)), path)
     return tables.read(spark, path)
 
 
@@ -395,6 +430,27 @@ def score_latest_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return printable(checked.select(KEY, *features.FEATURE_COLS, "closest"))
 
 
+def run_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run's parameters and metrics, as recorded at its start and its end and read back."""
+    path = f"{shared.work_folder(spark, 'runs')}/runs"
+    figures = load(spark, sf_dir, "orders").agg(
+        F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("top")
+    ).first()
+    run = {"run_id": "r", "experiment": "check", "run_name": "n", "start_time": LOADED_AT}
+    params = {"k_clusters": figures["n"], "feature_columns": ["a", "b"], "note": "text"}
+    runs.record(spark, path, **run, params=params, status=runs.RUNNING)
+    runs.record(spark, path, **run, params=params, metrics={"top": figures["top"]})
+    return printable(
+        runs.read(spark, path).select(
+            "run_id",
+            "status",
+            *[F.col("params")[name].alias(name) for name in params],
+            F.col("metrics")["top"].alias("top"),
+            F.size("metrics").alias("n_metrics"),
+        )
+    )
+
+
 def _order_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The orders read as run records, one experiment per priority."""
     records = load(spark, sf_dir, "orders").select(
@@ -449,6 +505,8 @@ ALL = {
         feature_table,
         feature_table_chunked,
         feature_table_by_entity,
+        feature_table_hot_entity,
+        feature_table_nan,
         rolling_mean,
         rolling_std,
         lag_features,
@@ -472,6 +530,7 @@ ALL = {
         table_view,
         table_history,
         cluster_layout,
+        cluster_overlaps,
         snapshot_audit,
         snapshot_audit_data,
         snapshot_audit_first,
@@ -482,6 +541,7 @@ ALL = {
         silhouette_labels,
         kmeans_train,
         score_latest_model,
+        run_record,
         latest_run,
         latest_run_any_status,
         medallion_tables,

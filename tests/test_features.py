@@ -154,6 +154,58 @@ def test_entities_do_not_mix(spark):
                 )
 
 
+def sensors(spark, sizes, seed=7):
+    """Series of the given lengths, one per sensor."""
+    parts = {f"s{i}": some_series(n, seed + i) for i, n in enumerate(sizes)}
+    frame = None
+    for name, data in parts.items():
+        one = readings(spark, data).withColumn("sensor", F.lit(name).cast("string"))
+        frame = one if frame is None else frame.unionByName(one)
+    return parts, frame
+
+
+@pytest.mark.parametrize("rows_per_chunk", [7, 40])
+def test_cuts_of_a_large_entity_among_small_ones(spark, rows_per_chunk, tmp_path):
+    parts, frame = sensors(spark, [160, 30, 3, 1, 90])
+    frame.write.parquet(str(tmp_path / "sensors"))
+    frame = spark.read.parquet(str(tmp_path / "sensors"))
+    series = columns.Series(entity_cols=("sensor",))
+    cuts = features.cut_points(frame, rows_per_chunk=rows_per_chunk, entity_cols=["sensor"])
+    sizes = {
+        r["sensor"]: r["n"]
+        for r in frame.groupBy("sensor", F.date_trunc("month", KEY)).agg(F.count("*").alias("n"))
+        .groupBy("sensor").agg(F.max("n").alias("n")).collect()
+    }
+    assert {s for s, _ in cuts} == {s for s, n in sizes.items() if n > rows_per_chunk}
+    built = features.build(frame, series, cuts)
+    for name, data in parts.items():
+        got = by_time(built.filter(F.col("sensor").eqNullSafe(name)))
+        expected = brute_force(data)
+        assert got.keys() == expected.keys()
+        for at, values in expected.items():
+            assert [got[at][x] for x in features.FEATURE_COLS] == pytest.approx(values, abs=1e-9)
+    built.collect()
+    final = plan_of(built).split("== Initial Plan ==")[0]
+    assert count(final, "ReusedExchange") >= 1 and count(final, "FileScan parquet") == 1
+    divided = features._with_own_chunk(
+        frame.withColumn("_period", series.period_start()), series, cuts
+    )
+    assert divided.filter("sensor = 's2'").filter("_divided").isEmpty()
+    per = divided.groupBy("sensor", "_period", "_chunk").count().agg(F.max("count")).first()[0]
+    assert per <= rows_per_chunk + 5  # and what its last minute holds
+
+
+def test_small_entities_are_not_cut(spark):
+    many = spark.range(20_000).select(
+        (F.col("id") % 500).alias("sensor"),
+        F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 60).alias(KEY),
+    )
+    assert features.cut_points(many, rows_per_chunk=100, entity_cols=["sensor"]) == []
+    hot = many.withColumn("sensor", F.when(F.col("sensor") < 250, -1).otherwise(F.col("sensor")))
+    cuts = features.cut_points(hot, rows_per_chunk=1000, entity_cols=["sensor"])
+    assert {c[0] for c in cuts} == {-1} and len(cuts) == 9
+
+
 def test_micros(spark):
     at = spark.createDataFrame([("1969-12-31 23:59:59.5",), ("2024-02-29 13:14:15",)], "s string")
     both = at.select(F.col("s").cast("timestamp").alias("z"), F.col("s").cast("timestamp_ntz"))
@@ -234,14 +286,10 @@ def test_chunked_branches_share_the_shuffle(spark, tmp_path):
     assert "Python" not in final
 
 
-def test_cuts_are_found_where_none_are_given(spark, tmp_path, monkeypatch):
+def test_no_job_looks_for_cuts(spark, tmp_path, monkeypatch):
     data = stored(spark, tmp_path)
-    asked = []
-    monkeypatch.setattr(features, "cut_points", lambda *a, **k: asked.append(a) or [])
-    features.build(data, cuts=())
-    assert asked == []
-    features.build(data)
-    assert len(asked) == 1
+    monkeypatch.setattr(features, "cut_points", lambda *a, **k: pytest.fail("asked for cuts"))
+    assert count(plan_of(features.build(data)), "FileScan parquet") == 1
 
 
 def test_many_chunks_get_tasks_of_their_own(spark, tmp_path):
