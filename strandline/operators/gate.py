@@ -56,6 +56,7 @@ RULES = (
     Rule("plasma_temperature", "not_null", "Null Plasma Temperature Measurement"),
     Rule("solar_wind_speed", "not_negative", "Negative Solar Wind Speed Value"),
 )
+# Fixed value: the reason where no rule names one.
 OTHER_REASON = "Failed Validation Check"
 
 # NaN and Infinity pass the rules above. Add these to turn them away, before an
