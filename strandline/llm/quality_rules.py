@@ -65,11 +65,16 @@ filter(transform(split(text, '\\n'), l ->
 
 
 def common_lines(
-    docs: DataFrame, min_docs: int = 10, max_share: float = 0.1, host_col: str = "source"
+    docs: DataFrame,
+    min_docs: int = 10,
+    max_share: float = 0.1,
+    host_col: str = "source",
+    max_docs: int | None = None,
 ) -> DataFrame:
     """(host, line): lines, by hash, in more than ``min_docs`` documents of a host and
-    in more than ``max_share`` of them. Each task first combines equal pairs, so a
-    line or host that a third of all rows hold travels as one row per task."""
+    in more than ``max_share`` of them, or, where ``max_docs`` is given, in more than
+    that many of them, however large the host. Each task first combines equal pairs, so
+    a line or host that a third of all rows hold travels as one row per task."""
     texts = docs.select(F.col(host_col).alias("host"), F.col("text"))
     sizes = texts.groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
     counts = (
@@ -80,10 +85,13 @@ def common_lines(
         .agg(F.count(F.lit(1)).alias("n_docs"))
         .filter(F.col("n_docs") > min_docs)
     )
+    common = F.col("n_docs") > max_share * F.col("host_docs")
+    if max_docs is not None:
+        common |= F.col("n_docs") > max_docs
     return (
         counts.alias("c")
         .join(sizes.alias("s"), F.expr("c.host <=> s.host"))
-        .filter(F.col("n_docs") > max_share * F.col("host_docs"))
+        .filter(common)
         .select("c.host", "c.line")
     )
 
@@ -97,6 +105,7 @@ def judge(
     text_col: str = "text",
     host_col: str = "source",
     salts: int = 64,
+    max_docs: int | None = None,
 ) -> DataFrame:
     """One row per document: the figures, removed_share, depleted, kept.
 
@@ -112,7 +121,7 @@ def judge(
     source = docs.select(
         F.col(id_col), F.col(text_col).alias("text"), F.col(host_col).alias("host")
     )
-    common = common_lines(source, min_docs, max_share, "host").selectExpr(
+    common = common_lines(source, min_docs, max_share, "host", max_docs).selectExpr(
         "host AS at_host",
         "line AS at_line",
         f"explode(sequence(0, {salts - 1})) AS at_salt",

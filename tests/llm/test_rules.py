@@ -70,6 +70,18 @@ def test_common_lines_per_host(spark):
     assert share == len(line) / (len(line) + len(LONG))
 
 
+def test_common_lines_of_a_very_large_host(spark):
+    line = "Home | About | Contact us today"
+    docs = spark.range(40_000).selectExpr(
+        "id AS doc_id", f"IF(id < 3000, '{line}', translate(id, '0123456789', 'abcdefghij')) AS text", "'hot' AS source"
+    )
+    assert quality_rules.judge(docs).filter("depleted").count() == 0  # 7.5 % of the host
+    rows = quality_rules.judge(docs, max_docs=1000).filter("depleted").collect()
+    assert {r.doc_id for r in rows} == set(range(3000))
+    few = quality_rules.judge(docs, max_docs=3000)
+    assert few.filter("depleted").count() == 0
+
+
 RULES = [*queries.URL_RULES, ("x.net", "", "block"), ("x.net", "", "allow"), ("x.net", "/a", "allow")]
 URLS = [
     None,
