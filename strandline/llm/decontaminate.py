@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +20,9 @@ SAMPLES = 24  # bit samples per walk
 SAMPLED = 6  # places per sample
 REACH = 1.6  # sampled steps of a walk per byte of the item; a walk moves every other one
 CLASS = 32  # items are walked by their length in such units
-SEED_WORDS = 2
-SEEDS = 3  # seeds that must agree on a place, where the item has as many
+GRAM = 8  # bytes of a seed at most
+LEAST_GRAM = 6  # bytes of a seed at least, where several must agree
+SEEDS = 3  # seeds that must agree on a place, where the item has room for them
 MAX_ITEMS = 20_000  # broadcast at once; more items are gone through in parts
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -67,6 +69,11 @@ class Walk:
         return out[where.ravel()].reshape(SAMPLES, SAMPLED, len(starts))
 
 
+@lru_cache(maxsize=1024)
+def walk_of(seed: int, steps: int) -> Walk:
+    return Walk(seed, steps)
+
+
 def met(
     strings: np.ndarray, starts: np.ndarray, item: np.ndarray, items: Items
 ) -> np.ndarray:
@@ -79,7 +86,7 @@ def met(
         some = np.flatnonzero(classes == size)
         at_item = np.searchsorted(some, item[own])
         for number in range(WALKS):
-            walk = Walk(1000 * int(size) + number + 1, steps)
+            walk = walk_of(1000 * int(size) + number + 1, steps)
             theirs = walk.samples(items.data, items.starts[some])
             for first in range(0, len(own), 1 << 15):
                 part = slice(first, first + (1 << 15))
@@ -120,17 +127,43 @@ def edit_distance(item: bytes, text: bytes, most: int) -> int:
     return best
 
 
+@dataclass(frozen=True)
+class Seeds:
+    """Pieces of ``size`` bytes as sorted numbers, with their items and places."""
+
+    size: int
+    flags: np.ndarray
+    keys: np.ndarray
+    items: np.ndarray
+    places: np.ndarray
+
+    def hits(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The places of grams that are seeds, and the seeds; in pairs."""
+        wanted = grams >> U64(8 * (GRAM - self.size))
+        some = np.flatnonzero(self.flags[slot(wanted, len(self.flags))])
+        low = np.searchsorted(self.keys, wanted[some])
+        times = np.searchsorted(self.keys, wanted[some], side="right") - low
+        return np.repeat(some, times), np.repeat(low, times) + ragged(times)
+
+
+def slot(keys: np.ndarray, slots: int) -> np.ndarray:
+    return (keys * U64(0x9E3779B97F4A7C15)) >> U64(65 - slots.bit_length())
+
+
+def grams(strings: np.ndarray, size: int) -> np.ndarray:
+    """The GRAM bytes from each of ``size`` places as a number, the first byte highest."""
+    return np.ndarray(size, ">u8", np.ascontiguousarray(strings), strides=(1,)).astype(U64)
+
+
 @dataclass(frozen=True)
 class Items:
-    """Benchmark items: ids, normalised bytes behind one another, seeds by hash."""
+    """Benchmark items: ids, normalised bytes behind one another, seeds by size."""
 
     ids: list
     data: np.ndarray
     starts: np.ndarray
     sizes: np.ndarray
-    seed_hashes: np.ndarray
-    seed_items: np.ndarray
-    seed_places: np.ndarray
+    seeds: list[Seeds]
     needed: np.ndarray
     share: float
 
@@ -139,77 +172,53 @@ class Items:
         return (self.sizes[item] * self.share).astype(np.int64)
 
 
-def items_of(ids: list, texts: list[str], share: float, words: int = SEED_WORDS) -> Items:
-    """Seeds are the runs of ``words`` words of each item; shorter items have one."""
-    column = pa.array(texts, pa.string())
-    data, offsets = normal(*tokens.utf8(column))
-    clean = pa.array([data[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)])
-    hashes, rows, firsts, _ = tokens.words(clean, places=True)
-    found, of, places = [], [], []
-    bounds = tokens.row_bounds(rows, len(ids))
-    for i in range(len(ids)):
-        own = slice(bounds[i], bounds[i + 1])
-        n = min(words, bounds[i + 1] - bounds[i])
-        if n:
-            runs, _ = tokens.shingles(hashes[own], rows[own], n)
-            found.append(runs + U64(n))
-            of.append(np.full(len(runs), i))
-            places.append(firsts[own][: len(runs)])
-    join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
-    seeds = join(found, U64)
-    order = np.argsort(seeds, kind="stable")
+def items_of(ids: list, texts: list[str], share: float) -> Items:
+    """Each item of e edits at most is cut into e + k pieces, so that k of them are whole
+    in any match; k is SEEDS, or less where the pieces would be shorter than LEAST_GRAM."""
+    data, offsets = normal(*tokens.utf8(pa.array(texts, pa.string())))
     sizes = np.diff(offsets)
-    pad = np.zeros(int(REACH * sizes.max(initial=0)) + 1, np.uint8)
-    return Items(
-        ids,
-        np.concatenate([data, pad]),
-        offsets[:-1],
-        sizes,
-        seeds[order],
-        join(of, np.int64)[order],
-        join(places, np.int64)[order],
-        np.minimum(np.bincount(join(of, np.int64), minlength=len(ids)), SEEDS),
-        share,
-    )
-
-
-def seeds_in(column: pa.Array, items: Items, words: int = SEED_WORDS) -> tuple[np.ndarray, ...]:
-    """Where a document shares a seed with an item: its row, the item, and where the
-    item would begin in the normalised text; each only once."""
-    hashes, rows, firsts, _ = tokens.words(column, places=True)
+    pad = np.zeros(int(REACH * sizes.max(initial=0)) + GRAM, np.uint8)
+    strings = np.concatenate([data, pad])
+    edits = (sizes * share).astype(np.int64)
+    needed = np.ones(len(ids), np.int64)
+    for k in range(2, SEEDS + 1):
+        needed[sizes // (edits + k) >= LEAST_GRAM] = k
+    pieces = np.where(sizes > 0, edits + needed, 0)
+    of = np.repeat(np.arange(len(ids)), pieces)
+    place = ragged(pieces) * sizes[of] // np.maximum(pieces[of], 1)
+    length = np.clip(sizes // np.maximum(pieces, 1), 1, GRAM)[of]
+    keys = grams(strings, len(data))[offsets[:-1][of] + place]
+    seeds = []
+    for size in np.unique(length):
+        own = np.flatnonzero(length == size)
+        short = keys[own] >> U64(8 * (GRAM - int(size)))
+        order = np.argsort(short, kind="stable")
+        own, short = own[order], short[order]
+        flags = np.zeros(max(1 << 16, 1 << (16 * len(own)).bit_length()), bool)
+        flags[slot(short, len(flags))] = True
+        seeds.append(Seeds(int(size), flags, short, of[own], place[own]))
+    return Items(ids, strings, offsets[:-1], sizes, seeds, needed, share)
+
+
+def seeds_in(
+    strings: np.ndarray, offsets: np.ndarray, items: Items
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where a document shares as many seeds with an item as a match has whole: its
+    row, the item, and where the item would begin in the row; each only once."""
+    size = int(offsets[-1])
+    found = grams(strings, size)
     parts = []
-    for n in range(1, words + 1):
-        if len(hashes) < n or not len(items.seed_hashes):
-            continue
-        runs, of = tokens.shingles(hashes, rows, n)
-        inside = rows[: len(hashes) - n + 1] == rows[n - 1 :]
-        place = firsts[: len(hashes) - n + 1][inside]
-        wanted = runs + U64(n)
-        low = np.searchsorted(items.seed_hashes, wanted)
-        hit = np.flatnonzero(
-            items.seed_hashes[np.minimum(low, len(items.seed_hashes) - 1)] == wanted
-        )
-        high = np.searchsorted(items.seed_hashes, wanted[hit], side="right")
-        times = high - low[hit]
-        index = np.repeat(low[hit], times) + ragged(times)
-        at = np.repeat(place[hit], times) - items.seed_places[index]
-        parts.append(
-            (np.repeat(of[hit], times), items.seed_items[index], at, items.seed_places[index])
-        )
+    for seeds in items.seeds:
+        at, seed = seeds.hits(found)
+        row = np.searchsorted(offsets, at, side="right") - 1
+        inside = at + seeds.size <= offsets[row + 1]
+        at, seed, row = at[inside], seed[inside], row[inside]
+        parts.append((row, seeds.items[seed], at - offsets[row] - seeds.places[seed]))
     if not parts:
         return tuple(np.zeros(0, np.int64) for _ in range(3))
-    row, item, at, place = (np.concatenate(x).astype(np.int64) for x in zip(*parts, strict=True))
-    order = np.lexsort((place, at, item, row))
-    row, item, at, place = row[order], item[order], at[order], place[order]
-    # A run that a text repeats over and over counts once.
-    again = np.zeros(len(row), bool)
-    again[1:] = (
-        (np.diff(row) == 0)
-        & (np.diff(item) == 0)
-        & (np.diff(place) == 0)
-        & (np.diff(at) <= items.edits(item[1:]))
-    )
-    row, item, at = row[~again], item[~again], at[~again]
+    row, item, at = (np.concatenate(x).astype(np.int64) for x in zip(*parts, strict=True))
+    order = np.lexsort((at, item, row))
+    row, item, at = row[order], item[order], at[order]
     # So many seeds must place the item within its edits of one another.
     enough = items.needed[item] < 2
     for n in range(2, SEEDS + 1):
@@ -238,28 +247,35 @@ def ragged(sizes: np.ndarray) -> np.ndarray:
 def batch_matches(column: pa.Array, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, item and distance of the items found in a block of texts."""
     data, offsets = normal(*tokens.utf8(column))
-    clean = pa.Array.from_buffers(
-        pa.large_binary(), len(column), [None, pa.py_buffer(offsets), pa.py_buffer(data)]
-    )
-    row, item, at = seeds_in(clean, items)
-    longest = int(REACH * items.sizes.max(initial=0)) + 1
+    longest = int(REACH * items.sizes.max(initial=0)) + GRAM
     strings = np.concatenate([data, np.zeros(longest, np.uint8)])
+    row, item, at = seeds_in(strings, offsets, items)
     begin = np.clip(at, 0, np.diff(offsets)[row]) + offsets[row]
-    close = np.flatnonzero(met(strings, begin, item, items))
+    close = met(strings, begin, item, items)
+    most = items.edits(item)
+    # Windows within an item's edits of the one before are confirmed together: those
+    # that met, and all where these hold no match, as a walk can miss one.
+    new = np.ones(len(row), bool)
+    new[1:] = (np.diff(row) != 0) | (np.diff(item) != 0) | (np.diff(at) > most[1:])
+    bounds = np.append(np.flatnonzero(new), len(row))
     best: dict[tuple[int, int], int] = {}
-    for k in close:
-        key = (int(row[k]), int(item[k]))
-        most = int(items.edits(item[k]))
-        if best.get(key, most + 1) == 0:
+    for first, last in zip(bounds[:-1], bounds[1:], strict=True):
+        key = (int(row[first]), int(item[first]))
+        if best.get(key) == 0:
             continue
-        first, size = int(items.starts[key[1]]), int(items.sizes[key[1]])
-        low = max(int(begin[k]) - most, int(offsets[key[0]]))
-        high = min(int(begin[k]) + size + most, int(offsets[key[0] + 1]))
-        distance = edit_distance(
-            items.data[first : first + size].tobytes(), data[low:high].tobytes(), most
-        )
-        if distance <= most:
-            best[key] = min(distance, best.get(key, distance))
+        edits, start, size = int(most[first]), int(items.starts[key[1]]), int(items.sizes[key[1]])
+        own = begin[first:last]
+        for windows in (own[close[first:last]], own):
+            if not len(windows):
+                continue
+            low = max(int(windows.min()) - edits, int(offsets[key[0]]))
+            high = min(int(windows.max()) + size + edits, int(offsets[key[0] + 1]))
+            distance = edit_distance(
+                items.data[start : start + size].tobytes(), data[low:high].tobytes(), edits
+            )
+            if distance <= edits:
+                best[key] = min(distance, best.get(key, distance))
+                break
     found = np.array([(*key, distance) for key, distance in best.items()], np.int64).reshape(-1, 3)
     return found[:, 0], found[:, 1], found[:, 2]
 
@@ -278,10 +294,12 @@ def matches(
 
     Both are compared in ASCII lower case with one blank between words, as bytes. An
     item is found where some substring is within ``max_edit_share`` of its length in
-    edits. Windows of an item's size are set where SEEDS two-word runs of the item
-    agree on its place; random walks embed window and item so that few edits become
-    few differing places; they meet if any of WALKS * SAMPLES samples of SAMPLED
-    places is equal; the exact distance then confirms. Tests measure the recall.
+    edits (e). Windows of an item's size are set where as many of its e + k pieces agree
+    on its place as any such substring has whole, k; no match is without a window,
+    whatever its length or script. Random walks embed window and item so that few edits
+    become few differing places; windows meet if any of WALKS * SAMPLES samples of
+    SAMPLED places is equal. The exact distance confirms the windows that met; where it
+    finds nothing there, it goes over the others, so a walk loses no match.
 
     The items are broadcast, MAX_ITEMS at a time: more are gone through in parts, one
     scan of the documents each. Texts travel nowhere. Null and empty texts and items

@@ -73,6 +73,36 @@ def test_recall_and_precision(spark, items, share, recall):
         assert x.distance <= 0.1 * len(items[x.item_id].encode())
 
 
+def cut_items(items, words):
+    """The items' first words; for no number, texts without blanks."""
+    if words:
+        return [" ".join(t.split()[:words]) for t in items.values()]
+    r = random.Random(5)
+    return ["".join(chr(0x4E00 + r.randrange(3000)) for _ in range(40)) for _ in range(40)]
+
+
+@pytest.mark.parametrize("words", [3, 4, 5, 6, 8, 12, 24, 99, None])
+def test_every_match_at_the_limit_is_found(spark, items, words):
+    """All items within 10 % of edits, by length, also short ones and without blanks."""
+    r = random.Random(8)
+    some = cut_items(items, words)
+    bench = spark.createDataFrame(list(enumerate(some)), "item_id long, text string")
+    docs, expected = [], {}
+    for n in range(150):
+        at = r.randrange(len(some))
+        text = f"before it {edited(some[at], 0.1, r)} behind it"
+        docs.append((n, text))
+        item = " ".join(some[at].split()).encode().lower()
+        place = " ".join(text.split()).encode().lower()
+        distance = decontaminate.edit_distance(item, place, 99)
+        if distance <= int(len(item) * 0.1):
+            expected[n, at] = distance
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {(x.doc_id, x.item_id): x.distance for x in decontaminate.matches(frame, bench).collect()}
+    assert len(expected) > 100
+    assert expected.items() <= found.items()
+
+
 def test_items_in_parts_and_odd_rows(spark, items, monkeypatch):
     some = list(items.items())[:7]
     bench = spark.createDataFrame(
