@@ -1,11 +1,11 @@
 """Language-model scores from a Bloom filter of quantised n-gram counts.
 
-The model is a bigram model smoothed towards exact unigram counts. Bigrams, and
-words as histories, live in one bit array: an n-gram with count c is stored as the
+The model is a bigram model smoothed towards exact unigram counts. It keeps every
+bigram. The frequent ones, and the frequent words as histories, live in one bit
+array of bounded size, which is broadcast: an n-gram with count c is stored as the
 pairs (n-gram, 1), ..., (n-gram, level(c)), so that repeated membership probes,
-level by level until one fails, give its level back. Exact word counts come in two
-parts: the most frequent words in a sorted table of bounded size, which is
-broadcast, and all others through a join.
+level by level until one fails, give its level back. All others come through a join
+with their counts, quantised alike. Word counts come in the same two parts.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm import tokens
@@ -97,10 +97,33 @@ def tally(hashes: np.ndarray, column: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([signed(found), pa.array(counts)], names=[column, "n"])
 
 
+def runs(rows: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each (row, key) once, with how often it is there."""
+    order = np.lexsort((keys, rows))
+    r, k = rows[order], keys[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (r[1:] != r[:-1]) | (k[1:] != k[:-1])
+    first = np.flatnonzero(new)
+    return r[first], k[first], np.diff(np.append(first, len(order)))
+
+
+def value_of(n: Column) -> Column:
+    """``value(level(n))`` of a column."""
+    power = F.pow(F.lit(2.0), F.floor(F.log2(n + 0.5)))
+    middle = F.ceil(power * 2**0.5)
+    return F.when(n >= middle, middle).otherwise(power)
+
+
+# What a row of a text holds: its sums, a word or a bigram that a join looks up.
+SUMS, WORD, PAIR = 0, 1, 2
+
+
 @dataclass(frozen=True)
 class Model:
     """Head words (sorted hashes) with exact counts, the filter, the totals, and the
-    folder with the counts of all words."""
+    folders with the counts of all words and bigrams. Words with a count of
+    ``head_least`` are head words; the filter has the bigrams of two of them with a
+    count of ``least``."""
 
     head: np.ndarray
     head_counts: np.ndarray
@@ -110,6 +133,8 @@ class Model:
     strength: float
     words: str
     head_least: int
+    pairs: str
+    least: int
 
     def known(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Whether a hash is a head word, and its count."""
@@ -120,56 +145,58 @@ class Model:
         return hit, np.where(hit, self.head_counts[at], 0)
 
     def rows(self, ids: pa.Array, of: pa.Array, column: pa.Array) -> pa.RecordBatch:
-        """A row of sums for each text, and one for each of its words outside the head."""
+        """A row of sums for each text, and one for each of its words and bigrams
+        that are not counted here."""
         n = len(column)
         hashes, rows = stream(column)
         distinct, at = np.unique(hashes, return_inverse=True)
         is_head, counts = self.known(distinct)
         scale = np.log10(self.train_tokens + self.train_words + 1.0)
-        log_p = np.log10(counts + 1.0) - scale
-        before = histories(hashes, rows)
-        starts = np.flatnonzero(np.diff(rows, prepend=-1))
+        log_p = np.log10(counts + 1.0) - scale  # of a word outside the head: as if unseen
         before_at = np.concatenate(([0], at[:-1]))
-        before_at[starts] = np.searchsorted(distinct, END)
+        before_at[np.flatnonzero(np.diff(rows, prepend=-1))] = np.searchsorted(distinct, END)
         history = np.where(is_head, value(probe(self.array, distinct)), 0.0)[before_at]
         head = is_head[at]
 
-        both = np.flatnonzero((history > 0) & head)
+        pair_names = pair_hash(distinct[before_at], hashes)
+        inside = head & is_head[before_at]
+        both = np.flatnonzero(inside)
         joint = np.zeros(len(hashes))
-        pairs, pair_at = np.unique(pair_hash(before[both], hashes[both]), return_inverse=True)
-        joint[both] = value(probe(self.array, pairs))[pair_at]
+        pairs, pair_at = np.unique(pair_names[both], return_inverse=True)
+        levels = probe(self.array, pairs)
+        levels[levels < level(np.array([self.least]))] = 0
+        joint[both] = value(levels)[pair_at]
         joint = np.minimum(joint, history)
-        # A word outside the head has no joint count; the logarithm of its count + 1
-        # is added after the join.
+        # Without a joint count; log10(1 + c(h, w) / (s * p(w))) is added for one, and
+        # what the counts of words outside the head change.
         s, p = self.strength, 10.0 ** log_p[at]
-        gain = np.where(
-            head, np.log10((joint + s * p) / (history + s)), np.log10(s / (history + s)) - scale
-        )
-        base = np.where(head, log_p[at], -scale)
+        gain = np.log10((joint + s * p) / (history + s))
 
+        sought = np.zeros(len(hashes), bool)
+        if self.least > 1:
+            sought[both] = levels[pair_at] == 0
+        if self.head_least > 1:
+            sought |= ~inside
         rare = np.flatnonzero(~head)
-        order = rare[np.lexsort((at[rare], rows[rare]))]
-        r, w = rows[order], at[order]
-        first = np.flatnonzero(np.diff(r, prepend=-1).astype(bool) | (np.diff(w, prepend=-1) != 0))
-        times = np.diff(np.append(first, len(order)))
-        more = len(first)
-        joined = lambda a, b: pa.array(np.concatenate([a, b]))
+        word_rows, word, word_times = runs(rows[rare], at[rare])
+        pair_rows, pair, pair_times = runs(rows[sought], pair_names[sought])
+        whose = pa.array(np.concatenate([word_rows, pair_rows]))
+        more = np.zeros(len(whose))
         sums = lambda x: np.bincount(rows, x, minlength=n)
-        none = np.zeros(more)
-        whose = pa.array(r[first])
+        what = np.repeat(np.array([SUMS, WORD, PAIR], np.int8), [n, len(word), len(pair)])
+        local = sums((counts[at] > 0) & head).astype(np.int64)
         return pa.RecordBatch.from_arrays(
             [
                 pa.concat_arrays([ids, ids.take(whose)]),
                 pa.concat_arrays([of, of.take(whose)]),
-                joined(np.zeros(n, bool), np.ones(more, bool)),
-                pa.concat_arrays([of, signed(distinct[w[first]])]),
-                joined(np.ones(n, np.int64), none.astype(np.int64)),
-                joined(sums(None).astype(np.int64), none.astype(np.int64)),
-                joined(sums((counts[at] > 0) & head).astype(np.int64), times),
-                joined(sums(base), none),
-                joined(sums(gain), none),
+                pa.array(what),
+                pa.concat_arrays([of, signed(distinct[word]), signed(pair)]),
+                pa.array(np.concatenate([sums(None), more]).astype(np.int64)),
+                pa.array(np.concatenate([local, word_times, pair_times])),
+                pa.array(np.concatenate([sums(log_p[at]), more])),
+                pa.array(np.concatenate([sums(gain), more])),
             ],
-            names=["id", "of", "rare", "word", "copies", "tokens", "times", "base", "gain"],
+            names=["id", "of", "what", "key", "tokens", "times", "base", "gain"],
         )
 
 
@@ -185,30 +212,47 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(task, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def pair_counts(texts: DataFrame, head: np.ndarray) -> DataFrame:
-    """(pair, n): bigrams of two head words; a text's first token follows END. A pair
-    is no more frequent than its words, so none of the more frequent pairs is missed."""
-    shared_head = texts.sparkSession.sparkContext.broadcast(head)
+def pair_counts(texts: DataFrame, head: np.ndarray, head_counts: np.ndarray) -> DataFrame:
+    """(pair, kind, tag, n): all bigrams; a text's first token follows END. Kind 0:
+    both are head words, 1: the second is; tag is then its count. Kind 2: it is not,
+    and tag is the word."""
+    shared_head = texts.sparkSession.sparkContext.broadcast((head, head_counts))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared_head.value
+        known, counts = shared_head.value
         for batch in batches:
             for block in tokens.blocks(batch, 0, COUNTED):
                 hashes, rows = stream(block.column(0))
-                before = histories(hashes, rows)
-                at = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
+                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
                 inside = known[at] == hashes if len(known) else np.zeros(len(hashes), bool)
-                both = inside & np.concatenate(([True], inside[:-1]))
-                yield tally(pair_hash(before[both], hashes[both]), "pair")
-
-    return texts.mapInArrow(task, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+                # The last token is END, as is the one before each text's first.
+                before = np.concatenate((inside[-1:], inside[:-1]))
+                found, first, n = np.unique(
+                    pair_hash(histories(hashes, rows), hashes),
+                    return_index=True,
+                    return_counts=True,
+                )
+                tag = hashes[first].view(np.int64)
+                if len(known):
+                    tag = np.where(inside[first], counts[at[first]], tag)
+                kind = np.where(inside[first], np.where(before[first], 0, 1), 2)
+                yield pa.RecordBatch.from_arrays(
+                    [signed(found), pa.array(kind.astype(np.int8)), pa.array(tag), pa.array(n)],
+                    names=["pair", "kind", "tag", "n"],
+                )
+
+    counted = texts.mapInArrow(task, "pair long, kind tinyint, tag long, n long")
+    return counted.groupBy("pair").agg(
+        F.max("kind").alias("kind"), F.max("tag").alias("tag"), F.sum("n").alias("n")
+    )
 
 
-def least_count(counted: DataFrame, most: int, least: int = 1) -> int:
-    """The least power of two, ``least`` at least, that at most ``most`` counts reach."""
+def least_count(counted: DataFrame, most: int, weight: Column | None = None) -> int:
+    """The least power of two that counts of at most ``most`` items, or of that sum of
+    ``weight``, reach."""
     sizes = (
         counted.groupBy(F.floor(F.log2("n")).cast("int").alias("power"))
-        .agg(F.count(F.lit(1)).alias("items"))
+        .agg(F.sum(F.lit(1) if weight is None else weight).alias("items"))
         .collect()
     )  # 64 rows at most
     limit, total = 1, 0
@@ -217,7 +261,7 @@ def least_count(counted: DataFrame, most: int, least: int = 1) -> int:
         if total > most:
             limit = 1 << (power + 1)
             break
-    return max(limit, least)
+    return limit
 
 
 def fill(items: DataFrame, bits: int) -> np.ndarray:
@@ -273,9 +317,9 @@ def fit(
     """Learn from all ``texts``.
 
     ``head_words`` and ``max_filter_bits`` bound what is broadcast (16 bytes a word;
-    32 MB). All word counts are kept exactly, in a table in the shared folder. The
-    filter takes all bigrams of head words with a count of at least 2 and grows with
-    them up to its bound; beyond it the least count doubles until they fit.
+    32 MB), not what is counted: all words and bigrams are kept exactly, in tables in
+    the shared folder. The filter takes the head words and the most frequent bigrams
+    of two of them, by their measured levels, half full at most.
     ``strength`` is the weight of the unigram model in a bigram's probability, in
     counts of the history. Null texts count as empty: one end token.
     """
@@ -288,27 +332,67 @@ def fit(
     top = counted.filter(F.col("n") >= head_least).toArrow()
     names = top.column("word").to_numpy().view(U64)
     order = np.argsort(names)
+    head, head_counts = names[order], top.column("n").to_numpy()[order].astype(np.int64)
 
-    pairs = spark.read.parquet(stored(pair_counts(only, names[order]).filter("n >= 2"), "pairs"))
-    least = least_count(pairs, max_filter_bits // (16 * PROBES), least=2)
+    path = stored(pair_counts(only, head, head_counts), "pairs")
+    pairs = spark.read.parquet(path).filter("kind = 0")
+    head_levels = int(level(head_counts).sum()) if len(head) else 0
+    each = F.floor(F.log2("n") * STEPS) + 1
+    least = least_count(pairs, max_filter_bits // (2 * PROBES) - head_levels, each)
     items = (
         pairs.filter(F.col("n") >= least)
-        .unionByName(counted.filter(F.col("n") >= head_least).withColumnRenamed("word", "pair"))
-        .withColumnRenamed("pair", "item")
+        .select(F.col("pair").alias("item"), "n")
+        .unionByName(
+            counted.filter(F.col("n") >= head_least).select(F.col("word").alias("item"), "n")
+        )
     )
-    levels = items.agg(F.sum(F.floor(F.log2("n") * STEPS) + 1)).first()[0] or 1
+    levels = items.agg(F.sum(each)).first()[0] or 1
     bits = 1 << 16
     while bits < 2 * PROBES * levels and bits < max_filter_bits:
         bits *= 2
     return Model(
-        head=names[order],
-        head_counts=top.column("n").to_numpy()[order].astype(np.int64),
+        head=head,
+        head_counts=head_counts,
         array=fill(items, bits),
         train_tokens=int(train_tokens or 0),
         train_words=int(train_words),
         strength=strength,
         words=words,
         head_least=head_least,
+        pairs=path,
+        least=least,
+    )
+
+
+def lookup(spark: SparkSession, model: Model) -> DataFrame:
+    """(what, key, base, gain): what the words and bigrams that are not broadcast add
+    to a text's sums, each time they are there."""
+    s, total = model.strength, model.train_tokens + model.train_words + 1.0
+    rare = spark.read.parquet(model.words).filter(F.col("n") < model.head_least)
+    log_count = F.log10(F.col("n") + 1)
+    # A text's histories are its tokens, so a word counts as often as either.
+    words = rare.select(
+        F.lit(WORD).cast("tinyint").alias("what"),
+        F.col("word").alias("key"),
+        log_count.alias("base"),
+        (log_count - F.log10(value_of(F.col("n")) / s + 1)).alias("gain"),
+    )
+    pairs = spark.read.parquet(model.pairs)
+    known = pairs.filter((F.col("kind") == 1) | ((F.col("kind") == 0) & (F.col("n") < model.least)))
+    named = pairs.filter("kind = 2").join(
+        rare.select(F.col("word").alias("tag"), F.col("n").alias("of_word")), "tag"
+    )
+    both = known.select("pair", "n", F.col("tag").alias("of_word")).unionByName(
+        named.select("pair", "n", "of_word")
+    )
+    share = value_of(F.col("n")) * total / (s * (F.col("of_word") + 1))
+    return words.unionByName(
+        both.select(
+            F.lit(PAIR).cast("tinyint").alias("what"),
+            F.col("pair").alias("key"),
+            F.lit(0.0).alias("base"),
+            F.log10(share + 1).alias("gain"),
+        )
     )
 
 
@@ -319,13 +403,13 @@ def score(
 
     base_score sums log10((c + 1) / (N + V + 1)) over a text's tokens, with exact
     counts. score sums log10((c(h, w) + s * p(w)) / (c(h) + s)): p the same unigram
-    probability, s the model's strength, c(h) and c(h, w) from the filter's probes. A
-    filter errs upwards only; c(h, w) is held to c(h).
+    probability, s the model's strength, c(h) and c(h, w) quantised, of all words and
+    bigrams learned. A filter errs upwards only; c(h, w) is held to c(h).
 
-    Head words are scored where the text is read. Other words travel as (document,
-    word, count) rows to a join with their counts: none of them is frequent, so no
-    key is hot. A text of null is one end token. Repeated rows give as many rows;
-    other columns are not read.
+    Frequent n-grams are scored where the text is read. Other words, and bigrams that
+    the filter does not have, travel as (document, n-gram, count) rows to a join with
+    their counts: none of them is frequent, so no key is hot. A text of null is one
+    end token. Repeated rows give as many rows; other columns are not read.
     """
     spark = docs.sparkSession
     shared_model = spark.sparkContext.broadcast(model)
@@ -342,24 +426,23 @@ def score(
         F.col(text_col).alias("text"),
     ).mapInArrow(
         task,
-        f"id {kind}, of long, rare boolean, word long, copies long, tokens long, times long, "
+        f"id {kind}, of long, what tinyint, key long, tokens long, times long, "
         "base double, gain double",
     )
-    rare_counts = (
-        spark.read.parquet(model.words)
-        .filter(F.col("n") < model.head_least)
-        .select(F.lit(True).alias("rare"), "word", "n")
-    )
-    log_count = F.log10(F.coalesce("n", F.lit(0)) + 1) * F.col("times")
+    added = lookup(spark, model).withColumnsRenamed({"base": "more_base", "gain": "more_gain"})
+    is_sums = F.col("what") == SUMS
+    is_known = is_sums | ((F.col("what") == WORD) & F.col("more_base").isNotNull())
+    plus = lambda name: F.col(name) + F.coalesce(f"more_{name}", F.lit(0.0)) * F.col("times")
     summed = (
-        rows.join(rare_counts, ["rare", "word"], "left")
+        rows.join(added, ["what", "key"], "left")
+        .filter((F.col("what") != PAIR) | F.col("more_gain").isNotNull())
         .groupBy("id", "of")
         .agg(
-            F.sum("copies").alias("copies"),
+            F.sum(F.when(is_sums, 1).otherwise(0)).alias("copies"),
             F.sum("tokens").alias("tokens"),
-            F.sum(F.when(~F.col("rare") | F.col("n").isNotNull(), F.col("times"))).alias("known"),
-            F.sum(F.col("base") + F.when(F.col("rare"), log_count).otherwise(0)).alias("base"),
-            F.sum(F.col("gain") + F.when(F.col("rare"), log_count).otherwise(0)).alias("gain"),
+            F.sum(F.when(is_known, F.col("times"))).alias("known"),
+            F.sum(plus("base")).alias("base"),
+            F.sum(plus("gain")).alias("gain"),
         )
     )
     # Rows that repeat an id and a text were summed together.

@@ -155,6 +155,40 @@ def test_context_helps(spark):
     assert found[62].score > found[62].base_score
 
 
+def quantised(n):
+    steps = [math.ceil(2 ** (k / 2)) for k in range(60)]
+    return max((x for x in steps if x <= n), default=0)
+
+
+@pytest.mark.parametrize("head_words", [1 << 20, 12])
+@pytest.mark.parametrize("max_filter_bits", [1 << 28, 1 << 16, 1 << 10])
+def test_scores_of_all_bigrams(spark, head_words, max_filter_bits):
+    """What is broadcast changes no score: every bigram and history counts."""
+    r = random.Random(4)
+    vocabulary = [f"w{k}" for k in range(300)]
+    texts = [" ".join(r.choices(vocabulary[: r.choice([5, 300])], k=20)) for _ in range(150)]
+    texts += [*ODD, "new w1 words Only w2", "W1 w2 W3"]
+    learned = [stream(t) for t in texts[:120]]
+    words = Counter(w for t in learned for w in t)
+    pairs = Counter(x for t in learned for x in zip([None, *t], t, strict=False))
+    total, s = sum(words.values()) + len(words) + 1, 64.0
+
+    def expected(text):
+        t = stream(text)
+        return sum(
+            math.log10((quantised(pairs[h, w]) + s * (words[w] + 1) / total) / (quantised(words[h]) + s))
+            for h, w in zip([None, *t], t, strict=False)
+        )
+
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = lm_scoring.fit(frame.filter("doc_id < 120"), head_words, max_filter_bits)
+    found = {x.doc_id: x.score for x in lm_scoring.score(frame, model).collect()}
+    same = [found[i] == pytest.approx(expected(t), rel=1e-9) for i, t in enumerate(texts)]
+    # A filter that is half full gives one unseen bigram in 40 a count.
+    assert sum(same) >= 0.75 * len(same)
+    assert all(found[i] == pytest.approx(expected(t), rel=0.05) for i, t in enumerate(texts))
+
+
 def test_filter_never_underestimates():
     r = np.random.default_rng(2)
     names = r.integers(0, 2**64 - 1, 3000, dtype=np.uint64)
