@@ -86,11 +86,18 @@ def printable(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+def large_cuts(spark: SparkSession, sf_dir: str) -> list[int]:
+    """Cut points at the size that production takes; none, by count, for fewer rows."""
+    size = features.ROWS_PER_CHUNK
+    few = load(spark, sf_dir, "events").count() <= size
+    return [] if few else cuts(spark, sf_dir, size)
+
+
 # ---------------------------------------------------------------- features
 
 
 def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return printable(features.build(silver(spark, sf_dir)))
+    return printable(features.build(silver(spark, sf_dir), cuts=large_cuts(spark, sf_dir)))
 
 
 def feature_table_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,11 +132,11 @@ def feature_table_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
         holed = holed.withColumn(
             name, F.when(F.col("event_id") % every == 0, nan).otherwise(F.col(name))
         )
-    return printable(features.build(holed))
+    return printable(features.build(holed, cuts=large_cuts(spark, sf_dir)))
 
 
 def _some_features(spark: SparkSession, sf_dir: str, names) -> DataFrame:
-    computed = features.compute(silver(spark, sf_dir))
+    computed = features.compute(silver(spark, sf_dir), cuts=large_cuts(spark, sf_dir))
     return printable(computed.select(KEY, *names))
 
 
@@ -151,7 +158,7 @@ def delta_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def month_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First row of each month, where every window has just restarted."""
-    built = features.build(silver(spark, sf_dir))
+    built = features.build(silver(spark, sf_dir), cuts=large_cuts(spark, sf_dir))
     row = F.min(F.struct(KEY, *features.FEATURE_COLS)).alias("row")
     month = F.date_trunc("month", KEY).alias("month")
     return printable(built.groupBy(month).agg(row).select("month", "row.*"))
@@ -377,7 +384,8 @@ def silhouette_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fitting passes over the rows many times: write them once."""
     path = f"{shared.work_folder(spark, 'tables')}/features"
-    tables.replace(features.build(silver(spark, sf_dir)), path)
+    built = features.build(silver(spark, sf_dir), cuts=large_cuts(spark, sf_dir))
+    tables.replace(built, path)
     return tables.read(spark, path)
 
 

@@ -31,3 +31,16 @@ def test_sums_per_month(spark, rows_per_chunk):
         ("2024-01", 506, 177156.717333, 21500.796624, -98.57),
         ("2024-02", 402, 141435.857667, 18518.74381, -17.66),
     ]
+
+
+@pytest.mark.parametrize(
+    "name", ["feature_table", "rolling_mean", "month_boundary", "feature_table_nan"]
+)
+def test_large_months_are_cut_in_the_queries(spark, monkeypatch, name):
+    """A month above the size that production cuts at is divided, with the same rows."""
+    query = getattr(q, name)
+    whole = sorted(map(tuple, query(spark, SF_DIR).collect()))
+    monkeypatch.setattr(features, "ROWS_PER_CHUNK", 200)
+    divided = query(spark, SF_DIR)
+    assert "_chunk" in divided._jdf.queryExecution().toString()
+    assert sorted(map(tuple, divided.collect())) == whole
