@@ -45,10 +45,10 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per piece of at most 4096 tokens: its document, its sequence, its place."""
+    """A row per piece of at most 4096 tokens: its document, token ids, sequence, place."""
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     rows = packing.pieces(docs, tokenizer, capacity=4096, end_id=1)
-    return packing.pack(rows.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), capacity=4096)
+    return packing.pack(rows, capacity=4096)
 
 
 STAGES = [

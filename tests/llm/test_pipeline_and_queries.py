@@ -4,7 +4,10 @@ import glob
 import os
 
 import duckdb
+import numpy as np
+import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 import __spark_entry__ as entry_point
 import corpus_pipeline
@@ -64,6 +67,28 @@ def test_stages(spark, tmp_path):
         assert r.text == before[r.doc_id] or "<" in r.text
 
 
+def test_packed_sequences_hold_their_tokens(spark):
+    """The last stage's rows, side by side, are the sequences; by document, its ids."""
+    docs = queries.table(spark, SF, "documents").limit(40)
+    rows = corpus_pipeline.packed(spark, docs, SF).collect()
+    encoder = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    sequences, texts = {}, {}
+    for r in rows:
+        ids = np.frombuffer(r.ids, "<u4")
+        assert len(ids) == r.length
+        sequences.setdefault(r.sequence_id, []).append((r.offset, len(ids)))
+        texts.setdefault(r.doc_id, []).append((r.start, ids))
+    for places in sequences.values():
+        at = 0
+        for offset, size in sorted(places):
+            assert offset == at
+            at += size
+        assert at <= 4096
+    for d in docs.collect():
+        found = np.concatenate([ids for _, ids in sorted(texts[d.doc_id], key=lambda x: x[0])])
+        assert found.tolist() == [*encoder.encode(d.text, add_special_tokens=False).ids, 1]
+
+
 def test_stages_on_an_empty_table(spark):
     docs = queries.table(spark, SF, "documents").limit(0)
     for name, stage in corpus_pipeline.STAGES:
