@@ -20,6 +20,7 @@ from strandline.llm import (
     quality_classifier,
     quality_rules,
     suffix_dedup,
+    token_counts,
     url_filters,
 )
 from strandline.llm.keep import keep
@@ -127,6 +128,11 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return token_counts.count(table(spark, sf_dir, "documents"), tokenizer, limit=2048)
+
+
 ALL = {
     f.__name__: f
     for f in (
@@ -140,6 +146,7 @@ ALL = {
         op8_url_filters,
         op9_quality_classifier,
         op10_lm_scoring,
+        op11_token_counts,
     )
 }
 
