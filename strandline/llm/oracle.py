@@ -144,9 +144,75 @@ QUALIFY row_number() OVER (
 ) = 1
 """
 
+INTEGERS = """
+  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+"""
+
+OP12 = f"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  {INTEGERS} AND label IS NOT NULL AND vec_id IS NOT NULL
+),
+s AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS other, a.label = r.label AS same,
+    CAST(list_inner_product(a.e, r.e) AS BIGINT) AS score
+  FROM v a JOIN v r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id
+),
+positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+)
+SELECT anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)
+    AS INTEGER) AS rank,
+  other AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+ROUND = """
+a{n} AS MATERIALIZED (
+  SELECT vec_id, e, c AS cluster,
+    CAST(list_inner_product(e, e) - 2 * list_inner_product(e, m) + list_inner_product(m, m)
+      AS BIGINT) AS distance
+  FROM k, c{n} QUALIFY row_number() OVER (PARTITION BY r ORDER BY distance, c) = 1
+),
+c{next} AS MATERIALIZED (
+  SELECT c, coalesce(mean, m) AS m FROM c{n} LEFT JOIN (
+    SELECT cluster AS c, list(mean ORDER BY place) AS mean FROM (
+      SELECT cluster, place, floor(sum(x) / count(*)) AS mean
+      FROM (SELECT cluster, unnest(e) AS x, unnest(range(64)) AS place FROM a{n})
+      GROUP BY ALL
+    ) GROUP BY cluster
+  ) USING (c)
+)
+"""
+
+OP13 = f"""
+WITH k AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, {INTEGERS}
+),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), e) - 1 AS c, e AS m FROM k
+  WHERE vec_id IS NOT NULL QUALIFY c < 40
+),
+{",".join(ROUND.format(n=n, next=n + 1) for n in range(5))},
+{ROUND.format(n=5, next=6)}
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance,
+  CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(list_transform(m, lambda x: CAST(x AS BIGINT)), ',')) AS centroid_sha256
+FROM a5 JOIN c5 ON c = cluster
+"""
+
 SQL = {
     "op1_suffix_dedup": OP1,
     "op2_quality_rules": OP2,
     "op5_near_dedup": OP5,
     "op8_url_filters": OP8,
+    "op12_hard_negatives": OP12,
+    "op13_centroid_clustering": OP13,
 }

@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm import (
+    centroids,
     decontaminate,
+    hard_negatives,
     language_id,
     lm_scoring,
     near_dedup,
@@ -133,6 +135,21 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(table(spark, sf_dir, "documents"), tokenizer, limit=2048)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10)
+    rows = table(spark, sf_dir, "embeddings").withColumn(
+        "label", relabelled.otherwise(F.col("label"))
+    )
+    return hard_negatives.mine(rows, "vec_id % 100 = 0")
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5, seed=2)
+    return centroids.with_inertia(found).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
 ALL = {
     f.__name__: f
     for f in (
@@ -147,6 +164,8 @@ ALL = {
         op9_quality_classifier,
         op10_lm_scoring,
         op11_token_counts,
+        op12_hard_negatives,
+        op13_centroid_clustering,
     )
 }
 

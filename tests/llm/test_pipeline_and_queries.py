@@ -37,7 +37,7 @@ def test_query_is_its_sql(spark, duck, name):
 
 def test_all_are_registered():
     names = entry_point.queries()
-    assert {f"op{n}" for n in range(1, 12)} == {q.split("_")[0] for q in names if q.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in names if q.startswith("op")}
     assert names["pipeline"] is corpus_pipeline.run
     assert set(entry_point.oracle_sql()) <= set(names)
 
