@@ -307,4 +307,8 @@ SQL = {
                unnest([every, kept, kept, kept]) AS n_rows, NULL::VARCHAR AS error
         FROM (SELECT (SELECT count(*) FROM telemetry) AS every,
                      (SELECT count(*) FROM silver) AS kept)""",
+    "stage_limit": """
+        SELECT 'count' AS stage, 'FINISHED' AS status, FALSE AS over_budget,
+               count(*) AS n_rows, NULL::VARCHAR AS error FROM orders
+        UNION ALL SELECT 'crawl', 'FAILED', TRUE, NULL, 'over budget'""",
 }

@@ -507,6 +507,31 @@ def stage_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.select("stage", "status", "budget_seconds", "n_rows", "error")
 
 
+def _crawl(rows: DataFrame) -> DataFrame:
+    """The rows, each after some milliseconds."""
+    wait = "java_method('java.util.concurrent.locks.LockSupport', 'parkNanos', 20000000L)"
+    return rows.select(F.expr(wait).alias("waited")).filter("waited IS NOT NULL")
+
+
+def stage_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job whose second stage is too slow: it is stopped, and the third never runs."""
+    orders = load(spark, sf_dir, "orders")
+    cfg = medallion.Config(source="", root=shared.work_folder(spark, "limited"))
+    stages = [
+        medallion.Stage("count", lambda s, c: orders.count(), 600),
+        medallion.Stage("crawl", lambda s, c: _crawl(orders).count(), 2),
+        medallion.Stage("after", lambda s, c: orders.count(), 600),
+    ]
+    try:
+        medallion.run(spark, cfg, stages)
+    except medallion.StageFailed:
+        pass
+    told = F.substring_index("error", ":", 1).alias("error")
+    return medallion.stage_log(spark, cfg).select(
+        "stage", "status", "over_budget", "n_rows", told
+    )
+
+
 ALL = {
     f.__name__: f
     for f in (
@@ -554,5 +579,6 @@ ALL = {
         latest_run_any_status,
         medallion_tables,
         stage_log,
+        stage_limit,
     )
 }

@@ -16,6 +16,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 
 from strandline.operators import dedupe, features, gate, model
+from strandline.plans import limits
 from strandline.sources import records, runs, scan, tables
 from strandline.sources.schemas import KEY
 
@@ -42,6 +43,8 @@ class Config:
 
 @dataclass(frozen=True)
 class Stage:
+    """``budget_seconds`` is the time after which it is stopped; 0 or less is no limit."""
+
     name: str
     work: Callable[[SparkSession, Config], int]
     budget_seconds: int
@@ -166,19 +169,28 @@ STAGE_LOG = (
 )
 
 
-def run(spark: SparkSession, cfg: Config, stages: Sequence[Stage] = STAGES) -> DataFrame:
+def run(
+    spark: SparkSession,
+    cfg: Config,
+    stages: Sequence[Stage] = STAGES,
+    enforce: bool = True,
+    grace: float = limits.GRACE_SECONDS,
+) -> DataFrame:
     """Run the stages in order and return this run's part of the stage log.
 
     The first failure is logged and raised as :class:`StageFailed`, and the
-    rest does not run. Budgets are recorded, not enforced: stopping an overdue
-    job is the scheduler's part.
+    rest does not run. A stage over its budget is stopped, its Spark jobs with it, and
+    fails; see :func:`limits.within` for ``grace``. What it had half written has no
+    commit, so its tables are as before. With ``enforce`` off, budgets are only noted.
     """
     run_id = uuid.uuid4().hex
     for stage in stages:
         begun = time.monotonic()
         n_rows = failure = None
         try:
-            n_rows = stage.work(spark, cfg)
+            call = functools.partial(stage.work, spark, cfg)
+            limit = stage.budget_seconds if enforce else 0
+            n_rows = limits.within(spark, limit, call, grace)
         except Exception as error:
             failure = error
         seconds = round(time.monotonic() - begun, 2)
