@@ -31,6 +31,8 @@ class Rule:
         col = F.col(self.column)
         if self.check == "not_null":
             return col.isNotNull()
+        if self.check == "null":
+            return col.isNull()
         if self.check == "not_negative":
             return col.isNotNull() & (col >= 0)
         if self.check == "finite":
@@ -59,6 +61,10 @@ RULES = (
 # Fixed value: the reason where no rule names one.
 OTHER_REASON = "Failed Validation Check"
 
+# For rows read with their malformed text (``scan.read_typed_csv``): put it first, and a
+# cell that did not parse is told from an empty one.
+MALFORMED = Rule("_malformed", "null", "Malformed Row")
+
 # NaN and Infinity pass the rules above. Add these to turn them away, before an
 # Infinity can reach the mean of the scaler.
 FINITE_RULES = tuple(Rule(m, "finite", f"Non-finite value ({m})") for m in MEASURES)
@@ -85,6 +91,13 @@ def quarantine(
     return df.filter(~valid(rules)).withColumn(col, reason(rules))
 
 
+def judged(
+    df: DataFrame, rules: Sequence[Rule] = RULES, col: str = "quarantine_reason"
+) -> DataFrame:
+    """All rows, with the reason where one fails and NULL where it is valid."""
+    return df.withColumn(col, F.when(~valid(rules), reason(rules)))
+
+
 def split(df: DataFrame, rules: Sequence[Rule] = RULES) -> tuple[DataFrame, DataFrame]:
     """(valid rows, quarantined rows).
 

@@ -61,6 +61,25 @@ def repeated(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def matches_by_file(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    bounds: tuple[Column, Column] | None = None,
+) -> DataFrame:
+    """Files of the stored target that hold rows which a source row replaces, and how many.
+
+    Reads the key columns only, and with ``bounds`` (see :func:`unmatched`) skips files
+    and row groups outside the source's range. NULL keys match nothing.
+    """
+    rows = target.select(*keys, F.input_file_name().alias("_file")).filter(has_key(keys))
+    if bounds is not None:
+        rows = rows.filter((F.col(keys[0]) >= bounds[0]) & (F.col(keys[0]) <= bounds[1]))
+    incoming = source.select(*keys).filter(has_key(keys))
+    found = rows.join(incoming, list(keys), "left_semi")
+    return found.groupBy("_file").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def matched(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys of the target rows that a source row replaces; reads key columns only."""
     return target.select(*keys).join(source.select(*keys), list(keys), "left_semi")

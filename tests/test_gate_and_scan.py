@@ -124,6 +124,39 @@ def test_typed_csv(spark, tmp_path):
     assert features.build(passed).filter(F.col("proton_density") == INF).count() == 1
 
 
+def test_malformed_rows_have_a_reason_of_their_own(spark, tmp_path):
+    (tmp_path / "in.csv").write_text(CSV)
+    df = scan.read_typed_csv(spark, str(tmp_path / "in.csv"), malformed_col="_malformed")
+    df.write.parquet(str(tmp_path / "stored"))  # Spark parses the columns that are read
+    stored = spark.read.parquet(str(tmp_path / "stored"))
+    plain = scan.read_typed_csv(spark, str(tmp_path / "in.csv"))
+    assert sorted(map(str, stored.drop("_malformed").collect())) == sorted(
+        map(str, plain.collect())
+    )
+    judged = gate.judged(stored, (gate.MALFORMED, *gate.RULES))
+    found = {(r["quarantine_reason"], r["_malformed"]) for r in judged.collect()}
+    assert found == {
+        (None, None),
+        ("Malformed Row", "bad-ts,410,5,6,-1,10000"),
+        ("Malformed Row", "2024-02-01 00:01:00,abc,5,6,-1,10000"),
+        ("Malformed Row", "2024-02-01 00:03:00,420"),
+        ("Malformed Row", "2024-02-01 00:05:00,430,5,6,-1,10000,EXTRA"),
+        ("Null Magnetic Field Measurement", None),  # an empty cell
+        ("Negative Solar Wind Speed Value", None),
+    }
+
+
+def test_judged_is_split(spark, tmp_path):
+    (tmp_path / "in.csv").write_text(CSV)
+    df = scan.read_typed_csv(spark, str(tmp_path / "in.csv"))
+    passed, failed = gate.split(df)
+    judged = gate.judged(df)
+    assert judged.columns == failed.columns
+    texts = lambda x: sorted(str(tuple(r)) for r in x.collect())
+    assert texts(judged.filter("quarantine_reason IS NOT NULL")) == texts(failed)
+    assert texts(judged.filter("quarantine_reason IS NULL").select(*df.columns)) == texts(passed)
+
+
 def test_stamp(spark):
     at = datetime(2024, 3, 1, tzinfo=timezone.utc)
     df = scan.stamp(readings(spark, [GOOD, GOOD]), "_at")

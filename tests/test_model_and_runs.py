@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from strandline import columns, features, model, runs, shared, tables
+from strandline import columns, features, figures, model, runs, shared, tables
 from strandline.sources.schemas import KEY
 from tests.helpers import INF, NAN
 from tests.test_features import readings, some_series
@@ -163,3 +163,109 @@ def test_model_comes_back(spark, path, trained, rows):
     def scored(m):
         return sorted(model.score(m, rows).select(KEY, model.CLUSTER_COL).collect())
     assert scored(loaded) == scored(trained.model)
+
+
+# ------------------------------------------------------- numbers that last
+
+
+def test_least_pairs_is_that_of_all_pairings():
+    import itertools
+
+    rng = np.random.default_rng(3)
+    for n_rows, n_cols in ((1, 1), (2, 3), (3, 2), (4, 4), (5, 5), (3, 6), (6, 3)):
+        for _ in range(20):
+            costs = rng.integers(0, 9, size=(n_rows, n_cols)).astype(float).tolist()
+            found = model.least_pairs(costs)
+            assert len(found) == len(set(found.values())) == min(n_rows, n_cols)
+            total = sum(costs[r][c] for r, c in found.items())
+            if n_rows <= n_cols:
+                best = min(
+                    sum(costs[r][c] for r, c in enumerate(p))
+                    for p in itertools.permutations(range(n_cols), n_rows)
+                )
+            else:
+                best = min(
+                    sum(costs[r][c] for c, r in enumerate(p))
+                    for p in itertools.permutations(range(n_rows), n_cols)
+                )
+            assert total == best
+
+
+def blobs(spark, n, parts, k=3):
+    """Groups of rows so far apart that any fit finds them."""
+    group = F.col("id") % k
+    noise = [(F.pmod(F.xxhash64("id", F.lit(i)), F.lit(1000)) / 1000).alias(c)
+             for i, c in enumerate(features.FEATURE_COLS)]
+    spread = [(F.col(c) + 50 * ((F.col("g") + i) % k) * F.lit(1.0 + i % 3)).alias(c)
+              for i, c in enumerate(features.FEATURE_COLS)]
+    rows = spark.range(0, n, 1, parts).select("id", group.alias("g"), *noise)
+    return rows.select(F.timestamp_seconds("id").alias(KEY), "g", *spread)
+
+
+def groups(fitted, df):
+    scored = fitted.transform(model.assemble(df))
+    found = scored.groupBy("g").agg(F.collect_set(model.CLUSTER_COL).alias("n")).collect()
+    assert all(len(r["n"]) == 1 for r in found)
+    return {r["g"]: r["n"][0] for r in found}
+
+
+def test_refits_keep_their_numbers(spark, tmp_path):
+    df = blobs(spark, 900, 4)
+    first = model.train(df).model
+    by_group = groups(first, df)
+    seen = set()
+    for parts, seed in ((1, 25), (7, 1), (3, 2), (5, 3)):
+        again = blobs(spark, 900, parts).repartition(parts, "g")
+        plain = model.train(again, seed=seed).model
+        seen.add(tuple(sorted(groups(plain, df).items())))
+        trained = model.train(again, seed=seed, earlier=first)
+        assert groups(trained.model, df) == by_group
+        assert trained.silhouette > 0.9
+        # As a saved model, and as the earlier one of the next fit.
+        trained.model.write().overwrite().save(str(tmp_path / "m"))
+        loaded = model.PipelineModel.load(str(tmp_path / "m"))
+        assert groups(loaded, df) == by_group
+        assert model.numbers(loaded) == model.numbers(trained.model)
+        assert sorted(model.centers(loaded)) == [0, 1, 2]
+        assert groups(model.train(df, seed=seed + 9, earlier=loaded).model, df) == by_group
+    assert len(seen) > 1  # without it the numbers do change
+
+
+def test_numbers_with_more_or_fewer_clusters(spark):
+    four, three = blobs(spark, 800, 2, k=4), blobs(spark, 800, 2, k=4).filter("g < 3")
+    old = model.train(three, k=3).model
+    by_group = groups(old, three)
+    more = groups(model.train(four, k=4, earlier=old).model, four)
+    assert {g: n for g, n in more.items() if g < 3} == by_group and more[3] == 3
+    big = model.train(four, k=4).model
+    fewer = groups(model.train(three, k=3, earlier=big).model, three)
+    assert fewer == {g: n for g, n in groups(big, four).items() if g < 3}
+
+
+# ------------------------------------------------------- figures that add up
+
+
+def test_merged_figures_are_those_of_all_rows(spark, rows):
+    whole = model.fit_scaler(model.assemble(rows))
+    for part in (F.date_trunc("month", KEY), F.xxhash64(KEY) % 7, F.lit("one"), F.col(KEY)):
+        found = figures.merged(figures.by_part(rows, features.FEATURE_COLS, part))
+        assert found.n == rows.count()
+        assert np.allclose(found.means, whole.mean.toArray(), rtol=1e-12, atol=1e-12)
+        assert np.allclose(found.deviations, whole.std.toArray(), rtol=1e-9, atol=1e-12)
+    scaler = figures.scaler(found, rows)
+    assert np.allclose(scaler.mean.toArray(), whole.mean.toArray(), rtol=1e-12, atol=1e-12)
+    assert np.allclose(scaler.std.toArray(), whole.std.toArray(), rtol=1e-9, atol=1e-12)
+
+
+def test_figures_of_few_rows(spark):
+    one = spark.createDataFrame([(1.0, 5.0)], "a double, b double")
+    found = figures.merged(figures.by_part(one, ["a", "b"], F.lit(1)))
+    assert (found.n, found.means, found.deviations) == (1, [1.0, 5.0], [0.0, 0.0])
+    flat = one.unionByName(one)
+    found = figures.merged(figures.by_part(flat, ["a", "b"], F.lit(1)))
+    assert found.deviations == [0.0, 0.0]
+    with pytest.raises(ValueError, match="no rows"):
+        figures.merged(figures.by_part(one.limit(0), ["a", "b"], F.lit(1)))
+    large = spark.range(1000).select((F.lit(1e9) + F.col("id") % 2).alias("a"))
+    found = figures.merged(figures.by_part(large, ["a"], F.col("a")))
+    assert abs(found.deviations[0] - np.std([0, 1] * 500, ddof=1)) < 1e-9

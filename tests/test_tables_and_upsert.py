@@ -185,20 +185,42 @@ def test_many_appends_keep_few_folders(spark, path, monkeypatch):
     assert newest["n_rows"] == 13 and len(tables._folders(spark, path, newest)) <= 6
 
 
-def test_two_writers_of_one_version_are_noticed(spark, path):
+def test_the_second_of_two_writers_fails(spark, path):
     tables.replace(kv(spark, (0, "a")), path)
     before = tables._newest(spark, path)
+    planned = tables._next_version(spark, path, before)
     tables.append(kv(spark, (1, "b")), path)
     with pytest.MonkeyPatch.context() as patch:
         patch.setattr(tables, "_newest", lambda *a: before)
-        tables.append(kv(spark, (2, "c")), path)
-    with pytest.raises(RuntimeError, match="two at once"):
-        tables.read(spark, path)
-    with pytest.raises(RuntimeError, match="two at once"):
-        tables.append(kv(spark, (3, "d")), path)
+        with pytest.raises(RuntimeError, match="by another"):
+            tables.append(kv(spark, (2, "c")), path)  # sees the claim when it plans
+        patch.setattr(tables, "_next_version", lambda *a: planned)
+        with pytest.raises(RuntimeError, match="by another"):
+            tables.append(kv(spark, (2, "c")), path)  # or when it commits
+    assert rows(tables.read(spark, path)) == [(0, "a"), (1, "b")]
+    tables.append(kv(spark, (3, "d")), path)
+    assert rows(tables.read(spark, path)) == [(0, "a"), (1, "b"), (3, "d")]
     assert rows(tables.read(spark, path, version=0)) == [(0, "a")]
 
 
+def test_a_failed_commit_gives_its_version_back(spark, path, monkeypatch):
+    tables.replace(kv(spark, (0, "a")), path)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(tables, "one_row", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            tables.append(kv(spark, (1, "b")), path)
+    assert tables.append(kv(spark, (2, "c")), path) == 1
+    # A writer that died between claim and commit: its number is passed over in time.
+    with tables._claimed(spark, path, 2):
+        pass
+    with pytest.raises(RuntimeError, match="by another"):
+        tables.append(kv(spark, (3, "d")), path)
+    monkeypatch.setattr(tables, "CLAIM_SECONDS", -1)
+    tables.append(kv(spark, (3, "d")), path)
+    assert tables.latest_version(spark, path) == 3
+    assert rows(tables.read(spark, path)) == [(0, "a"), (2, "c"), (3, "d")]
+
+
 def test_an_empty_append_leaves_no_files(spark, path):
     tables.replace(kv(spark, (0, "a")), path)
     tables.append(kv(spark, (1, "b")).filter("k = 9"), path)
@@ -327,6 +349,74 @@ def test_cluster_by_spreads_a_hot_value(spark, path):
     assert max(sizes) < 6000
 
 
+def opened(spark, path, condition):
+    """Files whose range of values leaves room for a match."""
+    stored = tables.read(spark, path).withColumn("file", F.input_file_name())
+    ranges = stored.groupBy("file").agg(
+        *[f(c).alias(f"{n}_{c}") for c in ("a", "b") for n, f in (("lo", F.min), ("hi", F.max))]
+    )
+    return ranges.filter(condition).count()
+
+
+def test_layout_along_two_columns(spark, path):
+    df = spark.range(0, 40_000, 1, 8).select(
+        (F.xxhash64("id") % 1000).cast("int").alias("a"),
+        F.timestamp_seconds(1704067200 + F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(10**6))).alias("b"),
+        "id",
+    )
+    tables.replace(df, path)
+    tables.cluster_by(spark, path, ["a", "b"], files=16)
+    stored = tables.read(spark, path)
+    assert stored.columns == ["a", "b", "id"]
+    assert tables.checksum(stored) == tables.checksum(df)
+    for value in (-900, 17, 950):
+        assert opened(spark, path, f"lo_a <= {value} AND hi_a >= {value}") <= 8
+    for second in (1704067300, 1704567200, 1705060000):
+        at = f"timestamp_seconds({second})"
+        assert opened(spark, path, f"lo_b <= {at} AND hi_b >= {at}") <= 8
+    # Along one column, a filter on the other opens every file.
+    tables.cluster_by(spark, path, "a", files=16)
+    assert opened(spark, path, "lo_b <= timestamp_seconds(1704567200) AND hi_b >= "
+                  "timestamp_seconds(1704567200)") == 16
+
+
+def test_layout_along_odd_columns(spark, path):
+    """Hot values, NULL, NaN, texts, dates, and one value throughout."""
+    df = spark.range(0, 30_000, 1, 8).select(
+        F.when(F.col("id") % 2 == 0, F.lit(7.0))
+        .when(F.col("id") % 3 == 0, F.lit(float("nan")))
+        .when(F.col("id") % 5 != 0, F.rand(1)).alias("a"),
+        F.when(F.col("id") % 7 != 0, F.md5(F.col("id").cast("string"))).alias("b"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 50).cast("int")).alias("c"),
+        F.lit(1).alias("d"),
+        F.lit(None).cast("long").alias("e"),
+    )
+    stored = f"{path}-given"
+    df.write.parquet(stored)
+    tables.replace(spark.read.parquet(stored), path)
+    tables.cluster_by(spark, path, ["a", "b", "c", "d", "e"], rows_per_file=3000)
+    assert tables.checksum(tables.read(spark, path)) == tables.checksum(spark.read.parquet(stored))
+    sizes = [r["count"] for r in
+             tables.read(spark, path).groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 6000
+    with pytest.raises(ValueError, match="no layout by"):
+        tables.interleaved(spark.createDataFrame([([1],)], "a array<int>"), ["a"])
+
+
+def test_bits_take_turns(spark):
+    df = spark.range(16).select((F.col("id") % 4).alias("x"), F.floor(F.col("id") / 4).alias("y"))
+    order = tables.interleaved(df, ["x", "y"], bits=2)
+    found = {(r["x"], r["y"]): r["z"] for r in df.select("x", "y", order.alias("z")).collect()}
+
+    def rank(v):  # quartiles of 0, 1, 2, 3 are 0, 1, 2 by their own values
+        return min(v + 1, 3)
+
+    def turn(x, y):
+        return sum(((x >> b) & 1) << (2 * b + 1) | ((y >> b) & 1) << (2 * b) for b in range(2))
+
+    assert found == {(x, y): turn(rank(x), rank(y)) for x in range(4) for y in range(4)}
+
+
 def test_audit(spark, path):
     tables.replace(kv(spark, (1, "a"), (2, "b")), path)
     assert tables.audit(spark, path).first().asDict() == {
@@ -515,6 +605,240 @@ def test_small_source_does_not_shuffle_the_target(spark, path):
     assert "Exchange hashpartitioning" not in plan
 
 
+# ------------------------------------------------------- upsert by touched files
+
+
+def keyed_files(spark, path, n_files=10):
+    """Keys 0 to 999 in files of disjoint ranges, and a few rows without a key."""
+    df = spark.range(1000).select(
+        F.when(F.col("id") % 250 != 249, F.col("id")).alias("k"), F.lit("old").alias("v")
+    )
+    tables.replace(df, path)
+    tables.cluster_by(spark, path, "k", files=n_files)
+
+
+def files_of(spark, path, version=None):
+    commit = tables._commit_row(spark, path, version)
+    return tables._single(spark, path, set(tables._folders(spark, path, commit)))
+
+
+def load_of(spark, *keys):
+    return kv(spark, *[(k, "new") for k in keys]).select(F.col("k").cast("long").alias("k"), "v")
+
+
+def test_only_files_with_matches_are_rewritten(spark, path):
+    keyed_files(spark, path)
+    before = files_of(spark, path)
+    # A late reading far back, a recent one, a new key; the range spans the whole table.
+    assert tables.upsert(load_of(spark, 105, 990, 5000, None), path, ["k"]) == 4
+    after = files_of(spark, path)
+    assert len(before) == 10 and len(before - after) == 2
+    stored = tables.read(spark, path)
+    assert stored.count() == tables.row_count(spark, path) == 1002
+    assert sorted(r["k"] for r in stored.filter("v = 'new' AND k IS NOT NULL").collect()) == [
+        105, 990, 5000,
+    ]
+    assert stored.filter("k IS NULL").count() == 5
+    assert stored.filter("k IS NOT NULL").groupBy("k").count().filter("count > 1").isEmpty()
+    # The version before is as it was.
+    old = tables.read(spark, path, 1)
+    assert old.count() == 1000 and old.filter("v = 'new'").isEmpty()
+    # Once more over a version made of single files, and its layout.
+    tables.upsert(load_of(spark, 105, 106), path, ["k"])
+    assert len(files_of(spark, path) & before) == 8
+    tables.cluster_by(spark, path, "k", files=3)
+    assert tables.read(spark, path).filter("v = 'new' AND k IS NOT NULL").count() == 4
+
+
+def test_keys_that_match_nothing_rewrite_nothing(spark, path):
+    keyed_files(spark, path)
+    before = files_of(spark, path)
+    for source in (load_of(spark, 249, 5000), load_of(spark, None), load_of(spark, 1).limit(0)):
+        tables.upsert(source, path, ["k"])
+        assert before <= files_of(spark, path)
+    assert tables.read(spark, path).count() == tables.row_count(spark, path) == 1003
+
+
+def test_files_of_a_touched_month_are_taken_over_too(spark, path):
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 100)
+    try:
+        hours = spark.range(1440).select(
+            F.timestamp_seconds(1704067200 + F.col("id") * 3600).alias("t"),
+            F.col("id").cast("string").alias("v"),
+        )
+        tables.upsert(hours, path, ["t"], "month")
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    before = files_of(spark, path)
+    load = dated(spark, ("2024-01-20 05:00:00", "new"), ("2024-01-20 05:30:00", "new"))
+    assert tables.upsert(load, path, ["t"], "month") == 2
+    assert len(before) > 10 and len(before - files_of(spark, path)) == 1
+    assert tables.read(spark, path).count() == tables.row_count(spark, path) == 1441
+    # The month's files are still known to be its own.
+    tables.upsert(dated(spark, ("2024-02-03", "x")), path, ["t"], "month")
+    assert tables.read(spark, path).filter("v = 'new'").count() == 2
+    assert tables.read(spark, path).count() == 1441
+
+
+@settings(
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(loads=st.lists(st.dictionaries(st.integers(0, 30), st.text("ab", max_size=2)), max_size=4))
+def test_upsert_by_files_like_a_dict(spark, loads):
+    path = shared.work_folder(spark, "test") + "/things"
+    expected = {k: "" for k in range(0, 30, 2)}
+    tables.replace(kv(spark, *expected.items()), path)
+    tables.cluster_by(spark, path, "k", files=5)
+    for load in loads:
+        expected |= load
+        source = kv(spark, *load.items(), (None, "n")).filter("k IS NOT NULL")
+        tables.upsert(source, path, ["k"])
+        stored = {r["k"]: r["v"] for r in tables.read(spark, path).collect()}
+        assert stored == expected
+        assert tables.row_count(spark, path) == len(expected)
+
+
+# ------------------------------------------------------------ parts of a table
+
+
+def test_parts(spark, path):
+    months = tables.Split("t", "month")
+    year = dated(spark, *[(f"2024-{m:02}-{d:02}", "a") for m in (1, 2, 3) for d in (1, 28)])
+    assert tables.replace(year, path, split=months) == 6
+    new = dated(spark, ("2024-02-10", "b"))
+    assert tables.replace_parts(new, path, months, ["2024-02-01"]) == 1
+    assert tables.row_count(spark, path) == tables.read(spark, path).count() == 5
+    assert tables.changed_parts(spark, path, 0, months) == ["2024-02-01"]
+    assert tables.changed_parts(spark, path, 1, months) == []
+    part = tables.read_parts(spark, path, months, ["2024-02-01", "2024-09-01"])
+    assert [r["v"] for r in part.collect()] == ["b"]
+    # A part that ends up empty, and one that is new.
+    april = dated(spark, ("2024-04-10", "c"))
+    tables.replace_parts(april, path, months, ["2024-01-01", "2024-04-01"])
+    assert tables.changed_parts(spark, path, 1, months) == ["2024-01-01", "2024-04-01"]
+    assert "".join(sorted(r["v"] for r in tables.read(spark, path).collect())) == "aabc"
+    with pytest.raises(ValueError, match="outside of the parts"):
+        tables.replace_parts(april, path, months, ["2024-05-01"])
+    assert tables.latest_version(spark, path) == 2
+    with pytest.raises(ValueError, match="not split by"):
+        tables.replace_parts(april, path, tables.Split("t", "year"), ["2024-01-01"])
+    assert tables.changed_parts(spark, path, 0, tables.Split("t", "year")) is None
+    tables.append(april, path)
+    assert tables.changed_parts(spark, path, 0, months) is None
+
+
+# ------------------------------------------------- audit of contents, appends
+
+
+def test_checksum_sees_values_and_not_order(spark):
+    df = spark.createDataFrame(
+        [(1, "a", 0.5, [1, None], {"x": 1, "y": 2}), (None, "b", None, None, None)],
+        "k int, v string, d double, l array<int>, m map<string,int>",
+    )
+    same = tables.checksum(df.repartition(3))
+    assert tables.checksum(df.orderBy(F.desc("v"))) == same
+    assert tables.checksum(df.unionByName(df)) != same
+    others = [
+        df.withColumn("v", F.lit("a")),
+        df.withColumn("l", F.reverse("l")),
+        df.withColumn("l", F.when(F.col("k") == 1, F.array(F.lit(1)))),
+        df.withColumn("d", F.coalesce("d", F.lit(0.0))),
+        df.withColumns({"k": F.col("d").cast("int"), "d": F.col("k").cast("double")}),
+    ]
+    assert len({same, *map(tables.checksum, others)}) == 6
+    turned = df.withColumn("m", F.expr("map_from_entries(reverse(map_entries(m)))"))
+    assert tables.checksum(turned) == same
+    assert tables.checksum(df.limit(0)) == "0-0-0"
+    swapped = spark.createDataFrame([(None, 1)], "a int, b int")
+    assert tables.checksum(swapped) != tables.checksum(swapped.selectExpr("b AS a", "a AS b"))
+
+
+def test_audit_of_contents(spark, path):
+    def same(**kw):
+        row = tables.audit(spark, path, contents=True, **kw).first()
+        return row["difference"], row["same_contents"]
+
+    tables.replace(kv(spark, *[(i, "a") for i in range(100)]), path)
+    assert same() == (None, None)
+    tables.cluster_by(spark, path, "k", files=4)
+    assert same() == (0, True)
+    tables.upsert(kv(spark, (7, "b")), path, ["k"])  # equal counts, one value changed
+    assert same() == (0, False)
+    tables.upsert(kv(spark, (7, "b")), path, ["k"])  # the same row again
+    assert same() == (0, True)
+    tables.append(kv(spark, (7, "b")), path)
+    assert same() == (1, False)
+    tables.replace(tables.read(spark, path).withColumn("k", F.col("k").cast("long")), path,
+                   allow_schema_change=True)
+    assert same() == (0, False)  # another type of column
+
+
+def test_audit_reads_only_what_differs(spark, path, monkeypatch):
+    keyed_files(spark, path)
+    tables.upsert(load_of(spark, 5), path, ["k"])
+    read = []
+    asked = tables.checksum
+    monkeypatch.setattr(tables, "checksum", lambda df: read.append(df.count()) or asked(df))
+    assert tables.audit(spark, path, contents=True).first()["same_contents"] is False
+    assert sorted(read) == [100, 100]
+
+
+def test_append_new_holds_each_row_once(spark, path):
+    def load(stamp, *pairs):
+        return kv(spark, *pairs).withColumn("at", F.lit(stamp))
+
+    first = [(1, "a"), (1, "a"), (None, "n"), (2, None), (2, "")]
+    assert tables.append_new(load("x", *first), path, ignore=["at"]) == 4
+    assert tables.append_new(load("y", *first), path, ignore=["at"]) == 0
+    assert tables.latest_version(spark, path) == 0
+    assert tables.append_new(load("z", *first, (3, "c")), path, ignore=["at"]) == 1
+    assert tables.append_new(load("z", (3, "c")), path) == 0  # the stamp counts, and is equal
+    assert tables.append_new(load("w", (3, "c")), path) == 1
+    assert tables.read(spark, path).count() == 6
+
+
+def test_appending_writes_both_sides_once(spark, path):
+    runs = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            runs.add(batch.num_rows)
+            yield batch
+
+    df = kv(spark, *[(i if i % 10 else None, "a") for i in range(100)])
+    counted = df.mapInArrow(seen, df.schema)
+    with tables.appending(counted, path, F.col("k").isNull(), "odd") as (n, others):
+        assert n == 10
+        assert sorted(r["k"] for r in others.collect()) == [i for i in range(100) if i % 10]
+        assert others.columns == ["k", "v"]
+    assert runs.value == 100
+    assert tables.read(spark, path).count() == tables.row_count(spark, path) == 10
+    # Nothing to add; a condition that is NULL; nothing else; nothing at all.
+    for where, n_added, n_other in (("k > 5000", 0, 90), ("k > 0", 90, 0), ("v = 'z'", 0, 90)):
+        some = df.filter("k IS NOT NULL") if n_other or n_added else df
+        with tables.appending(some, path, F.expr(where)) as (n, others):
+            assert (n, others.count()) == (n_added, n_other)
+    with tables.appending(df.limit(0), path, F.lit(True)) as (n, others):
+        assert (n, others.count()) == (0, 0)
+    assert tables.read(spark, path).count() == 100
+    folders = [f for f in os.listdir(path) if f.startswith("v=")]
+    assert len(folders) == 2  # what was not added is gone
+    with pytest.raises(ZeroDivisionError):
+        with tables.appending(df, path, F.col("k") == 1):
+            raise ZeroDivisionError
+    assert tables.read(spark, path).count() == 101
+
+
+def test_appending_many_times(spark, path, monkeypatch):
+    monkeypatch.setattr(tables, "MOST_APPENDS", 3)
+    for i in range(8):
+        with tables.appending(kv(spark, (i, "a"), (-i, "b")), path, F.col("v") == "a") as (n, rest):
+            assert (n, rest.count()) == (1, 1)
+    assert sorted(r["k"] for r in tables.read(spark, path).collect()) == list(range(8))
+    newest = tables._commit_row(spark, path, None)
+    assert len(tables._folders(spark, path, newest)) <= 4
+
+
 def test_work_folder_needs_a_shared_root_on_a_cluster():
     class Conf:
         def __init__(self, **values):
