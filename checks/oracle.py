@@ -98,6 +98,33 @@ quarantine AS (
   WHERE event_id NOT IN (SELECT event_id FROM valid)
 )"""
 
+# The first month again, every third reading with more speed.
+RELOADED = f"""{CLEAN},
+reloaded AS (
+  SELECT * REPLACE (
+    CASE WHEN event_id % 3 = 0
+          AND date_trunc('month', time_tag) = (SELECT min(date_trunc('month', time_tag)) FROM silver)
+         THEN solar_wind_speed + 50 ELSE solar_wind_speed END AS solar_wind_speed) FROM silver
+), {_feature_ctes('reloaded')}"""
+
+# Cells that do not parse: NULL, with a reason that comes first.
+MALFORMED = f"""WITH {TELEMETRY},
+planted AS (
+  SELECT * REPLACE (
+    CASE WHEN event_id % 67 <> 0 THEN time_tag END AS time_tag,
+    CASE WHEN event_id % 59 <> 0 THEN proton_density END AS proton_density)
+  FROM telemetry
+)
+SELECT time_tag, {rounded(MEASURES)},
+  CASE WHEN event_id % 67 = 0 OR event_id % 59 = 0 THEN 'Malformed Row' ELSE {REASON} END
+    AS quarantine_reason
+FROM planted"""
+
+_FIGURES = ", ".join(
+    f"round(avg({c}), 6) + 0::DOUBLE AS mean_{c}, round(stddev_samp({c}), 6) + 0::DOUBLE AS std_{c}"
+    for c in features.FEATURE_COLS
+)
+
 UPSERTED = """
 SELECT * FROM orders WHERE o_orderkey % 2 = 0 AND o_orderkey % 3 <> 0
 UNION ALL
@@ -307,6 +334,27 @@ SQL = {
                unnest([every, kept, kept, kept]) AS n_rows, NULL::VARCHAR AS error
         FROM (SELECT (SELECT count(*) FROM telemetry) AS every,
                      (SELECT count(*) FROM silver) AS kept)""",
+    "feature_table_incremental": f"""{RELOADED}
+        SELECT time_tag, {rounded(features.FEATURE_COLS)} FROM features""",
+    "merged_figures": f"{FEATURES} SELECT count(*) AS n, {_FIGURES} FROM features",
+    "typed_csv_malformed": MALFORMED,
+    "upsert_touched_files": """
+        SELECT 7::BIGINT AS n_kept, count(*) + 1 AS n_rows, 1::BIGINT AS n_changed,
+               1::BIGINT AS n_new FROM orders""",
+    "cluster_two_columns": """
+        SELECT 16::BIGINT AS n_files, count(*) AS n_rows, TRUE AS skips_by_date,
+               TRUE AS skips_by_part FROM lineitem""",
+    "audit_contents": """
+        SELECT unnest(['layout', 'change', 'append']) AS step, unnest([n, n, n + 1]) AS n_rows,
+               unnest([0, 0, 1])::BIGINT AS difference,
+               unnest([TRUE, FALSE, FALSE]) AS same_contents
+        FROM (SELECT count(*) AS n FROM orders)""",
+    "quarantine_once": f"""{QUARANTINE}
+        SELECT event_id, user_id, time_tag, {rounded(MEASURES)}, quarantine_reason,
+               TIMESTAMP '2024-03-01' AS _quarantined_at
+        FROM quarantine""",
+    "cluster_numbers": f"""{FEATURES}
+        SELECT count(*) AS n_rows, 2 AS highest, TRUE AS least FROM features""",
     "stage_limit": """
         SELECT 'count' AS stage, 'FINISHED' AS status, FALSE AS over_budget,
                count(*) AS n_rows, NULL::VARCHAR AS error FROM orders

@@ -7,14 +7,15 @@ so that both engines print the same values.
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from itertools import permutations
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, TimestampType
 
-from strandline import columns, dedupe, features, gate, medallion, model, runs, scan, shared
-from strandline import tables, upsert
+from strandline import columns, dedupe, features, figures, gate, medallion, model, runs, scan
+from strandline import shared, tables, upsert
 from strandline.sources.records import one_row
 from strandline.sources.schemas import KEY, TELEMETRY
 
@@ -173,6 +174,47 @@ def drop_incomplete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return printable(features.drop_incomplete(holed))
 
 
+def _later(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A later load: the readings of the first month again, every third with more speed."""
+    rows = silver(spark, sf_dir)
+    month = F.date_trunc("month", KEY)
+    first = rows.agg(F.min(month).alias("_first"))  # one row
+    faster = F.when(F.col("event_id") % 3 == 0, F.col("solar_wind_speed") + 50)
+    return (
+        rows.join(F.broadcast(first), month == F.col("_first"))
+        .select(*rows.columns)
+        .withColumn("solar_wind_speed", F.coalesce(faster, F.col("solar_wind_speed")))
+    )
+
+
+def _two_loads(spark: SparkSession, sf_dir: str, **options) -> medallion.Config:
+    """Silver and features of all readings, then of the later load."""
+    cfg = medallion.Config(source="", root=shared.work_folder(spark, "loads"), **options)
+    for load_ in (silver(spark, sf_dir), _later(spark, sf_dir)):
+        rows = load_.select(*TELEMETRY.names)
+        tables.replace(rows, cfg.path("bronze"), allow_schema_change=True)
+        medallion.clean(spark, cfg)
+        medallion.stored_features(spark, cfg)
+    return cfg
+
+
+def feature_table_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features after a load of one month: that month is built again, the others stay."""
+    cfg = _two_loads(spark, sf_dir)
+    return printable(tables.read(spark, cfg.path("features")))
+
+
+def merged_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean and deviation of all features from figures per month."""
+    rows = _stored_features(spark, sf_dir)
+    by_month = figures.by_part(rows, features.FEATURE_COLS, F.date_trunc("month", KEY))
+    whole = figures.merged(by_month)
+    schema = "n long, " + ", ".join(
+        f"{kind}_{c} double" for kind in ("mean", "std") for c in features.FEATURE_COLS
+    )
+    return printable(one_row(spark, schema, [whole.n, *whole.means, *whole.deviations]))
+
+
 # -------------------------------------------------------------------- gate
 
 
@@ -216,6 +258,27 @@ def typed_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return printable(scan.read_typed_csv(spark, _as_csv(spark, sf_dir, "csv")))
 
 
+def typed_csv_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells that do not parse, planted in the file, are told from empty ones."""
+    folder = shared.work_folder(spark, "malformed")
+    event = F.col("event_id")
+    texts = telemetry(spark, sf_dir).select(
+        "event_id", *[F.col(c).cast("string").alias(c) for c in TELEMETRY.names]
+    )
+    texts = texts.withColumns(
+        {
+            KEY: F.when(event % 67 == 0, "soon").otherwise(F.col(KEY)),
+            "proton_density": F.when(event % 59 == 0, "n/a").otherwise(F.col("proton_density")),
+        }
+    )
+    texts.select(*TELEMETRY.names).write.csv(f"{folder}/file", header=True)
+    malformed = gate.MALFORMED.column
+    rows = scan.read_typed_csv(spark, f"{folder}/file", malformed_col=malformed)
+    tables.replace(rows, f"{folder}/bronze")
+    stored = tables.read(spark, f"{folder}/bronze")
+    return printable(gate.judged(stored, (gate.MALFORMED, *gate.RULES)).drop(malformed))
+
+
 def load_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return printable(scan.stamp(load(spark, sf_dir, "orders"), "_ingested_at", LOADED_AT))
 
@@ -267,6 +330,25 @@ def table_upsert_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read(spark, path)
 
 
+def upsert_touched_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A small late load without a period: files kept as they were, and the table's rows."""
+    orders = load(spark, sf_dir, "orders")
+    path = f"{shared.work_folder(spark, 'tables')}/orders"
+    tables.replace(orders, path)
+    tables.cluster_by(spark, path, "o_orderkey", files=8)
+    before = [r[0] for r in tables.read(spark, path).select(F.input_file_name()).distinct().collect()]
+    least = F.col("o_orderkey") == orders.agg(F.min("o_orderkey")).first()[0]
+    changed = orders.filter(least).withColumn("o_totalprice", F.lit(0.0))
+    late = orders.filter(least).withColumn("o_orderkey", -F.col("o_orderkey") - 1)
+    tables.upsert(changed.unionByName(late), path, ["o_orderkey"])
+    return tables.read(spark, path).withColumn("file", F.input_file_name()).agg(
+        F.count_distinct(F.when(F.col("file").isin(before), F.col("file"))).alias("n_kept"),
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("o_totalprice") == 0).alias("n_changed"),
+        F.count_if(F.col("o_orderkey") < 0).alias("n_new"),
+    )
+
+
 def table_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second version replaces the first, with another schema."""
     orders = load(spark, sf_dir, "orders")
@@ -323,6 +405,53 @@ def cluster_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def cluster_two_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A layout along two columns: how many files a filter on either must open."""
+    path = f"{shared.work_folder(spark, 'tables')}/lineitem"
+    tables.replace(load(spark, sf_dir, "lineitem"), path)
+    tables.cluster_by(spark, path, ["l_shipdate", "l_partkey"], files=16)
+    stored = tables.read(spark, path)
+    middle = stored.agg(
+        *[F.percentile_approx(c, 0.5).alias(c) for c in ("l_partkey",)],
+        F.date_from_unix_date(
+            F.percentile_approx(F.unix_date(F.col("l_shipdate").cast("date")), 0.5)
+        ).alias("l_shipdate"),
+    ).first()
+    ranges = stored.groupBy(F.input_file_name().alias("file")).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[
+            F.expr(f"min({c}) <= X AND max({c}) >= X".replace("X", f"'{middle[c]}'")).alias(c)
+            for c in ("l_shipdate", "l_partkey")
+        ],
+    )
+    return ranges.agg(
+        F.count(F.lit(1)).alias("n_files"),
+        F.sum("n").alias("n_rows"),
+        (F.count_if("l_shipdate") <= 10).alias("skips_by_date"),
+        (F.count_if("l_partkey") <= 10).alias("skips_by_part"),
+    )
+
+
+def audit_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audits after a layout, a change of values at equal counts, and an append."""
+    orders = load(spark, sf_dir, "orders")
+    path = f"{shared.work_folder(spark, 'tables')}/orders"
+    tables.replace(orders, path)
+    steps = {
+        "layout": lambda: tables.cluster_by(spark, path, "o_orderdate", files=4),
+        "change": lambda: tables.upsert(order_changes(spark, sf_dir)[1], path, ["o_orderkey"]),
+        "append": lambda: tables.append(orders.limit(1), path),
+    }
+    found = None
+    for name, step in steps.items():
+        step()
+        row = tables.audit(spark, path, contents=True).select(
+            F.lit(name).alias("step"), "n_rows", "difference", "same_contents"
+        )
+        found = row if found is None else found.unionByName(row)
+    return found
+
+
 def snapshot_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.audit(spark, _versioned_orders(spark, sf_dir))
 
@@ -347,6 +476,16 @@ def quarantine_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return printable(tables.read(spark, path))
 
 
+def quarantine_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of the same readings, at other times: each failure is held once."""
+    path = f"{shared.work_folder(spark, 'tables')}/quarantine"
+    for day in (1, 2):
+        failed = gate.quarantine(telemetry(spark, sf_dir))
+        stamped = scan.stamp(failed, "_quarantined_at", datetime(2024, 3, day, tzinfo=timezone.utc))
+        tables.append_new(stamped, path, ["_quarantined_at"], "quarantine")
+    return printable(tables.read(spark, path))
+
+
 # ------------------------------------------------------------------- model
 
 
@@ -438,6 +577,33 @@ def score_latest_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return printable(checked.select(KEY, *features.FEATURE_COLS, "closest"))
 
 
+def cluster_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fit with another seed over other partitions, numbered as the first fit's.
+
+    Fits differ, so the row says whether the pairing of centres is the least of all.
+    """
+    rows = _stored_features(spark, sf_dir)
+    first = model.train(rows)
+    again = model.train(rows.repartition(5, KEY), seed=7, earlier=first.model)
+    old, new = model.centers(first.model), model.centers(again.model)
+    std = [s or 1.0 for s in first.model.stages[0].std.toArray()]
+
+    def total(order):
+        return sum(
+            ((a - b) / s) ** 2
+            for n, c in enumerate(order)
+            for a, b, s in zip(new[c], old[n], std, strict=True)
+        )
+
+    kept = total((0, 1, 2))
+    least = all(kept <= total(order) + 1e-9 for order in permutations(range(3)))
+    return model.score(again.model, rows).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.max(model.CLUSTER_COL).alias("highest"),
+        F.lit(least).alias("least"),
+    )
+
+
 def run_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run's parameters and metrics, as recorded at its start and its end and read back."""
     path = f"{shared.work_folder(spark, 'runs')}/runs"
@@ -540,6 +706,8 @@ ALL = {
         feature_table_by_entity,
         feature_table_hot_entity,
         feature_table_nan,
+        feature_table_incremental,
+        merged_figures,
         rolling_mean,
         rolling_std,
         lag_features,
@@ -552,11 +720,13 @@ ALL = {
         dedupe_keyed,
         dedupe_latest,
         typed_csv_roundtrip,
+        typed_csv_malformed,
         load_stamp,
         upsert_orders,
         upsert_stats,
         table_upsert,
         table_upsert_by_month,
+        upsert_touched_files,
         table_replace,
         table_append,
         time_travel,
@@ -564,16 +734,20 @@ ALL = {
         table_history,
         cluster_layout,
         cluster_overlaps,
+        cluster_two_columns,
+        audit_contents,
         snapshot_audit,
         snapshot_audit_data,
         snapshot_audit_first,
         quarantine_append,
+        quarantine_once,
         zscore,
         scaled_features,
         nearest_center,
         silhouette_labels,
         kmeans_train,
         score_latest_model,
+        cluster_numbers,
         run_record,
         latest_run,
         latest_run_any_status,
