@@ -1,11 +1,15 @@
 """Language-model scores from a Bloom filter of quantised n-gram counts.
 
 The model is a bigram model smoothed towards exact unigram counts. It keeps every
-bigram. The frequent ones, and the frequent words as histories, live in one bit
-array of bounded size, which is broadcast: an n-gram with count c is stored as the
+bigram, in one bit array cut into parts by hash: an n-gram with count c is stored as the
 pairs (n-gram, 1), ..., (n-gram, level(c)), so that repeated membership probes,
-level by level until one fails, give its level back. All others come through a join
-with their counts, quantised alike. Word counts come in the same two parts.
+level by level until one fails, give its level back. Every count of a bigram comes from
+such probes.
+
+Texts and parts meet in blocks. A block of texts sends each part one row, the arrays of
+its bigrams that the part holds, and gets one row of sums back. The counts of the most
+frequent words are broadcast; those of the others lie beside the part that their
+bigrams are in.
 """
 
 from __future__ import annotations
@@ -15,7 +19,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm import tokens
@@ -25,9 +30,14 @@ U64 = np.uint64
 END = np.uint64(0x656E64)  # the end token, and the history of a text's first token
 #: Counts between 2**((k - 1) / STEPS) and 2**(k / STEPS) share level k + 1.
 STEPS = 2
-PROBES = 4
-PARTS = 64
-COUNTED = 8 << 20  # bytes of text counted at once
+PROBES = 6
+BITS_EACH = 16  # of an n-gram's level: a filter a third full, wrong for one probe in 1000
+LEAST_PARTS = 32
+# An n-gram's name within its part. Two of one part share it once in 2**40: rarely beside
+# the filter, which takes an unseen n-gram for a seen one far more often.
+NAME = U64((1 << 40) - 1)
+COUNTED = 8 << 20  # bytes of text counted or sent at once
+MOST_HELD = 1 << 22  # distinct n-grams a task gathers before it sends them on
 
 
 def level(counts: np.ndarray) -> np.ndarray:
@@ -40,6 +50,11 @@ def value(levels: np.ndarray) -> np.ndarray:
     return np.where(levels > 0, np.ceil(2.0 ** ((levels - 1) / STEPS)), 0.0)
 
 
+def value_of(counts: np.ndarray) -> np.ndarray:
+    """``value(level(n))``, 0 for 0."""
+    return np.where(counts > 0, value(level(np.maximum(counts, 1))), 0.0)
+
+
 def signed(hashes: np.ndarray) -> pa.Array:
     return pa.array(hashes.view(np.int64))
 
@@ -49,17 +64,11 @@ def pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
 
 
 def places(items: np.ndarray, levels: np.ndarray, bits: int) -> np.ndarray:
-    """PROBES bit places per (item, level), all in the part of the array that the
-    item's first bits choose; ``bits`` is a power of two."""
-    part_bits = bits // PARTS
+    """PROBES bit places per (item, level) in an array of ``bits`` (below 2**32)."""
     seeds = tokens.mix(items + levels.astype(U64) * U64(0xD1B54A32D192ED03))
     step = (seeds >> U64(32)) | U64(1)
-    inside = (seeds[:, None] + np.arange(PROBES, dtype=U64) * step[:, None]) & U64(part_bits - 1)
-    return part_of(items)[:, None] * U64(part_bits) + inside
-
-
-def part_of(items: np.ndarray) -> np.ndarray:
-    return items >> U64(64 - PARTS.bit_length() + 1)
+    turns = (seeds[:, None] + np.arange(PROBES, dtype=U64) * step[:, None]) & U64(0xFFFFFFFF)
+    return (turns * U64(bits)) >> U64(32)
 
 
 def probe(array: np.ndarray, items: np.ndarray) -> np.ndarray:
@@ -77,6 +86,19 @@ def probe(array: np.ndarray, items: np.ndarray) -> np.ndarray:
     return levels
 
 
+def filled(items: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The bit array of distinct items with their counts."""
+    levels = level(counts)
+    bits = max(64, -(-BITS_EACH * int(levels.sum()) // 64) * 64)
+    flags = np.zeros(bits, bool)
+    for at in range(1, int(levels.max(initial=0)) + 1):
+        some = items[levels >= at]
+        for start in range(0, len(some), 1 << 18):
+            part = some[start : start + (1 << 18)]
+            flags[places(part, np.full(len(part), at), bits).ravel()] = True
+    return np.packbits(flags, bitorder="little")
+
+
 def stream(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Token hashes and rows: each text's words, lower-cased, then one end."""
     hashes, rows = tokens.words(column)
@@ -97,107 +119,119 @@ def tally(hashes: np.ndarray, column: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([signed(found), pa.array(counts)], names=[column, "n"])
 
 
-def runs(rows: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each (row, key) once, with how often it is there."""
-    order = np.lexsort((keys, rows))
-    r, k = rows[order], keys[order]
-    new = np.ones(len(order), bool)
-    new[1:] = (r[1:] != r[:-1]) | (k[1:] != k[:-1])
-    first = np.flatnonzero(new)
-    return r[first], k[first], np.diff(np.append(first, len(order)))
+# ---------------------------------------------------------------- arrays in rows
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers, in as many bytes each as the largest needs."""
+    most = int(numbers.max(initial=0))
+    size = next(n for n in (1, 2, 4, 8) if most < 1 << (8 * n))
+    return bytes([size]) + numbers.astype(f"<u{size}").tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
+
+
+def short_names(items: np.ndarray) -> list[bytes]:
+    """40-bit names, as their low and high bytes."""
+    return [
+        (items & U64(0xFFFFFFFF)).astype("<u4").tobytes(),
+        (items >> U64(32)).astype(np.uint8).tobytes(),
+    ]
+
+
+def long_names(low: bytes, high: bytes) -> np.ndarray:
+    return np.frombuffer(low, "<u4").astype(U64) | np.frombuffer(high, np.uint8).astype(U64) << U64(32)
+
+
+# Kinds of rows between texts and parts, in the order in which a task meets them.
+FILTER, LOCAL, ASKED, ANSWER, PAIRS, RARE = range(6)
+
+
+def row(kind: int, part: int, block: int, data: list[bytes], ids: pa.Array) -> pa.RecordBatch:
+    """One row; ``ids`` of the block's texts, or none of their type."""
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([part], pa.int32()),
+            pa.array([kind], pa.int8()),
+            pa.array([block], pa.int64()),
+            pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+            pa.array([data], pa.list_(pa.binary())),
+        ],
+        names=["part", "kind", "block", "ids", "data"],
+    )
+
+
+def row_type(kind: str) -> str:
+    return f"part int, kind tinyint, block long, ids array<{kind}>, data array<binary>"
 
 
-def value_of(n: Column) -> Column:
-    """``value(level(n))`` of a column."""
-    power = F.pow(F.lit(2.0), F.floor(F.log2(n + 0.5)))
-    middle = F.ceil(power * 2**0.5)
-    return F.when(n >= middle, middle).otherwise(power)
+def met(rows: DataFrame, by: str, tasks: int | None = None) -> DataFrame:
+    """The rows, those of one part or block behind one another and in the order of kinds."""
+    dealt = rows.repartition(tasks, by) if tasks else rows.repartition(by)
+    return dealt.sortWithinPartitions(by, "kind")
 
 
-# What a row of a text holds: its sums, a word or a bigram that a join looks up.
-SUMS, WORD, PAIR = 0, 1, 2
+def small_batches(spark: SparkSession) -> None:
+    """Rows hold arrays: few of them at a time go to a Python worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
+# ---------------------------------------------------------------- the model
 
 
 @dataclass(frozen=True)
 class Model:
-    """Head words (sorted hashes) with exact counts, the filter, the totals, and the
-    folders with the counts of all words and bigrams. Words with a count of
-    ``head_least`` are head words; the filter has the bigrams of two of them with a
-    count of ``least``."""
+    """Head words (sorted hashes) with exact counts, the totals, and the folder with the
+    parts: of each its bits and its other words with their counts."""
 
     head: np.ndarray
     head_counts: np.ndarray
-    array: np.ndarray
     train_tokens: int
     train_words: int
     strength: float
-    words: str
-    head_least: int
-    pairs: str
-    least: int
+    filter: str
+    parts: int
 
     def known(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Whether a hash is a head word, and its count."""
-        if not len(self.head):
-            return np.zeros(len(hashes), bool), np.zeros(len(hashes), np.int64)
-        at = np.minimum(np.searchsorted(self.head, hashes), len(self.head) - 1)
-        hit = self.head[at] == hashes
-        return hit, np.where(hit, self.head_counts[at], 0)
-
-    def rows(self, ids: pa.Array, of: pa.Array, column: pa.Array) -> pa.RecordBatch:
-        """A row of sums for each text, and one for each of its words and bigrams
-        that are not counted here."""
-        n = len(column)
-        hashes, rows = stream(column)
-        distinct, at = np.unique(hashes, return_inverse=True)
-        is_head, counts = self.known(distinct)
-        scale = np.log10(self.train_tokens + self.train_words + 1.0)
-        log_p = np.log10(counts + 1.0) - scale  # of a word outside the head: as if unseen
-        before_at = np.concatenate(([0], at[:-1]))
-        before_at[np.flatnonzero(np.diff(rows, prepend=-1))] = np.searchsorted(distinct, END)
-        history = np.where(is_head, value(probe(self.array, distinct)), 0.0)[before_at]
-        head = is_head[at]
-
-        pair_names = pair_hash(distinct[before_at], hashes)
-        inside = head & is_head[before_at]
-        both = np.flatnonzero(inside)
-        joint = np.zeros(len(hashes))
-        pairs, pair_at = np.unique(pair_names[both], return_inverse=True)
-        levels = probe(self.array, pairs)
-        levels[levels < level(np.array([self.least]))] = 0
-        joint[both] = value(levels)[pair_at]
-        joint = np.minimum(joint, history)
-        # Without a joint count; log10(1 + c(h, w) / (s * p(w))) is added for one, and
-        # what the counts of words outside the head change.
-        s, p = self.strength, 10.0 ** log_p[at]
-        gain = np.log10((joint + s * p) / (history + s))
-
-        sought = np.zeros(len(hashes), bool)
-        if self.least > 1:
-            sought[both] = levels[pair_at] == 0
-        if self.head_least > 1:
-            sought |= ~inside
-        rare = np.flatnonzero(~head)
-        word_rows, word, word_times = runs(rows[rare], at[rare])
-        pair_rows, pair, pair_times = runs(rows[sought], pair_names[sought])
-        whose = pa.array(np.concatenate([word_rows, pair_rows]))
-        more = np.zeros(len(whose))
-        sums = lambda x: np.bincount(rows, x, minlength=n)
-        what = np.repeat(np.array([SUMS, WORD, PAIR], np.int8), [n, len(word), len(pair)])
-        local = sums((counts[at] > 0) & head).astype(np.int64)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.concat_arrays([ids, ids.take(whose)]),
-                pa.concat_arrays([of, of.take(whose)]),
-                pa.array(what),
-                pa.concat_arrays([of, signed(distinct[word]), signed(pair)]),
-                pa.array(np.concatenate([sums(None), more]).astype(np.int64)),
-                pa.array(np.concatenate([local, word_times, pair_times])),
-                pa.array(np.concatenate([sums(log_p[at]), more])),
-                pa.array(np.concatenate([sums(gain), more])),
-            ],
-            names=["id", "of", "what", "key", "tokens", "times", "base", "gain"],
-        )
+        return looked_up(self.head, self.head_counts, hashes)
+
+    @property
+    def scale(self) -> float:
+        """log10 of what counts of words are divided by."""
+        return float(np.log10(self.train_tokens + self.train_words + 1.0))
+
+    def gain(self, joint: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """What a bigram's count adds to the log of its smoothed probability, by the count
+        of its second word."""
+        share = 10.0 ** (np.log10(counts + 1.0) - self.scale)
+        return np.log10(joint / (self.strength * share) + 1.0)
+
+    def of_word(self, counts: np.ndarray) -> np.ndarray:
+        """What a word's count adds, as word and as history, to that of an unseen one."""
+        lost = np.log10(value_of(counts) / self.strength + 1.0)
+        return np.log10(counts + 1.0) - lost
+
+
+def looked_up(
+    names: np.ndarray, counts: np.ndarray, hashes: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    if not len(names):
+        return np.zeros(len(hashes), bool), np.zeros(len(hashes), np.int64)
+    at = np.minimum(np.searchsorted(names, hashes), len(names) - 1)
+    hit = names[at] == hashes
+    return hit, np.where(hit, counts[at], 0)
+
+
+def parts_of(
+    pairs: np.ndarray, words: np.ndarray, is_head: np.ndarray, parts: int
+) -> np.ndarray:
+    """The part of each bigram: by its own hash, so that a frequent word's are spread; by
+    that of its second word, if that is not a head word, whose count is there as well."""
+    shift = U64(64 - (parts.bit_length() - 1))
+    return (np.where(is_head, pairs, words) >> shift).astype(np.int64)
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -212,92 +246,130 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(task, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def pair_counts(texts: DataFrame, head: np.ndarray, head_counts: np.ndarray) -> DataFrame:
-    """(pair, kind, tag, n): all bigrams; a text's first token follows END. Kind 0:
-    both are head words, 1: the second is; tag is then its count. Kind 2: it is not,
-    and tag is the word."""
-    shared_head = texts.sparkSession.sparkContext.broadcast((head, head_counts))
+def least_count(counted: DataFrame, most: int) -> int:
+    """The least power of two that counts of at most ``most`` items reach."""
+    sizes = (
+        counted.groupBy(F.floor(F.log2("n")).cast("int").alias("power"))
+        .agg(F.count(F.lit(1)).alias("items"))
+        .collect()
+    )  # 64 rows at most
+    limit, total = 1, 0
+    for power, items in sorted(sizes, reverse=True):
+        total += items
+        if total > most:
+            limit = 1 << (power + 1)
+            break
+    return limit
+
+
+def summed(items: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each item once, sorted, with the sum of its counts."""
+    order = np.argsort(items)
+    items, counts = items[order], counts[order]
+    firsts = np.flatnonzero(np.diff(items, prepend=~items[:1]) != 0)
+    return items[firsts], np.add.reduceat(counts, firsts) if len(firsts) else counts
+
+
+NO_IDS = pa.array([], pa.int64())
+
+
+def pair_rows(texts: DataFrame, head: np.ndarray, parts: int) -> DataFrame:
+    """Rows of kind PAIRS: a part's bigrams in some texts, and their counts there."""
+    shared_head = texts.sparkSession.sparkContext.broadcast(head)
+
+    def send(keys: np.ndarray, of: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        order = np.argsort(of, kind="stable")
+        keys, of, counts = keys[order], of[order], counts[order]
+        firsts = np.flatnonzero(np.diff(of, prepend=-1))
+        for a, b in zip(firsts, [*firsts[1:], len(of)], strict=True):
+            data = [*short_names(keys[a:b] & NAME), packed(counts[a:b])]
+            yield row(PAIRS, int(of[a]), 0, data, NO_IDS)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counts = shared_head.value
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for batch in batches:
             for block in tokens.blocks(batch, 0, COUNTED):
                 hashes, rows = stream(block.column(0))
-                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-                inside = known[at] == hashes if len(known) else np.zeros(len(hashes), bool)
-                # The last token is END, as is the one before each text's first.
-                before = np.concatenate((inside[-1:], inside[:-1]))
                 found, first, n = np.unique(
                     pair_hash(histories(hashes, rows), hashes),
                     return_index=True,
                     return_counts=True,
                 )
-                tag = hashes[first].view(np.int64)
-                if len(known):
-                    tag = np.where(inside[first], counts[at[first]], tag)
-                kind = np.where(inside[first], np.where(before[first], 0, 1), 2)
-                yield pa.RecordBatch.from_arrays(
-                    [signed(found), pa.array(kind.astype(np.int8)), pa.array(tag), pa.array(n)],
-                    names=["pair", "kind", "tag", "n"],
-                )
+                words = hashes[first]
+                is_head, _ = looked_up(shared_head.value, shared_head.value, words)
+                held.append((found, parts_of(found, words, is_head, parts), n))
+                if sum(len(x) for x, _, _ in held) > MOST_HELD:
+                    yield from send(*united(held))
+                    held = []
+        if held:
+            yield from send(*united(held))
 
-    counted = texts.mapInArrow(task, "pair long, kind tinyint, tag long, n long")
-    return counted.groupBy("pair").agg(
-        F.max("kind").alias("kind"), F.max("tag").alias("tag"), F.sum("n").alias("n")
-    )
+    return texts.mapInArrow(task, row_type("bigint"))
 
 
-def least_count(counted: DataFrame, most: int, weight: Column | None = None) -> int:
-    """The least power of two that counts of at most ``most`` items, or of that sum of
-    ``weight``, reach."""
-    sizes = (
-        counted.groupBy(F.floor(F.log2("n")).cast("int").alias("power"))
-        .agg(F.sum(F.lit(1) if weight is None else weight).alias("items"))
-        .collect()
-    )  # 64 rows at most
-    limit, total = 1, 0
-    for power, items in sorted(sizes, reverse=True):
-        total += items
-        if total > most:
-            limit = 1 << (power + 1)
-            break
-    return limit
+def united(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, ...]:
+    """Items, their parts, and counts, of several blocks: each item once."""
+    if len(held) == 1:
+        return held[0]
+    items, of, counts = (np.concatenate(x) for x in zip(*held, strict=True))
+    order = np.argsort(items)
+    items, of, counts = items[order], of[order], counts[order]
+    firsts = np.flatnonzero(np.concatenate(([True], items[1:] != items[:-1])))
+    return items[firsts], of[firsts], np.add.reduceat(counts, firsts)
 
 
-def fill(items: DataFrame, bits: int) -> np.ndarray:
-    """The bit array of (item, n) rows. Items are dealt by the part of the array they
-    belong to; a task holds only its parts, whatever the number of items."""
+def rare_rows(words: DataFrame, parts: int) -> DataFrame:
+    """Rows of kind RARE: words of a part and their counts."""
+    shift = 64 - (parts.bit_length() - 1)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
-        size = bits // PARTS
         for batch in batches:
-            names = batch.column(0).to_numpy(zero_copy_only=False).view(U64)
-            levels = level(batch.column(1).to_numpy(zero_copy_only=False))
-            parts = part_of(names).astype(np.int64)
-            for part in np.unique(parts):
-                own, most = names[parts == part], levels[parts == part]
-                flags = held.setdefault(int(part), np.zeros(size, bool))
-                for at in range(1, int(most.max()) + 1):
-                    some = own[most >= at]
-                    found = places(some, np.full(len(some), at), bits) - U64(int(part) * size)
-                    flags[found.ravel()] = True
-        for part, flags in held.items():
-            packed = np.packbits(flags, bitorder="little").tobytes()
-            yield pa.RecordBatch.from_pydict({"part": [part], "bits": [packed]})
-
-    rows = (
-        items.withColumn("part", F.shiftrightunsigned("item", 64 - PARTS.bit_length() + 1))
-        .repartition(PARTS, "part")
-        .select("item", "n")
-        .mapInArrow(task, "part long, bits binary")
-        .collect()
-    )  # the array, once
-    array = np.zeros(bits // 8, np.uint8)
-    for part, packed in rows:
-        size = bits // PARTS // 8
-        array[part * size : (part + 1) * size] = np.frombuffer(packed, np.uint8)
-    return array
+            names = batch.column(0).to_numpy().view(U64)
+            of, counts = names >> U64(shift), batch.column(1).to_numpy()
+            for part in np.unique(of):
+                own = of == part
+                data = [names[own].tobytes(), packed(counts[own])]
+                yield row(RARE, int(part), 0, data, NO_IDS)
+
+    return words.select("word", "n").mapInArrow(task, row_type("bigint"))
+
+
+def filter_rows(rows: DataFrame, parts: int) -> DataFrame:
+    """A row of kind FILTER per part: its bits, its other words sorted, their counts."""
+
+    def made(part: int, pairs: list, rare: list) -> pa.RecordBatch:
+        nothing = (np.zeros(0, U64), np.zeros(0, np.int64))
+        items, counts = gathered(pairs) if pairs else nothing
+        words, word_counts = gathered(rare) if rare else nothing
+        data = [filled(items, counts).tobytes(), words.tobytes(), packed(word_counts)]
+        return row(FILTER, part, 0, data, NO_IDS)
+
+    def gathered(held: list) -> tuple[np.ndarray, np.ndarray]:
+        names, counts = (np.concatenate(x) for x in zip(*held, strict=True))
+        return summed(names, counts)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, pairs, rare, size = None, [], [], 0
+        for batch in batches:
+            for part, kind, data in zip(
+                *(batch.column(c).to_pylist() for c in ("part", "kind", "data")), strict=True
+            ):
+                if part != at:
+                    if at is not None:
+                        yield made(at, pairs, rare)
+                    at, pairs, rare, size = part, [], [], 0
+                if kind == PAIRS:
+                    pairs.append((long_names(data[0], data[1]), unpacked(data[2])))
+                    size += len(pairs[-1][0])
+                    if size > 2 * MOST_HELD:  # what repeats among blocks counts once
+                        pairs = [gathered(pairs)]
+                        size = 0
+                else:
+                    rare.append((np.frombuffer(data[0], U64), unpacked(data[1])))
+        if at is not None:
+            yield made(at, pairs, rare)
+
+    return met(rows, "part", parts).mapInArrow(task, row_type("bigint"))
 
 
 def stored(df: DataFrame, name: str) -> str:
@@ -310,90 +382,122 @@ def stored(df: DataFrame, name: str) -> str:
 def fit(
     texts: DataFrame,
     head_words: int = 1 << 20,
-    max_filter_bits: int = 1 << 28,
+    max_filter_bits: int = 1 << 26,
     strength: float = 64.0,
     text_col: str = "text",
 ) -> Model:
     """Learn from all ``texts``.
 
-    ``head_words`` and ``max_filter_bits`` bound what is broadcast (16 bytes a word;
-    32 MB), not what is counted: all words and bigrams are kept exactly, in tables in
-    the shared folder. The filter takes the head words and the most frequent bigrams
-    of two of them, by their measured levels, half full at most.
+    ``head_words`` bounds what is broadcast (16 bytes a word), and ``max_filter_bits``
+    roughly the bits of a part, not what is counted: all words are counted exactly and
+    all bigrams are in the filter, which has as many parts as it takes.
     ``strength`` is the weight of the unigram model in a bigram's probability, in
     counts of the history. Null texts count as empty: one end token.
     """
     spark = texts.sparkSession
+    small_batches(spark)
     only = texts.select(F.col(text_col))
-    words = stored(word_counts(only), "words")
-    counted = spark.read.parquet(words)
+    counted = spark.read.parquet(stored(word_counts(only), "words"))
     train_tokens, train_words = counted.agg(F.sum("n"), F.count(F.lit(1))).first()
+    train_tokens = int(train_tokens or 0)
     head_least = least_count(counted, head_words)
     top = counted.filter(F.col("n") >= head_least).toArrow()
     names = top.column("word").to_numpy().view(U64)
     order = np.argsort(names)
     head, head_counts = names[order], top.column("n").to_numpy()[order].astype(np.int64)
-
-    path = stored(pair_counts(only, head, head_counts), "pairs")
-    pairs = spark.read.parquet(path).filter("kind = 0")
-    head_levels = int(level(head_counts).sum()) if len(head) else 0
-    each = F.floor(F.log2("n") * STEPS) + 1
-    least = least_count(pairs, max_filter_bits // (2 * PROBES) - head_levels, each)
-    items = (
-        pairs.filter(F.col("n") >= least)
-        .select(F.col("pair").alias("item"), "n")
-        .unionByName(
-            counted.filter(F.col("n") >= head_least).select(F.col("word").alias("item"), "n")
-        )
-    )
-    levels = items.agg(F.sum(each)).first()[0] or 1
-    bits = 1 << 16
-    while bits < 2 * PROBES * levels and bits < max_filter_bits:
-        bits *= 2
+    parts = LEAST_PARTS
+    while parts * max_filter_bits < BITS_EACH * train_tokens:
+        parts *= 2
+    rare = rare_rows(counted.filter(F.col("n") < head_least), parts)
+    rows = pair_rows(only, head, parts).unionByName(rare)
     return Model(
         head=head,
         head_counts=head_counts,
-        array=fill(items, bits),
-        train_tokens=int(train_tokens or 0),
+        train_tokens=train_tokens,
         train_words=int(train_words),
         strength=strength,
-        words=words,
-        head_least=head_least,
-        pairs=path,
-        least=least,
+        filter=stored(filter_rows(rows, parts), "filter"),
+        parts=parts,
     )
 
 
-def lookup(spark: SparkSession, model: Model) -> DataFrame:
-    """(what, key, base, gain): what the words and bigrams that are not broadcast add
-    to a text's sums, each time they are there."""
-    s, total = model.strength, model.train_tokens + model.train_words + 1.0
-    rare = spark.read.parquet(model.words).filter(F.col("n") < model.head_least)
-    log_count = F.log10(F.col("n") + 1)
+# ---------------------------------------------------------------- scoring
+
+
+def sent(block: int, ids: pa.Array, column: pa.Array, model: Model) -> Iterator[pa.RecordBatch]:
+    """A row of kind LOCAL, with the texts' ids and what needs no part, and for each part
+    one of kind ASKED: of each second word the bigrams that follow and its count if it is
+    a head word, else its hash; of each bigram of a text its name, the text, how often."""
+    n = len(column)
+    hashes, rows = stream(column)
+    distinct, at = np.unique(hashes, return_inverse=True)
+    is_head, counts = model.known(distinct)
+    before = np.concatenate((at[-1:], at[:-1]))
+    before[np.flatnonzero(np.diff(rows, prepend=-1))] = np.searchsorted(distinct, END)
     # A text's histories are its tokens, so a word counts as often as either.
-    words = rare.select(
-        F.lit(WORD).cast("tinyint").alias("what"),
-        F.col("word").alias("key"),
-        log_count.alias("base"),
-        (log_count - F.log10(value_of(F.col("n")) / s + 1)).alias("gain"),
-    )
-    pairs = spark.read.parquet(model.pairs)
-    known = pairs.filter((F.col("kind") == 1) | ((F.col("kind") == 0) & (F.col("n") < model.least)))
-    named = pairs.filter("kind = 2").join(
-        rare.select(F.col("word").alias("tag"), F.col("n").alias("of_word")), "tag"
-    )
-    both = known.select("pair", "n", F.col("tag").alias("of_word")).unionByName(
-        named.select("pair", "n", "of_word")
-    )
-    share = value_of(F.col("n")) * total / (s * (F.col("of_word") + 1))
-    return words.unionByName(
-        both.select(
-            F.lit(PAIR).cast("tinyint").alias("what"),
-            F.col("pair").alias("key"),
-            F.lit(0.0).alias("base"),
-            F.log10(share + 1).alias("gain"),
-        )
+    n_tokens = np.bincount(rows, minlength=n)
+    n_known = np.bincount(rows, (counts > 0)[at], n)
+    base = np.bincount(rows, np.log10(counts + 1.0)[at], n) - n_tokens * model.scale
+    gain = np.bincount(rows, model.of_word(counts)[at], n) - n_tokens * model.scale
+
+    pairs = pair_hash(distinct[before], hashes)
+    _, first, times = np.unique(
+        tokens.mix(pairs + rows.astype(U64) * U64(0x9E3779B97F4A7C15)),
+        return_index=True,
+        return_counts=True,
     )
+    word, pairs, rows = at[first], pairs[first], rows[first]
+    of = parts_of(pairs, distinct[word], is_head[word], model.parts)
+    # By part, then head words, then word.
+    group = (of * 2 + ~is_head[word]) * len(distinct) + word
+    order = np.argsort(group)
+    group, of, word = group[order], of[order], word[order]
+    pairs, rows, times = pairs[order], rows[order], times[order]
+    groups = np.flatnonzero(np.diff(group, prepend=-1))
+    starts = np.flatnonzero(np.diff(of, prepend=-1))
+    data = [packed(np.array([len(starts)])), packed(n_tokens), packed(n_known)]
+    data += [base.tobytes(), gain.tobytes()]
+    yield row(LOCAL, block % model.parts, block, data, ids)
+    for a, b in zip(starts, [*starts[1:], len(of)], strict=True):
+        own = groups[np.searchsorted(groups, a) : np.searchsorted(groups, b)]
+        sizes, whose = np.diff(own, append=b), word[own]
+        head = is_head[whose]
+        data = [
+            packed(np.array([n])),
+            packed(sizes),
+            packed(counts[whose[head]]),
+            distinct[whose[~head]].tobytes(),
+            *short_names(pairs[a:b] & NAME),
+            packed(rows[a:b]),
+            packed(times[a:b]),
+        ]
+        yield row(ASKED, int(of[a]), block, data, ids.slice(0, 0))
+
+
+def answered(asked: list[bytes], held: list[bytes] | None, model: Model) -> list[bytes]:
+    """The sums of a block's texts over what a part holds: the texts that have words of
+    the part, how many of these words are known and what they add to the base score; what
+    words and bigrams add to the score."""
+    n, sizes = int(unpacked(asked[0])[0]), unpacked(asked[1])
+    head, rare = unpacked(asked[2]), np.frombuffer(asked[3], U64)
+    rows, times = unpacked(asked[6]), unpacked(asked[7])
+    if held is None:
+        return [packed(rows[:0]), packed(rows[:0]), b"", np.zeros(n).tobytes()]
+    array = np.frombuffer(held[0], np.uint8)
+    _, found = looked_up(np.frombuffer(held[1], U64), unpacked(held[2]), rare)
+    counts = np.repeat(np.concatenate([head, found]), sizes)
+    here = np.repeat(np.arange(len(sizes)) >= len(head), sizes) & (counts > 0)
+    # No bigram has a second word that was never seen.
+    seen = np.flatnonzero(counts > 0)
+    joint = np.zeros(len(counts))
+    joint[seen] = value(probe(array, long_names(asked[4], asked[5])[seen]))
+    gain = model.gain(joint, counts)
+    gain[here] += model.of_word(counts[here])
+    whose, place = np.unique(rows[here], return_inverse=True)
+    base = np.bincount(place, np.log10(counts[here] + 1.0) * times[here], len(whose))
+    known = np.bincount(place, times[here], len(whose)).astype(np.int64)
+    sums = np.bincount(rows, gain * times, n)
+    return [packed(whose), packed(known), base.tobytes(), sums.tobytes()]
 
 
 def score(
@@ -403,55 +507,88 @@ def score(
 
     base_score sums log10((c + 1) / (N + V + 1)) over a text's tokens, with exact
     counts. score sums log10((c(h, w) + s * p(w)) / (c(h) + s)): p the same unigram
-    probability, s the model's strength, c(h) and c(h, w) quantised, of all words and
-    bigrams learned. A filter errs upwards only; c(h, w) is held to c(h).
+    probability, s the model's strength, c(h) quantised, c(h, w) by probes of the filter.
+    A filter errs upwards only, and never for a word that was not seen.
 
-    Frequent n-grams are scored where the text is read. Other words, and bigrams that
-    the filter does not have, travel as (document, n-gram, count) rows to a join with
-    their counts: none of them is frequent, so no key is hot. A text of null is one
-    end token. Repeated rows give as many rows; other columns are not read.
+    A block of texts sends each part one row of arrays and gets one back; a bigram
+    travels once for each text that has it, so none is hot, and a frequent word's
+    bigrams are spread over all parts. A task holds one part at a time. A text of null is
+    one end token. Repeated rows give as many rows; other columns are not read.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     shared_model = spark.sparkContext.broadcast(model)
     kind = docs.schema[id_col].dataType.simpleString()
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for texts in tokens.blocks(batch, 1, COUNTED):
+                yield from sent(block, texts.column(0), texts.column(1), shared_model.value)
+                block += 1
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = None, None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                one = batch.slice(i, 1)
+                what = one.column("kind")[0].as_py()
+                if what == LOCAL:
+                    yield one
+                    continue
+                data = one.column("data")[0].as_py()
+                if what == FILTER or one.column("part")[0].as_py() != part:
+                    part = one.column("part")[0].as_py()
+                    held = data if what == FILTER else None
+                if what == ASKED:
+                    block = one.column("block")[0].as_py()
+                    found = answered(data, held, shared_model.value)
+                    yield row(ANSWER, part, block, found, one.column("ids").flatten())
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [id_col, "n_tokens", "n_known", "base_score", "score"]
+        ids, sums, missing = None, [], 0
+
+        def whole() -> pa.RecordBatch:
+            if missing:
+                raise RuntimeError("a block of texts differs from that of an earlier attempt")
+            return pa.RecordBatch.from_arrays([ids, *map(pa.array, sums)], names=names)
+
         for batch in batches:
-            for block in tokens.blocks(batch, 2):
-                yield shared_model.value.rows(block.column(0), block.column(1), block.column(2))
-
-    rows = docs.select(
-        F.col(id_col).alias("id"),
-        F.xxhash64(F.col(id_col), F.col(text_col)).alias("of"),
-        F.col(text_col).alias("text"),
-    ).mapInArrow(
-        task,
-        f"id {kind}, of long, what tinyint, key long, tokens long, times long, "
-        "base double, gain double",
+            for i in range(batch.num_rows):
+                one = batch.slice(i, 1)
+                data = one.column("data")[0].as_py()
+                if one.column("kind")[0].as_py() == LOCAL:
+                    if ids is not None:
+                        yield whole()
+                    ids = one.column("ids").flatten()
+                    missing = int(unpacked(data[0])[0])
+                    sums = [unpacked(data[1]), unpacked(data[2])]
+                    sums += [np.frombuffer(x, np.float64).copy() for x in data[3:]]
+                    continue
+                whose = unpacked(data[0])
+                sums[1][whose] += unpacked(data[1])
+                sums[2][whose] += np.frombuffer(data[2], np.float64)
+                sums[3] += np.frombuffer(data[3], np.float64)
+                missing -= 1
+        if ids is not None:
+            yield whole()
+
+    asked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
+        send, row_type(kind)
     )
-    added = lookup(spark, model).withColumnsRenamed({"base": "more_base", "gain": "more_gain"})
-    is_sums = F.col("what") == SUMS
-    is_known = is_sums | ((F.col("what") == WORD) & F.col("more_base").isNotNull())
-    plus = lambda name: F.col(name) + F.coalesce(f"more_{name}", F.lit(0.0)) * F.col("times")
-    summed = (
-        rows.join(added, ["what", "key"], "left")
-        .filter((F.col("what") != PAIR) | F.col("more_gain").isNotNull())
-        .groupBy("id", "of")
-        .agg(
-            F.sum(F.when(is_sums, 1).otherwise(0)).alias("copies"),
-            F.sum("tokens").alias("tokens"),
-            F.sum(F.when(is_known, F.col("times"))).alias("known"),
-            F.sum(plus("base")).alias("base"),
-            F.sum(plus("gain")).alias("gain"),
-        )
+    held = spark.read.parquet(model.filter).withColumn(
+        "ids", F.array().cast(f"array<{kind}>")
     )
-    # Rows that repeat an id and a text were summed together.
-    return summed.select(
-        F.col("id").alias(id_col),
-        (F.col("tokens") / F.col("copies")).cast("long").alias("n_tokens"),
-        (F.col("known") / F.col("copies")).cast("long").alias("n_known"),
+    answers = met(asked.unionByName(held), "part", model.parts).mapInArrow(answer, row_type(kind))
+    found = met(answers, "block").mapInArrow(
+        add, f"`{id_col}` {kind}, n_tokens long, n_known long, base_score double, score double"
+    )
+    return found.select(
+        id_col,
+        "n_tokens",
+        "n_known",
         F.lit(model.train_tokens).cast("long").alias("train_tokens"),
-        (F.col("base") / F.col("copies")).alias("base_score"),
-        (F.col("gain") / F.col("copies")).alias("score"),
-        F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy"),
-    ).drop("copy")
+        "base_score",
+        "score",
+    )
