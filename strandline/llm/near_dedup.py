@@ -186,23 +186,49 @@ def bits(column: pa.Array) -> np.ndarray:
 
 def units(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
     """The members of each bucket, with component, size and sketch, in units to be
-    compared. A bucket is compared in blocks of about BLOCK members; each pair of blocks
-    is a unit, with the block as ``side`` (0: both are one), so that no bucket is one
-    task."""
-    known = classes.select("rep", "n", "sketch").join(
+    compared, those of different components only.
+
+    Buckets of one component are left out. A larger bucket is compared in blocks of about
+    BLOCK members, each component's in blocks of its own where it has that many; each pair
+    of blocks with two components or more is a unit, with the block as ``side`` (0: both
+    are one). So no bucket is one task, and a large component joined already costs only
+    its meetings with the others.
+    """
+    named = members.select("bucket", "rep").join(
         labels.select(F.col("node").alias("rep"), "component"), "rep", "left"
     )
-    rows = members.join(known, "rep").select(
-        "bucket",
-        "rep",
-        F.coalesce("component", "rep").alias("component"),
-        "n",
-        "sketch",
-        F.expr(f"ceil(size / {BLOCK})").alias("blocks"),
+    named = named.select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
+    sizes = named.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("own_size"))
+    mixed = (
+        sizes.groupBy("bucket")
+        .agg(F.count(F.lit(1)).alias("components"), F.sum("own_size").alias("size"))
+        .filter("components > 1")
+        .select("bucket", F.expr(f"ceil(size / {BLOCK})").alias("blocks"))
+    )
+    rows = named.join(mixed, "bucket")
+    one = rows.filter("blocks = 1").select(
+        F.xxhash64("bucket").alias("unit"), F.lit(0).alias("side"), "rep", "component"
+    )
+    # A component's members are dealt over as many blocks as they fill.
+    chunk = f"pmod(xxhash64(rep, bucket), ceil(own_size / {BLOCK}))"
+    more = (
+        rows.filter("blocks > 1")
+        .join(sizes, ["bucket", "component"])
+        .withColumn("own", F.expr(f"pmod(xxhash64(component, {chunk}, bucket), blocks)"))
     )
-    rows = rows.withColumn("own", F.expr("pmod(xxhash64(rep, bucket), blocks)"))
-    rows = rows.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
-    rows = rows.select(
+    blocks = more.groupBy("bucket", "own").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    facing = blocks.select(
+        "bucket", F.col("own").alias("other"), F.col("low").alias("low_2"),
+        F.col("high").alias("high_2"),
+    )
+    met = (
+        blocks.join(facing, "bucket")
+        .filter("least(low, low_2) < greatest(high, high_2)")
+        .select("bucket", "own", "other")
+    )
+    many = more.join(met, ["bucket", "own"]).select(
         F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("unit"),
         F.when(F.col("own") == F.col("other"), 0)
         .when(F.col("own") < F.col("other"), 1)
@@ -210,10 +236,11 @@ def units(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFram
         .alias("side"),
         "rep",
         "component",
-        "n",
-        "sketch",
     )
-    return rows
+    known = classes.select("rep", "n", "sketch")
+    return one.unionByName(many).join(known, "rep").select(
+        "unit", "side", "rep", "component", "n", "sketch"
+    )
 
 
 def whole_units(

@@ -108,3 +108,31 @@ def test_sketches_estimate_similarity():
         one, two = near_dedup.odd_sketches(samples).view(np.uint64)
         differing = int(np.bitwise_count(one ^ two).sum())
         assert abs(near_dedup.similarity_estimate(np.array(differing)) - similarity) < 0.13
+
+
+def test_a_joined_group_is_not_compared_again(spark):
+    """Units grow with what is still apart, not with the square of a group."""
+    for n in (1000, 4000):
+        classes = spark.range(n).selectExpr("id AS rep", "10L AS n", "CAST('' AS BINARY) AS sketch")
+        members = classes.selectExpr("7L AS bucket", "rep", "0L AS leader", f"{n}L AS size")
+        one = classes.selectExpr("rep AS node", "0L AS component")
+        assert near_dedup.units(members, one, classes).count() == 0
+        # Five of them apart, each by itself.
+        some = one.selectExpr("node", "CASE WHEN node % 200 = 99 AND node < 1000 THEN node "
+                              "ELSE component END AS component")
+        rows = near_dedup.units(members, some, classes)
+        assert rows.count() < 6 * n + 6 * near_dedup.BLOCK
+        # Every pair of different components meets in a unit, once or on its two sides.
+        found = rows.select("unit", "side", "rep", "component").collect()
+        by_unit = {}
+        for r in found:
+            by_unit.setdefault(r.unit, []).append(r)
+        for a in (99, 299, 899):
+            for b in (0, 5, 299, 500, n - 1):
+                if a != b:
+                    assert any(
+                        x.rep == a and y.rep == b and (x.side == 0 or x.side != y.side)
+                        for unit in by_unit.values()
+                        for x in unit if x.rep == a
+                        for y in unit if y.rep == b
+                    ), (a, b)
