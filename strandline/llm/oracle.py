@@ -40,38 +40,40 @@ FROM d LEFT JOIN cut USING (doc_id)
 """
 
 OP2 = f"""
-WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
-words AS (SELECT doc_id, regexp_extract_all(t, '{WORD}+') AS w FROM d),
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents
+),
+words AS (SELECT r, regexp_extract_all(t, '{WORD}+') AS w FROM d),
 tri AS (
-  SELECT doc_id, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c
-  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM words)
+  SELECT r, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c
+  FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM words)
 ),
 twice AS (
-  SELECT doc_id, i FROM tri
-  QUALIFY count(*) OVER (PARTITION BY doc_id, a, b, c) > 1
+  SELECT r, i FROM tri
+  QUALIFY count(*) OVER (PARTITION BY r, a, b, c) > 1
 ),
 repeats AS (
-  SELECT doc_id, count(DISTINCT p) AS n
-  FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY doc_id
+  SELECT r, count(DISTINCT p) AS n
+  FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY r
 ),
 lines AS (
-  SELECT doc_id, source, l, length(l) AS n FROM (
-    SELECT doc_id, source, trim(regexp_replace(regexp_replace(lower(unnest(
+  SELECT r, doc_id, source, l, length(l) AS n FROM (
+    SELECT r, doc_id, source, trim(regexp_replace(regexp_replace(lower(unnest(
       string_split(t, chr(10)))), '[0-9]', '0', 'g'), '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' ') AS l
     FROM d
   ) WHERE l <> ''
 ),
-hosts AS (SELECT source, count(*) AS docs FROM d GROUP BY source),
+hosts AS (SELECT source, count(DISTINCT doc_id) AS docs FROM d GROUP BY source),
 common AS (
   SELECT h.source, l FROM (
     SELECT source, l, count(DISTINCT doc_id) AS n FROM lines GROUP BY ALL
   ) c JOIN hosts h ON c.source IS NOT DISTINCT FROM h.source
-  WHERE n > 10 AND n > 0.1 * docs
+  WHERE n > 10 AND (n > 0.1 * docs OR n > 1000)
 ),
 shares AS (
-  SELECT doc_id, sum(CASE WHEN c.l IS NULL THEN 0 ELSE n END) / sum(n) AS share
+  SELECT r, sum(CASE WHEN c.l IS NULL THEN 0 ELSE n END) / sum(n) AS share
   FROM lines x LEFT JOIN common c ON x.l = c.l AND x.source IS NOT DISTINCT FROM c.source
-  GROUP BY doc_id
+  GROUP BY r
 ),
 figures AS (
   SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
@@ -80,9 +82,9 @@ figures AS (
     len(ls) - len(list_distinct(ls)) AS n_dup_lines,
     coalesce(n, 0) AS n_repeat_words, coalesce(share, 0.0) AS removed_share
   FROM (
-    SELECT doc_id, t,
+    SELECT r, doc_id, t,
       list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '{WORD}')) AS ls FROM d
-  ) JOIN words USING (doc_id) LEFT JOIN repeats USING (doc_id) LEFT JOIN shares USING (doc_id)
+  ) JOIN words USING (r) LEFT JOIN repeats USING (r) LEFT JOIN shares USING (r)
 ),
 judged AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandline.llm.keep import keep
+
 # Fixed values of the rules.
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
+MAX_DOCS = 1000  # of a host: a line in more of them is common whatever the host's size
 
 WORD_GAP = r"[\\x20\\x09-\\x0D]+"
 HAS_WORD = r"[^\\x20\\x09-\\x0D]"
@@ -69,18 +72,37 @@ def common_lines(
     min_docs: int = 10,
     max_share: float = 0.1,
     host_col: str = "source",
-    max_docs: int | None = None,
+    max_docs: int | None = MAX_DOCS,
+    id_col: str = "doc_id",
 ) -> DataFrame:
-    """(host, line): lines, by hash, in more than ``min_docs`` documents of a host and
-    in more than ``max_share`` of them, or, where ``max_docs`` is given, in more than
-    that many of them, however large the host. Each task first combines equal pairs, so
-    a line or host that a third of all rows hold travels as one row per task."""
-    texts = docs.select(F.col(host_col).alias("host"), F.col("text"))
-    sizes = texts.groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
+    """(host, line): lines, by hash, in more than ``min_docs`` distinct documents of a host
+    and in more than ``max_share`` of them, or in more than ``max_docs`` of them, however
+    large the host (None: no such limit).
+
+    Rows of one id are one document. Each task first combines equal pairs, so a line or
+    host that a third of all rows hold travels as one row per task; only rows whose id
+    occurs again travel with it.
+    """
+    texts = docs.select(
+        F.col(host_col).alias("host"), F.col(id_col).alias("id"), F.col("text")
+    )
+    again = keep(
+        texts.groupBy("id")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .filter("rows > 1")
+        .select(F.col("id").alias("again")),
+        "repeated",
+    )
+    single, several = texts, texts.limit(0)
+    if not again.isEmpty():
+        single = texts.join(again, F.expr("id <=> again"), "left_anti")
+        several = texts.join(again, F.expr("id <=> again"), "left_semi")
+    per_host = single.select("host").unionByName(several.select("host", "id").distinct().drop("id"))
+    sizes = per_host.groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
+    each = f"explode(array_distinct(transform({NORMAL_LINES}, l -> xxhash64(l)))) AS line"
     counts = (
-        texts.selectExpr(
-            "host", f"explode(array_distinct(transform({NORMAL_LINES}, l -> xxhash64(l)))) AS line"
-        )
+        single.selectExpr("host", each)
+        .unionByName(several.selectExpr("host", "id", each).distinct().drop("id"))
         .groupBy("host", "line")
         .agg(F.count(F.lit(1)).alias("n_docs"))
         .filter(F.col("n_docs") > min_docs)
@@ -105,7 +127,7 @@ def judge(
     text_col: str = "text",
     host_col: str = "source",
     salts: int = 64,
-    max_docs: int | None = None,
+    max_docs: int | None = MAX_DOCS,
 ) -> DataFrame:
     """One row per document: the figures, removed_share, depleted, kept.
 
@@ -115,13 +137,13 @@ def judge(
 
     Common lines meet the documents' lines by a join dealt over ``salts`` parts per
     line; Spark broadcasts them where they are few. Null text: no line, base_failed.
-    A null host is a host of its own. Repeated rows count as documents and give as
-    many rows; other columns are not read.
+    A null host is a host of its own. Rows that repeat an id count as one document of
+    their host and give as many rows; other columns are not read.
     """
     source = docs.select(
         F.col(id_col), F.col(text_col).alias("text"), F.col(host_col).alias("host")
     )
-    common = common_lines(source, min_docs, max_share, "host", max_docs).selectExpr(
+    common = common_lines(source, min_docs, max_share, "host", max_docs, id_col).selectExpr(
         "host AS at_host",
         "line AS at_line",
         f"explode(sequence(0, {salts - 1})) AS at_salt",

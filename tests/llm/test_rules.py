@@ -3,6 +3,7 @@
 import re
 from collections import Counter
 
+import duckdb
 import pytest
 
 from strandline.llm import queries, quality_rules, url_filters
@@ -75,13 +76,36 @@ def test_common_lines_of_a_very_large_host(spark):
     docs = spark.range(40_000).selectExpr(
         "id AS doc_id", f"IF(id < 3000, '{line}', translate(id, '0123456789', 'abcdefghij')) AS text", "'hot' AS source"
     )
-    assert quality_rules.judge(docs).filter("depleted").count() == 0  # 7.5 % of the host
-    rows = quality_rules.judge(docs, max_docs=1000).filter("depleted").collect()
+    only_share = quality_rules.judge(docs, max_docs=None)
+    assert only_share.filter("depleted").count() == 0  # 7.5 % of the host
+    rows = quality_rules.judge(docs).filter("depleted").collect()
     assert {r.doc_id for r in rows} == set(range(3000))
     few = quality_rules.judge(docs, max_docs=3000)
     assert few.filter("depleted").count() == 0
 
 
+def test_rows_that_repeat_are_one_document(spark, tmp_path):
+    """The registered query and its SQL, on a table with rows and ids that repeat."""
+    line = "Home | About | Contact us today"
+    docs = [(i, f"{line}\nq{'q' * i}", "one") for i in range(8)] * 4  # 8 documents, not 32
+    docs += [(100 + i, f"{line}\nr{'r' * i}", "two") for i in range(15)]
+    docs += [(100, f"{line}\nr", "two"), (100, f"{line}\nother", "two"), (7, line, "two")]
+    docs += [(200 + i, f"unlike {'u' * i}", h) for i in range(40) for h in ("one", "two")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    frame.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = queries.op2_quality_rules(spark, str(tmp_path)).collect()
+    assert len(rows) == len(docs)
+    assert {r.doc_id for r in rows if r.depleted} == {7, *range(100, 115)}
+    con = duckdb.connect()
+    con.execute(
+        f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')"
+    )
+    result = con.execute(queries.SQL["op2_quality_rules"])
+    names = [d[0] for d in result.description]
+    want = sorted(repr(x) for x in result.fetchall())
+    assert sorted(repr(tuple(r[n] for n in names)) for r in rows) == want
+
+
 RULES = [*queries.URL_RULES, ("x.net", "", "block"), ("x.net", "", "allow"), ("x.net", "/a", "allow")]
 URLS = [
     None,
