@@ -76,8 +76,8 @@ def suffix_array(s: np.ndarray, size: int) -> np.ndarray:
     """The sorted suffixes of ``s``, symbols below ``size``, the last one 0 and no other.
 
     Leftmost-smaller substrings are sorted by one induction and named; the string of
-    names is sorted in turn, by doubling, as its alphabet is too large for buckets;
-    a second induction brings in all other suffixes.
+    names is sorted in turn, by the same steps; a second induction brings in all other
+    suffixes.
     """
     n = len(s)
     if n < 2:
@@ -94,35 +94,138 @@ def suffix_array(s: np.ndarray, size: int) -> np.ndarray:
     number = np.full(n, 0)
     number[found] = np.arange(len(found))
     ends = np.append(found[1:], n - 1)[number[sorted_]]
-    lengths = ends - sorted_
-    sums = running_sums(s)
-    hashes = between(sums, sorted_, ends + 1)
+    lengths = ends - sorted_ + 1
     new = np.ones(len(sorted_), bool)
-    new[1:] = (lengths[1:] != lengths[:-1]) | (hashes[1:] != hashes[:-1])
+    same = np.flatnonzero(lengths[1:] == lengths[:-1])
+    one, two = sorted_[1:][same], sorted_[:-1][same]
+    new[1:][same] = common(s, one, two, lengths[1:][same]) < lengths[1:][same]
     names = np.empty(len(found), np.int64)
     names[number[sorted_]] = np.cumsum(new) - 1
-    return induce(s, smaller, found[order_of(names)], size)
+    if new.all():
+        order = np.argsort(names)
+    else:
+        order = np.array(sorted_names(names.tolist(), int(new.sum())), np.int64)
+    return induce(s, smaller, found[order], size)
 
 
-def order_of(names: np.ndarray) -> np.ndarray:
-    """The order of the suffixes of ``names`` (dense from 0), by doubling."""
-    rank, n = names, len(names)
+def sorted_names(s: list[int], size: int) -> list[int]:
+    """The sorted suffixes of a string of names below ``size``, the last one 0 and no
+    other: the steps of ``suffix_array``, one symbol at a time, as nearly every name has a
+    bucket of its own."""
+    n = len(s)
+    if n < 2:
+        return list(range(n))
+    smaller = [True] * n
+    for i in range(n - 2, -1, -1):
+        smaller[i] = s[i] < s[i + 1] or (s[i] == s[i + 1] and smaller[i + 1])
+    found = [i for i in range(1, n) if smaller[i] and not smaller[i - 1]]
+    ends = [0] * size
+    for symbol in s:
+        ends[symbol] += 1
+    total = 0
+    for symbol, count in enumerate(ends):
+        total += count
+        ends[symbol] = total
+    if len(found) > 1:
+        ordered = _induced(s, smaller, found, ends)
+        stop = {a: b + 1 for a, b in zip(found, [*found[1:], n - 1], strict=True)}
+        name, last, names = -1, None, {}
+        for i in ordered:
+            if i in stop:
+                part = s[i : stop[i]]
+                name += part != last
+                names[i] = name
+                last = part
+        if name + 1 < len(found):
+            order = sorted_names([names[i] for i in found], name + 1)
+            found = [found[i] for i in order]
+        else:
+            found.sort(key=names.__getitem__)
+    return _induced(s, smaller, found, ends)
+
+
+def _induced(s: list[int], smaller: list[bool], seeds: list[int], ends: list[int]) -> list[int]:
+    """``induce`` for lists."""
+    n = len(s)
+    out = [-1] * n
+    tail = ends[:]
+    for i in reversed(seeds):
+        tail[s[i]] -= 1
+        out[tail[s[i]]] = i
+    head = [0, *ends[:-1]]
+    for i in range(n):
+        before = out[i] - 1
+        if before >= 0 and not smaller[before]:
+            symbol = s[before]
+            out[head[symbol]] = before
+            head[symbol] += 1
+    tail = ends[:]
+    tail[0] -= 1  # the last suffix stays
+    for i in range(n - 1, -1, -1):
+        before = out[i] - 1
+        if before >= 0 and smaller[before]:
+            symbol = s[before]
+            tail[symbol] -= 1
+            out[tail[symbol]] = before
+    return out
+
+
+def common(s: np.ndarray, one: np.ndarray, two: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """How many symbols the suffixes at ``one`` and ``two`` share from their start, up to
+    ``most``: eight bytes of symbols at a time, as long as they agree."""
+    width = 8 // s.itemsize
+    room = np.zeros(len(s) + width, s.dtype)
+    room[: len(s)] = s
+    words = np.lib.stride_tricks.as_strided(
+        room.view(np.uint8), (len(s), 8), (s.itemsize, 1)
+    )
+    words = np.ascontiguousarray(words).view(np.uint64).ravel()
+    shared = np.zeros(len(one), np.int64)
+    live = np.flatnonzero(most > 0)
+    at = 0
+    while len(live):
+        apart = words[one[live] + at] ^ words[two[live] + at]
+        agree = apart == 0
+        # The first byte apart, from the lowest up, tells the symbols that agree.
+        lowest = apart[~agree] & (~apart[~agree] + np.uint64(1))
+        bits = np.bitwise_count(lowest - np.uint64(1)).astype(np.int64)
+        shared[live[~agree]] = at + bits // (8 * s.itemsize)
+        live = live[agree]
+        at += width
+        shared[live] = at
+        # A suffix that ends here shares no more.
+        longest = np.minimum(most[live], len(s) - np.maximum(one[live], two[live]))
+        live = live[longest > at]
+    return np.minimum(shared, np.minimum(most, len(s) - np.maximum(one, two)))
+
+
+def permuted_prefixes(s: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
+    """By place in the text: how many symbols a suffix shares with the one before it in
+    the suffix array, up to ``most``. In this order a value is at least the last one less
+    one, so after a suffix is measured the following ones start from what is known."""
+    n = len(s)
+    before = np.full(n, -1)
+    before[order[1:]] = order[:-1]
+    out = np.zeros(n, np.int64)
+    # Every so many places, then the places halfway between: what the left neighbour
+    # leaves is known to be shared and not compared again.
     step = 1
-    while True:
-        count = int(rank.max()) + 1
-        if count == n:
-            order = np.empty(n, np.int64)
-            order[rank] = np.arange(n)
-            return order
-        key = rank * (count + 1)
-        key[: n - step] += rank[step:] + 1
-        order = np.argsort(key, kind="stable")
-        ordered = key[order]
-        new = np.zeros(n, np.int64)
-        new[1:] = ordered[1:] != ordered[:-1]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(new)
+    while step * 2 < most:
         step *= 2
+    done = np.zeros(n, bool)
+    while step:
+        places = np.arange(0, n, step)
+        places = places[(before[places] >= 0) & ~done[places]]
+        left = np.maximum(places - step, 0)
+        known = np.where(done[left] & (places >= step), np.maximum(out[left] - step, 0), 0)
+        one, two = places + known, before[places] + known
+        fits = np.maximum(one, two) < n
+        found = np.zeros(len(places), np.int64)
+        found[fits] = common(s, one[fits], two[fits], most - known[fits])
+        out[places] = np.minimum(known + found, most)
+        done[places] = True
+        step //= 2
+    return out
 
 
 def running_sums(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,13 +242,6 @@ def between(sums: tuple[np.ndarray, np.ndarray], start: np.ndarray, end: np.ndar
 
 
 def reaching(s: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
-    """By place in the text (the permuted form): whether a suffix shares ``length``
-    symbols or more with the one before it in the suffix array."""
-    n = len(s)
-    out = np.zeros(n, bool)
-    one, two = order[1:], order[:-1]
-    both = np.flatnonzero((one + length <= n) & (two + length <= n))
-    sums = running_sums(s)
-    one, two = one[both], two[both]
-    out[one] = between(sums, one, one + length) == between(sums, two, two + length)
-    return out
+    """By place in the text: whether a suffix shares ``length`` symbols or more with the
+    one before it in the suffix array."""
+    return permuted_prefixes(s, order, length) >= length

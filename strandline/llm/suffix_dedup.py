@@ -116,15 +116,17 @@ def anchors(data: np.ndarray, sizes: Sizes) -> tuple[np.ndarray, ...]:
 
 ROW = "gram long, piece long, sides long, doc long, windows long"
 MARK = 0
+RUN_BITS = 20  # windows of one anchor: fewer than a window has bytes
+MOST_LENGTH = 1 << 19
 
 
 def packed_windows(first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    return first << 10 | last - first
+    return first << RUN_BITS | last - first
 
 
 def unpacked_windows(windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    first = windows >> 10
-    return first, first + (windows & 1023)
+    first = windows >> RUN_BITS
+    return first, first + (windows & ((1 << RUN_BITS) - 1))
 
 
 def row_batch(*columns: np.ndarray) -> pa.RecordBatch:
@@ -368,7 +370,7 @@ def compared(batch: pa.RecordBatch, sizes: Sizes) -> Iterator[pa.RecordBatch]:
         places = order[by][rest]
         one = suffix_array.between(sums, places, places + sizes.length)
         two = suffix_array.between(sums, places + 1, places + sizes.length - 1)
-        yield row_batch(gram[who[rest]], one, two, doc[who[rest]], at[rest] << 10)
+        yield row_batch(gram[who[rest]], one, two, doc[who[rest]], at[rest] << RUN_BITS)
 
 
 def compare(pieces: DataFrame, sizes: Sizes) -> DataFrame:
@@ -412,8 +414,8 @@ def united(rows: DataFrame, sizes: Sizes) -> DataFrame:
         .filter(place > F.col("least"))
         .select(
             "doc",
-            F.shiftright("windows", 10).alias("start"),
-            (F.shiftright("windows", 10) + sizes.length).alias("end"),
+            F.shiftright("windows", RUN_BITS).alias("start"),
+            (F.shiftright("windows", RUN_BITS) + sizes.length).alias("end"),
         )
     )
 
@@ -486,6 +488,8 @@ def remove(
     """
     if length < 2 * GRAM:
         raise ValueError(f"length must be {2 * GRAM} or more")
+    if length > MOST_LENGTH:
+        raise ValueError(f"length must be {MOST_LENGTH} at most")
     source = numbered(
         docs.select(
             F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")

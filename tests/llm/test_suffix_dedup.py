@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from strandline.llm import suffix_dedup
 
 LENGTH = 40
@@ -90,3 +92,31 @@ def test_repeated_rows_and_other_ids(spark):
 
 def test_an_empty_table(spark):
     assert actual(spark, []) == []
+
+
+@pytest.mark.parametrize("length", [1043, 1044, 2000, 5000])
+def test_long_repeats(spark, length):
+    """Of one sign, of a period, between documents, and just too short."""
+    r = random.Random(7)
+    passage = "".join(r.choices("abcdef ", k=length + 300))
+    texts = ["x" * (3 * length), "ab" * (2 * length), passage, f"before {passage[:length]} after",
+             f"{passage[1:]}end", passage[: length - 1], "x" * length]
+    want = {}
+    seen = set()
+    for i, text in enumerate(texts):
+        data, steps = text.encode(), [0] * (len(text) + length + 1)
+        for s in range(len(data) - length + 1):
+            if data[s : s + length] in seen:
+                steps[s] += 1
+                steps[s + length] -= 1
+            seen.add(data[s : s + length])
+        depth = gone = 0
+        for step in steps[: len(data)]:
+            depth += step
+            gone += depth > 0
+        want[i] = gone
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = suffix_dedup.remove(frame.repartition(2), length=length).collect()
+    assert {x.doc_id: x.n_removed for x in found} == want
+    with pytest.raises(ValueError, match="at most"):
+        suffix_dedup.remove(frame, length=suffix_dedup.MOST_LENGTH + 1)

@@ -66,3 +66,23 @@ def test_suffix_array_and_common_prefixes(symbols, length):
 def test_tiny_suffix_arrays():
     assert suffix_array.suffix_array(np.array([0]), 1).tolist() == [0]
     assert suffix_array.suffix_array(np.array([1, 0]), 2).tolist() == [1, 0]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 3), max_size=200), st.sampled_from([np.int16, np.int64]), st.integers(1, 60))
+def test_recursion_and_permuted_prefixes(symbols, kind, most):
+    """Long repeats make equal names at several levels."""
+    for s in ([*symbols, 0], [*(symbols * 3), 0], [*[1, 2] * len(symbols), 0]):
+        want = sorted(range(len(s)), key=lambda i: s[i:])
+        text = np.array(s, kind)
+        found = suffix_array.suffix_array(text, 4)
+        assert found.tolist() == want
+        assert suffix_array.sorted_names(s, 4) == want
+        prefixes = suffix_array.permuted_prefixes(text, found, most)
+        expected = {want[0]: 0}
+        for before, i in zip(want, want[1:], strict=False):
+            n = 0
+            while n < most and max(before, i) + n < len(s) and s[before + n] == s[i + n]:
+                n += 1
+            expected[i] = n
+        assert prefixes.tolist() == [expected[i] for i in range(len(s))]
