@@ -5,6 +5,7 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
@@ -21,7 +22,9 @@ U64 = np.uint64
 KNOWN_WORDS = 600_000  # remembered per Python worker, some 25 MB
 BREAK = "\x01"  # set between words that are encoded together
 ROWS_PER_BUCKET = 2000
-NODES = 20_000
+NODES = 20_000  # branches of one completion; in all, of the search for a plan
+FEW = 400  # pieces that are planned bin by bin
+MOST_SEEN = 100_000  # states that the search remembers
 
 # ------------------------------------------------------------------ token ids
 
@@ -338,20 +341,11 @@ def completion(
     return [(lengths[k], n) for k, n in best]
 
 
-def plan(counts: dict[int, int], capacity: int) -> list[Filling]:
-    """Fillings for a histogram of lengths, each with how often it is used.
-
-    Bin completion: around the longest piece left, the filling with least waste is
-    used as often as its pieces last; the run ends early once its waste exceeds what
-    the incumbent (best-fit decreasing at first) leaves room for. Each step uses up
-    a length or nearly so, so the work depends on the number of different lengths,
-    ``capacity`` at most, and not on the number of pieces.
-    """
-    incumbent = best_fit(counts, capacity)
-    total = sum(length * n for length, n in counts.items())
-    most_waste = sum(n for n, _ in incumbent) * capacity - total
-    if most_waste < capacity:
-        return incumbent  # no plan has fewer bins
+def greedy(counts: dict[int, int], capacity: int, most_waste: int) -> list[Filling] | None:
+    """Around the longest piece left, the filling with least waste, as often as its pieces
+    last; None once the waste exceeds ``most_waste``. Each step uses up a length or
+    nearly so, so the work depends on the number of different lengths, ``capacity`` at
+    most, and not on the number of pieces."""
     left = dict(counts)
     lengths = sorted(left, reverse=True)
     found: list[Filling] = []
@@ -371,15 +365,184 @@ def plan(counts: dict[int, int], capacity: int) -> list[Filling]:
         found.append((times, tuple(filling.items())))
         waste += times * (capacity - sum(length * n for length, n in filling.items()))
         if waste > most_waste:
-            return incumbent
-    return min(found, incumbent, key=lambda f: sum(n for n, _ in f))
+            return None
+    return found
+
+
+def least_bins(counts: dict[int, int], capacity: int) -> int:
+    """A number of bins that no plan goes below. For each ``low``: pieces that leave less
+    than ``low`` have a bin to themselves, no two others over half share one, and what of
+    the rest (``low`` and longer) does not fit beside these needs bins by its sum. With
+    ``low`` 0 this is the sum of all over the capacity."""
+    lengths = np.array(sorted(counts), np.int64)
+    if not len(lengths):
+        return 0
+    times = np.array([counts[int(x)] for x in lengths], np.int64)
+    number = np.concatenate(([0], np.cumsum(times)))
+    sums = np.concatenate(([0], np.cumsum(times * lengths)))
+    half = int(np.searchsorted(lengths, capacity // 2, side="right"))
+    lows = np.concatenate(([0], lengths[:half]))
+    alone = np.searchsorted(lengths, capacity - lows, side="right")
+    first = np.searchsorted(lengths, lows)
+    beside = (number[alone] - number[half]) * capacity - (sums[alone] - sums[half])
+    over = np.maximum(0, sums[half] - sums[first] - beside)
+    by_sum = (number[-1] - number[half] + -(-over // capacity)).max()
+    # And no bin has more pieces of a length or longer than of that length alone.
+    by_number = -(-(number[-1] - number[:-1]) // (capacity // lengths))
+    return int(max(by_sum, by_number.max()))
+
+
+@dataclass(frozen=True)
+class Plan:
+    """Fillings, their number of bins, and the least that any plan could have. ``whole``:
+    the search came to its end, so there is no better plan even if the two differ."""
+
+    fillings: list[Filling]
+    bins: int
+    least: int
+    whole: bool
+
+
+class Search:
+    """Bin completion by branch and bound.
+
+    A bin is completed around the longest piece left; branches are its undominated
+    fillings, least waste first. What the bins so far waste may not exceed what a plan
+    with one bin less than the incumbent can waste, nor may the bins that the rest needs
+    at least make up as many as the incumbent's. While many pieces are left, a filling is
+    used as often as they last; the last FEW pieces are tried bin by bin.
+    """
+
+    def __init__(self, capacity: int, total: int, incumbent: list[Filling], nodes: int) -> None:
+        self.capacity, self.total, self.nodes = capacity, total, nodes
+        self.best = incumbent
+        self.bins = n_bins(incumbent)
+        self.seen: dict[tuple, int] = {}
+        self.complete = True
+
+    def run(self, counts: dict[int, int], least: int) -> None:
+        # A stack of open bins: what was left, bins and waste so far, fillings to try.
+        chosen: list[Filling] = []
+        stack = [(dict(counts), 0, 0, iter(self.fillings(counts, 0)))]
+        while stack and self.bins > least:
+            left, used, waste, untried = stack[-1]
+            filling = next(untried, None)
+            if filling is None or self.nodes < 0:
+                stack.pop()
+                if chosen:
+                    chosen.pop()
+                continue
+            few = sum(left.values()) <= FEW
+            times = 1 if few else min(left[length] // n for length, n in filling.items())
+            self.complete &= few or times == 1
+            rest = {k: v - filling.get(k, 0) * times for k, v in left.items()}
+            rest = {k: v for k, v in rest.items() if v}
+            lost = waste + times * (self.capacity - sum(k * n for k, n in filling.items()))
+            if lost > (self.bins - 1) * self.capacity - self.total:
+                continue
+            now = used + times
+            plan_ = [*chosen, (times, tuple(filling.items()))]
+            if not rest:
+                if now < self.bins:
+                    self.best, self.bins = plan_, now
+                continue
+            state = tuple(sorted(rest.items()))
+            if now + least_bins(rest, self.capacity) >= self.bins or self.seen.get(state, now + 1) <= now:
+                continue
+            if len(self.seen) < MOST_SEEN:
+                self.seen[state] = now
+            chosen.append(plan_[-1])
+            stack.append((rest, now, lost, iter(self.fillings(rest, lost))))
+
+    def fillings(self, left: dict[int, int], waste: int) -> list[dict[int, int]]:
+        """Undominated fillings around the longest piece, those of least waste first."""
+        spare = (self.bins - 1) * self.capacity - self.total - waste
+        lengths = sorted(left, reverse=True)
+        longest, room = lengths[0], self.capacity - lengths[0]
+        counts = dict(left)
+        counts[longest] -= 1
+        below = [0] * (len(lengths) + 1)
+        for k in range(len(lengths) - 1, -1, -1):
+            below[k] = below[k + 1] + lengths[k] * counts[lengths[k]]
+        found: list[dict[int, int]] = []
+        stack: list[tuple[int, int, tuple[tuple[int, int], ...]]] = [(0, room, ())]
+        while stack:
+            at, free, taken = stack.pop()
+            self.nodes -= 1
+            if self.nodes < 0:
+                self.complete = False
+                break
+            if free - min(free, below[at]) > spare:
+                continue  # not even all shorter pieces fill it enough
+            while at < len(lengths) and lengths[at] > free:
+                at += 1
+            if at == len(lengths):
+                filling = dict(taken)
+                filling[longest] = filling.get(longest, 0) + 1
+                if not self.dominated(filling, left, free):
+                    found.append(filling)
+                continue
+            length = lengths[at]
+            for n in range(min(counts[length], free // length) + 1):
+                more = taken + ((length, n),) if n else taken
+                stack.append((at + 1, free - n * length, more))
+        found.sort(key=lambda f: (-sum(k * n for k, n in f.items()), [-k for k in f]))
+        return found
+
+    def dominated(self, filling: dict[int, int], left: dict[int, int], free: int) -> bool:
+        """Whether a piece left out could go in, alone or in place of shorter ones: of one
+        piece, or of two that it is as long as. Wherever that piece would go, they can."""
+        longest = max(filling)
+        pieces = [k for k, n in filling.items() for _ in range(min(n, 2)) if k != longest]
+        if filling[longest] > 1:
+            pieces.append(longest)
+        places = {0} | set(pieces)
+        places |= {a + b for i, a in enumerate(pieces) for b in pieces[i + 1 :]}
+        for other, n in left.items():
+            if n > filling.get(other, 0):
+                for out in places:
+                    if out <= other <= free + out and not (out == other and out in pieces):
+                        return True
+        return False
+
+
+def n_bins(fillings: list[Filling]) -> int:
+    return sum(n for n, _ in fillings)
+
+
+def planned(counts: dict[int, int], capacity: int, nodes: int = NODES) -> Plan:
+    """Fillings for a histogram of lengths, each with how often it is used.
+
+    The better of best-fit decreasing and the greedy completion is the incumbent; where it
+    has more bins than any plan needs at least, the branch and bound looks for a better
+    one, for ``nodes`` branches at most. The plan says how far it may be from the best.
+    """
+    incumbent = best_fit(counts, capacity)
+    least = least_bins(counts, capacity)
+    if n_bins(incumbent) == least:
+        return Plan(incumbent, least, least, True)
+    total = sum(length * n for length, n in counts.items())
+    first = greedy(counts, capacity, n_bins(incumbent) * capacity - total)
+    incumbent = min([incumbent, first or incumbent], key=n_bins)
+    search = Search(capacity, total, incumbent, nodes)
+    if search.bins > least:
+        search.run(counts, least)
+    return Plan(search.best, search.bins, least, search.bins == least or search.complete)
+
+
+def plan(counts: dict[int, int], capacity: int) -> list[Filling]:
+    return planned(counts, capacity).fillings
 
 
 # ------------------------------------------------------------------ placing
 
 
 def pack(
-    rows: DataFrame, capacity: int = 4096, id_col: str = "doc_id", length_col: str = "length"
+    rows: DataFrame,
+    capacity: int = 4096,
+    id_col: str = "doc_id",
+    length_col: str = "length",
+    with_bound: bool = False,
 ) -> DataFrame:
     """The rows with sequence_id and offset added: each row's place in a sequence of
     at most ``capacity``, gapless from 0.
@@ -388,7 +551,8 @@ def pack(
     plans fillings; a row finds its place by its rank among the rows of its length.
     Ranks are counted per bucket of a few thousand rows and added up over buckets,
     so that no length, however common, is ranked in one task. Lengths must lie in
-    1..capacity, else an error. All other columns are kept; the rows are written to
+    1..capacity, else an error. ``with_bound`` adds n_sequences and least_sequences, how
+    many there are and how many any packing needs. All other columns are kept; the rows are written to
     the shared folder once. Ties are broken by all the columns, equal rows by chance.
     """
     spark = rows.sparkSession
@@ -407,7 +571,8 @@ def pack(
     # Per (filling, length): the first rank and the ranks it takes, times a bin, the
     # first sequence, and the offset.
     slots, first_rank, first_sequence = [], Counter(), 0
-    for times, filling in plan(histogram, capacity):
+    found = planned(histogram, capacity)
+    for times, filling in found.fillings:
         offset = 0
         for length, per in sorted(filling, reverse=True):
             slots.append((length, first_rank[length], per, first_sequence, offset))
@@ -455,4 +620,12 @@ def pack(
     schema = ranked.select(
         *names, F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     ).schema
-    return ranked.select(*names, "_rank").mapInArrow(task, schema)
+    placed = ranked.select(*names, "_rank").mapInArrow(task, schema)
+    if not with_bound:
+        return placed
+    return placed.withColumns(
+        {
+            "n_sequences": F.lit(found.bins).cast("long"),
+            "least_sequences": F.lit(found.least).cast("long"),
+        }
+    )

@@ -96,9 +96,11 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     rows = packing.pieces(table(spark, sf_dir, "documents"), tokenizer, capacity=4096, end_id=1)
     # Placing needs no ids, so only their digest travels on.
-    placed = packing.pack(rows.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), capacity=4096)
+    rows = rows.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    placed = packing.pack(rows, capacity=4096, with_bound=True)
     return placed.select(
-        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+        *("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"),
+        *("n_sequences", "least_sequences"),
     )
 
 

@@ -98,7 +98,47 @@ def test_near_the_fewest_bins():
         lengths = sorted((r.randint(3, 15) for _ in range(9)), reverse=True)
         bins = sum(n for n, _ in packing.plan(Counter(lengths), 20))
         worse += bins - fewest(lengths, 20)
-    assert worse <= 3
+    assert worse == 0
+
+
+def test_the_search_beats_best_fit():
+    """A table on which best fit needs a bin more, also many times over."""
+    counts, capacity = {7: 2, 5: 1, 4: 3, 3: 2, 2: 1}, 12
+    r = random.Random(1)
+    while n_of(packing.best_fit(counts, capacity)) == fewest(list(Counter(counts).elements()), capacity):
+        counts = Counter(r.randint(2, 9) for _ in range(10))
+    found = packing.planned(counts, capacity)
+    assert found.bins == n_of(found.fillings) == fewest(list(Counter(counts).elements()), capacity)
+    assert found.bins < n_of(packing.best_fit(counts, capacity)) and found.whole
+    many = {length: 1000 * n for length, n in counts.items()}
+    assert packing.planned(many, capacity).bins <= 1000 * found.bins
+    assert packing.planned(many, capacity).bins <= n_of(packing.best_fit(many, capacity))
+
+
+def n_of(fillings):
+    return sum(n for n, _ in fillings)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 15), min_size=1, max_size=9), st.integers(15, 25))
+def test_fewest_bins_and_the_bound(lengths, capacity):
+    found = packing.planned(Counter(lengths), capacity)
+    want = fewest(sorted(lengths, reverse=True), capacity)
+    assert found.least <= want == found.bins
+    assert found.whole
+
+
+def test_the_gap_is_reported():
+    """Without room to search: still a plan, and how far it may be from the best."""
+    counts = Counter(random.Random(3).randint(100, 480) for _ in range(150))
+    cut = packing.planned(counts, 1000, nodes=10)
+    used = Counter()
+    for times, filling in cut.fillings:
+        for length, n in filling:
+            used[length] += times * n
+    assert used == counts and cut.bins >= cut.least
+    assert cut.whole == (cut.bins == cut.least)
+    assert packing.planned({}, 10) == packing.Plan([], 0, 0, True)
 
 
 def test_completion_wastes_least():
