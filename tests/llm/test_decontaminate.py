@@ -1,7 +1,9 @@
 """Benchmark items in texts: whole, edited, and not there."""
 
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -103,6 +105,81 @@ def test_every_match_at_the_limit_is_found(spark, items, words):
     assert expected.items() <= found.items()
 
 
+@pytest.mark.parametrize("words", [3, 4, 6, 8, 12, 24, 99, None])
+def test_windows_of_matches_meet(items, words, monkeypatch):
+    """Recall of walks and samples at the most edits; without them nothing is found."""
+    r = random.Random(21)
+    some = cut_items(items, words)
+    known = decontaminate.items_of(list(range(len(some))), some, 0.1)
+    texts, expected = [], []
+    for _ in range(300):
+        at = r.randrange(len(some))
+        text = f"before it {edited(some[at], 0.1, r)} behind it"
+        item = " ".join(some[at].split()).encode().lower()
+        place = " ".join(text.split()).encode().lower()
+        if decontaminate.edit_distance(item, place, 99) <= int(len(item) * 0.1):
+            expected.append((len(texts), at))
+            texts.append(text)
+    row, item, _ = decontaminate.batch_matches(pa.array(texts), known)
+    found = set(zip(row.tolist(), item.tolist(), strict=True))
+    assert sum(x in found for x in expected) >= 0.98 * len(expected) > 200
+    monkeypatch.setattr(decontaminate, "WALKS", 0)
+    row, _, _ = decontaminate.batch_matches(pa.array(texts), known)
+    assert len(row) == 0
+
+
+@pytest.mark.parametrize(("unit", "size"), [("a", 2_000_000), ("ab ", 20_000), ("日", 9_000)])
+def test_very_repetitive_texts(items, unit, size, monkeypatch):
+    """Every place of the text meets every seed of an item: memory stays bounded."""
+    some = [unit * 200, "unlike it in every way", *list(items.values())[:5]]
+    if size < 10**6:
+        some.append((unit * 200)[:-3] + "zz")  # never found whole, so never settled
+        monkeypatch.setattr(decontaminate, "MOST_HITS", 1 << 14)
+    known = decontaminate.items_of(list(range(len(some))), some, 0.1)
+    texts = pa.array([(unit * size)[:size], unit * 150, None])
+    tracemalloc.start()
+    row, item, distance = decontaminate.batch_matches(texts, known)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 500 << 20
+    found = {(a, b): c for a, b, c in zip(row.tolist(), item.tolist(), distance.tolist(), strict=True)}
+    assert found.pop((0, 0)) == 0
+    assert all(row == 0 and 0 < c <= 3 for (row, _), c in found.items())
+    assert len(found) == (size < 10**6)
+
+
+def test_stretches_change_nothing(items, monkeypatch):
+    r = random.Random(4)
+    some = [*cut_items(items, None)[:20], *list(items.values())[:20], "aaaaaaaaaaaaaaaaaaaa"]
+    known = decontaminate.items_of(list(range(len(some))), some, 0.1)
+    texts = ["".join(f"{edited(r.choice(some), 0.05, r)} x " for _ in range(20)) for _ in range(20)]
+    texts += ["a" * 3000, "", None]
+
+    def found():
+        return sorted(zip(*(x.tolist() for x in decontaminate.batch_matches(pa.array(texts), known)), strict=True))
+
+    whole = found()
+    monkeypatch.setattr(decontaminate, "MOST_HITS", 50)
+    assert [x[:2] for x in found()] == [x[:2] for x in whole] and len(whole) > 200
+
+
+def test_against_all_documents_and_items(spark, items):
+    """Every pair of the whole table, by the exact distance of text and item."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60).collect()
+    some = dict(list(items.items())[:12])
+    frame = spark.createDataFrame([(d.doc_id, d.text) for d in docs], "doc_id long, text string")
+    bench = spark.createDataFrame(list(some.items()), "item_id long, text string")
+    found = {(x.doc_id, x.item_id) for x in decontaminate.matches(frame, bench).collect()}
+    want = set()
+    for d in docs:
+        place = " ".join((d.text or "").split()).encode().lower()
+        for i, t in some.items():
+            item = " ".join(t.split()).encode().lower()
+            if decontaminate.edit_distance(item, place, 99) <= int(len(item) * 0.1):
+                want.add((d.doc_id, i))
+    assert found == want
+
+
 def test_items_in_parts_and_odd_rows(spark, items, monkeypatch):
     some = list(items.items())[:7]
     bench = spark.createDataFrame(
