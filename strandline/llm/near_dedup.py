@@ -23,7 +23,7 @@ SKETCH_BITS = 512
 _FACTORS = (tokens.mix(np.arange(SAMPLES, dtype=U64) + U64(77)) | U64(1)).astype(np.uint32)
 _SHIFTS = tokens.mix(np.arange(SAMPLES, dtype=U64) + U64(7777)).astype(np.uint32)
 PIECE = 4096
-BLOCK = 256  # members compared with one another at once
+BLOCK = 1024  # members compared with one another at once
 DENSE = 4  # candidate pairs per member from which a unit is not written out as pairs
 BROADCAST_IDS = 1_000_000
 
@@ -205,9 +205,10 @@ def units(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFram
         .filter("components > 1")
         .select("bucket", F.expr(f"ceil(size / {BLOCK})").alias("blocks"))
     )
-    rows = named.join(mixed, "bucket")
+    rows = named.join(mixed, "bucket").join(classes.select("rep", "n", "sketch"), "rep")
+    known = ["rep", "component", "n", "sketch"]
     one = rows.filter("blocks = 1").select(
-        F.xxhash64("bucket").alias("unit"), F.lit(0).alias("side"), "rep", "component"
+        F.xxhash64("bucket").alias("unit"), F.lit(0).alias("side"), *known
     )
     # A component's members are dealt over as many blocks as they fill.
     chunk = f"pmod(xxhash64(rep, bucket), ceil(own_size / {BLOCK}))"
@@ -226,21 +227,18 @@ def units(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFram
     met = (
         blocks.join(facing, "bucket")
         .filter("least(low, low_2) < greatest(high, high_2)")
-        .select("bucket", "own", "other")
+        .groupBy("bucket", "own")
+        .agg(F.collect_list("other").alias("others"))  # a bucket's size / BLOCK at most
     )
-    many = more.join(met, ["bucket", "own"]).select(
+    many = more.join(met, ["bucket", "own"]).withColumn("other", F.explode("others")).select(
         F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("unit"),
         F.when(F.col("own") == F.col("other"), 0)
         .when(F.col("own") < F.col("other"), 1)
         .otherwise(2)
         .alias("side"),
-        "rep",
-        "component",
-    )
-    known = classes.select("rep", "n", "sketch")
-    return one.unionByName(many).join(known, "rep").select(
-        "unit", "side", "rep", "component", "n", "sketch"
+        *known,
     )
+    return one.unionByName(many)
 
 
 def whole_units(
