@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from strandline.llm import tokens
+from strandline.llm.keep import fresh
 from strandline.llm.ngrams import lower_utf8
 from strandline.sources import shared
 
@@ -553,7 +554,8 @@ def pack(
     so that no length, however common, is ranked in one task. Lengths must lie in
     1..capacity, else an error. ``with_bound`` adds n_sequences and least_sequences, how
     many there are and how many any packing needs. All other columns are kept; the rows are written to
-    the shared folder once. Ties are broken by all the columns, equal rows by chance.
+    the shared folder once. Ties are broken by all the columns, equal rows by chance. Where
+    the rows have a sequence_id or offset, these take its place.
     """
     spark = rows.sparkSession
     folder = shared.work_folder(spark, "pieces")
@@ -582,22 +584,24 @@ def pack(
     table = np.array(sorted(slots), dtype=np.int64).reshape(-1, 5)
     given = spark.sparkContext.broadcast(table)
 
-    names = held.columns
-    digest = F.xxhash64(*names)
-    dealt = held.withColumn("_bucket", F.pmod(digest, F.lit(buckets)))
-    by_length = Window.partitionBy(length_col).orderBy("_bucket")
+    names = [c for c in held.columns if c not in ("sequence_id", "offset")]
+    rank, bucket, base, n = fresh(held, "_rank", "_bucket", "_base", "_n")
+    dealt = held.select(*names).withColumn(
+        bucket, F.pmod(F.xxhash64(*names), F.lit(buckets))
+    )
+    by_length = Window.partitionBy(length_col).orderBy(bucket)
     bases = (
-        dealt.groupBy(length_col, "_bucket")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_base", F.sum("_n").over(by_length) - F.col("_n"))
-        .drop("_n")
+        dealt.groupBy(length_col, bucket)
+        .agg(F.count(F.lit(1)).alias(n))
+        .withColumn(base, F.sum(n).over(by_length) - F.col(n))
+        .drop(n)
     )
-    in_bucket = Window.partitionBy(length_col, "_bucket").orderBy(*names)
+    in_bucket = Window.partitionBy(length_col, bucket).orderBy(*names)
     ranked = (
-        dealt.withColumn("_rank", F.row_number().over(in_bucket) - 1)
-        .join(bases, [length_col, "_bucket"])
-        .withColumn("_rank", F.col("_rank") + F.col("_base"))
-        .drop("_bucket", "_base")
+        dealt.withColumn(rank, F.row_number().over(in_bucket) - 1)
+        .join(bases, [length_col, bucket])
+        .withColumn(rank, F.col(rank) + F.col(base))
+        .drop(bucket, base)
     )
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -605,9 +609,9 @@ def pack(
         key = lengths << 40 | firsts
         for batch in batches:
             length = batch.column(length_col).to_numpy().astype(np.int64)
-            rank = batch.column("_rank").to_numpy().astype(np.int64)
-            at = np.searchsorted(key, length << 40 | rank, side="right") - 1
-            inside = rank - firsts[at]
+            ranks = batch.column(rank).to_numpy().astype(np.int64)
+            at = np.searchsorted(key, length << 40 | ranks, side="right") - 1
+            inside = ranks - firsts[at]
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(c) for c in names),
@@ -620,7 +624,7 @@ def pack(
     schema = ranked.select(
         *names, F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     ).schema
-    placed = ranked.select(*names, "_rank").mapInArrow(task, schema)
+    placed = ranked.select(*names, rank).mapInArrow(task, schema)
     if not with_bound:
         return placed
     return placed.withColumns(

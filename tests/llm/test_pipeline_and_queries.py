@@ -93,3 +93,67 @@ def test_stages_on_an_empty_table(spark):
     docs = queries.table(spark, SF, "documents").limit(0)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).count() == 0, name
+
+
+def test_stages_on_odd_rows(spark):
+    """Null ids and texts, rows and ids that repeat, ties, columns whose names clash."""
+    from pyspark.sql import functions as F
+
+    given = queries.table(spark, SF, "documents")
+    some = [r.text for r in given.orderBy("doc_id").limit(40).collect()]
+    words = " ".join(f"word{i}" for i in range(80))
+    near = words.replace("word79", "other")
+    secret = f"{words} mail someone@example.org here"
+    item = queries.table(spark, SF, "benchmark").first()["text"]
+    rows = [(1, words), (2, near), (3, words), (None, words), (None, words), (None, None)]
+    rows += [(4, secret + " a"), (4, f"{secret} {some[0]}"), (None, f"{item} {some[1]}")]
+    rows += [(5, ""), (5, ""), (6, None), (7, some[2]), (7, some[2]), (None, some[3])]
+    names = ["_key", "_id", "_of", "_spans", "_row", "_again", "component_id", "kept", "_rank",
+             "sequence_id", "offset", "score", "spans", "id"]
+    docs = spark.createDataFrame(
+        [(i, t, 0) for i, t in rows], "doc_id long, text string, n_chars int"
+    ).withColumns({c: F.lit(c) for c in names})
+    out = {}
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, docs, SF)
+        if name != "packing":
+            assert found.columns == docs.columns, name
+        out[name] = found.collect()
+    texts = [r.text for r in out["near_duplicates"]]
+    assert texts.count(words) == 1 and near not in texts
+    assert [r.doc_id for r in out["near_duplicates"] if r.text == words] == [1]
+    assert texts.count(some[2]) == 1 and texts.count(some[3]) == 1
+    assert texts.count(None) == 2 and texts.count("") == 2
+    left = sorted((r.doc_id or 0, r.text or "") for r in out["decontamination"])
+    assert left == sorted((i or 0, t or "") for i, t in rows if not (t or "").startswith(item))
+    clean = out["personal_data"]
+    assert len(clean) == len(rows)
+    assert sum("someone@" in (r.text or "") for r in clean) == 0
+    assert sum("<email>" in (r.text or "") for r in clean) == 2
+    assert all(r.n_chars == len(r.text) for r in clean if r.text is not None)
+    assert sum(r.piece == 0 for r in out["packing"]) == len(rows)
+    kept = {r.text for r in out["quality_classifier"]}
+    assert len([1 for r in out["quality_classifier"] if r.text in kept]) == sum(
+        t in kept for _, t in rows
+    )
+
+
+def test_pieces_whose_columns_clash(spark):
+    from strandline.llm import packing
+
+    rows = spark.createDataFrame(
+        [(i, 3 + i % 4, -1, -1, "x", "y") for i in range(50)],
+        "doc_id long, length long, sequence_id int, offset int, _rank string, _bucket string",
+    )
+    found = packing.pack(rows, capacity=10)
+    assert sorted(found.columns) == sorted(rows.columns)
+    places = {}
+    for r in found.collect():
+        assert (r._rank, r._bucket) == ("x", "y")
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for own in places.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= 10
