@@ -11,30 +11,53 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm import decontaminate, near_dedup, packing, pii, quality_classifier
-from strandline.llm.keep import keep, without
+from strandline.llm.keep import fresh, keep, numbered, without
 from strandline.llm.queries import table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
+    """Documents that the quality classifier does not reject.
+
+    Null and empty texts have no terms: they get the labels' mean, and go or stay all
+    alike. Repeated rows and null ids are judged by their texts. Without labels all stay.
+    """
     model = quality_classifier.fit(docs, table(spark, sf_dir, "labels"))
     return quality_classifier.accept(docs, model, threshold=0.7)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of least id, of each group of near-duplicates."""
-    linked = near_dedup.link(docs, percent=75, words=5)
-    return without(docs, linked.filter("NOT kept").select("doc_id").distinct(), "doc_id")
+    """One document, that of least id, of each group of near-duplicates.
+
+    Rows without an id, and rows that share one, are documents of their own and come
+    after all others: of copies among them one stays too. Texts without a word, null
+    ones included, are linked with nothing and stay.
+    """
+    (row,) = fresh(docs, "_row")
+    rows = numbered(docs, "doc_id", row)
+    linked = near_dedup.link(rows, percent=75, words=5, id_col=row)
+    return without(rows, linked.filter("NOT kept").select(row).distinct(), row).drop(row)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark item."""
-    found = decontaminate.matches(docs, table(spark, sf_dir, "benchmark"), max_edit_share=0.1)
-    return without(docs, keep(found, "matches").select("doc_id").distinct(), "doc_id")
+    """Documents without a benchmark item.
+
+    Null and empty texts hold none. Rows that share an id, or have none, are judged each
+    for itself.
+    """
+    (row,) = fresh(docs, "_row")
+    rows = numbered(docs, "doc_id", row)
+    found = decontaminate.matches(
+        rows, table(spark, sf_dir, "benchmark"), max_edit_share=0.1, id_col=row
+    )
+    return without(rows, keep(found, "matches").select(row).distinct(), row).drop(row)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data replaced by its kind; n_chars follows the text."""
+    """All documents, personal data replaced by its kind; n_chars follows the text.
+
+    Null texts stay null. Rows are told apart by id and text, so repeated rows and null
+    ids are all redacted.
+    """
     proposed = keep(pii.proposals(docs), "proposals")
     found = pii.detect(proposed, pii.fit(proposed))
     clean = pii.redact(docs, found, "doc_id", "text")
@@ -45,7 +68,11 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per piece of at most 4096 tokens: its document, token ids, sequence, place."""
+    """A row per piece of at most 4096 tokens: its document, token ids, sequence, place.
+
+    Each row is packed, repeated ones and those without an id too; a null or empty text is
+    one end token.
+    """
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     rows = packing.pieces(docs, tokenizer, capacity=4096, end_id=1)
     return packing.pack(rows, capacity=4096)
