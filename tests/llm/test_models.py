@@ -56,6 +56,50 @@ def test_odd_texts_and_far_ones(spark):
     assert language_id.predict(asked.limit(0), model).count() == 0
 
 
+def plain_trigrams(text):
+    """Letter trigrams of bytes, words set off by one blank, as bins."""
+    kept = [b if 97 <= b <= 122 or b >= 128 else 32 for b in text.lower().encode()]
+    line = [32]
+    for b in [*kept, 32]:
+        if b != 32 or line[-1] != 32:
+            line.append(b)
+    first, second, third = language_id.TRIGRAMS.tolist()
+    return Counter(first[a] ^ second[b] ^ third[c] for a, b, c in zip(line, line[1:], line[2:]))
+
+
+def test_languages_by_brute_force(spark, docs):
+    """Weights from all texts, cosines with every centroid, distances: in plain Python."""
+    rows = [(r.doc_id, r.text, r.lang) for r in docs.limit(120).collect()]
+    rows += [(1000 + i, t, "en") for i, t in enumerate(["", "a", "The THE the", "1 2", "é è"])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(frame, centroids=3)
+    counts = [plain_trigrams(t) for _, t, _ in rows]
+    seen = Counter(b for c in counts for b in c)
+    for b in range(language_id.SIZE):
+        want = math.log((1 + len(rows)) / (1 + seen[b])) + 1 if seen[b] else 0
+        assert model.weights[b] == pytest.approx(want, rel=1e-6)
+    assert len(model.centroids) <= 3 * len(model.languages)
+    found = {r.doc_id: r for r in language_id.predict(frame, model).collect()}
+    for (i, text, _), bins in zip(rows, counts, strict=True):
+        own = found[i]
+        if not any(c.isalpha() for c in text):
+            assert (own.lang_pred, own.score, own.rejected) == ("und", 0, True)
+            continue
+        vector = {b: math.log1p(n) * float(model.weights[b]) for b, n in bins.items()}
+        norm = math.sqrt(sum(x * x for x in vector.values()))
+        cosines = [
+            sum(x * float(centroid[b]) for b, x in vector.items()) / norm
+            for centroid in model.centroids
+        ]
+        best = max(cosines)
+        near = {model.languages[model.of[c]] for c, x in enumerate(cosines) if x > best - 1e-5}
+        assert own.lang_pred in near
+        assert own.score == pytest.approx(best, abs=1e-5)
+        at = cosines.index(best)
+        if abs(best - model.least[at]) > 1e-5 and len(near) == 1:
+            assert own.rejected == (best < model.least[at])
+
+
 def test_quality_of_held_out_texts(spark, docs):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     true = {r.doc_id: r.quality for r in labels.collect()}
