@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 
 from strandline.llm import ngrams, tokens
 
-# Bins: byte trigrams of the text's form, then figures of its words.
+# Bins: byte trigrams of the text's form, figures of its words, and the words by hash.
 FORM_BINS = 2048
 WORD_BINS = 8
-SIZE = FORM_BINS + WORD_BINS
+LAYOUT = FORM_BINS + WORD_BINS
+SIZE = 4096
+WORD_SHARE = 0.5  # length of a text's word part, its layout part having 1
 
 
 def _form() -> np.ndarray:
@@ -52,9 +54,31 @@ def counts_of(column: pa.Array) -> np.ndarray:
         v, r = values[order], of[order]
         again = (v[1:] == v[:-1]) & (r[1:] == r[:-1])
         out[:, bin_] = np.bincount(r[1:][again], minlength=len(column))
+    words = SIZE - LAYOUT
+    bins = rows * words + (hashes % np.uint64(words)).astype(np.int64)
+    out[:, LAYOUT:] = np.bincount(bins, minlength=len(column) * words).reshape(-1, words)
     return out
 
 
+def terms_of(counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Weighted unit vectors; layout and words count for themselves, whatever their sizes."""
+    terms = np.sqrt(counts) * weights
+    terms[:, :LAYOUT] = ngrams.unit(terms[:, :LAYOUT])
+    terms[:, LAYOUT:] = WORD_SHARE * ngrams.unit(terms[:, LAYOUT:])
+    return ngrams.unit(terms)
+
+
+def leading(rows: np.ndarray, n: int, rounds: int = 8) -> np.ndarray:
+    """The leading right singular vectors of a matrix, by subspace iteration from a fixed
+    start; a few more than ``n`` are carried along, which speeds it up."""
+    start = tokens.mix(np.arange(SIZE * (n + 16), dtype=np.uint64) + np.uint64(9 << 40))
+    basis = (start.view(np.int64) / 2.0**63).reshape(SIZE, -1).astype(np.float32)
+    for _ in range(rounds):
+        basis, _ = np.linalg.qr(rows.T @ (rows @ basis))
+    _, _, turn = np.linalg.svd(rows @ basis, full_matrices=False)
+    return np.ascontiguousarray((basis @ turn.T)[:, :n], dtype=np.float32)
+
+
 @dataclass(frozen=True)
 class Model:
     """Weights per bin, the map into the latent space, labelled unit vectors there."""
@@ -67,7 +91,7 @@ class Model:
     sharpness: float
 
     def place(self, counts: np.ndarray) -> np.ndarray:
-        return ngrams.unit(ngrams.unit(np.sqrt(counts) * self.weights) @ self.space)
+        return ngrams.unit(terms_of(counts, self.weights) @ self.space)
 
     def score(self, counts: np.ndarray) -> np.ndarray:
         """Similarity-weighted share of label 1 among the nearest vectors; all labels'
@@ -110,7 +134,7 @@ def fit(
     docs: DataFrame,
     labels: DataFrame,
     max_labelled: int = 4096,
-    dimensions: int = 32,
+    dimensions: int = 48,
     neighbours: int = 15,
     sharpness: float = 8.0,
     id_col: str = "doc_id",
@@ -120,7 +144,7 @@ def fit(
     """Bin weights from all ``docs``; space and neighbours from a bounded sample.
 
     ``max_labelled`` bounds what the driver gets: that many rows of term counts
-    (33 MB) once. Without any labelled text, all texts score 1: nothing speaks
+    (67 MB) once. Without any labelled text, all texts score 1: nothing speaks
     against them.
     """
     found, n_docs = ngrams.document_frequencies(docs, counts_of, SIZE, text_col)
@@ -144,17 +168,11 @@ def fit(
     counts = np.frombuffer(data, np.float32, rows.num_rows * SIZE).reshape(-1, SIZE)
     marks = rows.column("label").to_numpy().astype(np.float64)
     order = np.lexsort((*counts[:, :64].T, marks))  # the fit does not depend on row order
-    parts = [order[at : at + ngrams.BLOCK] for at in range(0, len(order), ngrams.BLOCK)]
-    # Right singular vectors of the term matrix, from its Gram matrix.
-    gram = np.zeros((SIZE, SIZE), np.float32)
-    for part in parts:
-        terms = ngrams.unit(np.sqrt(counts[part]) * weights)
-        gram += terms.T @ terms
-    _, vectors = np.linalg.eigh(gram)
-    space = np.ascontiguousarray(vectors[:, ::-1][:, :dimensions], dtype=np.float32)
+    counts = counts[order]
+    space = leading(terms_of(counts, weights), dimensions)
     marks = marks[order]
     model = Model(weights, space, np.zeros((0, dimensions)), marks, neighbours, sharpness)
-    placed = np.concatenate([model.place(counts[part]) for part in parts])
+    placed = model.place(counts)
     return Model(weights, space, placed, marks, neighbours, sharpness)
 
 

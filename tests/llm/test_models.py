@@ -114,6 +114,30 @@ def test_quality_of_held_out_texts(spark, docs):
     assert {r.doc_id for r in kept.select("doc_id").collect()} == good
 
 
+def test_labels_that_depend_on_words(spark):
+    """Texts of one layout: five-letter words throughout, the label by which words."""
+    r = random.Random(6)
+    words = ["".join(r.choices("abcdefghij", k=5)) for _ in range(120)]
+    texts = []
+    for i in range(300):
+        own = words[:60] if i % 2 else words[60:]
+        texts.append((i, " ".join(r.choices(own, k=40))))
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
+    model = quality_classifier.fit(frame, labels)
+    rows = quality_classifier.score(frame.filter("doc_id >= 200"), model, threshold=0.5).collect()
+    assert sum(x.predicted == x.doc_id % 2 for x in rows) >= 95
+
+
+def test_leading_vectors_are_those_of_the_decomposition():
+    r = np.random.default_rng(4)
+    size = quality_classifier.SIZE
+    rows = (r.normal(size=(60, 12)) * 2.0 ** -np.arange(12)) @ r.normal(size=(12, size))
+    found = quality_classifier.leading(rows.astype(np.float32), 6)
+    _, _, want = np.linalg.svd(rows, full_matrices=False)
+    assert np.allclose(np.abs(np.sum(found * want[:6].T, axis=0)), 1, atol=1e-3)
+
+
 def test_votes_are_those_of_all_neighbours():
     r = np.random.default_rng(3)
     counts = r.integers(0, 4, (40, quality_classifier.SIZE)).astype(np.float32)
