@@ -71,14 +71,8 @@ def judge(
     expressions = F.flatten(
         F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.concat(s, p)))
     )
-    # A first, empty expression keeps each page and counts it.
-    expanded = parts.select(
-        "*",
-        F.posexplode(
-            F.concat(
-                F.array(F.lit("")), F.when(F.col("host") != "", expressions).otherwise(F.array())
-            )
-        ).alias("nth", "expression"),
+    expanded = parts.filter(F.col("host") != "").select(
+        "*", F.explode(expressions).alias("expression")
     ).withColumn("digest", F.sha2("expression", 256))
     expanded = expanded.withColumn("short", F.substring("digest", 1, prefix_hex))
 
@@ -95,12 +89,16 @@ def judge(
     met = expanded.join(
         listed,
         (F.col("short") == F.col("rule_short")) & (F.col("digest") == F.col("rule_digest")),
-        "left",
     )
-    best = met.groupBy("id", "host", "path").agg(
-        F.max(F.when(F.col("rule").isNotNull(), F.struct("rank", "rule"))).alias("best"),
-        # A page meets no rule by its empty expression, so this counts pages.
-        F.sum(F.when(F.col("nth") == 0, 1).otherwise(0)).alias("copies"),
+    # The pages themselves stay out of the join: one that no rule fits has no key there.
+    found = F.struct("rank", "rule").alias("found")
+    fits = met.select("id", "host", "path", found, F.lit(0).alias("pages"))
+    none = F.lit(None).cast(fits.schema["found"].dataType).alias("found")
+    alone = parts.select("id", "host", "path", none, F.lit(1).alias("pages"))
+    best = (
+        alone.unionByName(fits)
+        .groupBy("id", "host", "path")
+        .agg(F.max("found").alias("best"), F.sum("pages").alias("copies"))
     )
     return best.select(
         F.col("id").alias(id_col),
