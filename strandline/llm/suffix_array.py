@@ -6,6 +6,8 @@ import numpy as np
 
 from strandline.llm import tokens
 
+BUCKETS = 1024  # up to which suffixes of one bucket are gone through together
+
 
 def smaller_type(s: np.ndarray) -> np.ndarray:
     """Whether each suffix is smaller than the next one (type S); the last one is."""
@@ -87,7 +89,9 @@ def suffix_array(s: np.ndarray, size: int) -> np.ndarray:
     leftmost[0] = False
     leftmost[1:] &= ~smaller[:-1]
     found = np.flatnonzero(leftmost)
-    sorted_ = induce(s, smaller, found, size)
+    # Buckets pay where they are few; nearly every name has one of its own.
+    way = induce if size <= BUCKETS else induce_singly
+    sorted_ = way(s, smaller, found, size)
     sorted_ = sorted_[leftmost[sorted_]]
 
     # Equal substrings get one name; they reach to the next leftmost-smaller symbol.
@@ -99,75 +103,49 @@ def suffix_array(s: np.ndarray, size: int) -> np.ndarray:
     same = np.flatnonzero(lengths[1:] == lengths[:-1])
     one, two = sorted_[1:][same], sorted_[:-1][same]
     new[1:][same] = common(s, one, two, lengths[1:][same]) < lengths[1:][same]
+    if new.all():
+        return way(s, smaller, sorted_, size)
     names = np.empty(len(found), np.int64)
     names[number[sorted_]] = np.cumsum(new) - 1
-    if new.all():
-        order = np.argsort(names)
-    else:
-        order = np.array(sorted_names(names.tolist(), int(new.sum())), np.int64)
-    return induce(s, smaller, found[order], size)
+    order = suffix_array(names, int(new.sum()))
+    return way(s, smaller, found[order], size)
 
 
-def sorted_names(s: list[int], size: int) -> list[int]:
-    """The sorted suffixes of a string of names below ``size``, the last one 0 and no
-    other: the steps of ``suffix_array``, one symbol at a time, as nearly every name has a
-    bucket of its own."""
-    n = len(s)
-    if n < 2:
-        return list(range(n))
-    smaller = [True] * n
-    for i in range(n - 2, -1, -1):
-        smaller[i] = s[i] < s[i + 1] or (s[i] == s[i + 1] and smaller[i + 1])
-    found = [i for i in range(1, n) if smaller[i] and not smaller[i - 1]]
-    ends = [0] * size
-    for symbol in s:
-        ends[symbol] += 1
-    total = 0
-    for symbol, count in enumerate(ends):
-        total += count
-        ends[symbol] = total
-    if len(found) > 1:
-        ordered = _induced(s, smaller, found, ends)
-        stop = {a: b + 1 for a, b in zip(found, [*found[1:], n - 1], strict=True)}
-        name, last, names = -1, None, {}
-        for i in ordered:
-            if i in stop:
-                part = s[i : stop[i]]
-                name += part != last
-                names[i] = name
-                last = part
-        if name + 1 < len(found):
-            order = sorted_names([names[i] for i in found], name + 1)
-            found = [found[i] for i in order]
-        else:
-            found.sort(key=names.__getitem__)
-    return _induced(s, smaller, found, ends)
-
-
-def _induced(s: list[int], smaller: list[bool], seeds: list[int], ends: list[int]) -> list[int]:
-    """``induce`` for lists."""
+def induce_singly(
+    s: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, size: int
+) -> np.ndarray:
+    """``induce``, one suffix at a time."""
     n = len(s)
+    ends = np.cumsum(np.bincount(s, minlength=size))
+    # By suffix, the symbol before it where that is of the kind sought; else -1, as for
+    # the places not filled yet, which hold a -1 themselves.
+    before, kind = s[:-1].astype(np.int64), smaller[:-1]
+    larger_before = [-1, *np.where(kind, -1, before).tolist(), -1]
+    smaller_before = [-1, *np.where(kind, before, -1).tolist(), -1]
     out = [-1] * n
-    tail = ends[:]
-    for i in reversed(seeds):
-        tail[s[i]] -= 1
-        out[tail[s[i]]] = i
-    head = [0, *ends[:-1]]
-    for i in range(n):
-        before = out[i] - 1
-        if before >= 0 and not smaller[before]:
-            symbol = s[before]
-            out[head[symbol]] = before
-            head[symbol] += 1
-    tail = ends[:]
-    tail[0] -= 1  # the last suffix stays
-    for i in range(n - 1, -1, -1):
-        before = out[i] - 1
-        if before >= 0 and smaller[before]:
-            symbol = s[before]
-            tail[symbol] -= 1
-            out[tail[symbol]] = before
-    return out
+    symbols = s[seeds]
+    order = np.argsort(symbols, kind="stable")
+    symbols = symbols[order]
+    last = np.searchsorted(symbols, symbols, side="right")
+    places = ends[symbols] - (last - np.arange(len(seeds)))
+    for place, seed in zip(places.tolist(), seeds[order].tolist(), strict=True):
+        out[place] = seed
+    head = [0, *ends[:-1].tolist()]
+    for suffix in out:  # sees what is placed further on
+        symbol = larger_before[suffix]
+        if symbol >= 0:
+            place = head[symbol]
+            out[place] = suffix - 1
+            head[symbol] = place + 1
+    tail = ends.tolist()
+    tail[s[n - 1]] -= 1  # the last suffix stays
+    for suffix in reversed(out):
+        symbol = smaller_before[suffix]
+        if symbol >= 0:
+            place = tail[symbol] - 1
+            out[place] = suffix - 1
+            tail[symbol] = place
+    return np.array(out, np.int64)
 
 
 def common(s: np.ndarray, one: np.ndarray, two: np.ndarray, most: np.ndarray) -> np.ndarray:

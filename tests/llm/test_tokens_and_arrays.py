@@ -77,7 +77,11 @@ def test_recursion_and_permuted_prefixes(symbols, kind, most):
         text = np.array(s, kind)
         found = suffix_array.suffix_array(text, 4)
         assert found.tolist() == want
-        assert suffix_array.sorted_names(s, 4) == want
+        before, suffix_array.BUCKETS = suffix_array.BUCKETS, 0
+        try:
+            assert suffix_array.suffix_array(text, 4).tolist() == want
+        finally:
+            suffix_array.BUCKETS = before
         prefixes = suffix_array.permuted_prefixes(text, found, most)
         expected = {want[0]: 0}
         for before, i in zip(want, want[1:], strict=False):
