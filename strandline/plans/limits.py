@@ -71,9 +71,13 @@ class _Work:
         return self.ended.is_set()
 
     def hold_down(self) -> None:
-        """End whatever job it starts, until it ends."""
+        """End whatever job it starts, until it or the session ends."""
         while not self.ended.wait(POLL_SECONDS):
-            self.interrupt()
+            try:
+                self.interrupt()
+            except Exception:
+                if self._context._jsc is None or self._context._jsc.sc().isStopped():
+                    return
 
 
 def within(

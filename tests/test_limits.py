@@ -49,14 +49,15 @@ def test_other_threads_go_on(spark):
 
 
 def test_work_that_catches_its_error_cannot_go_on(spark):
-    calls = []
+    calls, stop, ended = [], threading.Event(), threading.Event()
 
     def stubborn():
-        for _ in range(50):
+        while not stop.is_set():
             try:
                 crawl(spark)
             except Exception:
                 calls.append(time.monotonic())
+        ended.set()
 
     with pytest.raises(limits.OverLimit):
         limits.within(spark, 0.5, stubborn, grace=1)
@@ -64,6 +65,8 @@ def test_work_that_catches_its_error_cannot_go_on(spark):
     while len(calls) < 3 and time.monotonic() < deadline:
         time.sleep(0.1)
     assert len(calls) >= 3  # each further job was ended too
+    stop.set()
+    assert ended.wait(60)
 
 
 def test_work_outside_of_spark_is_left(spark):
