@@ -54,7 +54,7 @@ class Walk:
 
     def __init__(self, seed: int, steps: int) -> None:
         at = np.arange(steps * 256, dtype=U64) + U64(seed << 40)
-        self.moves = (tokens.mix(at) & U64(1)).astype(np.int64).reshape(steps, 256)
+        self.moves = (tokens.mix(at) & U64(1)).astype(np.int8).reshape(steps, 256)
         chosen = tokens.mix(np.arange(SAMPLES * SAMPLED, dtype=U64) + U64(seed << 20))
         self.sampled = (chosen % U64(steps)).astype(np.int64).reshape(SAMPLES, SAMPLED)
 

@@ -38,18 +38,28 @@ URL_RULES = [
 ]
 
 
+# Of the C library's allocator and Arrow's pool, in Python workers.
+WORKER_MEMORY = {
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+    "MALLOC_ARENA_MAX": "2",
+    "MALLOC_MMAP_THRESHOLD_": "4194304",
+    "MALLOC_TRIM_THRESHOLD_": "16777216",
+}
+
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table. Python workers find this package where the driver found it; on
     a cluster without that folder, ship it with ``--py-files``. They get texts in small
-    batches, which bounds what either side holds."""
+    batches, which bounds what either side holds, and give freed memory back at once
+    instead of keeping it from stage to stage."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([*paths, ROOT])
+    env.update(WORKER_MEMORY)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
