@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -68,15 +68,17 @@ def terms_of(counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return ngrams.unit(terms)
 
 
-def leading(rows: np.ndarray, n: int, rounds: int = 8) -> np.ndarray:
-    """The leading right singular vectors of a matrix, by subspace iteration from a fixed
-    start; a few more than ``n`` are carried along, which speeds it up."""
+def leading(blocks: Callable[[], Iterable[np.ndarray]], n: int, rounds: int = 8) -> np.ndarray:
+    """The leading right singular vectors of a matrix given in blocks of rows, by subspace
+    iteration from a fixed start; a few more than ``n`` are carried along, which speeds
+    it up. No more than a block is held beside the vectors."""
     start = tokens.mix(np.arange(SIZE * (n + 16), dtype=np.uint64) + np.uint64(9 << 40))
     basis = (start.view(np.int64) / 2.0**63).reshape(SIZE, -1).astype(np.float32)
     for _ in range(rounds):
-        basis, _ = np.linalg.qr(rows.T @ (rows @ basis))
-    _, _, turn = np.linalg.svd(rows @ basis, full_matrices=False)
-    return np.ascontiguousarray((basis @ turn.T)[:, :n], dtype=np.float32)
+        basis, _ = np.linalg.qr(sum(rows.T @ (rows @ basis) for rows in blocks()))
+    inner = sum((rows @ basis).T @ (rows @ basis) for rows in blocks())
+    _, turn = np.linalg.eigh(inner)
+    return np.ascontiguousarray((basis @ turn[:, ::-1])[:, :n], dtype=np.float32)
 
 
 @dataclass(frozen=True)
@@ -143,8 +145,8 @@ def fit(
 ) -> Model:
     """Bin weights from all ``docs``; space and neighbours from a bounded sample.
 
-    ``max_labelled`` bounds what the driver gets: that many rows of term counts
-    (67 MB) once. Without any labelled text, all texts score 1: nothing speaks
+    ``max_labelled`` bounds what the driver gets: that many rows of terms, at two bytes
+    each (33 MB), once. Without any labelled text, all texts score 1: nothing speaks
     against them.
     """
     found, n_docs = ngrams.document_frequencies(docs, counts_of, SIZE, text_col)
@@ -154,25 +156,28 @@ def fit(
         for batch in batches:
             for at in range(0, batch.num_rows, ngrams.BLOCK):
                 part = batch.slice(at, ngrams.BLOCK)
-                counts = counts_of(part.column(0))
+                terms = terms_of(counts_of(part.column(0)), weights).astype(np.float16)
                 yield pa.RecordBatch.from_pydict(
-                    {"counts": [row.tobytes() for row in counts], "label": part.column(1)}
+                    {"terms": [row.tobytes() for row in terms], "label": part.column(1)}
                 )
 
+    # In an order of their own, so that the fit does not depend on the rows'.
     chosen = sample(docs, labels, max_labelled, id_col, text_col, label_col)
-    rows = chosen.mapInArrow(task, "counts binary, label double").toArrow()
+    chosen = chosen.orderBy(F.xxhash64("text"), "label")
+    rows = chosen.mapInArrow(task, "terms binary, label double").toArrow()
     if not rows.num_rows:
         none = np.zeros((0, dimensions), np.float32)
         return Model(weights, np.zeros((SIZE, dimensions)), none, np.ones(0), neighbours, sharpness)
-    *_, data = rows.column("counts").combine_chunks().buffers()
-    counts = np.frombuffer(data, np.float32, rows.num_rows * SIZE).reshape(-1, SIZE)
+    column = rows.column("terms")
+
+    def blocks() -> Iterator[np.ndarray]:
+        for at in range(0, len(column), ngrams.BLOCK):
+            raw = b"".join(column.slice(at, ngrams.BLOCK).to_pylist())
+            yield np.frombuffer(raw, np.float16).reshape(-1, SIZE).astype(np.float32)
+
+    space = leading(blocks, dimensions)
+    placed = np.concatenate([ngrams.unit(terms @ space) for terms in blocks()])
     marks = rows.column("label").to_numpy().astype(np.float64)
-    order = np.lexsort((*counts[:, :64].T, marks))  # the fit does not depend on row order
-    counts = counts[order]
-    space = leading(terms_of(counts, weights), dimensions)
-    marks = marks[order]
-    model = Model(weights, space, np.zeros((0, dimensions)), marks, neighbours, sharpness)
-    placed = model.place(counts)
     return Model(weights, space, placed, marks, neighbours, sharpness)
 
 
