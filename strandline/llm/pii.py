@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
@@ -275,15 +276,25 @@ def scored(rows: DataFrame, trees: GBTClassificationModel) -> DataFrame:
     )
 
 
+def counted(proposed: DataFrame) -> DataFrame:
+    """All candidates, as one row per label and features with their number as ``n``:
+    trees cannot tell those apart. ``held`` marks the third that is not learned from."""
+    held = F.pmod(F.xxhash64("of", "start", "kind"), F.lit(3)) == 0
+    return (
+        candidate_rows(proposed)
+        .groupBy(held.alias("held"), "kind", "label", *features())
+        .agg(F.count(F.lit(1)).cast("double").alias("n"))
+    )
+
+
 def fit(
     proposed: DataFrame,
-    max_candidates: int = 20_000,
     least_precision: float = 0.95,
     rounds: int = 12,
     depth: int = 4,
 ) -> Model:
-    """Boosted trees over at most ``max_candidates`` candidates, those with the least
-    hashes; two thirds are learned from.
+    """Boosted trees over all candidates; two thirds are learned from, equal ones as one
+    row of their number's weight.
 
     The labels are what the fixed patterns and the names before secrets say; the
     trees do not see those names, so they learn the form and the surroundings. A
@@ -291,24 +302,25 @@ def fit(
     ``least_precision``; a kind for which no score reaches it adds nothing. Without
     candidates of both labels there are no trees.
     """
-    names = ["start", "kind", "end", "label", *features()]
-    order = F.xxhash64("of", "start", "kind")
-    few = keep(
-        candidate_rows(proposed)
-        .select(*names, order.alias("order"))
-        .orderBy("order", "start", "end")
-        .limit(max_candidates),
-        "candidates",
-    )
-    learn, hold = few.filter("pmod(order, 3) <> 0"), few.filter("pmod(order, 3) = 0")
-    if learn.select("label").distinct().count() < 2:
+    rows = keep(counted(proposed), "candidates")
+    learn, hold = rows.filter("NOT held"), rows.filter("held")
+    sizes = dict(learn.groupBy("label").count().collect())
+    if len(sizes) < 2:
         return Model(None, {})
     vectors = VectorAssembler(inputCols=list(features()), outputCol="features").transform(learn)
-    trees = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=7).fit(vectors)
+    # The trees look for splits in a sample of maxBins squared rows: here, in all of them.
+    trees = GBTClassifier(
+        maxIter=rounds,
+        maxDepth=depth,
+        stepSize=0.3,
+        seed=7,
+        weightCol="n",
+        maxBins=max(32, math.isqrt(sum(sizes.values())) + 1),
+    ).fit(vectors)
     bins = (
         scored(hold, trees)
         .groupBy("kind", F.floor(F.col("score") * 100).alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("right"))
+        .agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("label")).alias("right"))
         .collect()
     )  # a hundred rows per kind at most
     thresholds = {}

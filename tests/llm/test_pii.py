@@ -1,10 +1,12 @@
 """Personal data: patterns against their plain forms, trees, redaction."""
 
 import re
+from collections import Counter
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from strandline.llm import pii
 
@@ -110,6 +112,41 @@ def test_trees_add_secrets_and_keep_base_spans(spark, texts):
     assert out[5] == texts[5]
 
 
+def test_all_candidates_are_learned_from(spark):
+    """Secrets whose hashes come after those of 20,000 other candidates are learned too."""
+    mails = [" ".join(f"n{i}.{k}@mail{i}.example.com" for k in range(60)) for i in range(450)]
+    named = [f'see token = "{i * 7919:040x}" and then' for i in range(3000)]
+    other = [f"see word{i}abcdefghijklmnop and then" for i in range(3000)]
+    docs, found = proposed(spark, [*mails, *named, *other])
+    found = found.cache()
+    order = F.xxhash64("of", "start", "kind").alias("order")
+    hashes = pii.candidate_rows(found).select("id", "kind", order).collect()
+    of_mails = sorted(r["order"] for r in hashes if r["kind"] == 0)
+    early = {r["id"] for r in hashes if r["kind"] == 4 and r["order"] <= of_mails[19_999]}
+    late = found.filter(~F.col("id").isin(sorted(early - set(range(len(mails))))))
+    mails_only = late.withColumn(
+        "candidates",
+        F.filter("candidates", lambda c: (F.col("id") >= len(mails)) | (c["kind"] == 0)),
+    )
+    model = pii.fit(mails_only)
+    assert "secret" in model.thresholds
+    seen = pii.detect(late.filter(F.col("id") >= len(mails)), model).collect()
+    got = {r["id"] for r in seen if any(s["kind"] == 4 for s in r["spans"])}
+    assert got == {r["id"] for r in seen if r["id"] < len(mails) + len(named)} != set()
+
+
+def test_equal_candidates_are_counted_together(spark, texts):
+    """The counts by label and features are those of the candidates one by one."""
+    _, found = proposed(spark, texts[:60] * 3)
+    found = found.cache()
+    rows = pii.candidate_rows(found).collect()
+    want = Counter((r["kind"], r["label"], *(r[f] for f in pii.features())) for r in rows)
+    got = Counter()
+    for r in pii.counted(found).collect():
+        got[(r["kind"], r["label"], *(r[f] for f in pii.features()))] += r["n"]
+    assert got == want and got.total() == len(rows)
+
+
 def test_long_secrets_are_whole(spark):
     """Tokens of any length, with their digits anywhere or nowhere, are one candidate."""
     long = [("ab12" * 300), "abcdefghij" * 6 + "7", "k" * 50 + "9" * 300, "Q" * 64, "x1" * 200_000]
