@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from strandline import dedupe, shared, tables, upsert
@@ -868,3 +869,50 @@ def test_work_folder_of_a_local_session_without_a_shared_root():
     folder = shared.work_folder(Session, "x")
     assert "/x-" in folder
     assert folder != shared.work_folder(Session, "x")
+
+
+def test_files_of_many_rows_are_made_of_sorted_ranges(spark, path):
+    """Few files, whole and in order, with no task that sorts more than its range."""
+    df = spark.range(0, 60_000, 1, 8).select(
+        F.timestamp_seconds(1704067200 + (F.col("id") * 7919) % 997).alias("t"),
+        F.when(F.col("id") % 5 != 0, F.col("id")).alias("v"),
+    )
+    tables.replace(df, path)
+    before = set(os.listdir(path))
+    sorts = []
+    write = DataFrameWriter.parquet
+
+    def watched(self, target, *args, **kwargs):
+        sorts.append((target, self._df.rdd.getNumPartitions()))
+        return write(self, target, *args, **kwargs)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(DataFrameWriter, "parquet", watched)
+        tables.cluster_by(spark, path, "t", files=3, rows_per_sort=4000)
+    # 15 tasks sort; 3 write the files.
+    assert [n for target, n in sorts if "/commits" not in target] == [15, 3]
+    stored = tables.read(spark, path)
+    assert tables.checksum(stored) == tables.checksum(df)
+    files = stored.select(F.input_file_name().alias("f")).distinct().collect()
+    assert len(files) == 3
+    spans = []
+    for row in files:
+        found = [r["t"] for r in spark.read.parquet(row["f"]).coalesce(1).collect()]
+        assert found == sorted(found) and 15_000 < len(found) < 25_000
+        spans.append((found[0], found[-1]))
+    spans.sort()
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    # Nothing is left of the ranges.
+    assert len(set(os.listdir(path)) - before) == 1
+    assert spark.conf.get(tables.UNIONS) == "true"
+
+
+def test_few_rows_in_many_ranges(spark, path):
+    """Fewer rows than ranges, and one value throughout."""
+    for n, files, per_sort in ((7, 3, 1), (1, 1, 1), (500, 2, 100)):
+        df = spark.range(0, n, 1, 4).select(F.lit(1).alias("k"), "id")
+        tables.replace(df, path, allow_schema_change=True)
+        tables.cluster_by(spark, path, "k", files=files, rows_per_sort=per_sort)
+        stored = tables.read(spark, path)
+        assert rows(stored) == rows(df)
+        assert stored.select(F.input_file_name()).distinct().count() <= files
