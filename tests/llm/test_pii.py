@@ -8,6 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from strandline.llm import pii
 
 # The plain forms; numbers of digits and values are checked behind them.
@@ -135,6 +136,25 @@ def test_all_candidates_are_learned_from(spark):
     assert got == {r["id"] for r in seen if r["id"] < len(mails) + len(named)} != set()
 
 
+def test_pipeline_learns_from_all_candidates(spark):
+    """Secrets after 20,000 other candidates by hash are redacted by the pipeline's stage."""
+    mails = [" ".join(f"n{i}.{k}@mail{i}.example.com" for k in range(60)) for i in range(450)]
+    named = [f'see token = "{i * 7919:040x}" and then' for i in range(2000)]
+    other = [f"see word{i}abcdefghijklmnop and then" for i in range(2000)]
+    docs, found = proposed(spark, [*mails, *named, *other])
+    order = F.xxhash64("of", "start", "kind").alias("order")
+    hashes = pii.candidate_rows(found.cache()).select("id", "kind", order).collect()
+    least = sorted(r["order"] for r in hashes if r["kind"] == 0)[19_999]
+    early = sorted({r["id"] for r in hashes if r["kind"] == 4 and r["order"] <= least})
+    late = docs.filter(~F.col("doc_id").isin(early))
+    clean = corpus_pipeline.personal_data(spark, late, "").filter(F.col("doc_id") >= len(mails))
+    out = {r.doc_id: r.text for r in clean.collect()}
+    for i, text in out.items():
+        secret = i < len(mails) + len(named)
+        assert ("<secret>" in text) == secret and secret == ("token" in text)
+    assert {i < len(mails) + len(named) for i in out} == {True, False}
+
+
 def test_equal_candidates_are_counted_together(spark, texts):
     """The counts by label and features are those of the candidates one by one."""
     _, found = proposed(spark, texts[:60] * 3)
