@@ -63,12 +63,22 @@ def pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return tokens.mix(first * U64(0x9E3779B97F4A7C15) + tokens.mix(second))
 
 
-def places(items: np.ndarray, levels: np.ndarray, bits: int) -> np.ndarray:
-    """PROBES bit places per (item, level) in an array of ``bits`` (below 2**32)."""
-    seeds = tokens.mix(items + levels.astype(U64) * U64(0xD1B54A32D192ED03))
+def seeds_of(items: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """What the bit places of each (item, level) follow from."""
+    return tokens.mix(items + levels.astype(U64) * U64(0xD1B54A32D192ED03))
+
+
+def place(seeds: np.ndarray, turn: int, bits: int) -> np.ndarray:
+    """One of the PROBES bit places per seed in an array of ``bits`` (below 2**32)."""
     step = (seeds >> U64(32)) | U64(1)
-    turns = (seeds[:, None] + np.arange(PROBES, dtype=U64) * step[:, None]) & U64(0xFFFFFFFF)
-    return (turns * U64(bits)) >> U64(32)
+    turned = (seeds + U64(turn) * step) & U64(0xFFFFFFFF)
+    return ((turned * U64(bits)) >> U64(32)).view(np.int64)
+
+
+def places(items: np.ndarray, levels: np.ndarray, bits: int) -> np.ndarray:
+    """PROBES bit places per (item, level)."""
+    seeds = seeds_of(items, levels)
+    return np.stack([place(seeds, turn, bits) for turn in range(PROBES)], axis=1).view(U64)
 
 
 def probe(array: np.ndarray, items: np.ndarray) -> np.ndarray:
@@ -79,9 +89,12 @@ def probe(array: np.ndarray, items: np.ndarray) -> np.ndarray:
     at = 0
     while len(open_) and at < 64 * STEPS:
         at += 1
-        found = places(items[open_], np.full(len(open_), at), bits)
-        hit = ((array[found >> U64(3)] >> (found & U64(7)).astype(np.uint8)) & 1).all(axis=1)
-        open_ = open_[hit]
+        seeds = seeds_of(items[open_], np.array([at]))
+        for turn in range(PROBES):
+            found = place(seeds, turn, bits)
+            hit = np.flatnonzero((array[found >> 3] >> (found & 7).astype(np.uint8)) & 1)
+            if len(hit) < len(open_):
+                open_, seeds = open_[hit], seeds[hit]
         levels[open_] = at
     return levels
 
@@ -94,8 +107,9 @@ def filled(items: np.ndarray, counts: np.ndarray) -> np.ndarray:
     for at in range(1, int(levels.max(initial=0)) + 1):
         some = items[levels >= at]
         for start in range(0, len(some), 1 << 18):
-            part = some[start : start + (1 << 18)]
-            flags[places(part, np.full(len(part), at), bits).ravel()] = True
+            seeds = seeds_of(some[start : start + (1 << 18)], np.array([at]))
+            for turn in range(PROBES):
+                flags[place(seeds, turn, bits)] = True
     return np.packbits(flags, bitorder="little")
 
 
@@ -114,6 +128,44 @@ def histories(hashes: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return before
 
 
+def ordered(numbers: np.ndarray) -> np.ndarray:
+    """The places of numbers in their order, those of equal ones in theirs. Numbers are
+    sorted several times as quickly as places by them, so each takes its place along in its
+    low bits, where there is room for it."""
+    size = len(numbers).bit_length()
+    if int(numbers.max(initial=0)) >> (64 - size):
+        return np.argsort(numbers, kind="stable")
+    return together(numbers.astype(U64) << U64(size))
+
+
+def together(hashes: np.ndarray) -> np.ndarray:
+    """The places of hashes in their order but for the low bits, where their places lie.
+    Equal hashes lie together, unless others share all other bits (40 at least) with them."""
+    low = U64((1 << len(hashes).bit_length()) - 1)
+    mixed = np.sort((hashes & ~low) | np.arange(len(hashes), dtype=U64))
+    return (mixed & low).view(np.int64)
+
+
+def runs(values: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    return np.flatnonzero(new)
+
+
+def distinct_words(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct hashes, and the number of each one among them."""
+    order = together(hashes)
+    found = hashes[order]
+    firsts = runs(found)
+    names = found[firsts]
+    if not (names[1:] > names[:-1]).all():  # hashes that differ in their low bits only
+        return np.unique(hashes, return_inverse=True)
+    at = np.empty(len(hashes), np.int64)
+    at[order] = np.repeat(np.arange(len(firsts)), np.diff(firsts, append=len(hashes)))
+    return names, at
+
+
 def tally(hashes: np.ndarray, column: str) -> pa.RecordBatch:
     found, counts = np.unique(hashes, return_counts=True)
     return pa.RecordBatch.from_arrays([signed(found), pa.array(counts)], names=[column, "n"])
@@ -203,10 +255,13 @@ class Model:
         """log10 of what counts of words are divided by."""
         return float(np.log10(self.train_tokens + self.train_words + 1.0))
 
-    def gain(self, joint: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """What a bigram's count adds to the log of its smoothed probability, by the count
-        of its second word."""
-        share = 10.0 ** (np.log10(counts + 1.0) - self.scale)
+    def share(self, counts: np.ndarray) -> np.ndarray:
+        """The unigram probability of words with these counts."""
+        return 10.0 ** (np.log10(counts + 1.0) - self.scale)
+
+    def gain(self, joint: np.ndarray, share: np.ndarray) -> np.ndarray:
+        """What a bigram's count adds to the log of its smoothed probability, by the
+        unigram probability of its second word."""
         return np.log10(joint / (self.strength * share) + 1.0)
 
     def of_word(self, counts: np.ndarray) -> np.ndarray:
@@ -264,7 +319,7 @@ def least_count(counted: DataFrame, most: int) -> int:
 
 def summed(items: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each item once, sorted, with the sum of its counts."""
-    order = np.argsort(items)
+    order = ordered(items)
     items, counts = items[order], counts[order]
     firsts = np.flatnonzero(np.diff(items, prepend=~items[:1]) != 0)
     return items[firsts], np.add.reduceat(counts, firsts) if len(firsts) else counts
@@ -278,9 +333,9 @@ def pair_rows(texts: DataFrame, head: np.ndarray, parts: int) -> DataFrame:
     shared_head = texts.sparkSession.sparkContext.broadcast(head)
 
     def send(keys: np.ndarray, of: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        order = np.argsort(of, kind="stable")
+        order = ordered(of)
         keys, of, counts = keys[order], of[order], counts[order]
-        firsts = np.flatnonzero(np.diff(of, prepend=-1))
+        firsts = runs(of)
         for a, b in zip(firsts, [*firsts[1:], len(of)], strict=True):
             data = [*short_names(keys[a:b] & NAME), packed(counts[a:b])]
             yield row(PAIRS, int(of[a]), 0, data, NO_IDS)
@@ -290,14 +345,15 @@ def pair_rows(texts: DataFrame, head: np.ndarray, parts: int) -> DataFrame:
         for batch in batches:
             for block in tokens.blocks(batch, 0, COUNTED):
                 hashes, rows = stream(block.column(0))
-                found, first, n = np.unique(
-                    pair_hash(histories(hashes, rows), hashes),
-                    return_index=True,
-                    return_counts=True,
-                )
-                words = hashes[first]
-                is_head, _ = looked_up(shared_head.value, shared_head.value, words)
-                held.append((found, parts_of(found, words, is_head, parts), n))
+                distinct, at = distinct_words(hashes)
+                is_head, _ = looked_up(shared_head.value, shared_head.value, distinct)
+                pairs = pair_hash(histories(hashes, rows), hashes)
+                order = together(pairs)
+                firsts = runs(pairs[order])
+                n = np.diff(firsts, append=len(order))
+                found, word = pairs[order[firsts]], at[order[firsts]]
+                of = parts_of(found, distinct[word], is_head[word], parts)
+                held.append((found, of, n))
                 if sum(len(x) for x, _, _ in held) > MOST_HELD:
                     yield from send(*united(held))
                     held = []
@@ -308,13 +364,14 @@ def pair_rows(texts: DataFrame, head: np.ndarray, parts: int) -> DataFrame:
 
 
 def united(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, ...]:
-    """Items, their parts, and counts, of several blocks: each item once."""
+    """Items, their parts, and counts, of several blocks: each item once, but for those
+    that ``together`` leaves apart, whose counts are summed in their part."""
     if len(held) == 1:
         return held[0]
     items, of, counts = (np.concatenate(x) for x in zip(*held, strict=True))
-    order = np.argsort(items)
+    order = together(items)
     items, of, counts = items[order], of[order], counts[order]
-    firsts = np.flatnonzero(np.concatenate(([True], items[1:] != items[:-1])))
+    firsts = runs(items)
     return items[firsts], of[firsts], np.add.reduceat(counts, firsts)
 
 
@@ -430,7 +487,7 @@ def sent(block: int, ids: pa.Array, column: pa.Array, model: Model) -> Iterator[
     a head word, else its hash; of each bigram of a text its name, the text, how often."""
     n = len(column)
     hashes, rows = stream(column)
-    distinct, at = np.unique(hashes, return_inverse=True)
+    distinct, at = distinct_words(hashes)
     is_head, counts = model.known(distinct)
     before = np.concatenate((at[-1:], at[:-1]))
     before[np.flatnonzero(np.diff(rows, prepend=-1))] = np.searchsorted(distinct, END)
@@ -441,20 +498,19 @@ def sent(block: int, ids: pa.Array, column: pa.Array, model: Model) -> Iterator[
     gain = np.bincount(rows, model.of_word(counts)[at], n) - n_tokens * model.scale
 
     pairs = pair_hash(distinct[before], hashes)
-    _, first, times = np.unique(
-        tokens.mix(pairs + rows.astype(U64) * U64(0x9E3779B97F4A7C15)),
-        return_index=True,
-        return_counts=True,
-    )
+    # Those of one text; a pair that ``together`` leaves apart is sent twice, once each.
+    own = tokens.mix(pairs + rows.astype(U64) * U64(0x9E3779B97F4A7C15))
+    order = together(own)
+    firsts = runs(own[order])
+    first, times = order[firsts], np.diff(firsts, append=len(order))
     word, pairs, rows = at[first], pairs[first], rows[first]
     of = parts_of(pairs, distinct[word], is_head[word], model.parts)
     # By part, then head words, then word.
     group = (of * 2 + ~is_head[word]) * len(distinct) + word
-    order = np.argsort(group)
+    order = ordered(group)
     group, of, word = group[order], of[order], word[order]
     pairs, rows, times = pairs[order], rows[order], times[order]
-    groups = np.flatnonzero(np.diff(group, prepend=-1))
-    starts = np.flatnonzero(np.diff(of, prepend=-1))
+    groups, starts = runs(group), runs(of)
     data = [packed(np.array([len(starts)])), packed(n_tokens), packed(n_known)]
     data += [base.tobytes(), gain.tobytes()]
     yield row(LOCAL, block % model.parts, block, data, ids)
@@ -485,13 +541,16 @@ def answered(asked: list[bytes], held: list[bytes] | None, model: Model) -> list
         return [packed(rows[:0]), packed(rows[:0]), b"", np.zeros(n).tobytes()]
     array = np.frombuffer(held[0], np.uint8)
     _, found = looked_up(np.frombuffer(held[1], U64), unpacked(held[2]), rare)
-    counts = np.repeat(np.concatenate([head, found]), sizes)
-    here = np.repeat(np.arange(len(sizes)) >= len(head), sizes) & (counts > 0)
-    # No bigram has a second word that was never seen.
+    of_words = np.concatenate([head, found])
+    share = model.share(of_words)
+    counts, of = np.repeat(of_words, sizes), np.repeat(np.arange(len(sizes)), sizes)
+    here = (of >= len(head)) & (counts > 0)
+    # No bigram has a second word that was never seen; one that was not seen adds nothing.
     seen = np.flatnonzero(counts > 0)
-    joint = np.zeros(len(counts))
-    joint[seen] = value(probe(array, long_names(asked[4], asked[5])[seen]))
-    gain = model.gain(joint, counts)
+    levels = probe(array, long_names(asked[4], asked[5])[seen])
+    met_, levels = seen[levels > 0], levels[levels > 0]
+    gain = np.zeros(len(counts))
+    gain[met_] = model.gain(value(np.arange(64 * STEPS + 1))[levels], share[of[met_]])
     gain[here] += model.of_word(counts[here])
     whose, place = np.unique(rows[here], return_inverse=True)
     base = np.bincount(place, np.log10(counts[here] + 1.0) * times[here], len(whose))

@@ -285,3 +285,39 @@ def test_repeated_rows_and_empty_tables(spark):
     assert lm_scoring.score(frame.limit(0), model).count() == 0
     none = lm_scoring.fit(frame.limit(0))
     assert {x.n_known for x in lm_scoring.score(frame, none).collect()} == {0}
+
+
+def test_sorting_with_places_tells_all_hashes_apart():
+    """Hashes that differ in no bit but those of a place too."""
+    rng = np.random.default_rng(3)
+    hashes = rng.integers(0, 1 << 64, 400, dtype=np.uint64)
+    hashes = np.concatenate([hashes, hashes[:200] ^ np.uint64(1), hashes[:300], hashes[:1]])
+    rng.shuffle(hashes)
+    wanted, number = np.unique(hashes, return_inverse=True)
+    for given in (hashes, hashes[:1], hashes[:0], np.unique(hashes >> np.uint64(20))):
+        names, at = lm_scoring.distinct_words(given)
+        assert (names == np.unique(given)).all() and (names[at] == given).all()
+        order = lm_scoring.together(given)
+        assert sorted(order) == list(range(len(given)))
+    assert (lm_scoring.distinct_words(hashes)[1] == number).all()
+    for given in (hashes, hashes >> np.uint64(30), np.arange(50)[::-1] // 7):
+        assert (lm_scoring.ordered(given) == np.argsort(given, kind="stable")).all()
+    items, of, counts = lm_scoring.united([(hashes, hashes % np.uint64(4), np.ones(901, int))] * 2)
+    assert counts.sum() == 1802 and (of == items % np.uint64(4)).all()
+    found, sums = lm_scoring.summed(items, counts)
+    assert (found == wanted).all() and (sums == 2 * np.bincount(number)).all()
+
+
+def test_unseen_bigrams_cost_few_probes(monkeypatch):
+    """An item is looked up no further once a bit of its level is not set."""
+    rng = np.random.default_rng(5)
+    names = rng.integers(0, 1 << 40, 20_000, dtype=np.uint64)
+    array = lm_scoring.filled(names[:10_000], np.ones(10_000, np.int64))
+    looked, place = [], lm_scoring.place
+    monkeypatch.setattr(
+        lm_scoring, "place", lambda seeds, *args: looked.append(len(seeds)) or place(seeds, *args)
+    )
+    found = lm_scoring.probe(array, names)
+    assert (found[:10_000] >= 1).all() and (found[10_000:] > 0).mean() < 0.01
+    # Six places for each of those held, less than two on average for every level not held.
+    assert sum(looked) < 10_000 * 6 + 20_000 * 2
