@@ -12,7 +12,31 @@ from pyspark.sql import functions as F
 
 from strandline.llm import decontaminate, near_dedup, packing, pii, quality_classifier
 from strandline.llm.keep import fresh, keep, numbered, without
-from strandline.llm.queries import table
+from strandline.llm.queries import WORKER_MEMORY, table
+
+# Stages run in the same processes, one after another: what one of them holds or leaves
+# behind, in a Python worker or as Arrow buffers beside the heap, counts for all.
+BATCH = "2m"
+STAGE_MEMORY = WORKER_MEMORY | {
+    "MALLOC_ARENA_MAX": "1",
+    "MALLOC_MMAP_THRESHOLD_": "1048576",
+    "MALLOC_TRIM_THRESHOLD_": "1048576",
+}
+
+
+def lean(spark: SparkSession) -> SparkSession:
+    """The session, with smaller batches between Spark and Python workers than the single
+    queries have, and workers that give back arrays of a megabyte."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH)
+    spark.sparkContext.environment.update(STAGE_MEMORY)
+    return spark
+
+
+def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; it is read with the settings of the single queries."""
+    found = table(spark, sf_dir, name)
+    lean(spark)
+    return found
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,7 +45,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts have no terms: they get the labels' mean, and go or stay all
     alike. Repeated rows and null ids are judged by their texts. Without labels all stay.
     """
-    model = quality_classifier.fit(docs, table(spark, sf_dir, "labels"))
+    model = quality_classifier.fit(docs, given(spark, sf_dir, "labels"))
     return quality_classifier.accept(docs, model, threshold=0.7)
 
 
@@ -33,6 +57,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     ones included, are linked with nothing and stay.
     """
     (row,) = fresh(docs, "_row")
+    lean(spark)
     rows = numbered(docs, "doc_id", row)
     linked = near_dedup.link(rows, percent=75, words=5, id_col=row)
     return without(rows, linked.filter("NOT kept").select(row).distinct(), row).drop(row)
@@ -47,7 +72,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     (row,) = fresh(docs, "_row")
     rows = numbered(docs, "doc_id", row)
     found = decontaminate.matches(
-        rows, table(spark, sf_dir, "benchmark"), max_edit_share=0.1, id_col=row
+        rows, given(spark, sf_dir, "benchmark"), max_edit_share=0.1, id_col=row
     )
     return without(rows, keep(found, "matches").select(row).distinct(), row).drop(row)
 
@@ -73,6 +98,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Each row is packed, repeated ones and those without an id too; a null or empty text is
     one end token.
     """
+    lean(spark)
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     rows = packing.pieces(docs, tokenizer, capacity=4096, end_id=1)
     return packing.pack(rows, capacity=4096)
@@ -92,7 +118,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table."""
-    docs = table(spark, sf_dir, "documents")
+    docs = given(spark, sf_dir, "documents")
     *inner, (_, last) = STAGES
     for name, stage in inner:
         docs = keep(stage(spark, docs, sf_dir), name)

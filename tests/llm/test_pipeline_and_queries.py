@@ -67,6 +67,25 @@ def test_stages(spark, tmp_path):
         assert r.text == before[r.doc_id] or "<" in r.text
 
 
+def test_stages_send_small_batches(spark, monkeypatch):
+    """Stages share their processes, so each holds little; batches change no result."""
+    docs = queries.table(spark, SF, "documents").limit(60)
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    python = [s for s in corpus_pipeline.STAGES if s[0] != "personal_data"]
+    found = {}
+    for batch in ("2m", "1k"):
+        monkeypatch.setattr(corpus_pipeline, "BATCH", batch)
+        for name, stage in python:
+            queries.table(spark, SF, "documents")  # a query before it, with its own settings
+            rows = stage(spark, docs, SF)
+            assert spark.conf.get(setting) == batch
+            assert spark.sparkContext.environment["MALLOC_MMAP_THRESHOLD_"] == "1048576"
+            kept = sorted((r.doc_id, r["piece"] if name == "packing" else 0) for r in rows.collect())
+            assert found.setdefault(name, kept) == kept
+    queries.table(spark, SF, "documents")
+    assert spark.conf.get(setting) == "8m"
+
+
 def test_packed_sequences_hold_their_tokens(spark):
     """The last stage's rows, side by side, are the sequences; by document, its ids."""
     docs = queries.table(spark, SF, "documents").limit(40)
